@@ -122,3 +122,34 @@ ORACLE_CTES = {
 def with_ctes(*names: str) -> str:
     """``WITH`` clause holding the named adapter views."""
     return "WITH " + ",\n".join(ORACLE_CTES[n] for n in names)
+
+
+def customer_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Numeric customer frame for the feature operators: ``customer_id, age,
+    income, credit_score, category``. ``credit_score`` is the number of
+    order lines the customer bought (pre-aggregated per customer before the
+    join), ``category`` the market segment."""
+    lines = (
+        read(spark, sf_dir, "lineitem").select("l_orderkey")
+        .join(read(spark, sf_dir, "orders").select("o_orderkey", "o_custkey"),
+              F.col("l_orderkey") == F.col("o_orderkey"))
+        .groupBy("o_custkey").agg(F.count("*").cast("double").alias("credit_score"))
+    )
+    cust = customers(spark, sf_dir)
+    return cust.join(lines, cust.customer_id == lines.o_custkey, "left").select(
+        "customer_id",
+        F.col("age").cast("double").alias("age"),
+        "income",
+        F.coalesce("credit_score", F.lit(0.0)).alias("credit_score"),
+        F.col("gender").alias("category"),
+        "registration_date",
+    )
+
+
+ORACLE_CTES["prof"] = """prof AS (
+    SELECT cust.customer_id, CAST(cust.age AS DOUBLE) AS age, cust.income,
+           coalesce(l.credit_score, 0.0) AS credit_score, cust.gender AS category, cust.registration_date
+    FROM cust LEFT JOIN (
+        SELECT o.o_custkey, CAST(count(*) AS DOUBLE) AS credit_score
+        FROM lineitem li JOIN orders o ON li.l_orderkey = o.o_orderkey GROUP BY o.o_custkey) l
+      ON cust.customer_id = l.o_custkey)"""
