@@ -242,7 +242,7 @@ def product_features(df: DataFrame, tfidf: bool = False, tfidf_terms: int = 100)
             model = TfidfVectorizer(
                 input_col="product_description", id_col="product_id", max_features=tfidf_terms, ngram_max=2
             ).fit(out)
-            out = model.transform_wide(out)
+            out = model.transform_wide(out, width=tfidf_terms)
     if "price" in df.columns:
         out = out.withColumns(
             {
