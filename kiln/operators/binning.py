@@ -107,6 +107,18 @@ class QuantileBinner:
         return BinModel(self.input_col, self.output_col, edges, self.labels)
 
 
+def fit_quantile_bins(df: DataFrame, cols: list[str], q: int = 4, suffix: str = "_bin") -> list[BinModel]:
+    """Quantile bins of several columns from ONE set of quantile passes
+    (ordinal labels, repeated edges dropped)."""
+    probs = [i / q for i in range(q + 1)]
+    edges = exact_quantiles(df, cols, probs)
+    models = []
+    for c in cols:
+        e = edges[c]
+        models.append(BinModel(c, f"{c}{suffix}", None if e[0] is None else sorted(set(e)), None))
+    return models
+
+
 def histogram(df: DataFrame, col: str, bins: int = 50) -> DataFrame:
     """Equal-width histogram over [min, max] (A22): ``bin, lower, upper,
     count`` for every non-empty bin; bins are half-open except the last."""

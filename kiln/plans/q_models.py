@@ -1,3 +1,161 @@
-"""Queries: q_models."""
+"""Queries of splits, feature selection and models."""
 
-from kiln.plans.registry import query  # noqa: F401
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from kiln.operators import models as M
+from kiln.plans.q_features import sql_quantile_bins
+from kiln.plans.registry import query
+from kiln.sources import tables as T
+from kiln.sources.tables import read, with_ctes
+
+DOC_FEATURES = ["n_chars", "word_count", "digit_share", "upper_share", "line_count"]
+REG_FEATURES = ["l_quantity", "l_discount", "l_tax"]
+
+
+def _anova_sql() -> str:
+    per = ", ".join(f"sum({c}) AS s_{c}, sum({c} * {c}) AS q_{c}" for c in DOC_FEATURES)
+    rows = "\nUNION ALL\n".join(
+        f"SELECT '{c}' AS feature, sum(n) AS n, count(*) AS k, sum(s_{c}) AS s, sum(q_{c}) AS q, "
+        f"sum(s_{c} * s_{c} / n) AS b FROM per" for c in DOC_FEATURES
+    )
+    return with_ctes("ldoc") + f""",
+per AS (SELECT quality, count(*) AS n, {per} FROM ldoc WHERE quality IS NOT NULL GROUP BY quality),
+t AS ({rows})
+SELECT feature, ((b - s * s / n) / (k - 1)) / (((q - s * s / n) - (b - s * s / n)) / (n - k)) AS f_score FROM t"""
+
+
+@query("m6_anova_f_scores", sql=_anova_sql(), rounding={"f_score": 6})
+def m6_anova_f_scores(spark, sf_dir):
+    """ANOVA F of document features against the quality label."""
+    return M.anova_f(T.labelled_documents(spark, sf_dir), DOC_FEATURES, "quality")
+
+
+@query(
+    "w7_select_k_best",
+    sql=f"SELECT * FROM ({_anova_sql()}) ORDER BY f_score DESC, feature ASC LIMIT 3",
+    rounding={"f_score": 6},
+)
+def w7_select_k_best(spark, sf_dir):
+    """The three best features by ANOVA F (a top-k report)."""
+    return M.select_k_best(M.anova_f(T.labelled_documents(spark, sf_dir), DOC_FEATURES, "quality"), 3)
+
+
+def _mi_sql() -> str:
+    ctes, exprs = [], []
+    for c in DOC_FEATURES:
+        cte, e = sql_quantile_bins("ldoc", c, f"mi_{c}", 10, None)
+        ctes.append(cte)
+        exprs.append(f"SELECT '{c}' AS feature, {e} AS x, quality AS y FROM ldoc WHERE quality IS NOT NULL")
+    pairs = "\nUNION ALL\n".join(exprs)
+    return with_ctes("ldoc") + ",\n" + ",\n".join(ctes) + f""",
+pairs AS ({pairs}),
+j AS (SELECT feature, x, y, count(*) AS nxy FROM pairs WHERE x IS NOT NULL GROUP BY feature, x, y),
+m AS (SELECT *, sum(nxy) OVER (PARTITION BY feature) AS n, sum(nxy) OVER (PARTITION BY feature, x) AS nx,
+             sum(nxy) OVER (PARTITION BY feature, y) AS ny FROM j)
+SELECT feature, sum((CAST(nxy AS DOUBLE) / n) * ln((CAST(nxy AS DOUBLE) * n) / (CAST(nx AS DOUBLE) * ny))) AS mi_score
+FROM m GROUP BY feature"""
+
+
+@query("m9_mutual_information", sql=_mi_sql(), rounding={"mi_score": 6})
+def m9_mutual_information(spark, sf_dir):
+    """Mutual information of decile-binned document features with quality,
+    sorted (W4)."""
+    feats = T.labelled_documents(spark, sf_dir).select("quality", *DOC_FEATURES).checkpoint()
+    return M.mutual_information(feats, DOC_FEATURES, "quality")
+
+
+# ------------------------------------------------------------------ rows-only (random draws, fitted models)
+@query("m1_train_test_split")
+def m1_train_test_split(spark, sf_dir):
+    """Hash split of the order lines into train / test (80 / 20)."""
+    li = read(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber")
+    key = F.struct("l_orderkey", "l_linenumber")
+    tr, te = M.train_test_split(li.withColumn("k", key), "k")
+    return tr.select("l_orderkey", "l_linenumber", F.lit("train").alias("split")).unionByName(
+        te.select("l_orderkey", "l_linenumber", F.lit("test").alias("split"))
+    )
+
+
+@query("m3_stratified_folds")
+def m3_stratified_folds(spark, sf_dir):
+    """Five stratified folds of the labelled documents."""
+    d = T.labelled_documents(spark, sf_dir)
+    return M.stratified_folds(d, "quality", "doc_id", 5).select("doc_id", "quality", "fold")
+
+
+@query("m5_logistic_regression")
+def m5_logistic_regression(spark, sf_dir):
+    """Scaler + logistic regression fitted on the train split, accuracy on test."""
+    d = T.labelled_documents(spark, sf_dir)
+    tr, te = M.train_test_split(d, "doc_id")
+    model = M.fit_logistic(tr, DOC_FEATURES, "quality")
+    return model.transform(te.withColumn("label", F.col("quality").cast("double"))).select(
+        "doc_id", "quality", "prediction"
+    )
+
+
+@query("m4_cross_validation")
+def m4_cross_validation(spark, sf_dir):
+    """Accuracy per fold of a 5-fold stratified cross-validation."""
+    return M.cross_validate(T.labelled_documents(spark, sf_dir), DOC_FEATURES, "quality", "doc_id")
+
+
+@query("m7_recursive_elimination")
+def m7_recursive_elimination(spark, sf_dir):
+    keep = M.recursive_elimination(T.labelled_documents(spark, sf_dir), DOC_FEATURES, "quality", 3)
+    return spark.createDataFrame([(f,) for f in keep], "feature string")
+
+
+@query("m8_forest_importance")
+def m8_forest_importance(spark, sf_dir):
+    return M.forest_importance(T.labelled_documents(spark, sf_dir), DOC_FEATURES, "quality")
+
+
+def _lines(spark, sf_dir):
+    return read(spark, sf_dir, "lineitem").withColumn("k", F.struct("l_orderkey", "l_linenumber"))
+
+
+@query("m10_compare_regressors")
+def m10_compare_regressors(spark, sf_dir):
+    """Linear regression vs random forest, test MSE, price from quantity,
+    discount and tax."""
+    return M.compare_regressors(_lines(spark, sf_dir), REG_FEATURES, "l_extendedprice", "k")
+
+
+@query("m11_boosted_trees")
+def m11_boosted_trees(spark, sf_dir):
+    """Training RMSE after each of 50 boosting rounds."""
+    _, curve = M.boosted_trees(_lines(spark, sf_dir), REG_FEATURES, "l_extendedprice", rounds=50)
+    return curve
+
+
+@query("m12_batch_scoring")
+def m12_batch_scoring(spark, sf_dir):
+    """A boosted-trees pipeline fitted on the train split scores every line."""
+    lines = _lines(spark, sf_dir)
+    tr, _ = M.train_test_split(lines, "k")
+    model, _ = M.boosted_trees(tr, REG_FEATURES, "l_extendedprice", rounds=10)
+    return M.score(model, lines, ["l_orderkey", "l_linenumber"])
+
+
+@query("m13_shapley_values")
+def m13_shapley_values(spark, sf_dir):
+    """Shapley values of a forest's predictions for ten documents."""
+    from pyspark.ml.regression import RandomForestRegressor
+    from pyspark.ml import Pipeline
+    from pyspark.ml.feature import VectorAssembler
+
+    d = T.labelled_documents(spark, sf_dir).na.drop(subset=DOC_FEATURES)
+    pipe = Pipeline(stages=[VectorAssembler(inputCols=DOC_FEATURES, outputCol="features"),
+                            RandomForestRegressor(labelCol="quality", numTrees=20, seed=42)])
+    model = pipe.fit(d)
+    explain = [r.asDict() for r in d.orderBy("doc_id").limit(10).collect()]
+    return M.shapley_values(model, d, explain, DOC_FEATURES, samples=32)
+
+
+@query("w5_head")
+def w5_head(spark, sf_dir):
+    """The first rows of a table (a sampling report)."""
+    return T.customers(spark, sf_dir).limit(5)

@@ -153,3 +153,38 @@ ORACLE_CTES["prof"] = """prof AS (
         SELECT o.o_custkey, CAST(count(*) AS DOUBLE) AS credit_score
         FROM lineitem li JOIN orders o ON li.l_orderkey = o.o_orderkey GROUP BY o.o_custkey) l
       ON cust.customer_id = l.o_custkey)"""
+
+
+def labelled_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents with their quality / toxicity labels and numeric features of
+    the whole text: length, word count, digit share, upper-case share, lines."""
+    from kiln.functions.text import word_count
+
+    d = read(spark, sf_dir, "documents")
+    lab = read(spark, sf_dir, "labels")
+    t = F.col("text")
+    n = F.char_length(t)
+    share = lambda pat: F.try_divide((n - F.char_length(F.regexp_replace(t, pat, ""))).cast("double"), n)
+    return d.join(lab, "doc_id").select(
+        "doc_id",
+        F.col("n_chars").cast("double").alias("n_chars"),
+        word_count(t).cast("double").alias("word_count"),
+        share("[0-9]").alias("digit_share"),
+        share("[A-Z]").alias("upper_share"),
+        (n - F.char_length(F.regexp_replace(t, "\n", "")) + 1).cast("double").alias("line_count"),
+        "quality",
+        "toxic",
+    )
+
+
+ORACLE_CTES["ldoc"] = """ldoc AS (
+    SELECT d.doc_id, CAST(d.n_chars AS DOUBLE) AS n_chars,
+           CAST(CASE WHEN d.text IS NULL THEN NULL WHEN trim(regexp_replace(d.text, '\\s+', ' ', 'g')) = '' THEN 0
+                     ELSE len(string_split(trim(regexp_replace(d.text, '\\s+', ' ', 'g')), ' ')) END AS DOUBLE) AS word_count,
+           CASE WHEN length(d.text) = 0 THEN NULL ELSE
+             CAST(length(d.text) - length(regexp_replace(d.text, '[0-9]', '', 'g')) AS DOUBLE) / length(d.text) END AS digit_share,
+           CASE WHEN length(d.text) = 0 THEN NULL ELSE
+             CAST(length(d.text) - length(regexp_replace(d.text, '[A-Z]', '', 'g')) AS DOUBLE) / length(d.text) END AS upper_share,
+           CAST(length(d.text) - length(replace(d.text, chr(10), '')) + 1 AS DOUBLE) AS line_count,
+           l.quality, l.toxic
+    FROM documents d JOIN labels l ON d.doc_id = l.doc_id)"""
