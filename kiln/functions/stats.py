@@ -114,13 +114,12 @@ def exact_quantiles(
             if below > r:
                 a, below = r1[f"mn__{c}"], 0
             if upto <= r:
-                b = r1[f"mx__{c}"]
+                b, upto = r1[f"mx__{c}"], r1[f"n__{c}"]
+            if upto - below > max_bracket and a != b:
+                # Rare (only after a widened side): narrow with more passes.
+                a, b, below = _narrow(base, c, r, a, b, below, accuracy, max_bracket)
             brackets[(c, r)] = (a, b, below)
 
-    # Narrow any bracket that is still too large (rare: only after widening).
-    for (c, r), (a, b, below) in list(brackets.items()):
-        brackets[(c, r)] = _narrow(base, c, r, a, b, below, accuracy, max_bracket)
-
     # Collect the bracketed values as (value, count) pairs in one pass.
     values = _bracket_values(base, brackets)
     out: dict[str, list[float | None]] = {}
