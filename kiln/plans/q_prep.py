@@ -194,3 +194,36 @@ def f1_normalize_features(spark, sf_dir):
         F.sum("transaction_amount").alias("total_spent"), F.count("*").alias("n")
     )
     return prep.normalize_features(a, ["total_spent", "n"])
+
+
+INTERACTION_SCHEMA = (
+    "customer_id bigint, avg_days_between_purchases double, preferred_category string, "
+    "avg_price_range double, purchase_frequency bigint, seasonal_preference bigint"
+)
+
+
+def _c1(spark, sf_dir):
+    import uuid
+
+    from kiln.plans.prep_run import run_data_preparation
+    from kiln.session import scratch_path
+
+    out = scratch_path(spark, f"prep-run-{uuid.uuid4().hex[:12]}")
+    return run_data_preparation(spark, sf_dir, out, as_of=AS_OF)
+
+
+from kiln.plans.registry import REGISTRY as _REG  # noqa: E402
+
+
+@query(
+    "c1_prepared_interactions",
+    sql=_REG["a2_interaction_features"].sql,
+    rounding=_REG["a2_interaction_features"].rounding,
+)
+def c1_prepared_interactions(spark, sf_dir):
+    """The whole preparation run; its interaction-features output, read back
+    from the written CSV."""
+    from kiln.sources import files
+
+    paths = _c1(spark, sf_dir)
+    return files.read_table(spark, paths["interaction_features"], "csv", schema=INTERACTION_SCHEMA)

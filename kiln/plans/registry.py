@@ -61,6 +61,7 @@ def load_all() -> dict[str, Query]:
         q_prep,
         q_quality,
         q_sources,
+        q_streaming,
         q_text,
         q_timeseries,
         q_validators,
