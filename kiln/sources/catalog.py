@@ -38,7 +38,7 @@ def catalog_check(spark: SparkSession, database: str, tables: Sequence[str]) ->
         if not spark.catalog.tableExists(name):
             out.append({"table": t, "exists": False})
             continue
-        cols = spark.catalog.listColumns(t, database)
+        cols = spark.catalog.listColumns(f"{database}.{t}")
         keys = [c.name for c in cols if c.isPartition]
         parts = []
         if keys:
@@ -68,7 +68,7 @@ def crawl(
         name = f"`{database}`.`{t}`"
         spark.sql(f"DROP TABLE IF EXISTS {name}")
         spark.catalog.createTable(f"{database}.{t}", path=path, source=fmt, pathGlobFilter=f"*.{fmt}")
-        cols = spark.catalog.listColumns(t, database)
+        cols = spark.catalog.listColumns(f"{database}.{t}")
         if any(c.isPartition for c in cols):
             spark.catalog.recoverPartitions(f"{database}.{t}")
         made.append(t)
