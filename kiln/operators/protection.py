@@ -22,9 +22,11 @@ SECRET_CANDIDATE = r"(?i)(?:token|secret|password|api_key)\s*[:=]\s*\"?([^\"\s]+
 
 
 def _candidates(df: DataFrame, id_col: str, text_col: str, pattern: str, group: int = 0) -> DataFrame:
+    # explode_outer + NULL filter: a plain explode would add an inferred
+    # size(...) > 0 filter that runs the regular expression a second time.
     return df.select(
-        id_col, F.explode(F.regexp_extract_all(F.col(text_col), F.lit(pattern), group)).alias("candidate")
-    )
+        id_col, F.explode_outer(F.regexp_extract_all(F.col(text_col), F.lit(pattern), group)).alias("candidate")
+    ).where(F.col("candidate").isNotNull())
 
 
 def email_check(df: DataFrame, id_col: str, text_col: str) -> DataFrame:

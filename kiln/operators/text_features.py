@@ -54,29 +54,60 @@ def english_stop_words() -> tuple[str, ...]:
 
 def terms_column(text: Column, stop_words=None, ngram_max: int = 1, pattern: str = TOKEN_PATTERN) -> Column:
     """Array of unigrams (stop words removed) and, for ``ngram_max=2``, the
-    bigrams of consecutive remaining tokens."""
+    bigrams of consecutive remaining tokens. For use on a *column* holding
+    the text; ``with_terms`` stages the tokens so they are computed once."""
     stops = list(english_stop_words() if stop_words is None else stop_words)
     toks = _tokens(F.coalesce(text, F.lit("")), pattern)
     if stops:
         toks = F.filter(toks, lambda t: ~t.isin(*stops))
     if ngram_max == 1:
         return toks
-    nxt = F.slice(toks, 2, F.greatest(F.size(toks) - 1, F.lit(1)))
-    pairs = F.zip_with(toks, nxt, lambda a, b: F.concat_ws(" ", a, b))
-    bigrams = F.filter(F.slice(pairs, 1, F.greatest(F.size(toks) - 1, F.lit(0))), lambda x: x.contains(" "))
-    return F.concat(toks, bigrams)
+    return F.concat(toks, bigrams(toks))
+
+
+def bigrams(toks: Column) -> Column:
+    """``a b`` for every pair of consecutive tokens."""
+    head = F.slice(toks, 1, F.greatest(F.size(toks) - 1, F.lit(0)))
+    return F.transform(head, lambda x, i: F.concat(x, F.lit(" "), F.element_at(toks, i + 2)))
+
+
+def with_terms(df: DataFrame, text_col: str, out: str = "__terms", ngram_max: int = 1, stop_words=None,
+               pattern: str = TOKEN_PATTERN) -> DataFrame:
+    """Adds ``out`` (the term array) in two projections: the tokens are a
+    column of their own, so the regular expression runs once per row even
+    though the bigrams read the tokens several times (expressions inside
+    higher-order functions are not shared otherwise)."""
+    staged = df.withColumn("__tok", terms_column(F.col(text_col), stop_words, 1, pattern))
+    if ngram_max == 1:
+        return staged.withColumnRenamed("__tok", out)
+    return staged.withColumn(out, F.concat(F.col("__tok"), bigrams(F.col("__tok")))).drop("__tok")
+
+
+def explode_terms(arr) -> Column:
+    """``explode_outer`` of a term array as column ``term`` -- callers drop the
+    NULL row of empty arrays by grouping on non-NULL terms. A plain explode
+    lets the optimizer infer a ``size(array) > 0`` filter and push it below
+    the staged projections, which re-runs the tokenisation per element."""
+    return F.explode_outer(arr).alias("term")
 
 
 def term_counts(df: DataFrame, id_col: str, text_col: str, ngram_max: int = 1, stop_words=None) -> DataFrame:
-    """``(id, term, tf)`` raw counts per document."""
-    ex = df.select(F.col(id_col).alias("id"), F.explode(terms_column(F.col(text_col), stop_words, ngram_max)).alias("term"))
+    """``(id, term, tf)`` raw counts per document (all terms)."""
+    staged = with_terms(df.select(F.col(id_col).alias("id"), F.col(text_col).alias("__text")), "__text", "__terms", ngram_max, stop_words)
+    ex = staged.select("id", explode_terms("__terms")).where(F.col("term").isNotNull())
     return ex.groupBy("id", "term").agg(F.count("*").alias("tf"))
 
 
-def vocabulary(counts: DataFrame, max_features: int | None) -> DataFrame:
-    """Most frequent terms of the corpus (W6): ``term, total, index`` where
-    ``index`` is the alphabetical position inside the vocabulary."""
-    totals = counts.groupBy("term").agg(F.sum("tf").alias("total"))
+def corpus_totals(df: DataFrame, text_col: str, ngram_max: int = 1, stop_words=None) -> DataFrame:
+    """``(term, total)``: corpus frequency of every term, combined map-side."""
+    staged = with_terms(df.select(F.col(text_col).alias("__text")), "__text", "__terms", ngram_max, stop_words)
+    ex = staged.select(explode_terms("__terms")).where(F.col("term").isNotNull())
+    return ex.groupBy("term").agg(F.count("*").alias("total"))
+
+
+def top_terms(totals: DataFrame, max_features: int | None) -> DataFrame:
+    """Most frequent terms, ties alphabetical (W6): ``term, total, index``
+    where ``index`` is the alphabetical position inside the vocabulary."""
     top = totals.orderBy(F.desc("total"), F.asc("term"))
     if max_features is not None:
         top = top.limit(max_features)
@@ -84,6 +115,20 @@ def vocabulary(counts: DataFrame, max_features: int | None) -> DataFrame:
     return top.withColumn("index", (F.row_number().over(Window.orderBy("term")) - 1).cast("bigint"))
 
 
+def vocabulary(counts: DataFrame, max_features: int | None) -> DataFrame:
+    """Vocabulary from per-document counts ``(id, term, tf)``."""
+    return top_terms(counts.groupBy("term").agg(F.sum("tf").alias("total")), max_features)
+
+
+def term_frequencies(terms: Column) -> Column:
+    """``array<struct<term, tf>>`` of a term array, counted inside the row."""
+    # size - size(array_remove): a native loop per distinct term, no lambda.
+    return F.transform(
+        F.array_distinct(terms),
+        lambda t: F.struct(t.alias("term"), (F.size(terms) - F.size(F.array_remove(terms, t))).cast("bigint").alias("tf")),
+    )
+
+
 @dataclass
 class VectorizerModel:
     id_col: str
@@ -93,44 +138,72 @@ class VectorizerModel:
     terms: list[str]
     idf: dict[str, float] | None
 
-    def transform(self, df: DataFrame) -> DataFrame:
-        """Long form ``(id, term, weight)``: counts (BoW) or L2-normalised
-        TF-IDF weights for the vocabulary terms of each document."""
-        counts = term_counts(df, self.id_col, self.text_col, self.ngram_max, self.stop_words)
-        counts = counts.where(F.col("term").isin(*self.terms)) if self.terms else counts.limit(0)
+    @property
+    def input_col_name(self) -> str:
+        return self.text_col
+
+    def with_vocab_terms(self, df: DataFrame, out: str = "__vt") -> DataFrame:
+        """Adds ``out``: the row's terms that are in the vocabulary."""
+        staged = with_terms(df, self.text_col, "__all_terms", self.ngram_max, self.stop_words)
+        vocab = list(self.terms)
+        vt = F.filter(F.col("__all_terms"), lambda t: t.isin(*vocab)) if vocab else F.array().cast("array<string>")
+        return staged.withColumn(out, vt).drop("__all_terms")
+
+    def entries_from_tf(self, d: DataFrame, tf_col: str, out: str = "__entries") -> DataFrame:
+        """Counts or unnormalised TF-IDF entries plus ``__norm`` from an
+        ``array<struct<term, tf>>`` column."""
         if self.idf is None:
-            return counts.select(F.col("id").alias(self.id_col), "term", F.col("tf").alias("count"))
+            e = F.transform(F.col(tf_col), lambda x: F.struct(x["term"].alias("term"), x["tf"].alias("value")))
+            return d.withColumn(out, e).withColumn("__norm", F.lit(1))
         idf_map = F.create_map(*[x for t in self.terms for x in (F.lit(t), F.lit(self.idf[t]))])
-        w = counts.withColumn("w", F.col("tf") * idf_map[F.col("term")])
-        norms = w.groupBy("id").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"))
-        return w.join(norms, "id").select(
-            F.col("id").alias(self.id_col), "term", (F.col("w") / F.col("norm")).alias("weight")
+        d = d.withColumn(
+            out, F.transform(F.col(tf_col), lambda x: F.struct(x["term"].alias("term"), (x["tf"] * idf_map[x["term"]]).alias("value")))
         )
+        return d.withColumn("__norm", F.sqrt(F.aggregate(F.col(out), F.lit(0.0), lambda acc, x: acc + x["value"] * x["value"])))
+
+    def long_form(self, d: DataFrame) -> DataFrame:
+        name = "weight" if self.idf is not None else "count"
+        ex = d.select(F.col(self.id_col), F.explode_outer("__entries").alias("e"), "__norm").where(F.col("e").isNotNull())
+        value = F.col("e.value") if self.idf is None else F.col("e.value") / F.col("__norm")
+        return ex.select(self.id_col, F.col("e.term").alias("term"), value.alias(name))
+
+    def with_entries(self, df: DataFrame, out: str = "__entries") -> DataFrame:
+        """Adds ``out``: per row ``array<struct<term, value>>`` of the
+        vocabulary terms -- counts, or TF-IDF weights before normalisation --
+        and ``__norm`` (their L2 norm; 1 for counts). Computed inside the row,
+        no shuffle; each intermediate array is its own column, so the
+        tokenisation runs once per row."""
+        d = self.with_vocab_terms(df, "__vt")
+        d = d.withColumn("__tf", term_frequencies(F.col("__vt")))
+        return self.entries_from_tf(d, "__tf", out).drop("__vt", "__tf")
+
+    def transform(self, df: DataFrame) -> DataFrame:
+        """Long form ``(id, term, count | weight)`` for the vocabulary terms of
+        each document -- a narrow projection plus ``explode``. (``explode_outer``
+        then a NULL filter: a plain explode would make the optimizer infer a
+        ``size(...) > 0`` filter that repeats the tokenisation.)"""
+        return self.long_form(self.with_entries(df.select(self.id_col, self.input_col_name)))
 
     def transform_wide(self, df: DataFrame, prefix: str = "tfidf_", width: int | None = None) -> DataFrame:
         """Dense layout: one column per vocabulary index (alphabetical), 0 when
-        absent; padded to ``width`` columns (default the requested size)."""
+        absent, padded to ``width`` columns -- map lookups inside the row."""
         width = width or len(self.terms)
-        long = self.transform(df)
-        value = "weight" if self.idf is not None else "count"
-        idx = F.create_map(*[x for i, t in enumerate(self.terms) for x in (F.lit(t), F.lit(i))]) if self.terms else None
-        if idx is None:
-            return df.withColumns({f"{prefix}{i}": F.lit(0.0) for i in range(width)})
-        wide = (
-            long.withColumn("__i", idx[F.col("term")])
-            .groupBy(self.id_col)
-            .pivot("__i", list(range(len(self.terms))))
-            .agg(F.first(value))
-        )
-        wide = wide.select(self.id_col, *[F.col(str(i)).alias(f"{prefix}{i}") for i in range(len(self.terms))])
-        out = df.join(wide, self.id_col, "left")
-        n = len(self.terms)
-        return out.withColumns(
-            {
-                f"{prefix}{i}": (F.coalesce(F.col(f"{prefix}{i}").cast("double"), F.lit(0.0)) if i < n else F.lit(0.0))
-                for i in range(width)
-            }
-        )
+        out = self.with_entries(df).withColumn("__m", F.map_from_entries("__entries")).drop("__entries")
+        cols = {}
+        for i in range(width):
+            if i < len(self.terms):
+                v = F.col("__m")[F.lit(self.terms[i])].cast("double")
+                if self.idf is not None:
+                    v = v / F.col("__norm")
+                cols[f"{prefix}{i}"] = F.coalesce(v, F.lit(0.0))
+            else:
+                cols[f"{prefix}{i}"] = F.lit(0.0)
+        return out.withColumns(cols).drop("__m", "__norm")
+
+
+def _fit_vocab(df: DataFrame, text_col: str, ngram_max: int, stop_words, max_features) -> list[str]:
+    totals = corpus_totals(df, text_col, ngram_max, stop_words)
+    return [r["term"] for r in top_terms(totals, max_features).orderBy("index").collect()]
 
 
 @dataclass
@@ -144,15 +217,18 @@ class CountVectorizer:
     stop_words: tuple | None = None
 
     def fit(self, df: DataFrame) -> VectorizerModel:
-        counts = term_counts(df, self.id_col, self.input_col, self.ngram_max, self.stop_words)
-        terms = [r["term"] for r in vocabulary(counts, self.max_features).orderBy("index").collect()]
+        terms = _fit_vocab(df, self.input_col, self.ngram_max, self.stop_words, self.max_features)
         return VectorizerModel(self.id_col, self.input_col, self.ngram_max, self.stop_words, terms, None)
 
 
 @dataclass
 class TfidfVectorizer:
     """TF-IDF over uni- (and bi-) grams with the smoothed idf
-    ``ln((1 + n) / (1 + df)) + 1`` and L2-normalised rows (F14)."""
+    ``ln((1 + n) / (1 + df)) + 1`` and L2-normalised rows (F14).
+
+    Fit = two aggregates: corpus totals for the vocabulary (a distributed
+    top-k), then document frequencies of the vocabulary terms (each
+    document contributes its distinct vocabulary terms only)."""
 
     input_col: str
     id_col: str
@@ -160,16 +236,35 @@ class TfidfVectorizer:
     ngram_max: int = 2
     stop_words: tuple | None = None
 
+    def fit_transform(self, df: DataFrame) -> tuple[VectorizerModel, DataFrame]:
+        """Fit and transform the same rows with one pass over the text after
+        the vocabulary: the per-document vocabulary counts (at most
+        ``max_features`` entries per row) are checkpointed to the shared
+        folder, then document frequencies and weights both read them."""
+        import math
+
+        terms = _fit_vocab(df, self.input_col, self.ngram_max, self.stop_words, self.max_features)
+        model = VectorizerModel(self.id_col, self.input_col, self.ngram_max, self.stop_words, terms, None)
+        base = model.with_vocab_terms(df.select(self.id_col, self.input_col), "__vt")
+        base = base.select(self.id_col, term_frequencies(F.col("__vt")).alias("__tf")).checkpoint()
+        n_docs = base.count()
+        present = base.select(F.explode_outer("__tf.term").alias("term")).where(F.col("term").isNotNull())
+        dfs = {r["term"]: r["df"] for r in present.groupBy("term").agg(F.count("*").alias("df")).collect()}
+        model.idf = {t: math.log((1 + n_docs) / (1 + dfs.get(t, 0))) + 1.0 for t in terms}
+        return model, model.long_form(model.entries_from_tf(base, "__tf"))
+
     def fit(self, df: DataFrame) -> VectorizerModel:
         import math
 
-        counts = term_counts(df, self.id_col, self.input_col, self.ngram_max, self.stop_words)
-        vocab = vocabulary(counts, self.max_features)
-        terms = [r["term"] for r in vocab.orderBy("index").collect()]
+        terms = _fit_vocab(df, self.input_col, self.ngram_max, self.stop_words, self.max_features)
+        model = VectorizerModel(self.id_col, self.input_col, self.ngram_max, self.stop_words, terms, None)
         n_docs = df.count()
-        dfs = {
-            r["term"]: r["df"]
-            for r in counts.where(F.col("term").isin(*terms)).groupBy("term").agg(F.count("*").alias("df")).collect()
-        } if terms else {}
+        dfs = {}
+        if terms:
+            present = model.with_vocab_terms(df.select(self.input_col), "__vt").select(
+                explode_terms(F.array_distinct("__vt"))
+            ).where(F.col("term").isNotNull())
+            dfs = {r["term"]: r["df"] for r in present.groupBy("term").agg(F.count("*").alias("df")).collect()}
         idf = {t: math.log((1 + n_docs) / (1 + dfs.get(t, 0))) + 1.0 for t in terms}
-        return VectorizerModel(self.id_col, self.input_col, self.ngram_max, self.stop_words, terms, idf)
+        model.idf = idf
+        return model

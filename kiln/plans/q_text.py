@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from kiln.functions.text import length, normalize_text, word_count
 from kiln.operators import prep
-from kiln.operators.text_features import CountVectorizer, TfidfVectorizer, english_stop_words, term_counts, vocabulary
+from kiln.operators.text_features import CountVectorizer, TfidfVectorizer, corpus_totals, english_stop_words, top_terms
 from kiln.plans.registry import query
 from kiln.sources import tables as T
 from kiln.sources.tables import read, with_ctes
@@ -88,8 +88,7 @@ def _clean_docs(spark, sf_dir):
 )
 def w6_top_terms(spark, sf_dir):
     """The 100 most frequent non-stop words of the cleaned documents."""
-    counts = term_counts(_clean_docs(spark, sf_dir), "doc_id", "clean_text", 1)
-    return vocabulary(counts, 100)
+    return top_terms(corpus_totals(_clean_docs(spark, sf_dir), "clean_text", 1), 100)
 
 
 @query(
@@ -111,7 +110,7 @@ def f13_bag_of_words(spark, sf_dir):
 )
 def f14_tfidf_products(spark, sf_dir):
     p = T.products(spark, sf_dir).withColumn("product_description", F.coalesce("product_description", F.lit("")))
-    return TfidfVectorizer("product_description", "product_id", 100, 2).fit(p).transform(p)
+    return TfidfVectorizer("product_description", "product_id", 100, 2).fit_transform(p)[1]
 
 
 @query(
@@ -122,7 +121,7 @@ def f14_tfidf_products(spark, sf_dir):
 def f14_tfidf_documents(spark, sf_dir):
     """TF-IDF of uni- and bigrams over the whole cleaned documents."""
     docs = _clean_docs(spark, sf_dir)
-    return TfidfVectorizer("clean_text", "doc_id", 100, 2).fit(docs).transform(docs)
+    return TfidfVectorizer("clean_text", "doc_id", 100, 2).fit_transform(docs)[1]
 
 
 def _f15_wide_sql() -> str:
