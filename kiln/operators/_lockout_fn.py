@@ -51,3 +51,53 @@ def make_replay(max_failures: int, lock_minutes: int):
             )
 
     return replay
+
+
+def make_partition_replay(max_failures: int, lock_minutes: int):
+    """Replay over a partition sorted by (user, time): the state is carried
+    from row to row and reset when the user changes, across Arrow batches."""
+    lock = int(lock_minutes) * 60_000_000
+
+    def replay(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        user = None
+        failed = 0
+        locked = None
+        for pdf in batches:
+            n = len(pdf)
+            users = pdf["user_id"].to_numpy()
+            ts = pdf["ts"].to_numpy(dtype="datetime64[us]").astype(np.int64)
+            success = (pdf["outcome"].to_numpy() == "success")
+            status = np.empty(n, dtype=object)
+            fails = np.empty(n, dtype=np.int64)
+            until = np.full(n, -1, dtype=np.int64)
+            for i in range(n):
+                if users[i] != user:
+                    user, failed, locked = users[i], 0, None
+                t = ts[i]
+                if locked is not None and locked > t:
+                    status[i] = "rejected"
+                elif success[i]:
+                    status[i] = "success"
+                    failed, locked = 0, None
+                else:
+                    status[i] = "failure"
+                    failed += 1
+                    if failed >= max_failures:
+                        locked = t + lock
+                fails[i] = failed
+                if locked is not None:
+                    until[i] = locked
+            lu = pd.Series(until).where(until >= 0)
+            yield pd.DataFrame(
+                {
+                    "user_id": users,
+                    "event_id": pdf["event_id"].to_numpy(),
+                    "ts": pdf["ts"],
+                    "outcome": pdf["outcome"].to_numpy(),
+                    "status": status,
+                    "failed_attempts": fails,
+                    "locked_until": pd.to_datetime(lu, unit="us"),
+                }
+            )
+
+    return replay

@@ -158,11 +158,23 @@ def lockout(attempts: DataFrame, max_failures: int = 5, lock_minutes: int = 15)
     do not count; the counter survives the end of a lock, so the next
     failure locks again.
 
-    Plan: ``repartition(user)`` + ``sortWithinPartitions(user, ts, id)``
-    already satisfy the grouped map's distribution and ordering, so rows
-    reach Python in time order without another shuffle or sort, and the
-    iterator form keeps memory to one Arrow batch per user at a time.
+    Plan: one shuffle (``repartition(user)``) and a sort inside each
+    partition by (user, time, id); ``mapInPandas`` then streams the sorted
+    partition in Arrow batches and carries the three-value state from row
+    to row, resetting it when the user changes. Memory is one batch, and
+    there is no per-user call overhead. ``lockout_grouped`` is the same rule
+    as a grouped map (one call per user).
     """
+    from kiln.operators._lockout_fn import make_partition_replay
+
+    ordered = attempts.repartition("user_id").sortWithinPartitions("user_id", "ts", "event_id")
+    return ordered.mapInPandas(make_partition_replay(max_failures, lock_minutes), LOCKOUT_SCHEMA)
+
+
+def lockout_grouped(attempts: DataFrame, max_failures: int = 5, lock_minutes: int = 15) -> DataFrame:
+    """The lockout replay as an iterator-form grouped map: the sorted
+    partitions already satisfy its distribution and ordering, so no second
+    shuffle or sort is planned."""
     from kiln.operators._lockout_fn import make_replay
 
     ordered = attempts.repartition("user_id").sortWithinPartitions("user_id", "ts", "event_id")

@@ -98,11 +98,12 @@ def iqr_bounds(df: DataFrame, cols: Sequence[str], k: float = 1.5) -> dict[str,
     return out
 
 
-def outlier_summary(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
+def outlier_summary(df: DataFrame, cols: Sequence[str] | None = None, bounds: dict | None = None) -> DataFrame:
     """Per numeric column: rows outside ``[Q1 - 1.5 IQR, Q3 + 1.5 IQR]`` and
-    their percentage of all rows, rounded to 2 places (A8)."""
+    their percentage of all rows, rounded to 2 places (A8). ``bounds`` may
+    be given when the quartiles are already fitted."""
     cols = list(cols if cols is not None else numeric_cols(df))
-    bounds = iqr_bounds(df, cols)
+    bounds = bounds if bounds is not None else iqr_bounds(df, cols)
     aggs = [F.count("*").alias("__n")]
     for i, c in enumerate(cols):
         b = bounds[c]
@@ -149,13 +150,13 @@ def category_stats(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     )
 
 
-def distribution_summary(df: DataFrame) -> DataFrame:
+def distribution_summary(df: DataFrame, medians: dict | None = None) -> DataFrame:
     """mean, median, sample std, min, max of numeric columns; distinct count
     and most common value of the others (A9)."""
     num, oth = numeric_cols(df), other_cols(df)
     parts = []
     if num:
-        med = exact_quantiles(df, num, [0.5])
+        med = medians if medians is not None else exact_quantiles(df, num, [0.5])
         aggs = []
         for i, c in enumerate(num):
             x = F.col(_q(c)).cast("double")
@@ -190,12 +191,12 @@ def distribution_summary(df: DataFrame) -> DataFrame:
 # A10 / A11 quality score and full report
 # --------------------------------------------------------------------------
 
-def quality_score(df: DataFrame) -> DataFrame:
+def quality_score(df: DataFrame, miss: DataFrame | None = None, outl: DataFrame | None = None) -> DataFrame:
     """0-100 score (A10): 100 - min(0.5 x mean missing %, 30)
     - min(0.3 x duplicate %, 20) - min(0.2 x mean outlier %, 15), floor 0;
     the percentages are the rounded ones of the report."""
-    miss = missing_summary(df)
-    outl = outlier_summary(df)
+    miss = miss if miss is not None else missing_summary(df)
+    outl = outl if outl is not None else outlier_summary(df)
     dups = duplicate_rows(df)
     n = df.select(F.count("*")).scalar()
     mean_missing = miss.select(F.avg("percentage")).scalar()
@@ -224,15 +225,23 @@ def quality_report(df: DataFrame) -> DataFrame:
             F.explode(F.array(*[F.struct(F.lit(m).alias("metric"), F.col(m).cast("double").alias("value")) for m in metrics])).alias("m"),
         ).select("section", "column", "m.metric", "m.value", F.lit(None).cast("string").alias("text"))
 
-    miss = long(missing_summary(df), "missing", ["count", "percentage"])
-    outl = long(outlier_summary(df), "outliers", ["count", "percentage"])
-    dist = distribution_summary(df)
+    # One quantile fit (quartiles and median of every numeric column) feeds
+    # the outlier bounds, the medians and the score.
+    num = numeric_cols(df)
+    q = exact_quantiles(df, num, [0.25, 0.5, 0.75]) if num else {}
+    bounds = {c: None if q[c][0] is None else (q[c][0] - 1.5 * (q[c][2] - q[c][0]), q[c][2] + 1.5 * (q[c][2] - q[c][0]))
+              for c in num}
+    miss_df = missing_summary(df)
+    outl_df = outlier_summary(df, num, bounds)
+    miss = long(miss_df, "missing", ["count", "percentage"])
+    outl = long(outl_df, "outliers", ["count", "percentage"])
+    dist = distribution_summary(df, {c: [q[c][1]] for c in num})
     dnum = long(dist.where(F.col("unique_values").isNull()), "distribution", ["mean", "median", "std", "min", "max"])
     dcat = dist.where(F.col("unique_values").isNotNull()).select(
         F.lit("distribution").alias("section"), "column", F.lit("unique_values").alias("metric"),
         F.col("unique_values").cast("double").alias("value"), F.col("most_common").alias("text"),
     )
-    score = quality_score(df)
+    score = quality_score(df, miss_df, outl_df)
     tbl = score.select(
         F.lit("table").alias("section"), F.lit(None).cast("string").alias("column"),
         F.explode(F.array(*[F.struct(F.lit(m).alias("metric"), F.col(m).cast("double").alias("value"))

@@ -448,11 +448,35 @@ def validation_checks(spark, sf_dir):
     return integ.unionByName(cons).unionByName(cq).unionByName(tq)
 
 
-@query("a24_validate_all", rounding={"value": 6})
+def _validate_all_sql() -> str:
+    from kiln.plans.registry import REGISTRY
+
+    a16, a18, a19 = (REGISTRY[n].sql for n in ("a16_consistency", "a18_customer_quality", "a19_transaction_quality"))
+    return with_ctes("cust", "tx") + f""",
+ck AS (SELECT DISTINCT customer_id AS k FROM tx WHERE customer_id IS NOT NULL),
+pk AS (SELECT DISTINCT customer_id AS k FROM cust WHERE customer_id IS NOT NULL),
+integ AS (SELECT (SELECT count(*) FROM ck) AS u, (SELECT count(*) FROM ck WHERE k NOT IN (SELECT k FROM pk)) AS o)
+SELECT 'referential_integrity' AS "check",
+       CASE WHEN u > 0 THEN 1.0 - CAST(o AS DOUBLE) / u ELSE 1.0 END AS value, o = 0 AS passed FROM integ
+UNION ALL
+SELECT "check", CAST(sum(value) AS DOUBLE), sum(value) = 0 FROM ({a16}) c GROUP BY "check"
+UNION ALL
+SELECT 'customer_quality', data_quality_score, data_quality_score >= 0.8 FROM ({a18}) q
+UNION ALL
+SELECT 'transaction_quality', data_quality_score, data_quality_score >= 0.8 FROM ({a19}) t"""
+
+
+@query("a24_validate_all", sql=_validate_all_sql(), rounding={"value": 6})
 def a24_validate_all(spark, sf_dir):
     return validation_checks(spark, sf_dir)
 
 
-@query("a23_check_rollup")
+@query(
+    "a23_check_rollup",
+    sql=f"""SELECT count(*) AS total_checks, count(*) FILTER (WHERE passed) AS passed_checks,
+       count(*) FILTER (WHERE NOT passed) AS failed_checks,
+       CASE WHEN count(*) FILTER (WHERE NOT passed) = 0 THEN 'PASSED' ELSE 'FAILED' END AS overall_status
+FROM ({_validate_all_sql()}) v""",
+)
 def a23_check_rollup(spark, sf_dir):
     return Q.rollup_checks(validation_checks(spark, sf_dir))
