@@ -58,10 +58,13 @@ def exact_quantiles(
     probs: Sequence[float],
     accuracy: int = APPROX_ACCURACY,
     max_bracket: int = MAX_BRACKET,
+    moments: dict | None = None,
 ) -> dict[str, list[float | None]]:
     """Linear-interpolated quantiles of each column (NULL / NaN ignored).
 
     Returns ``{col: [value per prob]}``; a column without values gives None.
+    When a dict is passed as ``moments`` it is filled with ``{col: (n, mean,
+    sample std, min, max)}`` from the same first pass.
     """
     cols = list(cols)
     if not cols:
@@ -81,7 +84,12 @@ def exact_quantiles(
             F.percentile_approx(c, lo_p, accuracy).alias(f"lo__{c}"),
             F.percentile_approx(c, hi_p, accuracy).alias(f"hi__{c}"),
         ]
+        if moments is not None:
+            aggs += [F.avg(c).alias(f"av__{c}"), F.stddev_samp(c).alias(f"sd__{c}")]
     r1 = fit_row(base, aggs)
+    if moments is not None:
+        for c in cols:
+            moments[c] = (r1[f"n__{c}"], r1[f"av__{c}"], r1[f"sd__{c}"], r1[f"mn__{c}"], r1[f"mx__{c}"])
 
     # Needed ranks per column, each with its candidate bracket [a, b].
     need: dict[str, dict[int, list[float]]] = {}

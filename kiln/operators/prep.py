@@ -73,20 +73,25 @@ def customer_aggregates(
     NULL customer keys are dropped, as ``groupby`` does.
     """
     ts = dates.as_ts(ts_col)
-    agg = (
-        tx.where(F.col(key).isNotNull())
-        .groupBy(key)
-        .agg(
-            F.coalesce(F.sum(amount), F.lit(0.0)).alias("total_spent"),
-            F.avg(amount).alias("avg_transaction_amount"),
-            F.count(amount).alias("transaction_count"),
-            F.coalesce(F.stddev_samp(amount), F.lit(0.0)).alias("transaction_amount_std"),
-            F.max(ts).alias("__last"),
-            F.countDistinct(product).alias("unique_products_purchased"),
-        )
+    # The NULL-customer group is kept until the global latest timestamp has
+    # been read from the (small) aggregate: the latest transaction of the
+    # whole table counts even when its customer is missing.
+    agg = tx.groupBy(key).agg(
+        F.coalesce(F.sum(amount), F.lit(0.0)).alias("total_spent"),
+        F.avg(amount).alias("avg_transaction_amount"),
+        F.count(amount).alias("transaction_count"),
+        F.coalesce(F.stddev_samp(amount), F.lit(0.0)).alias("transaction_amount_std"),
+        F.max(ts).alias("__last"),
+        F.countDistinct(product).alias("unique_products_purchased"),
     )
-    latest = tx.select(F.max(ts)).scalar()
-    return agg.withColumn("recency_days", dates.elapsed_days(latest, F.col("__last"))).select(
+    # The aggregate (one row per customer) is written once to the shared
+    # checkpoint folder; the global latest is a scalar read of it, so the
+    # transactions are scanned and joined once.
+    agg = agg.checkpoint()
+    latest = agg.select(F.max("__last")).scalar()
+    return agg.where(F.col(key).isNotNull()).withColumn(
+        "recency_days", dates.elapsed_days(latest, F.col("__last"))
+    ).select(
         key,
         "total_spent",
         "avg_transaction_amount",
@@ -134,41 +139,33 @@ def interaction_features(
             F.count(amount).alias("__n_amt"),
         )
     )
+    # One shuffle by customer: the ordered window (day gaps) and a window by
+    # (customer, month) (month counts) both run on that partitioning, and a
+    # single per-customer aggregate finishes everything, modal month included.
     w = Window.partitionBy(key).orderBy("__ts")
-    gaps = (
-        per_ts.where(F.col("__ts").isNotNull())
-        .withColumn("__gap", dates.elapsed_days(F.col("__ts"), F.lag("__ts").over(w)))
-    )
-    gap_stats = gaps.groupBy(key).agg(
-        F.coalesce(F.sum("__gap"), F.lit(0)).alias("__gap_sum"),
-        F.sum("__rows").alias("__n_ts"),
-    )
-    months = per_ts.where(F.col("__ts").isNotNull()).select(
-        key, F.month("__ts").cast("bigint").alias("__m"), "__rows"
-    )
-    modal = (
-        months.groupBy(key, "__m")
-        .agg(F.sum("__rows").alias("__n"))
-        .groupBy(key)
-        .agg(F.min(F.struct((-F.col("__n")).alias("n"), F.col("__m").alias("m")))["m"].alias("seasonal_preference"))
-    )
-    basic = per_ts.groupBy(key).agg(
+    x = per_ts.withColumns(
+        {
+            "__gap": dates.elapsed_days(F.col("__ts"), F.lag("__ts").over(w)),
+            "__m": F.month("__ts").cast("bigint"),
+        }
+    ).withColumn("__mn", F.sum("__rows").over(Window.partitionBy(key, "__m")))
+    month_key = F.when(F.col("__ts").isNotNull(), F.struct((-F.col("__mn")).alias("n"), F.col("__m").alias("m")))
+    stats = x.groupBy(key).agg(
         (F.sum("__amt") / F.sum("__n_amt")).alias("avg_price_range"),
         F.sum("__rows").alias("purchase_frequency"),
+        F.coalesce(F.sum("__gap"), F.lit(0)).alias("__gap_sum"),
+        F.sum(F.when(F.col("__ts").isNotNull(), F.col("__rows")).otherwise(F.lit(0))).alias("__n_ts"),
+        F.min(month_key)["m"].alias("seasonal_preference"),
     )
-    feats = (
-        basic.join(gap_stats, key, "left")
-        .join(modal, key, "left")
-        .select(
-            key,
-            F.when(
-                F.col("__n_ts") > 1, F.col("__gap_sum") / (F.col("__n_ts") - F.lit(1))
-            ).otherwise(F.lit(0.0)).alias("avg_days_between_purchases"),
-            F.lit(None).cast("string").alias("preferred_category"),
-            "avg_price_range",
-            F.col("purchase_frequency").cast("bigint").alias("purchase_frequency"),
-            F.coalesce(F.col("seasonal_preference"), F.lit(1).cast("bigint")).alias("seasonal_preference"),
-        )
+    feats = stats.select(
+        key,
+        F.when(F.col("__n_ts") > 1, F.col("__gap_sum") / (F.col("__n_ts") - F.lit(1))).otherwise(F.lit(0.0)).alias(
+            "avg_days_between_purchases"
+        ),
+        F.lit(None).cast("string").alias("preferred_category"),
+        "avg_price_range",
+        F.col("purchase_frequency").cast("bigint").alias("purchase_frequency"),
+        F.coalesce(F.col("seasonal_preference"), F.lit(1).cast("bigint")).alias("seasonal_preference"),
     )
     return customers.select(key).where(F.col(key).isNotNull()).join(feats, key, "inner")
 
@@ -192,7 +189,10 @@ def clean_customers(
     Two small fits: the medians, then the quartiles of the imputed age.
     """
     as_of_col = F.lit(as_of).cast("timestamp") if isinstance(as_of, str) else as_of
-    med = exact_quantiles(df, [age, income], [0.5])
+    # One quantile fit gives the medians and, when age has no gaps, also the
+    # quartiles of the (then unchanged) imputed age.
+    qs = exact_quantiles(df, [age, income], [0.25, 0.5, 0.75])
+    med = {c: [qs[c][1]] for c in (age, income)}
     nulls = fit_row(df, [F.count_if(F.col(age).isNull()), F.count_if(F.col(income).isNull())])
     out = df.withColumns(
         {
@@ -203,7 +203,10 @@ def clean_customers(
     )
     out = out.withColumn("customer_tenure_days", dates.elapsed_days(as_of_col, F.col(reg)))
     out = out.withColumns({c: F.coalesce(F.col(c), F.lit("Unknown")) for c in fill_unknown if c in df.columns})
-    q1, q3 = exact_quantiles(out, [age], [0.25, 0.75])[age]
+    if nulls[0] == 0:
+        q1, q3 = qs[age][0], qs[age][2]
+    else:
+        q1, q3 = exact_quantiles(out, [age], [0.25, 0.75])[age]
     if q1 is None:
         return out.limit(0)
     iqr = q3 - q1

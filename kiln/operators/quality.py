@@ -150,24 +150,22 @@ def category_stats(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     )
 
 
-def distribution_summary(df: DataFrame, medians: dict | None = None) -> DataFrame:
+def distribution_summary(df: DataFrame, medians: dict | None = None, moments: dict | None = None) -> DataFrame:
     """mean, median, sample std, min, max of numeric columns; distinct count
     and most common value of the others (A9)."""
     num, oth = numeric_cols(df), other_cols(df)
     parts = []
     if num:
-        med = medians if medians is not None else exact_quantiles(df, num, [0.5])
-        aggs = []
-        for i, c in enumerate(num):
-            x = F.col(_q(c)).cast("double")
-            aggs += [F.avg(x).alias(f"a{i}"), F.stddev_samp(x).alias(f"s{i}"), F.min(x).alias(f"lo{i}"), F.max(x).alias(f"hi{i}")]
-        wide = df.agg(*aggs)
-        items = [
-            (c, [F.col(f"a{i}"), F.lit(med[c][0]).cast("double"), F.col(f"s{i}"), F.col(f"lo{i}"), F.col(f"hi{i}"),
-                 F.lit(None).cast("bigint"), F.lit(None).cast("string")])
-            for i, c in enumerate(num)
-        ]
-        parts.append(_stack(wide, items, [f.name for f in DIST_SCHEMA.fields]))
+        # mean, std, min and max come from the first pass of the quantile fit.
+        if medians is not None and moments is not None:
+            med, mom = medians, moments
+        else:
+            mom = {}
+            med = exact_quantiles(df, num, [0.5], moments=mom)
+        rows = [(c, mom[c][1], med[c][0], mom[c][2],
+                 None if mom[c][3] is None else float(mom[c][3]), None if mom[c][4] is None else float(mom[c][4]),
+                 None, None) for c in num]
+        parts.append(df.sparkSession.createDataFrame(rows, DIST_SCHEMA))
     if oth:
         cs = category_stats(df, oth)
         # Columns that are entirely missing have no pairs: give them 0 / NULL.
@@ -228,14 +226,15 @@ def quality_report(df: DataFrame) -> DataFrame:
     # One quantile fit (quartiles and median of every numeric column) feeds
     # the outlier bounds, the medians and the score.
     num = numeric_cols(df)
-    q = exact_quantiles(df, num, [0.25, 0.5, 0.75]) if num else {}
+    mom: dict = {}
+    q = exact_quantiles(df, num, [0.25, 0.5, 0.75], moments=mom) if num else {}
     bounds = {c: None if q[c][0] is None else (q[c][0] - 1.5 * (q[c][2] - q[c][0]), q[c][2] + 1.5 * (q[c][2] - q[c][0]))
               for c in num}
     miss_df = missing_summary(df)
     outl_df = outlier_summary(df, num, bounds)
     miss = long(miss_df, "missing", ["count", "percentage"])
     outl = long(outl_df, "outliers", ["count", "percentage"])
-    dist = distribution_summary(df, {c: [q[c][1]] for c in num})
+    dist = distribution_summary(df, {c: [q[c][1]] for c in num}, mom)
     dnum = long(dist.where(F.col("unique_values").isNull()), "distribution", ["mean", "median", "std", "min", "max"])
     dcat = dist.where(F.col("unique_values").isNotNull()).select(
         F.lit("distribution").alias("section"), "column", F.lit("unique_values").alias("metric"),
