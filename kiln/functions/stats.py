@@ -14,8 +14,8 @@ single task -- unusable on a high-cardinality column at 100 TB.
 
 ``exact_quantiles`` instead finds the needed order statistics by selection:
 
-1. one pass: ``count`` and ``percentile_approx`` (rank error <= n/accuracy)
-   bracket every needed rank between two values;
+1. one pass: ``count`` and one ``percentile_approx`` sketch per column
+   (rank error <= n/accuracy) bracket every needed rank between two values;
 2. one pass: ``count_if(x < lo)`` / ``count_if(x <= hi)`` *verify* each
    bracket exactly (a failed side is widened to the column's min / max);
 3. one pass: the values inside the brackets -- at most ``n/accuracy`` rows
@@ -36,7 +36,7 @@ from collections.abc import Iterable, Sequence
 from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
-APPROX_ACCURACY = 100_000
+APPROX_ACCURACY = 10_000
 MAX_BRACKET = 2_000_000
 
 
@@ -81,8 +81,8 @@ def exact_quantiles(
             F.count(c).alias(f"n__{c}"),
             F.min(c).alias(f"mn__{c}"),
             F.max(c).alias(f"mx__{c}"),
-            F.percentile_approx(c, lo_p, accuracy).alias(f"lo__{c}"),
-            F.percentile_approx(c, hi_p, accuracy).alias(f"hi__{c}"),
+            # one sketch per column serves both ends of every bracket
+            F.percentile_approx(c, lo_p + hi_p, accuracy).alias(f"pa__{c}"),
         ]
         if moments is not None:
             aggs += [F.avg(c).alias(f"av__{c}"), F.stddev_samp(c).alias(f"sd__{c}")]
@@ -98,11 +98,13 @@ def exact_quantiles(
         need[c] = {}
         if not n:
             continue
+        pa = r1[f"pa__{c}"]
+        k = len(probs)
         for i, p in enumerate(probs):
             lo, hi, _ = _ranks(n, p)
             for r in (lo, hi):
-                a = r1[f"lo__{c}"][i]
-                b = r1[f"hi__{c}"][i]
+                a = pa[i]
+                b = pa[k + i]
                 cur = need[c].get(r)
                 need[c][r] = [a, b] if cur is None else [min(cur[0], a), max(cur[1], b)]
 

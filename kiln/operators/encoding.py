@@ -21,13 +21,31 @@ MAX_LITERAL = 10_000
 MAX_ONEHOT = 1_000
 
 
-def _dictionary(df: DataFrame, col: str) -> DataFrame:
+def _dictionary(df: DataFrame, col: str, partitions: int | None = None) -> DataFrame:
     """Sorted distinct non-NULL values with their 0-based rank.
 
-    The rank window runs over the *dictionary*, not the table.
+    Distributed sorted rank: the distinct values are range-partitioned
+    (sampled boundaries, so partitions are balanced), each partition ranks
+    its own values, and each partition's offset is the sum of the sizes of
+    the partitions before it (a table of one row per partition). No window
+    ever sees the whole dictionary.
     """
-    d = df.select(F.col(col).alias("value")).where(F.col("value").isNotNull()).distinct()
-    return d.withColumn("index", (F.row_number().over(Window.orderBy("value")) - 1).cast("bigint"))
+    spark = df.sparkSession
+    n_parts = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    d = (
+        df.select(F.col(col).alias("value")).where(F.col("value").isNotNull()).distinct()
+        .repartitionByRange(n_parts, "value")
+        .withColumn("__p", F.spark_partition_id())
+        .checkpoint()  # both branches below must see the same partition ids
+    )
+    local = d.withColumn("__r", F.row_number().over(Window.partitionBy("__p").orderBy("value")) - 1)
+    sizes = d.groupBy("__p").agg(F.count("*").alias("__n"))
+    offsets = sizes.withColumn(
+        "__off", F.coalesce(F.sum("__n").over(Window.orderBy("__p").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    ).select("__p", "__off")
+    return local.join(F.broadcast(offsets), "__p").select(
+        "value", (F.col("__off") + F.col("__r")).cast("bigint").alias("index")
+    )
 
 
 def _literal_or_frame(d: DataFrame) -> tuple[list | None, DataFrame]:

@@ -199,3 +199,35 @@ def test_stream_equals_batch(spark):
     s = reg["s11_json_stream_ingest"].run(spark, SMALL)
     b = spark.read.parquet(f"{SMALL}/events.parquet")
     assert s.count() == b.count() and s.exceptAll(b.select(*s.columns)).count() == 0
+
+
+def test_feature_group_definition(spark):
+    fg = feature_table.FeatureGroup("customer_features", "record_id", "event_time", _tmp(spark, "fgdef"))
+    fg.create(spark, "record_id bigint, event_time timestamp, record map<string,string>", database="kiln_fg")
+    cols = {c.name: c.isPartition for c in spark.catalog.listColumns("kiln_fg.customer_features")}
+    assert cols == {"record_id": False, "event_time": False, "record": False, "ingest_date": True}
+
+
+def test_column_diff_and_lenient_schema(spark):
+    from kiln.operators import joins, quality
+
+    a = spark.createDataFrame([(1, "x", 2.0)], "id long, name string, v double")
+    b = spark.createDataFrame([(1, 3)], "id long, w int")
+    assert joins.column_diff(a, b) == {"only_left": ["name", "v"], "only_right": ["w"], "common": ["id"]}
+    rep = quality.schema_report_lenient(a, {"id": "int64", "v": "float64", "missing": "object"})
+    assert rep["missing_columns"] == ["missing"] and rep["extra_columns"] == ["name"] and not rep["type_mismatches"]
+
+
+def test_dictionary_rank_across_partitions(spark):
+    from kiln.operators.encoding import _dictionary
+
+    vals = [f"v{i:04d}" for i in range(500)] * 2
+    df = spark.createDataFrame([(v,) for v in vals], "c string")
+    got = sorted((r.value, r.index) for r in _dictionary(df, "c", partitions=7).collect())
+    assert got == [(f"v{i:04d}", i) for i in range(500)]
+
+
+def test_parametrised_sql_binds_values(spark):
+    df = spark.createDataFrame([(1, "a'b"), (2, "c")], "id long, s string")
+    out = catalog.safe_query(spark, "SELECT id FROM {t} WHERE s = :v", {"v": "a'b"}, t=df).collect()
+    assert [r.id for r in out] == [1]
