@@ -35,3 +35,16 @@ def normalize_text(c: Column) -> Column:
 def tokens(c: Column, pattern: str = r"(?U)\b\w\w+\b") -> Column:
     """Lower-cased tokens of two or more word characters (vectorizer default)."""
     return F.regexp_extract_all(F.lower(c), F.lit(pattern), 0)
+
+
+# Tokens of letters-only lower-case text: maximal runs of two or more letters.
+ASCII_TOKEN_PATTERN = r"[a-z]{2,}"
+
+
+def letters_only(c: Column) -> Column:
+    """Lower-case, drop everything but ASCII letters and whitespace -- the
+    text of ``normalize_text`` before its whitespace runs are collapsed.
+    Token extraction does not depend on whitespace runs, so vectorisers use
+    this cheaper form; on it ``ASCII_TOKEN_PATTERN`` finds exactly the tokens
+    of the Unicode ``\\b\\w\\w+\\b`` pattern."""
+    return F.regexp_replace(F.lower(c), r"[^a-zA-Z\s]", "")

@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from kiln.operators.joins import broadcast_if_small
+from kiln.session import cut_lineage
 
 MAX_LITERAL = 10_000
 MAX_ONEHOT = 1_000
@@ -32,11 +33,11 @@ def _dictionary(df: DataFrame, col: str, partitions: int | None = None) -> DataF
     """
     spark = df.sparkSession
     n_parts = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    d = (
+    # checkpointed: both branches below must see the same partition ids
+    d = cut_lineage(
         df.select(F.col(col).alias("value")).where(F.col("value").isNotNull()).distinct()
         .repartitionByRange(n_parts, "value")
         .withColumn("__p", F.spark_partition_id())
-        .checkpoint()  # both branches below must see the same partition ids
     )
     local = d.withColumn("__r", F.row_number().over(Window.partitionBy("__p").orderBy("value")) - 1)
     sizes = d.groupBy("__p").agg(F.count("*").alias("__n"))

@@ -20,6 +20,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from kiln.operators.binning import fit_quantile_bins
+from kiln.session import cut_lineage
 
 
 def _bucket(key: Column, seed: int, modulo: int) -> Column:
@@ -154,7 +155,7 @@ def accuracy(model: PipelineModel, test: DataFrame, label: str) -> float:
 def cross_validate(df: DataFrame, features: Sequence[str], label: str, key: str, k: int = 5, seed: int = 42) -> DataFrame:
     """Accuracy of scaler + logistic regression refitted on each fold split
     (M4); the folds are written once to the checkpoint folder."""
-    folded = stratified_folds(df.select(key, label, *features), label, key, k, seed).checkpoint()
+    folded = cut_lineage(stratified_folds(df.select(key, label, *features), label, key, k, seed))
     rows = []
     for f in range(k):
         model = fit_logistic(folded.where(F.col("fold") != f), features, label)
@@ -166,7 +167,7 @@ def recursive_elimination(df: DataFrame, features: Sequence[str], label: str, n_
     """Drop the feature with the smallest absolute (scaled) coefficient
     until ``n_select`` remain (M7)."""
     keep = list(features)
-    data = df.select(label, *features).checkpoint()
+    data = cut_lineage(df.select(label, *features))
     while len(keep) > n_select:
         model = fit_logistic(data, keep, label)
         coef = model.stages[-1].coefficients.toArray()
@@ -236,7 +237,7 @@ def shapley_values(model, background: DataFrame, explain: Sequence[dict], featur
     total = background.count()
     frac = min(1.0, (samples * 1.5) / max(total, 1))
     bg = background.select(*feats).sample(False, frac, seed).limit(samples).withColumn("__z", F.monotonically_increasing_id())
-    bg = bg.checkpoint()
+    bg = cut_lineage(bg)
     xs = F.array(*[F.struct(F.lit(i).alias("row"), *[F.lit(float(r[c])).alias(c) for c in feats]) for i, r in enumerate(explain)])
     steps = F.array(*[F.lit(j) for j in range(n_feat)])
     ex = bg.select("__z", *[F.col(c).alias(f"z_{c}") for c in feats], F.explode(xs).alias("x"))

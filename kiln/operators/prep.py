@@ -17,6 +17,7 @@ from pyspark.sql.types import NumericType, StringType
 from kiln.functions import dates, numeric, text
 from kiln.functions.stats import exact_quantiles, fit_row, mode_per_group
 from kiln.operators.encoding import LabelEncoder
+from kiln.session import cut_lineage
 
 
 def numeric_columns(df: DataFrame) -> list[str]:
@@ -87,7 +88,7 @@ def customer_aggregates(
     # The aggregate (one row per customer) is written once to the shared
     # checkpoint folder; the global latest is a scalar read of it, so the
     # transactions are scanned and joined once.
-    agg = agg.checkpoint()
+    agg = cut_lineage(agg)
     latest = agg.select(F.max("__last")).scalar()
     return agg.where(F.col(key).isNotNull()).withColumn(
         "recency_days", dates.elapsed_days(latest, F.col("__last"))

@@ -31,6 +31,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from kiln.functions.text import tokens as _tokens
+from kiln.session import cut_lineage
 
 TOKEN_PATTERN = r"(?U)\b\w\w+\b"
 
@@ -98,9 +99,10 @@ def term_counts(df: DataFrame, id_col: str, text_col: str, ngram_max: int = 1, s
     return ex.groupBy("id", "term").agg(F.count("*").alias("tf"))
 
 
-def corpus_totals(df: DataFrame, text_col: str, ngram_max: int = 1, stop_words=None) -> DataFrame:
+def corpus_totals(df: DataFrame, text_col: str, ngram_max: int = 1, stop_words=None,
+                  pattern: str = TOKEN_PATTERN) -> DataFrame:
     """``(term, total)``: corpus frequency of every term, combined map-side."""
-    staged = with_terms(df.select(F.col(text_col).alias("__text")), "__text", "__terms", ngram_max, stop_words)
+    staged = with_terms(df.select(F.col(text_col).alias("__text")), "__text", "__terms", ngram_max, stop_words, pattern)
     ex = staged.select(explode_terms("__terms")).where(F.col("term").isNotNull())
     return ex.groupBy("term").agg(F.count("*").alias("total"))
 
@@ -137,6 +139,7 @@ class VectorizerModel:
     stop_words: tuple | None
     terms: list[str]
     idf: dict[str, float] | None
+    pattern: str = TOKEN_PATTERN
 
     @property
     def input_col_name(self) -> str:
@@ -144,7 +147,7 @@ class VectorizerModel:
 
     def with_vocab_terms(self, df: DataFrame, out: str = "__vt") -> DataFrame:
         """Adds ``out``: the row's terms that are in the vocabulary."""
-        staged = with_terms(df, self.text_col, "__all_terms", self.ngram_max, self.stop_words)
+        staged = with_terms(df, self.text_col, "__all_terms", self.ngram_max, self.stop_words, self.pattern)
         vocab = list(self.terms)
         vt = F.filter(F.col("__all_terms"), lambda t: t.isin(*vocab)) if vocab else F.array().cast("array<string>")
         return staged.withColumn(out, vt).drop("__all_terms")
@@ -201,8 +204,9 @@ class VectorizerModel:
         return out.withColumns(cols).drop("__m", "__norm")
 
 
-def _fit_vocab(df: DataFrame, text_col: str, ngram_max: int, stop_words, max_features) -> list[str]:
-    totals = corpus_totals(df, text_col, ngram_max, stop_words)
+def _fit_vocab(df: DataFrame, text_col: str, ngram_max: int, stop_words, max_features,
+               pattern: str = TOKEN_PATTERN) -> list[str]:
+    totals = corpus_totals(df, text_col, ngram_max, stop_words, pattern)
     return [r["term"] for r in top_terms(totals, max_features).orderBy("index").collect()]
 
 
@@ -215,10 +219,11 @@ class CountVectorizer:
     max_features: int | None = 100
     ngram_max: int = 1
     stop_words: tuple | None = None
+    pattern: str = TOKEN_PATTERN
 
     def fit(self, df: DataFrame) -> VectorizerModel:
-        terms = _fit_vocab(df, self.input_col, self.ngram_max, self.stop_words, self.max_features)
-        return VectorizerModel(self.id_col, self.input_col, self.ngram_max, self.stop_words, terms, None)
+        terms = _fit_vocab(df, self.input_col, self.ngram_max, self.stop_words, self.max_features, self.pattern)
+        return VectorizerModel(self.id_col, self.input_col, self.ngram_max, self.stop_words, terms, None, self.pattern)
 
 
 @dataclass
@@ -235,6 +240,7 @@ class TfidfVectorizer:
     max_features: int | None = 100
     ngram_max: int = 2
     stop_words: tuple | None = None
+    pattern: str = TOKEN_PATTERN
 
     def fit_transform(self, df: DataFrame) -> tuple[VectorizerModel, DataFrame]:
         """Fit and transform the same rows with one pass over the text after
@@ -243,10 +249,10 @@ class TfidfVectorizer:
         folder, then document frequencies and weights both read them."""
         import math
 
-        terms = _fit_vocab(df, self.input_col, self.ngram_max, self.stop_words, self.max_features)
-        model = VectorizerModel(self.id_col, self.input_col, self.ngram_max, self.stop_words, terms, None)
+        terms = _fit_vocab(df, self.input_col, self.ngram_max, self.stop_words, self.max_features, self.pattern)
+        model = VectorizerModel(self.id_col, self.input_col, self.ngram_max, self.stop_words, terms, None, self.pattern)
         base = model.with_vocab_terms(df.select(self.id_col, self.input_col), "__vt")
-        base = base.select(self.id_col, term_frequencies(F.col("__vt")).alias("__tf")).checkpoint()
+        base = cut_lineage(base.select(self.id_col, term_frequencies(F.col("__vt")).alias("__tf")))
         n_docs = base.count()
         present = base.select(F.explode_outer("__tf.term").alias("term")).where(F.col("term").isNotNull())
         dfs = {r["term"]: r["df"] for r in present.groupBy("term").agg(F.count("*").alias("df")).collect()}
@@ -256,8 +262,8 @@ class TfidfVectorizer:
     def fit(self, df: DataFrame) -> VectorizerModel:
         import math
 
-        terms = _fit_vocab(df, self.input_col, self.ngram_max, self.stop_words, self.max_features)
-        model = VectorizerModel(self.id_col, self.input_col, self.ngram_max, self.stop_words, terms, None)
+        terms = _fit_vocab(df, self.input_col, self.ngram_max, self.stop_words, self.max_features, self.pattern)
+        model = VectorizerModel(self.id_col, self.input_col, self.ngram_max, self.stop_words, terms, None, self.pattern)
         n_docs = df.count()
         dfs = {}
         if terms:

@@ -9,6 +9,7 @@ from kiln.plans.q_features import sql_quantile_bins
 from kiln.plans.registry import query
 from kiln.sources import tables as T
 from kiln.sources.tables import read, with_ctes
+from kiln.session import cut_lineage
 
 DOC_FEATURES = ["n_chars", "word_count", "digit_share", "upper_share", "line_count"]
 REG_FEATURES = ["l_quantity", "l_discount", "l_tax"]
@@ -62,7 +63,7 @@ FROM m GROUP BY feature"""
 def m9_mutual_information(spark, sf_dir):
     """Mutual information of decile-binned document features with quality,
     sorted (W4)."""
-    feats = T.labelled_documents(spark, sf_dir).select("quality", *DOC_FEATURES).checkpoint()
+    feats = cut_lineage(T.labelled_documents(spark, sf_dir).select("quality", *DOC_FEATURES))
     return M.mutual_information(feats, DOC_FEATURES, "quality")
 
 

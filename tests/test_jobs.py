@@ -223,7 +223,7 @@ def test_dictionary_rank_across_partitions(spark):
 
     vals = [f"v{i:04d}" for i in range(500)] * 2
     df = spark.createDataFrame([(v,) for v in vals], "c string")
-    got = sorted((r.value, r.index) for r in _dictionary(df, "c", partitions=7).collect())
+    got = sorted((r["value"], r["index"]) for r in _dictionary(df, "c", partitions=7).collect())
     assert got == [(f"v{i:04d}", i) for i in range(500)]
 
 
