@@ -54,12 +54,23 @@ def is_url(c: Column) -> Column:
     return c.rlike(URL_PATTERN)
 
 
-def any_match(c: Column, patterns: list[str]) -> Column:
-    out = None
+def combined_pattern(patterns: list[str]) -> str:
+    """One alternation for a list of patterns: a leading inline flag group
+    such as ``(?i)`` becomes a scoped ``(?i:...)`` branch, so each pattern
+    keeps its own flags and the text is scanned once."""
+    branches = []
     for p in patterns:
-        t = c.rlike(p)
-        out = t if out is None else (out | t)
-    return out
+        if p.startswith("(?") and ")" in p and p[2:p.index(")")].isalpha():
+            flags, body = p[2:p.index(")")], p[p.index(")") + 1:]
+            branches.append(f"(?{flags}:{body})")
+        else:
+            branches.append(f"(?:{p})")
+    return "|".join(branches)
+
+
+def any_match(c: Column, patterns: list[str]) -> Column:
+    """True when any pattern matches: one scan with the combined alternation."""
+    return c.rlike(combined_pattern(patterns))
 
 
 def has_sql_injection(c: Column) -> Column:
