@@ -24,6 +24,8 @@ class Query:
     rounding: dict[str, int] = field(default_factory=dict)
 
     def run(self, spark: SparkSession, sf_dir: str) -> DataFrame:
+        # Results are defined in UTC whatever session the caller brings.
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
         df = self.build(spark, sf_dir)
         if self.rounding:
             df = df.withColumns({c: F.round(F.col(c), d) + F.lit(0.0) for c, d in self.rounding.items()})

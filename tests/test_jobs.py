@@ -231,3 +231,18 @@ def test_parametrised_sql_binds_values(spark):
     df = spark.createDataFrame([(1, "a'b"), (2, "c")], "id long, s string")
     out = catalog.safe_query(spark, "SELECT id FROM {t} WHERE s = :v", {"v": "a'b"}, t=df).collect()
     assert [r.id for r in out] == [1]
+
+
+def test_boosted_trees_curve_is_training_rmse(spark):
+    from pyspark.ml.evaluation import RegressionEvaluator
+
+    rng = np.random.default_rng(0)
+    x = rng.normal(size=(300, 2))
+    y = 3 * x[:, 0] - x[:, 1] ** 2
+    df = spark.createDataFrame([(float(a), float(b), float(t)) for (a, b), t in zip(x, y)], "a double, b double, y double")
+    model, curve = models.boosted_trees(df, ["a", "b"], "y", rounds=8, depth=3)
+    rmse = [r.rmse for r in curve.orderBy("round").collect()]
+    pred = model.transform(df.withColumn("label", F.col("y")))
+    want = RegressionEvaluator(metricName="rmse").evaluate(pred)
+    assert rmse[-1] == pytest.approx(want, rel=1e-6)
+    assert rmse[-1] < rmse[0]
