@@ -52,7 +52,8 @@ SELECT customer_id,
        min(days_since) AS recency_days,
        count(DISTINCT product_id) AS unique_products_purchased
 FROM t WHERE customer_id IS NOT NULL GROUP BY customer_id""",
-    rounding={"total_spent": 4, "avg_transaction_amount": 6, "transaction_amount_std": 6},
+    # means of 4-decimal amounts can be exact decimal ties at 6 places: 9
+    rounding={"total_spent": 4, "avg_transaction_amount": 9, "transaction_amount_std": 6},
 )
 def a1_customer_aggregate(spark, sf_dir):
     return prep.customer_aggregates(T.transactions(spark, sf_dir))
@@ -113,7 +114,7 @@ SELECT cc.customer_id,
        coalesce(mm.m, 1) AS seasonal_preference
 FROM cc JOIN s ON cc.customer_id = s.customer_id
 LEFT JOIN mm ON mm.customer_id = s.customer_id AND mm.rn = 1""",
-    rounding={"avg_days_between_purchases": 6, "avg_price_range": 6},
+    rounding={"avg_days_between_purchases": 9, "avg_price_range": 9},
 )
 def a2_interaction_features(spark, sf_dir):
     cleaned = prep.clean_customers(T.customers(spark, sf_dir), as_of=AS_OF)

@@ -14,6 +14,7 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import TimestampType
 
 
 @dataclass
@@ -27,6 +28,10 @@ class Query:
         # Results are defined in UTC whatever session the caller brings.
         spark.conf.set("spark.sql.session.timeZone", "UTC")
         df = self.build(spark, sf_dir)
+        # Zone-free timestamps in results (UTC wall clock), like the oracle's.
+        ts_cols = [f.name for f in df.schema.fields if isinstance(f.dataType, TimestampType)]
+        if ts_cols:
+            df = df.withColumns({c: F.col(c).cast("timestamp_ntz") for c in ts_cols})
         if self.rounding:
             df = df.withColumns({c: F.round(F.col(c), d) + F.lit(0.0) for c, d in self.rounding.items()})
         return df

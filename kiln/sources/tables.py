@@ -26,7 +26,23 @@ TABLE_NAMES = (
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """Parquet scan of one driver table (filters / projections push down)."""
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return spread(spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet"))
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Give an under-split scan one partition per core.
+
+    A file with a single row group is read by a single task, so all
+    row-local work before the first shuffle (regular expressions,
+    tokenisation, the map side of joins and aggregates) would run on one
+    core. When the scan has fewer partitions than the cluster's default
+    parallelism it is spread round-robin; a large input already has far
+    more partitions and is left as is (decided at plan time, no job).
+    """
+    target = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < target:
+        return df.repartition(target)
+    return df
 
 
 def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
