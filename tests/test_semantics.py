@@ -228,3 +228,14 @@ def test_drift_categorical_l1(spark):
     cur = spark.createDataFrame([("a",), ("d",)], "c string")
     r = quality.drift_report(ref, cur).first()
     assert r.drift_score == pytest.approx(abs(0.5 - 0.5) + 0.25 + 0.25 + 0.5)
+
+
+def test_exact_quantiles_narrowing_path(spark):
+    # A tiny bracket bound forces the extra narrowing passes used at scale.
+    rng = np.random.default_rng(7)
+    vals = np.round(rng.exponential(3.0, size=2000), 2).tolist()
+    df = spark.createDataFrame([(v,) for v in vals], "x double")
+    probs = [0.1, 0.5, 0.9]
+    got = exact_quantiles(df, ["x"], probs, accuracy=20, max_bracket=25)["x"]
+    want = [pd.Series(vals).quantile(p) for p in probs]
+    assert np.allclose(got, want, rtol=0, atol=1e-12)
