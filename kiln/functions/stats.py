@@ -33,6 +33,7 @@ from __future__ import annotations
 import math
 from collections.abc import Iterable, Sequence
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
@@ -70,8 +71,17 @@ def exact_quantiles(
     if not cols:
         return {}
     num = {c: F.nanvl(F.col(c).cast("double"), F.lit(None).cast("double")) for c in cols}
-    base = df.select(*[num[c].alias(c) for c in cols])
+    # The passes below read only these columns: keep them for the duration of
+    # the fit (memory, spilling to disk; lost blocks are recomputed from
+    # lineage) instead of re-reading and re-deriving the input each pass.
+    base = df.select(*[num[c].alias(c) for c in cols]).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        return _exact_quantiles(base, cols, probs, accuracy, max_bracket, moments)
+    finally:
+        base.unpersist()
 
+
+def _exact_quantiles(base, cols, probs, accuracy, max_bracket, moments):
     delta = 2.0 / accuracy
     lo_p = [max(0.0, p - delta) for p in probs]
     hi_p = [min(1.0, p + delta) for p in probs]
