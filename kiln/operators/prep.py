@@ -124,38 +124,47 @@ def interaction_features(
     purchases (0 for a single purchase); ``preferred_category`` is NULL.
 
     Skew safety: transactions are first combined map-side into one row per
-    (customer, timestamp) -- equal timestamps contribute gaps of 0 -- so the
-    per-customer ordered window sees at most one row per distinct purchase
-    time, however many rows a hot customer has. The modal month and the
-    counts come from the same pre-aggregate. A customer row that appears
-    twice in ``customers`` yields two output rows (inner join semantics).
+    (customer, calendar day) with the day's first and last timestamp --
+    gaps inside a day are 0 -- so the per-customer ordered window sees at
+    most one row per active day, however many rows a hot customer has. The
+    modal month and the counts come from the same pre-aggregate. A customer
+    row that appears twice in ``customers`` yields two output rows (inner
+    join semantics).
     """
     ts = dates.as_ts(ts_col)
-    per_ts = (
+    # Two timestamps on the same calendar day are less than a day apart, so
+    # their whole-day gap is 0: only the first and last purchase of each
+    # (customer, day) matter. Rows are combined map-side into one row per
+    # (customer, day) -- rows without a timestamp into one row per customer --
+    # so the ordered window sees at most one row per calendar day of a
+    # customer, whatever the timestamp granularity or the customer's volume.
+    per_day = (
         tx.where(F.col(key).isNotNull())
-        .groupBy(key, ts.alias("__ts"))
+        .groupBy(key, F.to_date(ts).alias("__d"))
         .agg(
+            F.min(ts).alias("__first"),
+            F.max(ts).alias("__last"),
             F.count("*").alias("__rows"),
             F.sum(amount).alias("__amt"),
             F.count(amount).alias("__n_amt"),
         )
     )
-    # One shuffle by customer: the ordered window (day gaps) and a window by
+    # One shuffle by customer: the window over days (gaps) and a window by
     # (customer, month) (month counts) both run on that partitioning, and a
     # single per-customer aggregate finishes everything, modal month included.
-    w = Window.partitionBy(key).orderBy("__ts")
-    x = per_ts.withColumns(
+    w = Window.partitionBy(key).orderBy("__d")
+    x = per_day.withColumns(
         {
-            "__gap": dates.elapsed_days(F.col("__ts"), F.lag("__ts").over(w)),
-            "__m": F.month("__ts").cast("bigint"),
+            "__gap": dates.elapsed_days(F.col("__first"), F.lag("__last").over(w)),
+            "__m": F.month("__d").cast("bigint"),
         }
     ).withColumn("__mn", F.sum("__rows").over(Window.partitionBy(key, "__m")))
-    month_key = F.when(F.col("__ts").isNotNull(), F.struct((-F.col("__mn")).alias("n"), F.col("__m").alias("m")))
+    month_key = F.when(F.col("__d").isNotNull(), F.struct((-F.col("__mn")).alias("n"), F.col("__m").alias("m")))
     stats = x.groupBy(key).agg(
         (F.sum("__amt") / F.sum("__n_amt")).alias("avg_price_range"),
         F.sum("__rows").alias("purchase_frequency"),
         F.coalesce(F.sum("__gap"), F.lit(0)).alias("__gap_sum"),
-        F.sum(F.when(F.col("__ts").isNotNull(), F.col("__rows")).otherwise(F.lit(0))).alias("__n_ts"),
+        F.sum(F.when(F.col("__d").isNotNull(), F.col("__rows")).otherwise(F.lit(0))).alias("__n_ts"),
         F.min(month_key)["m"].alias("seasonal_preference"),
     )
     feats = stats.select(

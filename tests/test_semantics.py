@@ -239,3 +239,22 @@ def test_exact_quantiles_narrowing_path(spark):
     got = exact_quantiles(df, ["x"], probs, accuracy=20, max_bracket=25)["x"]
     want = [pd.Series(vals).quantile(p) for p in probs]
     assert np.allclose(got, want, rtol=0, atol=1e-12)
+
+
+def test_interaction_gaps_random_timestamps(spark):
+    rng = np.random.default_rng(11)
+    base = pd.Timestamp("2024-01-01")
+    rows = []
+    for cust in range(4):
+        n = int(rng.integers(1, 60))
+        secs = rng.integers(0, 12 * 86400, size=n)  # second resolution, many same-day pairs
+        for s in secs:
+            rows.append((cust, float(rng.uniform(1, 100)), (base + pd.Timedelta(seconds=int(s))).to_pydatetime()))
+    pdf = pd.DataFrame(rows, columns=["customer_id", "transaction_amount", "transaction_timestamp"])
+    tx = spark.createDataFrame(pdf)
+    cust = spark.createDataFrame([(c,) for c in range(4)], "customer_id long")
+    got = {r.customer_id: r.avg_days_between_purchases for r in prep.interaction_features(cust, tx).collect()}
+    for c, g in pdf.groupby("customer_id"):
+        t = sorted(g["transaction_timestamp"])
+        want = np.mean([(b - a).days for a, b in zip(t, t[1:])]) if len(t) > 1 else 0
+        assert got[c] == pytest.approx(want)
