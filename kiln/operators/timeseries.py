@@ -81,13 +81,27 @@ def time_series_features(
 def ordered_gaps(df: DataFrame, key: str, ts_col: str) -> DataFrame:
     """Whole-day gap to the previous distinct timestamp of the same key.
 
-    Equal timestamps are combined first (``n_rows``), so a key with many
-    rows at the same instant does not inflate its window partition.
+    A timestamp that is not the first of its calendar day follows one less
+    than a day earlier, so its gap is 0; only a day's first timestamp needs
+    the last timestamp of the key's previous active day. The ordered window
+    therefore runs over (key, day) rows -- at most one per calendar day of a
+    key -- and a join on (key, day) brings the gaps back to the timestamps
+    (a hot key-day is split by the adaptive skew-join handling).
     """
     per_ts = (
         df.where(F.col(key).isNotNull() & F.col(ts_col).isNotNull())
         .groupBy(key, dates.as_ts(ts_col).alias(ts_col))
         .agg(F.count("*").alias("n_rows"))
+        .withColumn("__d", F.to_date(ts_col))
     )
-    w = Window.partitionBy(key).orderBy(ts_col)
-    return per_ts.withColumn("gap_days", dates.elapsed_days(F.col(ts_col), F.lag(ts_col).over(w)))
+    w = Window.partitionBy(key).orderBy("__d")
+    days = (
+        per_ts.groupBy(key, "__d")
+        .agg(F.min(ts_col).alias("__first"), F.max(ts_col).alias("__last"))
+        .withColumn("__prev_last", F.lag("__last").over(w))
+        .select(key, "__d", "__first", "__prev_last")
+    )
+    gap = F.when(
+        F.col(ts_col) == F.col("__first"), dates.elapsed_days(F.col(ts_col), F.col("__prev_last"))
+    ).otherwise(F.lit(0).cast("bigint"))
+    return per_ts.join(days, [key, "__d"]).select(key, ts_col, "n_rows", gap.alias("gap_days"))

@@ -258,3 +258,17 @@ def test_interaction_gaps_random_timestamps(spark):
         t = sorted(g["transaction_timestamp"])
         want = np.mean([(b - a).days for a, b in zip(t, t[1:])]) if len(t) > 1 else 0
         assert got[c] == pytest.approx(want)
+
+
+def test_ordered_gaps_random_timestamps(spark):
+    rng = np.random.default_rng(5)
+    base = pd.Timestamp("2024-03-01")
+    rows = [(int(rng.integers(0, 3)), (base + pd.Timedelta(seconds=int(s))).to_pydatetime())
+            for s in rng.integers(0, 6 * 86400, size=120)]
+    pdf = pd.DataFrame(rows, columns=["k", "ts"])
+    got = {(r.k, r.ts): r.gap_days for r in timeseries.ordered_gaps(spark.createDataFrame(pdf), "k", "ts").collect()}
+    for k, g in pdf.groupby("k"):
+        t = sorted(set(g["ts"]))
+        assert got[(k, t[0].to_pydatetime())] is None
+        for a, b in zip(t, t[1:]):
+            assert got[(k, b.to_pydatetime())] == (b - a).days
