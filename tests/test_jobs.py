@@ -270,3 +270,27 @@ def test_streaming_lockout_state_across_batches(spark):
     q.awaitTermination()
     got = [(r.event_id, r.status, r.failed_attempts) for r in spark.read.parquet(out).orderBy("event_id").collect()]
     assert got == want
+
+
+def _plan(df) -> str:
+    import contextlib
+    import io
+
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        df.explain(mode="formatted")
+    return buf.getvalue()
+
+
+def test_plan_tfidf_transform_has_no_shuffle(spark):
+    docs = spark.createDataFrame([(i, f"alpha beta gamma {i % 7} delta") for i in range(50)], "id long, t string")
+    model = text_features.TfidfVectorizer("t", "id", 10, 2).fit(docs)
+    assert "Exchange" not in _plan(model.transform(docs))
+
+
+def test_plan_tokenisation_runs_once(spark):
+    docs = spark.createDataFrame([(i, f"alpha beta gamma {i % 7} delta") for i in range(50)], "id long, t string")
+    plan = _plan(text_features.corpus_totals(docs, "t", 2))
+    physical = plan.split("== Physical Plan ==")[-1]
+    # one evaluation of the token regex per row: no copy in an inferred filter
+    assert physical.count("regexp_extract_all(") == 1
