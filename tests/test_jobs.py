@@ -294,3 +294,15 @@ def test_plan_tokenisation_runs_once(spark):
     physical = plan.split("== Physical Plan ==")[-1]
     # one evaluation of the token regex per row: no copy in an inferred filter
     assert physical.count("regexp_extract_all(") == 1
+
+
+def test_plan_interaction_features_single_pass(spark):
+    from kiln.operators import prep
+
+    tx = spark.createDataFrame([(i % 5, float(i), datetime(2024, 1, 1 + i % 20, i % 24)) for i in range(200)],
+                               "customer_id long, transaction_amount double, transaction_timestamp timestamp")
+    cust = spark.createDataFrame([(i,) for i in range(5)], "customer_id long")
+    physical = _plan(prep.interaction_features(cust, tx)).split("== Physical Plan ==")[-1]
+    # transactions: one shuffle for the per-day pre-aggregate, one for the
+    # customer window (month counts, sums and the join reuse it); customers: one.
+    assert physical.count("hashpartitioning(") == 3
