@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kiln.llm import bpe, exact_dedup, mixing, simhash, toxicity
+from kiln.llm import bpe, embedding_dedup, exact_dedup, mixing, simhash, substring_dedup, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -29,6 +29,17 @@ def byte_bpe() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+@query
+def op1_substring_dedup(spark, sf_dir):
+    out = substring_dedup.remove_repeats(table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
+@query
+def op2_embedding_dedup(spark, sf_dir):
+    return embedding_dedup.embedding_components(table(spark, sf_dir, "embeddings"))
+
+
 @query
 def op3_toxicity(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -64,3 +75,46 @@ WITH t AS (SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+',
 g AS (SELECT norm, min(doc_id) AS keep_id, count(*) AS group_size FROM t GROUP BY norm)
 SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(t.norm) AS text_sha256 FROM t JOIN g ON t.norm = g.norm
 """
+
+ORACLE_SQL["op1_substring_dedup"] = r"""
+WITH w AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents
+),
+wins AS (
+  SELECT doc_id, i, sha256(array_to_string(words[i:i + 49], ' ')) AS h
+  FROM w, unnest(generate_series(1, len(words) - 49)) AS g(i) WHERE len(words) >= 50
+),
+owner AS (SELECT h, min(doc_id) AS least FROM wins GROUP BY h),
+gone AS (
+  SELECT DISTINCT wins.doc_id, i + k AS pos
+  FROM wins JOIN owner ON wins.h = owner.h AND least < wins.doc_id, unnest(generate_series(0, 49)) AS s(k)
+),
+per AS (
+  SELECT doc_id, pos, word FROM (SELECT doc_id, unnest(words) AS word, generate_subscripts(words, 1) AS pos FROM w)
+),
+kept AS (
+  SELECT per.doc_id, string_agg(word, ' ' ORDER BY per.pos) AS txt, count(*) AS n
+  FROM per LEFT JOIN gone ON per.doc_id = gone.doc_id AND per.pos = gone.pos WHERE gone.pos IS NULL GROUP BY per.doc_id
+)
+SELECT w.doc_id, len(words)::BIGINT AS n_words, (len(words) - coalesce(n, 0))::BIGINT AS n_removed,
+       sha256(coalesce(txt, '')) AS kept_sha256
+FROM w LEFT JOIN kept ON w.doc_id = kept.doc_id
+"""
+
+ORACLE_SQL["op2_embedding_dedup"] = """
+WITH RECURSIVE v AS (
+  SELECT vec_id, embedding::DOUBLE[] AS e FROM embeddings
+  WHERE len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+),
+links AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM v AS a JOIN v AS b
+    ON a.vec_id <> b.vec_id AND len(a.e) = len(b.e) AND list_cosine_similarity(a.e, b.e) >= 0.9
+),
+reach(a, b) AS (SELECT a, b FROM links UNION SELECT reach.a, links.b FROM reach JOIN links ON reach.b = links.a),
+least AS (SELECT a, min(b) AS b FROM reach GROUP BY a),
+n AS (SELECT a, count(*) AS n FROM links GROUP BY a)
+SELECT vec_id, coalesce(n, 0)::BIGINT AS n_links, least(vec_id, coalesce(least.b, vec_id)) AS component_id,
+       vec_id <= coalesce(least.b, vec_id) AS kept
+FROM embeddings LEFT JOIN n ON vec_id = n.a LEFT JOIN least ON vec_id = least.a
+"""

@@ -1,7 +1,7 @@
 """Toxicity by a classifier chain.
 
 Categories are predicted one after the other by linear (logistic) models over
-the words of a text; each model also sees the log-odds of all categories before
+the words of a text and their beginnings; each model also sees the log-odds of all categories before
 it. For training, those come from out-of-fold predictions: a row's own label
 never reaches the features its later models are fitted on.
 
@@ -24,38 +24,55 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
 from kiln.llm.common import chunks, keep
-from kiln.llm.words import LETTERS, words_of
+from kiln.llm.words import LETTERS, prefix_sums, span_hash, words_of
 
 SAMPLE = 20_000
-FEATURES = 4096
+FEATURES = 512
 MIN_DOCS = 5
+PREFIXES = (4, 5, 6, 7, 8)
+L2 = 0.1
 FOLDS = 5
 CLIP = 6.0
 
 
-def word_ids(col: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """``(row, word hash)`` of the distinct lower-cased words of each text, sorted."""
+def features(col: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """``(row, feature)`` of each text's lower-cased words and their beginnings; may repeat.
+
+    A feature is the hash of a word, or of its first ``PREFIXES`` bytes, so a stem
+    counts in all its forms.
+    """
     rows, ids = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
     for lo, hi in chunks(col):
         w = words_of(col.slice(lo, hi - lo), LETTERS, lower=True)
-        row = np.repeat(np.arange(hi - lo), np.diff(w.first))
-        h = w.hashes().view(np.int64)
-        order = np.lexsort((h, row))
-        row, h = row[order], h[order]
-        new = np.ones(len(h), dtype=bool)
-        new[1:] = (h[1:] != h[:-1]) | (row[1:] != row[:-1])
-        rows.append(row[new] + lo)
-        ids.append(h[new])
+        row = np.repeat(np.arange(lo, hi), np.diff(w.first))
+        rows.append(row)
+        ids.append(w.hashes().view(np.int64))
+        size = w.ends - w.starts
+        total = prefix_sums(w.data)
+        for n in PREFIXES:
+            longer = size > n
+            starts = w.starts[longer]
+            rows.append(row[longer])
+            ids.append(span_hash(total, starts, starts + n).view(np.int64))
     return np.concatenate(rows), np.concatenate(ids)
 
 
+def distinct(row: np.ndarray, value: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct pairs, sorted."""
+    order = np.lexsort((value, row))
+    row, value = row[order], value[order]
+    new = np.ones(len(row), dtype=bool)
+    new[1:] = (value[1:] != value[:-1]) | (row[1:] != row[:-1])
+    return row[new], value[new]
+
+
 def _in_vocabulary(vocabulary: np.ndarray, row: np.ndarray, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     if not len(vocabulary):
         return row[:0], h[:0]
     at = np.searchsorted(vocabulary, h)
     at[at == len(vocabulary)] = 0
     hit = vocabulary[at] == h
-    return row[hit], at[hit]
+    return distinct(row[hit], at[hit])
 
 
 def choose_words(row: np.ndarray, h: np.ndarray, y: np.ndarray, most: int = FEATURES) -> np.ndarray:
@@ -74,7 +91,7 @@ def choose_words(row: np.ndarray, h: np.ndarray, y: np.ndarray, most: int = FEAT
     return np.sort(words[best])
 
 
-def fit_logistic(row, col, dense, y, n_words: int, l2: float = 1.0, rounds: int = 60) -> np.ndarray:
+def fit_logistic(row, col, dense, y, n_words: int, l2: float = L2, rounds: int = 60) -> np.ndarray:
     """Weights (words, dense columns, bias) of an L2-penalised logistic model, by L-BFGS."""
     n, k = dense.shape
     size = n_words + k + 1
@@ -198,16 +215,16 @@ def fit_chain(
     drawn = F.pmod(F.xxhash64(F.lit("draw"), "key"), F.lit(1 << 20)) < int((1 << 20) * min(1.0, sample / total) + 1)
     chosen = y.where(drawn).select("key", F.array(*names).alias("y"))  # about ``sample`` rows: fit to broadcast
 
-    def features(batches):
+    def featurise(batches):
         for b in batches:
-            row, h = word_ids(b.column("text"))
+            row, h = distinct(*features(b.column("text")))
             offsets = np.searchsorted(row, np.arange(b.num_rows + 1)).astype(np.int32)
             words = pa.ListArray.from_arrays(pa.array(offsets), pa.array(h))
             yield pa.RecordBatch.from_arrays([b.column("key"), b.column("y"), words], ["key", "y", "words"])
 
     joined = docs.select(F.col(id_col).alias("key"), F.col(text_col).alias("text")).join(F.broadcast(chosen), "key")
     rows = joined.select("key", "y", "text").mapInArrow(
-        features, StructType([joined.schema["key"], joined.schema["y"], *StructType.fromDDL("words array<long>").fields])
+        featurise, StructType([joined.schema["key"], joined.schema["y"], *StructType.fromDDL("words array<long>").fields])
     )
     rows = keep(rows.withColumn("fold", F.pmod(F.xxhash64(F.lit("fold"), "key"), F.lit(FOLDS)).cast("int")), "labelled")
     rows = rows.withColumn("earlier", F.array().cast("array<double>"))
@@ -244,7 +261,7 @@ def score(docs: DataFrame, chain: Chain, text_col: str = "text", prefix: str = "
 
     def task(batches):
         for b in batches:
-            row, h = word_ids(b.column(at))
+            row, h = features(b.column(at))
             p = 1 / (1 + np.exp(-shared.value.log_odds(b.num_rows, row, h)))
             yield pa.RecordBatch.from_arrays([*b.columns, *[pa.array(x) for x in p.T]], names=schema.names)
 

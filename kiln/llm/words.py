@@ -41,11 +41,17 @@ def mix(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> U(33))
 
 
-def span_hash(values: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """Hash of each span ``values[start:end]``; equal spans have equal hashes."""
-    up, down = _power(len(values) + 1)
+def prefix_sums(values: np.ndarray) -> np.ndarray:
+    """Polynomial sums of all prefixes, modulo 2**64."""
+    up, _ = _power(len(values) + 1)
     total = np.zeros(len(values) + 1, dtype=U)
     np.cumsum((values.astype(U) + U(1)) * up[:-1], out=total[1:], dtype=U)
+    return total
+
+
+def span_hash(total: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Hash of each span ``values[start:end]`` given ``prefix_sums(values)``; equal spans have equal hashes."""
+    _, down = _power(len(total))
     return mix((total[ends] - total[starts]) * down[starts] + (ends - starts).astype(U))
 
 
@@ -59,7 +65,7 @@ class Words:
     first: np.ndarray  # of each text its first word; one more entry ends the last
 
     def hashes(self) -> np.ndarray:
-        return span_hash(self.data, self.starts, self.ends)
+        return span_hash(prefix_sums(self.data), self.starts, self.ends)
 
 
 #: Letter runs, for bags of words: ASCII letters and every byte of other characters.
