@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kiln.llm import bpe, embedding_dedup, exact_dedup, mixing, simhash, substring_dedup, toxicity
+from kiln.llm import bpe, embedding_dedup, exact_dedup, language_id, mixing, simhash, substring_dedup, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -60,6 +60,25 @@ def op5_bpe(spark, sf_dir):
     return bpe.encode_digests(table(spark, sf_dir, "documents"), byte_bpe())
 
 
+def public_pieces() -> list[str]:
+    """Piece texts of the public piece vocabulary, without its control and byte pieces."""
+    import public_tokenizers
+    import sentencepiece
+
+    model = sentencepiece.SentencePieceProcessor(model_file=public_tokenizers.path("piece_bpe_32k.model"))
+    ids = range(model.get_piece_size())
+    return [model.id_to_piece(i) for i in ids if not (model.is_control(i) or model.is_unknown(i) or model.is_byte(i))]
+
+
+@query
+def op7_language_id(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    held_out = F.crc32(F.col("doc_id").cast("string")) % 3 == 1
+    model = language_id.fit(docs.where(~held_out), public_pieces())
+    out = language_id.predict(docs.select("doc_id", held_out.alias("held_out"), "text"), model)
+    return out.select("doc_id", "held_out", "lang_pred", "score")
+
+
 @query
 def op9_simhash(spark, sf_dir):
     return simhash.simhash_components(table(spark, sf_dir, "documents"))
