@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kiln.llm import bpe, embedding_dedup, exact_dedup, language_id, mixing, simhash, substring_dedup, toxicity
+from kiln.llm.common import WORD
+from kiln.llm import bpe, chat_format, embedding_dedup, exact_dedup, language_id, mixing, secrets, simhash, substring_dedup, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -60,6 +61,38 @@ def op5_bpe(spark, sf_dir):
     return bpe.encode_digests(table(spark, sf_dir, "documents"), byte_bpe())
 
 
+#: Tools of the chat query: parameters, types, whether required.
+TOOLS = """
+SELECT * FROM VALUES
+  ('ask', 'text', 'string', true), ('ask', 'turn', 'integer', true), ('ask', 'words', 'integer', true),
+  ('brief', 'text', 'string', true), ('brief', 'turn', 'integer', true), ('brief', 'tone', 'string', true)
+AS tools(name, param, type, required)
+"""
+
+
+@query
+def op6_chat_format(spark, sf_dir):
+    """User turns as calls, assistant turns as results.
+
+    A user turn calls ``ask`` (``brief`` below ten words, whose schema its
+    arguments miss) and waits for the user turn before it; its answer is the next
+    turn if the assistant speaks there.
+    """
+    t = table(spark, sf_dir, "conversations")
+    n = F.regexp_count("text", F.lit(WORD))
+    user = t.where("role = 'user'").withColumn("words", n)
+    calls = user.select(
+        "conv_id",
+        F.col("turn").alias("call_id"),
+        F.when(F.col("turn") >= 2, F.col("turn") - 2).alias("after_id"),
+        F.when(F.col("words") < 10, "brief").otherwise("ask").alias("name"),
+        F.to_json(F.struct("words", "turn", "text")).alias("arguments"),
+    )
+    results = t.where("role = 'assistant'").select("conv_id", (F.col("turn") - 1).alias("call_id"), F.col("text").alias("content"))
+    linked = chat_format.link_tool_calls(calls, results, spark.sql(TOOLS))
+    return linked.withColumn("errors", F.array_join("errors", "; "))
+
+
 def public_pieces() -> list[str]:
     """Piece texts of the public piece vocabulary, without its control and byte pieces."""
     import public_tokenizers
@@ -79,6 +112,11 @@ def op7_language_id(spark, sf_dir):
     return out.select("doc_id", "held_out", "lang_pred", "score")
 
 
+@query
+def op8_secret_scan(spark, sf_dir):
+    return secrets.scan(table(spark, sf_dir, "documents"), path=F.col("source"))
+
+
 @query
 def op9_simhash(spark, sf_dir):
     return simhash.simhash_components(table(spark, sf_dir, "documents"))
@@ -137,3 +175,19 @@ SELECT vec_id, coalesce(n, 0)::BIGINT AS n_links, least(vec_id, coalesce(least.b
        vec_id <= coalesce(least.b, vec_id) AS kept
 FROM embeddings LEFT JOIN n ON vec_id = n.a LEFT JOIN least ON vec_id = least.a
 """
+
+ORACLE_SQL["op6_chat_format"] = r"""
+WITH c AS (
+  SELECT conv_id, turn AS call_id, text, len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')) AS words,
+         ((turn - min(turn) OVER (PARTITION BY conv_id)) // 2)::BIGINT AS position
+  FROM conversations WHERE role = 'user'
+),
+r AS (SELECT conv_id, turn - 1 AS call_id, text AS content FROM conversations WHERE role = 'assistant')
+SELECT conv_id, call_id, position, CASE WHEN c.text IS NOT NULL THEN 'ok' END AS state,
+  CASE WHEN c.text IS NULL THEN 'orphan' WHEN content IS NULL THEN 'unanswered' ELSE 'answered' END AS status,
+  CASE WHEN c.text IS NULL THEN NULL WHEN words < 10 THEN 'missing tone; unexpected words' ELSE '' END AS errors,
+  '{' || CASE WHEN c.text IS NULL THEN '' ELSE '"arguments":{"text":' || to_json(c.text)::VARCHAR || ',"turn":' || call_id || ',"words":' || words || '},' END
+  || CASE WHEN content IS NULL THEN '' ELSE '"content":' || to_json(content)::VARCHAR || ',' END || '"id":' || call_id
+  || CASE WHEN c.text IS NULL THEN '' WHEN words < 10 THEN ',"name":"brief"' ELSE ',"name":"ask"' END || ',"type":"tool_call"}' AS message
+FROM c FULL JOIN r USING (conv_id, call_id)
+"""
