@@ -13,8 +13,8 @@ word sequence also starts in a document of a smaller id is removed.
    from their first documents and sent to shards of bounded size by anchor. A
    shard's FM-index streams its segments through backward search and reports the
    smallest owner of every window.
-3. Hot anchors. An anchor with more than ``HOT`` pooled words (the edges of a
-   passage shared by very many documents) is split: its windows are pooled by
+3. Hot anchors. An anchor with more pooled words than a shard is to hold (the
+   edges of a passage shared by very many documents) is split: its windows are pooled by
    their own hash, those in two documents are indexed as texts of their own in
    shards by window, so one anchor spreads over all shards.
 4. The owners join back to the segments (AQE splits hot ones), and each document
@@ -34,7 +34,6 @@ from kiln.llm.fm_index import window_owners
 from kiln.llm.words import prefix_sums, span_hash, words_of
 
 GRAM = 8
-HOT = 20_000
 SHARD = 200_000
 LONGEST = 64  # windows in a segment
 
@@ -174,7 +173,7 @@ def repeated_spans(docs: DataFrame, window: int = 50, id_col: str = "doc_id", te
         .where("lo < hi")
     )
     chosen = keep(
-        pooled.join(shared.select("anchor", (F.col("total") > HOT).alias("hot")), "anchor").select(
+        pooled.join(shared.select("anchor", (F.col("total") > SHARD).alias("hot")), "anchor").select(
             "anchor", "body", "size", F.col("at.id").alias("least"), "most", "hot", F.col("at.row").alias("row"), F.col("at.start").alias("start")
         ),
         "chosen",
