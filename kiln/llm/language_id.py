@@ -18,6 +18,7 @@ from __future__ import annotations
 import re
 from collections import Counter, defaultdict
 from dataclasses import dataclass
+from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -36,15 +37,14 @@ UNKNOWN = "und"
 
 
 def words(text: str | None) -> list[str]:
-    """Letter runs of the lower-cased text, each with the mark of a word's begin; long ones in parts."""
-    out = []
-    for w in LETTERS.findall((text or "").lower()):
-        if len(w) < LONGEST:
-            out.append("▁" + w)
-        else:
-            w = "▁" + w
-            out += [w[i : i + LONGEST] for i in range(0, len(w), LONGEST)]
-    return out
+    """Letter runs of the lower-cased text."""
+    return LETTERS.findall((text or "").lower())
+
+
+def parts(word: str) -> list[str]:
+    """The word with the mark of its begin; a long one in parts that are scored apart."""
+    word = "▁" + word
+    return [word] if len(word) <= LONGEST else [word[i : i + LONGEST] for i in range(0, len(word), LONGEST)]
 
 
 class Pieces:
@@ -88,7 +88,7 @@ def by_length(batch: list[str]) -> dict[int, list[int]]:
 
 
 def log_likelihoods(pieces: Pieces, table: np.ndarray, batch: list[str]) -> np.ndarray:
-    """Logarithm of each word's probability under each language (words, languages).
+    """Logarithm of each part's probability under each language (parts, languages).
 
     ``table``: probabilities (pieces + 2, languages); the last row, of zeros, is for spans that are no piece.
     """
@@ -126,22 +126,20 @@ class LanguageModel:
 
 def _count_task(batches):
     """Texts to (lang, word, n), combined within the task up to a bounded number of words."""
-    counts: Counter = Counter()
+    counts: dict[str, Counter] = defaultdict(Counter)
 
     def rows():
-        return pa.RecordBatch.from_pydict(
-            {"lang": [k[0] for k in counts], "word": [k[1] for k in counts], "n": list(counts.values())},
-            schema=pa.schema([("lang", pa.string()), ("word", pa.string()), ("n", pa.int64())]),
-        )
+        found = [(lang, w, n) for lang, c in counts.items() for w, n in c.items()]
+        return pa.RecordBatch.from_arrays([pa.array(x) for x in zip(*found)], ["lang", "word", "n"]) if found else None
 
     for b in batches:
         for lang, text in zip(b.column("lang").to_pylist(), b.column("text").to_pylist()):
-            for w, n in Counter(words(text)).items():
-                counts[lang, w] += n
-            if len(counts) > CACHE:
+            counts[lang].update(words(text))
+            if sum(map(len, counts.values())) > CACHE:
                 yield rows()
                 counts.clear()
-    yield rows()
+    if (last := rows()) is not None:
+        yield last
 
 
 def fit(docs: DataFrame, pieces: list[str], text_col: str = "text", lang_col: str = "lang", rounds: int = ROUNDS) -> LanguageModel:
@@ -173,7 +171,8 @@ def fit(docs: DataFrame, pieces: list[str], text_col: str = "text", lang_col: st
                 word, n = b.column("word").to_pylist(), b.column("n").to_numpy().astype(float)
                 for k in np.unique(lang).tolist():
                     mine = np.flatnonzero(lang == k)
-                    total[k] += expected_counts(vocabulary, p[:, k], [word[i] for i in mine], n[mine])
+                    each = [(w, x) for i in mine for w, x in zip(parts(word[i]), repeat(n[i]))]
+                    total[k] += expected_counts(vocabulary, p[:, k], [w for w, _ in each], np.array([x for _, x in each]))
             k, piece = np.nonzero(total)
             yield pa.RecordBatch.from_arrays([pa.array(k), pa.array(piece), pa.array(total[k, piece])], ["lang", "piece", "n"])
 
@@ -205,13 +204,17 @@ def predict(docs: DataFrame, model: LanguageModel, text_col: str = "text", lang_
         for b in batches:
             texts, lang, score = b.column(at), [], []
             for lo, hi in chunks(texts):
-                parts = [words(t) for t in texts.slice(lo, hi - lo).to_pylist()]
+                found = [words(t) for t in texts.slice(lo, hi - lo).to_pylist()]
                 if len(row) > CACHE:
                     row, logs = {}, logs[:0]
-                new = [w for w in set().union(*parts) if w not in row]
+                new = [w for w in set(chain.from_iterable(found)) if w not in row]
                 row.update(zip(new, range(len(row), len(row) + len(new))))
-                logs = np.concatenate([logs, log_likelihoods(pieces, m.table, new)])
-                for ps in parts:
+                cut = [parts(w) for w in new]
+                sizes = np.array([len(c) for c in cut], dtype=np.int64)
+                each = log_likelihoods(pieces, m.table, list(chain.from_iterable(cut)))
+                first = np.concatenate([[0], np.cumsum(sizes)[:-1]]).astype(np.int64)[: len(new)]
+                logs = np.concatenate([logs, np.add.reduceat(each, first, axis=0) if len(new) else each])
+                for ps in found:
                     if not ps or not m.languages:
                         lang.append(UNKNOWN)
                         score.append(0.0)
