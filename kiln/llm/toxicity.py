@@ -6,8 +6,10 @@ it. For training, those come from out-of-fold predictions: a row's own label
 never reaches the features its later models are fitted on.
 
 The chain is fitted on a bounded, hash-drawn sample of the labelled rows
-(``sample`` rows, the documented bound); the fold models of a category and its
-final model are fitted in parallel tasks. Scoring is one pass over all whole
+(``sample`` rows, the documented bound). Candidate words are counted over the
+sample first, so its rows become short lists of word numbers; the fold models of
+a category, each choosing its words from its own rows, and the final model are
+fitted in parallel tasks. Scoring is one pass over all whole
 texts with word hashing by vector operations and no shuffle.
 """
 
@@ -28,6 +30,7 @@ from kiln.llm.words import LETTERS, prefix_sums, span_hash, words_of
 
 SAMPLE = 20_000
 FEATURES = 512
+CANDIDATES = 4096
 MIN_DOCS = 5
 PREFIXES = (4, 5, 6, 7, 8)
 L2 = 0.1
@@ -75,20 +78,50 @@ def _in_vocabulary(vocabulary: np.ndarray, row: np.ndarray, h: np.ndarray) -> tu
     return distinct(row[hit], at[hit])
 
 
-def choose_words(row: np.ndarray, h: np.ndarray, y: np.ndarray, most: int = FEATURES) -> np.ndarray:
-    """The words whose presence tells most about ``y`` (log-likelihood ratio), sorted."""
-    words, at, df = np.unique(h, return_inverse=True, return_counts=True)
-    pos = np.bincount(at, weights=y[row], minlength=len(words))
-    n, p = len(y), y.sum()
+def tells(df: np.ndarray, pos: np.ndarray, n: int, p: float) -> np.ndarray:
+    """How much each word's presence tells about a label: log-likelihood ratio from
+    the texts that hold it (``df``), the positive among them (``pos``), and of all."""
 
     def part(seen: np.ndarray, expected: np.ndarray) -> np.ndarray:
         return np.where(seen > 0, seen * np.log(np.maximum(seen, 1e-9) / np.maximum(expected, 1e-9)), 0)
 
     g = part(pos, df * p / n) + part(df - pos, df * (n - p) / n)
-    g += part(p - pos, (n - df) * p / n) + part(n - p - df + pos, (n - df) * (n - p) / n)
+    return g + part(p - pos, (n - df) * p / n) + part(n - p - df + pos, (n - df) * (n - p) / n)
+
+
+def choose_words(row: np.ndarray, word: np.ndarray, y: np.ndarray, most: int = FEATURES) -> np.ndarray:
+    """The words that tell most about ``y``, sorted."""
+    words, at, df = np.unique(word, return_inverse=True, return_counts=True)
+    g = tells(df, np.bincount(at, weights=y[row], minlength=len(words)), len(y), y.sum())
     ok = np.flatnonzero(df >= MIN_DOCS)
-    best = ok[np.lexsort((words[ok], -g[ok]))][:most]
-    return np.sort(words[best])
+    return np.sort(words[ok[np.lexsort((words[ok], -g[ok]))][:most]])
+
+
+def candidate_words(texts: DataFrame, categories: int) -> np.ndarray:
+    """Hashes of the ``CANDIDATES`` features that tell most about any category, sorted.
+
+    ``texts``: the bounded sample ``(text, y)``. A task leaves out features it
+    saw in one text only; counts are summed per feature.
+    """
+
+    def count(batches):
+        held = np.zeros((0, 2 + categories), dtype=np.int64)
+        for b in batches:
+            row, h = distinct(*features(b.column("text")))
+            y = np.array(b.column("y").to_pylist(), dtype=np.int64).reshape(-1, categories)
+            rows = np.concatenate([held, np.column_stack([h, np.ones(len(h), np.int64), y[row]])])
+            words, at = np.unique(rows[:, 0], return_inverse=True)
+            held = np.column_stack([words, *[np.bincount(at, weights=rows[:, k], minlength=len(words)).astype(np.int64) for k in range(1, 2 + categories)]])
+        held = held[held[:, 1] > 1]
+        yield pa.RecordBatch.from_arrays([pa.array(c) for c in held.T], ["word", "df", *[f"pos{i}" for i in range(categories)]])
+
+    columns = ["df", *[f"pos{i}" for i in range(categories)]]
+    counts = texts.mapInArrow(count, "word long, " + ", ".join(f"{c} long" for c in columns))
+    found = counts.groupBy("word").agg(*[F.sum(c).alias(c) for c in columns]).where(F.col("df") >= MIN_DOCS).toPandas()
+    total = texts.agg(F.count("*"), *[F.sum(F.element_at("y", i + 1)) for i in range(categories)]).collect()[0]
+    g = [tells(found["df"].to_numpy(), found[c].to_numpy(), total[0], p) for c, p in zip(columns[1:], total[1:])]
+    word = found["word"].to_numpy(dtype=np.int64)
+    return np.sort(word[np.lexsort((word, -np.max(g, axis=0)))][:CANDIDATES])
 
 
 def fit_logistic(row, col, dense, y, n_words: int, l2: float = L2, rounds: int = 60) -> np.ndarray:
@@ -166,14 +199,14 @@ def _train(pdf: pd.DataFrame, category: int, model: int) -> tuple[np.ndarray, np
     y = np.array([v[category] for v in pdf["y"]], dtype=float)
     earlier = np.array(pdf["earlier"].tolist(), dtype=float).reshape(len(pdf), category)
     row = np.repeat(np.arange(len(pdf)), [len(x) for x in pdf["words"]])
-    h = np.concatenate([np.zeros(0, np.int64), *pdf["words"]]).astype(np.int64)
+    word = np.concatenate([np.zeros(0, np.int64), *pdf["words"]]).astype(np.int64)
     inside = (pdf["fold"] != model).to_numpy()
     at = np.cumsum(inside) - 1
     mine = inside[row]
-    vocabulary = choose_words(at[row[mine]], h[mine], y[inside])
-    r, c = _in_vocabulary(vocabulary, at[row[mine]], h[mine])
+    vocabulary = choose_words(at[row[mine]], word[mine], y[inside])
+    r, c = _in_vocabulary(vocabulary, at[row[mine]], word[mine])
     w = fit_logistic(r, c, earlier[inside], y[inside], len(vocabulary))
-    r, c = _in_vocabulary(vocabulary, row, h)
+    r, c = _in_vocabulary(vocabulary, row, word)
     z = np.bincount(r, weights=w[c], minlength=len(pdf)) + earlier @ w[len(vocabulary) : -1] + w[-1]
     held = pd.DataFrame({"key": pdf["key"], "z": np.clip(z, -CLIP, CLIP)})[~inside]
     return vocabulary, w, held
@@ -215,16 +248,20 @@ def fit_chain(
     drawn = F.pmod(F.xxhash64(F.lit("draw"), "key"), F.lit(1 << 20)) < int((1 << 20) * min(1.0, sample / total) + 1)
     chosen = y.where(drawn).select("key", F.array(*names).alias("y"))  # about ``sample`` rows: fit to broadcast
 
+    joined = docs.select(F.col(id_col).alias("key"), F.col(text_col).alias("text")).join(F.broadcast(chosen), "key")
+    joined = keep(joined.select("key", "y", "text"), "sample")
+    candidates = candidate_words(joined.select("text", "y"), len(categories))
+    shared = docs.sparkSession.sparkContext.broadcast(candidates)
+
     def featurise(batches):
         for b in batches:
-            row, h = distinct(*features(b.column("text")))
+            row, word = _in_vocabulary(shared.value, *features(b.column("text")))
             offsets = np.searchsorted(row, np.arange(b.num_rows + 1)).astype(np.int32)
-            words = pa.ListArray.from_arrays(pa.array(offsets), pa.array(h))
+            words = pa.ListArray.from_arrays(pa.array(offsets), pa.array(word, pa.int16()))
             yield pa.RecordBatch.from_arrays([b.column("key"), b.column("y"), words], ["key", "y", "words"])
 
-    joined = docs.select(F.col(id_col).alias("key"), F.col(text_col).alias("text")).join(F.broadcast(chosen), "key")
-    rows = joined.select("key", "y", "text").mapInArrow(
-        featurise, StructType([joined.schema["key"], joined.schema["y"], *StructType.fromDDL("words array<long>").fields])
+    rows = joined.mapInArrow(
+        featurise, StructType([joined.schema["key"], joined.schema["y"], *StructType.fromDDL("words array<short>").fields])
     )
     rows = keep(rows.withColumn("fold", F.pmod(F.xxhash64(F.lit("fold"), "key"), F.lit(FOLDS)).cast("int")), "labelled")
     rows = rows.withColumn("earlier", F.array().cast("array<double>"))
@@ -238,7 +275,7 @@ def fit_chain(
         final = fitted.where("weights IS NOT NULL").collect()
         if not final:
             return Chain()
-        chain.links.append(Link(name, np.array(final[0]["vocabulary"], dtype=np.int64), np.array(final[0]["weights"])))
+        chain.links.append(Link(name, candidates[np.array(final[0]["vocabulary"], dtype=np.int64)], np.array(final[0]["weights"])))
         if i + 1 < len(categories):
             held = fitted.where("weights IS NULL").groupBy("key").agg(F.max("z").alias("z"))
             rows = keep(
