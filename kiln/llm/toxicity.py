@@ -119,7 +119,7 @@ def candidate_words(texts: DataFrame, categories: int) -> np.ndarray:
     counts = texts.mapInArrow(count, "word long, " + ", ".join(f"{c} long" for c in columns))
     found = counts.groupBy("word").agg(*[F.sum(c).alias(c) for c in columns]).where(F.col("df") >= MIN_DOCS).toPandas()
     total = texts.agg(F.count("*"), *[F.sum(F.element_at("y", i + 1)) for i in range(categories)]).collect()[0]
-    g = [tells(found["df"].to_numpy(), found[c].to_numpy(), total[0], p) for c, p in zip(columns[1:], total[1:])]
+    g = [tells(found["df"].to_numpy(), found[c].to_numpy(), total[0], p or 0.0) for c, p in zip(columns[1:], total[1:])]
     word = found["word"].to_numpy(dtype=np.int64)
     return np.sort(word[np.lexsort((word, -np.max(g, axis=0)))][:CANDIDATES])
 
