@@ -57,12 +57,9 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids in place of the texts, with a check that they decode to the text."""
-    ids = bpe.encode(docs, byte_bpe())
-    return bpe.decode(ids, byte_bpe()).select(
-        *[c for c in docs.columns if c != "text"],
-        F.size("token_ids").cast("long").alias("n_tokens"),
-        "token_ids",
-        (F.col("decoded") == F.coalesce("text", F.lit(""))).alias("round_trip"),
+    ids = bpe.encode(docs, byte_bpe(), check_col="round_trip")
+    return ids.select(
+        *[c for c in docs.columns if c != "text"], F.size("token_ids").cast("long").alias("n_tokens"), "token_ids", "round_trip"
     )
 
 

@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 #: The published pre-token pattern of byte-level BPE.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-CACHE = 400_000
+CACHE = 200_000
 WHOLE_WORD = 64
 SHORT = 24
 NEVER = 1 << 60
@@ -233,14 +233,25 @@ def _texts(col: pa.Array, size: int) -> Iterator[list[str]]:
         yield [t or "" for t in col.slice(lo, hi - lo).to_pylist()]
 
 
-def encode(docs: DataFrame, tokenizer: str, text_col: str = "text", ids_col: str = "token_ids") -> DataFrame:
+def encode(docs: DataFrame, tokenizer: str, text_col: str = "text", ids_col: str = "token_ids", check_col: str | None = None) -> DataFrame:
     """``docs`` with the token ids of each text (null: none) in a new column.
 
-    Every other column is passed on; a column named ``ids_col`` is replaced.
+    With ``check_col`` a second new column tells whether the ids decode to the
+    text. Every other column is passed on; columns of the new names are replaced.
     """
-    return _batches(docs.drop(ids_col), tokenizer, f"`{ids_col}` array<int>", lambda b, bpe: [
-        pa.array([ids for ts in _texts(b.column(text_col), 4 << 20) for ids in bpe.encode_batch(ts)], pa.list_(pa.int32()))
-    ])
+
+    def make(batch, bpe):
+        ids, same = [], []
+        for texts in _texts(batch.column(text_col), 1 << 20):
+            found = bpe.encode_batch(texts)
+            ids.append(pa.array(found, pa.list_(pa.int32())))
+            if check_col:
+                same += [bpe.decode(x) == t for x, t in zip(found, texts)]
+        out = [pa.concat_arrays(ids) if ids else pa.array([], pa.list_(pa.int32()))]
+        return [*out, pa.array(same, pa.bool_())] if check_col else out
+
+    more = f"`{ids_col}` array<int>" + (f", `{check_col}` boolean" if check_col else "")
+    return _batches(docs.drop(ids_col, *[check_col] * bool(check_col)), tokenizer, more, make)
 
 
 def decode(docs: DataFrame, tokenizer: str, ids_col: str = "token_ids", text_col: str = "decoded") -> DataFrame:
@@ -255,7 +266,7 @@ def encode_digests(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text
 
     def digests(batch, bpe):
         n, a, b = [], [], []
-        for texts in _texts(batch.column(text_col), 2 << 20):
+        for texts in _texts(batch.column(text_col), 1 << 20):
             for ids in bpe.encode_batch(texts):
                 n.append(len(ids))
                 a.append(hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest())

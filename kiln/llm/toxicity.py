@@ -15,7 +15,7 @@ texts with word hashing by vector operations and no shuffle.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -38,26 +38,24 @@ FOLDS = 5
 CLIP = 6.0
 
 
-def features(col: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """``(row, feature)`` of each text's lower-cased words and their beginnings; may repeat.
+def features(col: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+    """Lower-cased words and their beginnings of the texts, about 1 MB of texts at a time.
 
-    A feature is the hash of a word, or of its first ``PREFIXES`` bytes, so a stem
-    counts in all its forms.
+    Yields ``(first row, row after the last, row, feature)``; rows count from the
+    first, pairs may repeat. A feature is the hash of a word, or of its first
+    ``PREFIXES`` bytes, so a stem counts in all its forms.
     """
-    rows, ids = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
-    for lo, hi in chunks(col):
+    for lo, hi in chunks(col, 1 << 20):
         w = words_of(col.slice(lo, hi - lo), LETTERS, lower=True)
-        row = np.repeat(np.arange(lo, hi), np.diff(w.first))
-        rows.append(row)
-        ids.append(w.hashes().view(np.int64))
-        size = w.ends - w.starts
-        total = prefix_sums(w.data)
+        row = np.repeat(np.arange(hi - lo), np.diff(w.first))
+        size, total = w.ends - w.starts, prefix_sums(w.data)
+        rows, ids = [row], [w.hashes().view(np.int64)]
         for n in PREFIXES:
             longer = size > n
             starts = w.starts[longer]
             rows.append(row[longer])
             ids.append(span_hash(total, starts, starts + n).view(np.int64))
-    return np.concatenate(rows), np.concatenate(ids)
+        yield lo, hi, np.concatenate(rows), np.concatenate(ids)
 
 
 def distinct(row: np.ndarray, value: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -107,11 +105,12 @@ def candidate_words(texts: DataFrame, categories: int) -> np.ndarray:
     def count(batches):
         held = np.zeros((0, 2 + categories), dtype=np.int64)
         for b in batches:
-            row, h = distinct(*features(b.column("text")))
-            y = np.array(b.column("y").to_pylist(), dtype=np.int64).reshape(-1, categories)
-            rows = np.concatenate([held, np.column_stack([h, np.ones(len(h), np.int64), y[row]])])
-            words, at = np.unique(rows[:, 0], return_inverse=True)
-            held = np.column_stack([words, *[np.bincount(at, weights=rows[:, k], minlength=len(words)).astype(np.int64) for k in range(1, 2 + categories)]])
+            labels = np.array(b.column("y").to_pylist(), dtype=np.int64).reshape(-1, categories)
+            for lo, hi, row, h in features(b.column("text")):
+                row, h = distinct(row, h)
+                rows = np.concatenate([held, np.column_stack([h, np.ones(len(h), np.int64), labels[lo:hi][row]])])
+                words, at = np.unique(rows[:, 0], return_inverse=True)
+                held = np.column_stack([words, *[np.bincount(at, weights=rows[:, k], minlength=len(words)).astype(np.int64) for k in range(1, 2 + categories)]])
         held = held[held[:, 1] > 1]
         yield pa.RecordBatch.from_arrays([pa.array(c) for c in held.T], ["word", "df", *[f"pos{i}" for i in range(categories)]])
 
@@ -255,10 +254,12 @@ def fit_chain(
 
     def featurise(batches):
         for b in batches:
-            row, word = _in_vocabulary(shared.value, *features(b.column("text")))
-            offsets = np.searchsorted(row, np.arange(b.num_rows + 1)).astype(np.int32)
-            words = pa.ListArray.from_arrays(pa.array(offsets), pa.array(word, pa.int16()))
-            yield pa.RecordBatch.from_arrays([b.column("key"), b.column("y"), words], ["key", "y", "words"])
+            for lo, hi, row, h in features(b.column("text")):
+                row, word = _in_vocabulary(shared.value, row, h)
+                offsets = np.searchsorted(row, np.arange(hi - lo + 1)).astype(np.int32)
+                words = pa.ListArray.from_arrays(pa.array(offsets), pa.array(word, pa.int16()))
+                part = b.slice(lo, hi - lo)
+                yield pa.RecordBatch.from_arrays([part.column("key"), part.column("y"), words], ["key", "y", "words"])
 
     rows = joined.mapInArrow(
         featurise, StructType([joined.schema["key"], joined.schema["y"], *StructType.fromDDL("words array<short>").fields])
@@ -298,8 +299,8 @@ def score(docs: DataFrame, chain: Chain, text_col: str = "text", prefix: str = "
 
     def task(batches):
         for b in batches:
-            row, h = features(b.column(at))
-            p = 1 / (1 + np.exp(-shared.value.log_odds(b.num_rows, row, h)))
+            z = [shared.value.log_odds(hi - lo, row, h) for lo, hi, row, h in features(b.column(at))]
+            p = 1 / (1 + np.exp(-np.concatenate(z))) if z else np.zeros((0, len(names)))
             yield pa.RecordBatch.from_arrays([*b.columns, *[pa.array(x) for x in p.T]], names=schema.names)
 
     return docs.mapInArrow(task, schema)
