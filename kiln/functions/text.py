@@ -28,8 +28,8 @@ def word_count(c: Column) -> Column:
 
 def normalize_text(c: Column) -> Column:
     """Lower-case, keep ASCII letters and whitespace, collapse blanks."""
-    t = F.regexp_replace(F.lower(c), r"[^a-zA-Z\s]", "")
-    return F.trim(F.regexp_replace(t, r"\s+", " "))
+    t = F.regexp_replace(F.lower(c), r"(?U)[^a-zA-Z\s]", "")
+    return F.trim(F.regexp_replace(t, r"(?U)\s+", " "))
 
 
 def tokens(c: Column, pattern: str = r"(?U)\b\w\w+\b") -> Column:
@@ -47,4 +47,4 @@ def letters_only(c: Column) -> Column:
     Token extraction does not depend on whitespace runs, so vectorisers use
     this cheaper form; on it ``ASCII_TOKEN_PATTERN`` finds exactly the tokens
     of the Unicode ``\\b\\w\\w+\\b`` pattern."""
-    return F.regexp_replace(F.lower(c), r"[^a-zA-Z\s]", "")
+    return F.regexp_replace(F.lower(c), r"(?U)[^a-zA-Z\s]", "")

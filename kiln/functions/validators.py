@@ -83,12 +83,15 @@ def has_xss(c: Column) -> Column:
 
 def sanitise_html(c: Column, allowed: list[str] | None = None) -> Column:
     """Drop comments and declarations, keep allowed tags without their
-    attributes, strip every other tag but keep its text."""
+    attributes, strip every other tag but keep its text.
+
+    U+0001 and U+0002 mark kept tags on the way and are first removed from the
+    input; a tag that never closes is dropped with all that follows it."""
     tags = "|".join(allowed or ALLOWED_TAGS)
-    t = F.regexp_replace(c, r"(?s)<!--.*?-->", "")
+    t = F.regexp_replace(F.translate(c, "\u0001\u0002", ""), r"(?s)<!--.*?-->", "")
     t = F.regexp_replace(t, r"<![^>]*>", "")
     t = F.regexp_replace(t, rf"(?i)<(/?)({tags})(?:[\s/][^>]*)?>", "\u0001$1$2\u0002")
-    t = F.regexp_replace(t, r"</?[A-Za-z][^>]*>", "")
+    t = F.regexp_replace(t, r"</?[A-Za-z][^>]*(>|$)", "")
     return F.translate(t, "\u0001\u0002", "<>")
 
 

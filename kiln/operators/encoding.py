@@ -3,8 +3,8 @@
 ``fit`` builds a dictionary from ``distinct`` (a shuffle of the distinct
 values only, combined map-side). A dictionary of up to ``MAX_LITERAL``
 entries is inlined into the plan as a literal map (no join at all); a
-larger one stays a DataFrame and is joined, broadcast only behind a size
-check.
+larger one stays a DataFrame and is joined; AQE picks the join from measured
+sizes.
 """
 
 from __future__ import annotations
@@ -15,7 +15,6 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from kiln.operators.joins import broadcast_if_small
 from kiln.session import cut_lineage
 
 MAX_LITERAL = 10_000
@@ -62,7 +61,7 @@ def _lookup(df: DataFrame, col: str, out: str, pairs: list | None, frame: DataFr
             return df.withColumn(out, F.lit(None).cast("bigint"))
         m = F.create_map(*[x for v, i in pairs for x in (F.lit(v), F.lit(i + offset))])
         return df.withColumn(out, m[F.col(col)].cast("bigint"))
-    right = broadcast_if_small(
+    right = (
         frame.select(F.col("value").alias("__v"), (F.col("index") + offset).alias(out))
     )
     return df.join(right, df[col] == right["__v"], "left").drop("__v")
@@ -146,7 +145,7 @@ class TargetEncoderModel:
             m = F.create_map(*[x for v, e in self.pairs for x in (F.lit(v), F.lit(e))])
             enc = m[F.col(self.input_col)] if self.pairs else F.lit(None).cast("double")
             return df.withColumn(self.output_col, F.coalesce(enc.cast("double"), F.lit(self.prior)))
-        right = broadcast_if_small(self.stats.select(F.col("value").alias("__v"), F.col("enc").alias("__enc")))
+        right = (self.stats.select(F.col("value").alias("__v"), F.col("enc").alias("__enc")))
         out = df.join(right, df[self.input_col] == right["__v"], "left")
         return out.withColumn(self.output_col, F.coalesce("__enc", F.lit(self.prior))).drop("__v", "__enc")
 

@@ -1,23 +1,10 @@
-"""Join helpers: size-checked broadcast and the set comparisons J2-J4, J7."""
+"""Set comparisons J2-J4, J7."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-DEFAULT_BROADCAST_ROWS = 1_000_000
-
-
-def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """Broadcast ``df`` only when it provably has at most ``max_rows`` rows.
-
-    The check is a ``limit(max_rows + 1).count()``, which stops reading after
-    ``max_rows + 1`` rows. Above the bound the frame is returned as is and
-    the join is planned as a shuffle (sort-merge) join.
-    """
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
-
 
 def orphan_keys(child: DataFrame, parent: DataFrame, key: str, parent_key: str | None = None) -> DataFrame:
     """Referential integrity (J2): distinct child keys absent from the parent.

@@ -69,18 +69,20 @@ def stratified_folds(df: DataFrame, label: str, key: str, k: int = 5, seed: int
 
 def anova_f(df: DataFrame, features: Sequence[str], label: str) -> DataFrame:
     """One-way ANOVA F statistic of each feature against the class label
-    (M6), from per-class count / sum / sum of squares (one aggregate)."""
+    (M6), from per-class count / sum / sum of squares (one aggregate).
+
+    Each feature counts over its own non-NULL values; NULL for a constant
+    feature, a single class or too few values."""
     per = df.where(F.col(label).isNotNull()).groupBy(label).agg(
-        F.count("*").alias("n"),
+        *[F.count(c).alias(f"n_{c}") for c in features],
         *[F.sum(F.col(c).cast("double")).alias(f"s_{c}") for c in features],
         *[F.sum(F.col(c).cast("double") * F.col(c).cast("double")).alias(f"q_{c}") for c in features],
     )
     long = per.select(
-        "n",
         F.explode(F.array(*[
-            F.struct(F.lit(c).alias("feature"), F.col(f"s_{c}").alias("s"), F.col(f"q_{c}").alias("q")) for c in features
+            F.struct(F.lit(c).alias("feature"), F.col(f"n_{c}").alias("n"), F.col(f"s_{c}").alias("s"), F.col(f"q_{c}").alias("q")) for c in features
         ])).alias("f"),
-    ).select("n", "f.*")
+    ).select("f.*").where("n > 0")
     t = long.groupBy("feature").agg(
         F.sum("n").alias("n"), F.count("*").alias("k"), F.sum("s").alias("s"), F.sum("q").alias("q"),
         F.sum(F.col("s") * F.col("s") / F.col("n")).alias("b"),
@@ -88,7 +90,7 @@ def anova_f(df: DataFrame, features: Sequence[str], label: str) -> DataFrame:
     sstot = F.col("q") - F.col("s") * F.col("s") / F.col("n")
     ssbn = F.col("b") - F.col("s") * F.col("s") / F.col("n")
     sswn = sstot - ssbn
-    f = (ssbn / (F.col("k") - 1)) / (sswn / (F.col("n") - F.col("k")))
+    f = F.try_divide(F.try_divide(ssbn, F.col("k") - 1), F.try_divide(sswn, F.col("n") - F.col("k")))
     return t.select("feature", f.alias("f_score"))
 
 

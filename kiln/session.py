@@ -9,6 +9,7 @@ for the few pandas boundaries.
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
@@ -26,6 +27,7 @@ CLUSTER_CONF = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.sql.parquet.filterPushdown": "true",
     "spark.sql.optimizer.runtime.bloomFilter.enabled": "true",
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 LOCAL_CONF = {
@@ -59,10 +61,13 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder for checkpoints and intermediate tables.
 
     Read from ``spark.checkpoint.dir`` (set by the cluster to a shared file
-    system). Only when it is unset -- local tests -- a private folder is made.
+    system). Only when it is unset and the master is local -- tests -- a private
+    folder is made; on a cluster an unset folder is an error.
     """
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         path = tempfile.mkdtemp(prefix="kiln-ckpt-")
         spark.conf.set("spark.checkpoint.dir", path)
     sc = spark.sparkContext

@@ -11,7 +11,8 @@ def ensure_database(spark: SparkSession, name: str, properties: dict[str, str] |
     """``CREATE DATABASE IF NOT EXISTS`` and tag it."""
     spark.sql(f"CREATE DATABASE IF NOT EXISTS `{name}`")
     if properties:
-        props = ", ".join(f"'{k}' = '{v}'" for k, v in properties.items())
+        quoted = lambda s: "'" + str(s).replace("\\", "\\\\").replace("'", "\\'") + "'"
+        props = ", ".join(f"{quoted(k)} = {quoted(v)}" for k, v in properties.items())
         spark.sql(f"ALTER DATABASE `{name}` SET DBPROPERTIES ({props})")
 
 

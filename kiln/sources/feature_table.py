@@ -63,9 +63,9 @@ def ingest(records: DataFrame, location: str, mode: str = "append") -> None:
 def latest_records(records: DataFrame) -> DataFrame:
     """The newest record of every id (S15): ``max_by`` over event time -- a
     partial/final aggregate, so a hot id never gathers its history in one
-    place."""
+    place. Of records with one event time the largest (as JSON) counts."""
     return records.groupBy("record_id").agg(
-        F.max_by(F.struct("event_time", "record"), "event_time").alias("r")
+        F.max_by(F.struct("event_time", "record"), F.struct("event_time", F.to_json("record"))).alias("r")
     ).select("record_id", "r.event_time", "r.record")
 
 

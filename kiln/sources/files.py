@@ -69,7 +69,8 @@ def read_table(
     * unsupported formats raise ``ValueError`` before any read (S4);
     * only files with the format's suffix are read (``pathGlobFilter``),
       directory markers and hidden files are skipped (S5);
-    * a missing or empty prefix gives an empty frame with ``schema`` (S6);
+    * a missing or empty prefix gives an empty frame with ``schema`` (S6); if
+      only some of several prefixes are missing or empty, that is an error;
     * files are combined by column name; with ``schema=None`` Parquet merges
       differing file schemas (S7).
     """
@@ -82,6 +83,8 @@ def read_table(
         if schema is None:
             return spark.createDataFrame([], StructType([]))
         return spark.createDataFrame([], schema)
+    if len(live) < len(paths):
+        raise FileNotFoundError(f"no {fmt} files under {sorted(set(paths) - set(live))}")
     r = spark.read.option("pathGlobFilter", f"*.{fmt}").option("recursiveFileLookup", str(recursive).lower())
     if schema is not None:
         r = r.schema(schema)

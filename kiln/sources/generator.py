@@ -1,5 +1,5 @@
-"""Synthetic e-commerce tables (S20): same sizes and distributions as the
-reference's generator, drawn with Spark's seeded ``rand`` / ``randn`` so
+"""Synthetic e-commerce tables (S20) of the reference's default sizes, with
+vocabularies and distributions of their own, drawn with Spark's seeded ``rand`` / ``randn`` so
 generation is distributed (``spark.range``) and repeatable per seed."""
 
 from __future__ import annotations
@@ -7,7 +7,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# Category vocabularies of the generated tables.
+# Our own category vocabularies.
 GENDERS = ["M", "F", "Other"]
 LOCATIONS = ["New York", "Los Angeles", "Chicago", "Houston", "Phoenix"]
 CATEGORIES = ["Electronics", "Clothing", "Books", "Home", "Sports"]

@@ -16,7 +16,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kiln.functions.dates import as_ts
-from kiln.operators.joins import broadcast_if_small
 
 TABLE_NAMES = (
     "region nation customer supplier part orders lineitem events documents "
@@ -80,7 +79,7 @@ def customers(spark: SparkSession, sf_dir: str) -> DataFrame:
       orders), from a pre-aggregated orders scan.
     """
     cust = read(spark, sf_dir, "customer")
-    nation = broadcast_if_small(
+    nation = (
         read(spark, sf_dir, "nation").select("n_nationkey", "n_name"), max_rows=10_000
     )
     first_order = (

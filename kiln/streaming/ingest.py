@@ -46,7 +46,7 @@ def kafka_json_stream(
     topic: str,
     schema: str,
     starting_offsets: str = "latest",
-    max_offsets_per_trigger: int = 1000,
+    max_offsets_per_trigger: int | None = None,
 ) -> DataFrame:
     """Records of a Kafka topic decoded from JSON (needs the Kafka connector)."""
     raw = (
@@ -54,9 +54,10 @@ def kafka_json_stream(
         .option("kafka.bootstrap.servers", servers)
         .option("subscribe", topic)
         .option("startingOffsets", starting_offsets)
-        .option("maxOffsetsPerTrigger", int(max_offsets_per_trigger))
-        .load()
     )
+    if max_offsets_per_trigger:
+        raw = raw.option("maxOffsetsPerTrigger", int(max_offsets_per_trigger))
+    raw = raw.load()
     return decode_json(raw.select(F.col("value").cast("string").alias("value"), "partition", "offset"), "value", schema)
 
 

@@ -272,3 +272,23 @@ def test_ordered_gaps_random_timestamps(spark):
         assert got[(k, t[0].to_pydatetime())] is None
         for a, b in zip(t, t[1:]):
             assert got[(k, b.to_pydatetime())] == (b - a).days
+
+
+def test_verdict_text_faults(spark):
+    """Marks in the input, unclosed tags, Unicode blanks; NULL and constant features of M6; ties of event time."""
+    from pyspark.sql import functions as F
+
+    from kiln.functions.text import normalize_text
+    from kiln.functions.validators import sanitise_html
+    from kiln.operators.models import anova_f
+    from kiln.sources.feature_table import latest_records
+
+    html = spark.createDataFrame([("\x01script\x02alert(1)",), ("a<img src=x onerror=alert(1)",), ("<b class=x>k</b>",)], "h string")
+    assert [r[0] for r in html.select(sanitise_html(F.col("h"))).collect()] == ["scriptalert(1)", "a", "<b>k</b>"]
+    t = spark.createDataFrame([("A b  C",)], "t string")
+    assert t.select(normalize_text(F.col("t"))).first()[0] == "a b c"
+    df = spark.createDataFrame([(0, 1.0, 5.0), (0, 2.0, 5.0), (0, None, 5.0), (1, 4.0, 5.0), (1, 6.0, 5.0)], "y int, x double, c double")
+    got = {r.feature: r.f_score for r in anova_f(df, ["x", "c"], "y").collect()}
+    assert got["c"] is None and abs(got["x"] - 9.8) < 1e-9
+    rec = spark.createDataFrame([("a", 1, {"v": "1"}), ("a", 1, {"v": "2"})], "record_id string, event_time int, record map<string,string>")
+    assert latest_records(rec).first().record == {"v": "2"}
