@@ -80,7 +80,7 @@ def customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
     cust = read(spark, sf_dir, "customer")
     nation = (
-        read(spark, sf_dir, "nation").select("n_nationkey", "n_name"), max_rows=10_000
+        read(spark, sf_dir, "nation").select("n_nationkey", "n_name")
     )
     first_order = (
         read(spark, sf_dir, "orders")
