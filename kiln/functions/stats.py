@@ -18,14 +18,13 @@ single task -- unusable on a high-cardinality column at 100 TB.
    (rank error <= n/accuracy) bracket every needed rank between two values;
 2. one pass: ``count_if(x < lo)`` / ``count_if(x <= hi)`` *verify* each
    bracket exactly (a failed side is widened to the column's min / max);
-3. one pass: the values inside the brackets -- at most ``n/accuracy`` rows
-   each -- are grouped to (value, count) pairs and collected; the order
-   statistic is read off the cumulative counts.
-
-A bracket larger than ``max_bracket`` rows (only after a widened side) is
-narrowed again with ``percentile_approx`` restricted to the bracket. All
-passes are ordinary partial/final aggregates, so no task ever holds more than
-its own partition plus the bounded bracket.
+3. one pass: the values inside all brackets are grouped to (bracket, value,
+   count) rows, range-partitioned and checkpointed; partition offsets and a
+   running count inside each partition give every row its rank range, and only
+   the rows that cover a needed rank -- two per bracket -- reach the driver.
+
+The number of jobs is fixed: it depends neither on the table nor on the
+number of columns, ranks or values in a bracket.
 """
 
 from __future__ import annotations
@@ -34,11 +33,12 @@ import math
 from collections.abc import Iterable, Sequence
 
 from pyspark import StorageLevel
-from pyspark.sql import Column, DataFrame, Row
+from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
 
+from kiln.session import cut_lineage
+
 APPROX_ACCURACY = 10_000
-MAX_BRACKET = 2_000_000
 
 
 def fit_row(df: DataFrame, exprs: Sequence[Column]) -> Row:
@@ -58,7 +58,6 @@ def exact_quantiles(
     cols: Sequence[str],
     probs: Sequence[float],
     accuracy: int = APPROX_ACCURACY,
-    max_bracket: int = MAX_BRACKET,
     moments: dict | None = None,
 ) -> dict[str, list[float | None]]:
     """Linear-interpolated quantiles of each column (NULL / NaN ignored).
@@ -76,12 +75,12 @@ def exact_quantiles(
     # lineage) instead of re-reading and re-deriving the input each pass.
     base = df.select(*[num[c].alias(c) for c in cols]).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        return _exact_quantiles(base, cols, probs, accuracy, max_bracket, moments)
+        return _exact_quantiles(base, cols, probs, accuracy, moments)
     finally:
         base.unpersist()
 
 
-def _exact_quantiles(base, cols, probs, accuracy, max_bracket, moments):
+def _exact_quantiles(base, cols, probs, accuracy, moments):
     delta = 2.0 / accuracy
     lo_p = [max(0.0, p - delta) for p in probs]
     hi_p = [min(1.0, p + delta) for p in probs]
@@ -101,129 +100,70 @@ def _exact_quantiles(base, cols, probs, accuracy, max_bracket, moments):
         for c in cols:
             moments[c] = (r1[f"n__{c}"], r1[f"av__{c}"], r1[f"sd__{c}"], r1[f"mn__{c}"], r1[f"mx__{c}"])
 
-    # Needed ranks per column, each with its candidate bracket [a, b].
-    need: dict[str, dict[int, list[float]]] = {}
+    # One bracket per (column, probability): it must cover both order statistics.
+    k = len(probs)
+    spans = []
     for c in cols:
-        n = r1[f"n__{c}"]
-        need[c] = {}
-        if not n:
-            continue
-        pa = r1[f"pa__{c}"]
-        k = len(probs)
-        for i, p in enumerate(probs):
-            lo, hi, _ = _ranks(n, p)
-            for r in (lo, hi):
-                a = pa[i]
-                b = pa[k + i]
-                cur = need[c].get(r)
-                need[c][r] = [a, b] if cur is None else [min(cur[0], a), max(cur[1], b)]
+        if r1[f"n__{c}"]:
+            pa = r1[f"pa__{c}"]
+            spans += [(c, i, *_ranks(r1[f"n__{c}"], p), pa[i], pa[k + i]) for i, p in enumerate(probs)]
+    out: dict[str, list[float | None]] = {c: [None] * k for c in cols}
+    if not spans:
+        return out
 
     # Verify every bracket with exact counts; widen a failed side.
-    checks: list[Column] = []
-    keys: list[tuple[str, int]] = []
-    for c, rk in need.items():
-        for r, (a, b) in rk.items():
-            keys.append((c, r))
-            checks += [F.count_if(F.col(c) < a), F.count_if(F.col(c) <= b)]
-    brackets: dict[tuple[str, int], tuple[float, float, int]] = {}
-    if checks:
-        r2 = fit_row(base, checks)
-        for i, (c, r) in enumerate(keys):
-            a, b = need[c][r]
-            below, upto = r2[2 * i], r2[2 * i + 1]
-            if below > r:
-                a, below = r1[f"mn__{c}"], 0
-            if upto <= r:
-                b, upto = r1[f"mx__{c}"], r1[f"n__{c}"]
-            if upto - below > max_bracket and a != b:
-                # Rare (only after a widened side): narrow with more passes.
-                a, b, below = _narrow(base, c, r, a, b, below, accuracy, max_bracket)
-            brackets[(c, r)] = (a, b, below)
-
-    # Collect the bracketed values as (value, count) pairs in one pass.
-    values = _bracket_values(base, brackets)
-    out: dict[str, list[float | None]] = {}
-    for c in cols:
-        n = r1[f"n__{c}"]
-        res: list[float | None] = []
-        for p in probs:
-            if not n:
-                res.append(None)
-                continue
-            lo, hi, frac = _ranks(n, p)
-            v_lo = _order_stat(values, brackets, c, lo)
-            v_hi = _order_stat(values, brackets, c, hi)
-            res.append(v_lo + (v_hi - v_lo) * frac if frac else v_lo)
-        out[c] = res
+    checks = [n for c, _, _, _, _, a, b in spans for n in (F.count_if(F.col(c) < a), F.count_if(F.col(c) <= b))]
+    r2 = fit_row(base, checks)
+    brackets = []
+    for j, (c, _, lo, hi, _, a, b) in enumerate(spans):
+        below, upto = r2[2 * j], r2[2 * j + 1]
+        if below > lo:
+            a, below = r1[f"mn__{c}"], 0
+        if upto <= hi:
+            b = r1[f"mx__{c}"]
+        brackets.append((c, a, b, lo - below, hi - below))
+
+    found = _order_stats(base, brackets)
+    for j, (c, i, _, _, frac, _, _) in enumerate(spans):
+        v_lo, v_hi = found[j]
+        out[c][i] = v_lo + (v_hi - v_lo) * frac if frac else v_lo
     return out
 
 
-def _count_range(base: DataFrame, c: str, a: float, b: float) -> tuple[int, int]:
-    row = fit_row(base, [F.count_if(F.col(c) < a), F.count_if(F.col(c) <= b)])
-    return row[0], row[1]
-
-
-def _narrow(base, c, r, a, b, below, accuracy, max_bracket):
-    while True:
-        _, upto = _count_range(base, c, a, b)
-        size = upto - below
-        if size <= max_bracket or a == b:
-            return (a, b, below)
-        sub = base.filter(F.col(c).between(a, b))
-        p = (r - below) / max(size - 1, 1)
-        d = 2.0 / accuracy
-        lo_v, hi_v = fit_row(
-            sub,
-            [F.percentile_approx(c, [max(0.0, p - d), min(1.0, p + d)], accuracy)],
-        )[0]
-        nb_below, nb_upto = _count_range(base, c, lo_v, hi_v)
-        if nb_below <= r < nb_upto and (nb_upto - nb_below) < size:
-            a, b, below = lo_v, hi_v, nb_below
-        else:
-            return (a, b, below)
-
-
-def _bracket_values(base: DataFrame, brackets) -> dict[tuple[str, int], list[tuple[float, int]]]:
-    if not brackets:
-        return {}
-    by_col: dict[str, list[tuple[float, float]]] = {}
-    for (c, _), (a, b, _) in brackets.items():
-        by_col.setdefault(c, []).append((a, b))
-    items = []
-    for c, ranges in by_col.items():
-        cond = None
-        for a, b in ranges:
-            term = F.col(c).between(a, b)
-            cond = term if cond is None else (cond | term)
-        items.append(F.when(cond, F.struct(F.lit(c).alias("k"), F.col(c).alias("v"))))
-    rows = (
-        base.select(F.explode(F.array(*items)).alias("kv"))
+def _order_stats(base: DataFrame, brackets) -> dict[int, tuple[float, float]]:
+    """The two values at the wanted ranks of each bracket ``(column, low,
+    high, rank, rank)``; ranks count from the bracket's first row."""
+    inside = [
+        F.when(F.col(c).between(a, b), F.struct(F.lit(j).alias("j"), F.col(c).alias("v")))
+        for j, (c, a, b, _, _) in enumerate(brackets)
+    ]
+    counts = (
+        base.select(F.explode(F.array(*inside)).alias("kv"))
         .where(F.col("kv").isNotNull())
-        .groupBy(F.col("kv.k").alias("k"), F.col("kv.v").alias("v"))
-        .count()
-        .collect()
+        .groupBy(F.col("kv.j").alias("j"), F.col("kv.v").alias("v"))
+        .agg(F.count("*").alias("n"))
+    )
+    parts = int(base.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    # checkpointed: both branches below must see the same partition ids
+    d = cut_lineage(counts.repartitionByRange(parts, "j", "v").withColumn("p", F.spark_partition_id()))
+    before = Window.partitionBy("j").orderBy("p").rowsBetween(Window.unboundedPreceding, -1)
+    # one row per (bracket, partition): at most brackets + partitions rows, whatever the table
+    offsets = d.groupBy("j", "p").agg(F.sum("n").alias("size")).select(
+        "j", "p", F.coalesce(F.sum("size").over(before), F.lit(0)).alias("off")
+    )
+    upto = F.sum("n").over(Window.partitionBy("j", "p").orderBy("v"))
+    ranked = d.withColumn("upto", upto).join(F.broadcast(offsets), ["j", "p"]).select(
+        "j", "v", (F.col("off") + F.col("upto")).alias("end"), (F.col("off") + F.col("upto") - F.col("n")).alias("start")
     )
-    per_col: dict[str, list[tuple[float, int]]] = {}
-    for row in rows:
-        per_col.setdefault(row["k"], []).append((row["v"], row["count"]))
-    out = {}
-    for (c, r), (a, b, _) in brackets.items():
-        out[(c, r)] = sorted((v, n) for v, n in per_col.get(c, []) if a <= v <= b)
-    return out
-
-
-def _order_stat(values, brackets, c: str, r: int) -> float:
-    _, _, below = brackets[(c, r)]
-    seen = below
-    for v, n in values[(c, r)]:
-        seen += n
-        if seen > r:
-            return v
-    raise RuntimeError(f"rank {r} of {c} not inside its verified bracket")
 
+    def covers(at: int) -> Column:
+        rank = F.create_map(*[F.lit(x) for j, b in enumerate(brackets) for x in (j, int(b[at]))])[F.col("j")]
+        return (F.col("start") <= rank) & (rank < F.col("end"))
 
-def quantile_literal(v: float | None) -> Column:
-    return F.lit(v).cast("double")
+    rows = ranked.select("j", "v", covers(3).alias("lo"), covers(4).alias("hi")).where("lo OR hi").collect()
+    lows = {r["j"]: r["v"] for r in rows if r["lo"]}
+    highs = {r["j"]: r["v"] for r in rows if r["hi"]}
+    return {j: (lows[j], highs[j]) for j in range(len(brackets))}
 
 
 def mode_per_group(df: DataFrame, keys: Iterable[str], col: str, out: str) -> DataFrame:

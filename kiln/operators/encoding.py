@@ -1,25 +1,20 @@
 """Categorical encoders with fit / transform semantics.
 
 ``fit`` builds a dictionary from ``distinct`` (a shuffle of the distinct
-values only, combined map-side). A dictionary of up to ``MAX_LITERAL``
-entries is inlined into the plan as a literal map (no join at all); a
-larger one stays a DataFrame and is joined; AQE picks the join from measured
-sizes.
+values only, combined map-side) and writes it to the checkpoint folder;
+``transform`` joins it, whatever its size. AQE picks the join from measured
+bytes: a small dictionary is broadcast, a skewed value of a large one is split.
 """
 
 from __future__ import annotations
 
-import math
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from kiln.session import cut_lineage
 
-MAX_LITERAL = 10_000
-MAX_ONEHOT = 1_000
-
 
 def _dictionary(df: DataFrame, col: str, partitions: int | None = None) -> DataFrame:
     """Sorted distinct non-NULL values with their 0-based rank.
@@ -48,39 +43,29 @@ def _dictionary(df: DataFrame, col: str, partitions: int | None = None) -> DataF
     )
 
 
-def _literal_or_frame(d: DataFrame) -> tuple[list | None, DataFrame]:
-    head = d.orderBy("index").limit(MAX_LITERAL + 1).collect()
-    if len(head) <= MAX_LITERAL:
-        return [(r["value"], r["index"]) for r in head], d
-    return None, d
-
-
-def _lookup(df: DataFrame, col: str, out: str, pairs: list | None, frame: DataFrame, offset: int = 0) -> DataFrame:
-    if pairs is not None:
-        if not pairs:
-            return df.withColumn(out, F.lit(None).cast("bigint"))
-        m = F.create_map(*[x for v, i in pairs for x in (F.lit(v), F.lit(i + offset))])
-        return df.withColumn(out, m[F.col(col)].cast("bigint"))
-    right = (
-        frame.select(F.col("value").alias("__v"), (F.col("index") + offset).alias(out))
-    )
-    return df.join(right, df[col] == right["__v"], "left").drop("__v")
+def _joined(df: DataFrame, col: str, out: str, right: DataFrame, value: str) -> DataFrame:
+    """``df`` with ``value`` of the row of ``right`` whose ``value`` column
+    equals ``col`` as ``out``; NULL where there is none."""
+    right = right.select(F.col("value").alias("__v"), F.col(value).alias("__out"))
+    found = df.drop(out).join(right, F.col(col) == F.col("__v"), "left").withColumn(out, F.col("__out"))
+    return found.drop("__v", "__out")
 
 
 @dataclass
 class LabelEncoderModel:
     input_col: str
     output_col: str
-    pairs: list | None
     frame: DataFrame
 
     @property
     def labels(self) -> list:
-        return [v for v, _ in self.pairs] if self.pairs is not None else []
+        """All values in index order; reads the whole dictionary into the
+        driver, for callers that want it as a list (``frame`` holds it else)."""
+        return [r["value"] for r in self.frame.orderBy("index").collect()]
 
     def transform(self, df: DataFrame) -> DataFrame:
         """Index of each value in the sorted dictionary; unseen -> NULL."""
-        return _lookup(df, self.input_col, self.output_col, self.pairs, self.frame)
+        return _joined(df, self.input_col, self.output_col, self.frame, "index")
 
 
 @dataclass
@@ -91,8 +76,7 @@ class LabelEncoder:
     output_col: str
 
     def fit(self, df: DataFrame) -> LabelEncoderModel:
-        pairs, frame = _literal_or_frame(_dictionary(df, self.input_col))
-        return LabelEncoderModel(self.input_col, self.output_col, pairs, frame)
+        return LabelEncoderModel(self.input_col, self.output_col, cut_lineage(_dictionary(df, self.input_col)))
 
 
 @dataclass
@@ -112,23 +96,26 @@ class OneHotEncoderModel:
 
 @dataclass
 class OneHotEncoder:
-    """Dummy columns for every category, none dropped (F8)."""
+    """Dummy columns for every category, none dropped (F8).
+
+    ``layout`` is the caller's choice: ``columns`` gives one 0/1 column per
+    category, so the schema grows with them; ``sparse`` gives one column
+    ``<prefix>_index``, the place of the row's 1 among the sorted categories
+    (NULL: all zeros), and keeps the dictionary on the cluster.
+    """
 
     input_col: str
     prefix: str | None = None
-    max_categories: int = MAX_ONEHOT
+    layout: str = "columns"
 
-    def fit(self, df: DataFrame) -> OneHotEncoderModel:
-        vals = (
-            df.select(self.input_col).where(F.col(self.input_col).isNotNull()).distinct()
-            .orderBy(self.input_col).limit(self.max_categories + 1).collect()
-        )
-        if len(vals) > self.max_categories:
-            raise ValueError(
-                f"{self.input_col} has more than {self.max_categories} categories; "
-                "one-hot columns would not fit a table schema"
-            )
-        return OneHotEncoderModel(self.input_col, self.prefix or self.input_col, [r[0] for r in vals])
+    def fit(self, df: DataFrame) -> OneHotEncoderModel | LabelEncoderModel:
+        prefix = self.prefix or self.input_col
+        if self.layout == "sparse":
+            return LabelEncoder(self.input_col, f"{prefix}_index").fit(df)
+        if self.layout != "columns":
+            raise ValueError(f"Unknown one-hot layout: {self.layout}")
+        values = df.select(self.input_col).where(F.col(self.input_col).isNotNull()).distinct().collect()
+        return OneHotEncoderModel(self.input_col, prefix, sorted(r[0] for r in values))
 
 
 @dataclass
@@ -137,17 +124,11 @@ class TargetEncoderModel:
     output_col: str
     prior: float
     stats: DataFrame
-    pairs: list | None
 
     def transform(self, df: DataFrame) -> DataFrame:
         """Smoothed category mean; unseen or missing category -> prior."""
-        if self.pairs is not None:
-            m = F.create_map(*[x for v, e in self.pairs for x in (F.lit(v), F.lit(e))])
-            enc = m[F.col(self.input_col)] if self.pairs else F.lit(None).cast("double")
-            return df.withColumn(self.output_col, F.coalesce(enc.cast("double"), F.lit(self.prior)))
-        right = (self.stats.select(F.col("value").alias("__v"), F.col("enc").alias("__enc")))
-        out = df.join(right, df[self.input_col] == right["__v"], "left")
-        return out.withColumn(self.output_col, F.coalesce("__enc", F.lit(self.prior))).drop("__v", "__enc")
+        out = _joined(df, self.input_col, self.output_col, self.stats, "enc")
+        return out.withColumn(self.output_col, F.coalesce(self.output_col, F.lit(self.prior)))
 
 
 @dataclass
@@ -173,10 +154,8 @@ class TargetEncoder:
         )
         w = F.lit(1.0) / (F.lit(1.0) + F.exp(-(F.col("n") - F.lit(self.min_samples_leaf)) / F.lit(self.smoothing)))
         enc = F.when(F.col("n") == 1, F.lit(prior)).otherwise(F.lit(prior) * (F.lit(1.0) - w) + F.col("mean") * w)
-        stats = stats.withColumn("enc", enc.cast("double"))
-        head = stats.select("value", "enc").limit(MAX_LITERAL + 1).collect()
-        pairs = [(r["value"], r["enc"]) for r in head] if len(head) <= MAX_LITERAL else None
-        return TargetEncoderModel(self.input_col, self.output_col or f"{self.input_col}_target", prior, stats, pairs)
+        stats = cut_lineage(stats.select("value", enc.cast("double").alias("enc")))
+        return TargetEncoderModel(self.input_col, self.output_col or f"{self.input_col}_target", prior, stats)
 
 
 @dataclass
@@ -184,14 +163,13 @@ class BinaryEncoderModel:
     input_col: str
     prefix: str
     n_bits: int
-    pairs: list | None
     frame: DataFrame
 
     def transform(self, df: DataFrame) -> DataFrame:
         """Base-2 digits of the 1-based ordinal, most significant first,
         as ``<prefix>_0 .. <prefix>_{k-1}``; unseen / missing -> all zeros."""
-        out = _lookup(df, self.input_col, "__ord", self.pairs, self.frame, offset=1)
-        o = F.coalesce(F.col("__ord"), F.lit(0))
+        out = _joined(df, self.input_col, "__ord", self.frame, "index")
+        o = F.coalesce(F.col("__ord") + 1, F.lit(0))
         digits = {
             f"{self.prefix}_{i}": F.shiftright(o, self.n_bits - 1 - i).bitwiseAND(F.lit(1)).cast("bigint")
             for i in range(self.n_bits)
@@ -209,11 +187,9 @@ class BinaryEncoder:
     prefix: str | None = None
 
     def fit(self, df: DataFrame) -> BinaryEncoderModel:
-        d = _dictionary(df, self.input_col)
-        pairs, frame = _literal_or_frame(d)
-        n = len(pairs) if pairs is not None else d.count()
-        n_bits = max(1, int(n).bit_length())
-        return BinaryEncoderModel(self.input_col, self.prefix or self.input_col, n_bits, pairs, frame)
+        frame = cut_lineage(_dictionary(df, self.input_col))
+        n_bits = max(1, frame.count().bit_length())
+        return BinaryEncoderModel(self.input_col, self.prefix or self.input_col, n_bits, frame)
 
 
 def value_counts(df: DataFrame, col: str, normalize: bool = False) -> DataFrame:

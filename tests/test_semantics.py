@@ -230,17 +230,51 @@ def test_drift_categorical_l1(spark):
     assert r.drift_score == pytest.approx(abs(0.5 - 0.5) + 0.25 + 0.25 + 0.5)
 
 
-def test_exact_quantiles_narrowing_path(spark):
-    # A tiny bracket bound forces the extra narrowing passes used at scale.
+@pytest.mark.parametrize("accuracy", [10, 10_000])
+def test_exact_quantiles_collect_only_ranks(spark, accuracy, monkeypatch):
+    # A coarse sketch leaves brackets of nearly half the table: they stay on the cluster.
+    df = spark.range(1_000_000).select(
+        (F.xxhash64("id") % 100_003 / 8).alias("x"),
+        F.when(F.col("id") % 3 == 0, F.lit(None)).otherwise(F.col("id") % 5).cast("double").alias("y"),
+        F.lit(None).cast("double").alias("none"),
+    )
+    collected, collect = [], type(df).collect
+    monkeypatch.setattr(type(df), "collect", lambda self: (rows := collect(self), collected.append(len(rows)))[0])
+    probs = [0.0, 0.1, 0.5, 0.9, 1.0]
+    got = exact_quantiles(df, ["x", "y", "none"], probs, accuracy=accuracy)
+    monkeypatch.undo()
+    assert len(collected) == 3 and max(collected) <= 2 * 2 * len(probs)
+    pdf = df.toPandas()
+    for c in ("x", "y"):
+        assert np.allclose(got[c], [pdf[c].quantile(p) for p in probs], rtol=0, atol=1e-9)
+    assert got["none"] == [None] * len(probs)
+
+
+def test_exact_quantiles_random_columns(spark):
     rng = np.random.default_rng(7)
     vals = np.round(rng.exponential(3.0, size=2000), 2).tolist()
     df = spark.createDataFrame([(v,) for v in vals], "x double")
     probs = [0.1, 0.5, 0.9]
-    got = exact_quantiles(df, ["x"], probs, accuracy=20, max_bracket=25)["x"]
+    got = exact_quantiles(df, ["x"], probs, accuracy=20)["x"]
     want = [pd.Series(vals).quantile(p) for p in probs]
     assert np.allclose(got, want, rtol=0, atol=1e-12)
 
 
+def test_encoders_beyond_twenty_thousand_values(spark):
+    df = spark.range(40_000).select("id", F.format_string("v%05d", F.col("id") % 20_000).alias("c"),
+                                    (F.col("id") % 2).cast("double").alias("y"))
+    odd = df.unionByName(spark.createDataFrame([(-1, None, 1.0), (-2, "new", 1.0)], "id long, c string, y double"))
+    m = encoding.LabelEncoder("c", "e").fit(df)
+    assert m.labels == [f"v{i:05d}" for i in range(20_000)]
+    assert m.transform(odd).where("e = id % 20000").count() == 40_000
+    assert {r.id for r in m.transform(odd).where("e IS NULL").collect()} == {-1, -2}
+    sparse = encoding.OneHotEncoder("c", layout="sparse").fit(df).transform(odd)
+    assert sparse.where("c_index = id % 20000").count() == 40_000 and sparse.count() == 40_002
+    assert encoding.TargetEncoder("c", "y").fit(df).transform(odd).where("c_target IS NOT NULL").count() == 40_002
+    wide = encoding.OneHotEncoder("c").fit(df.where("id < 1500"))
+    assert len(wide.values) == 1500
+
+
 def test_interaction_gaps_random_timestamps(spark):
     rng = np.random.default_rng(11)
     base = pd.Timestamp("2024-01-01")
