@@ -10,21 +10,23 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
-from pyspark.ml import Pipeline, PipelineModel
+from pyspark import StorageLevel
+from pyspark.ml import PipelineModel
 from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator, RegressionEvaluator
-from pyspark.ml.feature import StandardScaler as MLStandardScaler
-from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.feature import SQLTransformer, VectorAssembler
 from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from kiln.functions.stats import fit_row
 from kiln.operators.binning import fit_quantile_bins
 from kiln.session import cut_lineage
 
 
-def _bucket(key: Column, seed: int, modulo: int) -> Column:
-    return F.pmod(F.xxhash64(key, F.lit(seed)), F.lit(modulo))
+def _hash(key: Column, seed: int) -> Column:
+    """Hex MD5 of the key as text and the seed: any SQL engine can repeat it."""
+    return F.md5(F.concat_ws("|", key.cast("string"), F.lit(str(seed))))
 
 
 # --------------------------------------------------------------------------
@@ -33,7 +35,7 @@ def _bucket(key: Column, seed: int, modulo: int) -> Column:
 
 def train_test_split(df: DataFrame, key: str, test_size: float = 0.2, seed: int = 42) -> tuple[DataFrame, DataFrame]:
     """Hash split of the rows by ``key`` (M1)."""
-    b = _bucket(F.col(key), seed, 10_000)
+    b = F.conv(F.substring(_hash(F.col(key), seed), 1, 8), 16, 10).cast("bigint") % 10_000
     cut = int(round((1.0 - test_size) * 10_000))
     return df.where(b < cut), df.where(b >= cut)
 
@@ -45,22 +47,22 @@ def stratified_folds(df: DataFrame, label: str, key: str, k: int = 5, seed: int
     number of rows of each class (+-1) (M3).
 
     A global rank per class is computed without gathering a class in one
-    task: rows are cut into hash buckets of about ``rows_per_bucket`` rows;
-    bucket offsets come from a small (class, bucket) count table, and the
-    rank inside a bucket from a window over that bucket only.
+    task: rows are cut into buckets of about ``rows_per_bucket`` rows by the
+    leading digits of the hash, so (bucket, hash) order is hash order and the
+    fold of a row is the same for any number of buckets. Bucket offsets come
+    from a small (class, bucket) count table, and the rank inside a bucket
+    from a window over that bucket only.
     """
-    n = df.count()
-    n_buckets = max(1, math.ceil(n / rows_per_bucket))
-    h = F.xxhash64(F.col(key), F.lit(seed))
-    with_b = df.withColumns({"__h": h, "__b": F.pmod(h, F.lit(n_buckets))})
-    counts = with_b.groupBy(label, "__b").agg(F.count("*").alias("__n"))
-    offs = counts.withColumn(
-        "__off", F.sum("__n").over(Window.partitionBy(label).orderBy("__b").rowsBetween(Window.unboundedPreceding, -1))
-    ).select(label, "__b", F.coalesce("__off", F.lit(0)).alias("__off"))
-    ranked = with_b.join(offs, [label, "__b"]).withColumn(
+    digits = max(0, math.ceil(math.log(max(df.count(), 1) / rows_per_bucket, 16)))
+    with_b = df.withColumn("__h", _hash(F.col(key), seed)).withColumn("__b", F.substring("__h", 1, digits))
+    counts = with_b.groupBy(F.col(label).alias("__y"), F.col("__b").alias("__c")).agg(F.count("*").alias("__n"))
+    offs = counts.select("__y", "__c", F.coalesce(
+        F.sum("__n").over(Window.partitionBy("__y").orderBy("__c").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)
+    ).alias("__off"))
+    ranked = with_b.join(offs, F.col(label).eqNullSafe(F.col("__y")) & (F.col("__b") == F.col("__c"))).withColumn(
         "__r", F.row_number().over(Window.partitionBy(label, "__b").orderBy("__h", key)) - 1 + F.col("__off")
     )
-    return ranked.withColumn("fold", (F.col("__r") % k).cast("int")).drop("__h", "__b", "__off", "__r")
+    return ranked.withColumn("fold", (F.col("__r") % k).cast("int")).drop("__h", "__b", "__off", "__r", "__y", "__c")
 
 
 # --------------------------------------------------------------------------
@@ -128,8 +130,42 @@ def mutual_information(df: DataFrame, features: Sequence[str], label: str, bins:
 # Spark ML models
 # --------------------------------------------------------------------------
 
-def _assembled(df: DataFrame, features: Sequence[str], out: str = "features") -> DataFrame:
-    return VectorAssembler(inputCols=list(features), outputCol=out, handleInvalid="keep").transform(df)
+def _known(train: DataFrame, label: str) -> DataFrame:
+    """The rows that can train: those with a label, as double ``label``."""
+    return train.where(F.col(label).isNotNull()).withColumn("label", F.col(label).cast("double"))
+
+
+def prepare_features(train: DataFrame, features: Sequence[str], fill: float | str = "mean", scale: bool = False) -> PipelineModel:
+    """Feature vector of every row, gaps (NULL, NaN) filled, none dropped.
+
+    ``fill`` is a constant or ``mean`` (of the training rows; 0 for a column
+    without values); ``scale`` standardises with the mean and population
+    deviation of the filled training rows (a constant column is only
+    centred). One aggregate over the training part.
+    """
+    x = {c: F.nanvl(F.col(c).cast("double"), F.lit(None).cast("double")) for c in features}
+    stats = [None] * len(x)
+    if scale or fill == "mean":
+        stats = fit_row(train, [F.struct(F.avg(v).alias("mean")) for v in x.values()])
+    gaps = [float((r["mean"] if r else 0.0) or 0.0) if fill == "mean" else float(fill) for r in stats]
+    shift = [(0.0, 1.0)] * len(x)
+    if scale:
+        filled = [F.coalesce(v, F.lit(g)) for v, g in zip(x.values(), gaps)]
+        r = fit_row(train, [F.struct(F.avg(v).alias("m"), F.stddev_pop(v).alias("s")) for v in filled])
+        shift = [(m or 0.0, s or 1.0) for m, s in r]
+
+    def number(v: float) -> str:
+        return f"CAST('{v!r}' AS DOUBLE)"
+
+    cols = ", ".join(
+        f"(coalesce(nanvl(CAST(`{c}` AS DOUBLE), CAST(NULL AS DOUBLE)), {number(g)}) - {number(m)}) / {number(s)} AS __x{i}"
+        for i, (c, g, (m, s)) in enumerate(zip(features, gaps, shift))
+    )
+    names = [f"__x{i}" for i in range(len(x))]
+    return PipelineModel([
+        SQLTransformer(statement=f"SELECT *, {cols} FROM __THIS__"),
+        VectorAssembler(inputCols=names, outputCol="features"),
+    ])
 
 
 def logistic_regression(n_train: int, c: float = 1.0, max_iter: int = 1000) -> LogisticRegression:
@@ -138,15 +174,13 @@ def logistic_regression(n_train: int, c: float = 1.0, max_iter: int = 1000) -> L
                               standardization=False, maxIter=max_iter, featuresCol="features", labelCol="label")
 
 
-def fit_logistic(train: DataFrame, features: Sequence[str], label: str):
-    """Scale on the training part, fit logistic regression (M2 + M5)."""
-    n = train.count()
-    pipe = Pipeline(stages=[
-        VectorAssembler(inputCols=list(features), outputCol="raw", handleInvalid="skip"),
-        MLStandardScaler(inputCol="raw", outputCol="features", withMean=True, withStd=True),
-        logistic_regression(n),
-    ])
-    return pipe.fit(train.withColumn("label", F.col(label).cast("double")))
+def fit_logistic(train: DataFrame, features: Sequence[str], label: str, fill: float | str = 0.0, scale: bool = True):
+    """Fill gaps (with 0 by default), scale on the training part, fit
+    logistic regression (M2 + M5)."""
+    known = _known(train, label)
+    prep = prepare_features(known, features, fill, scale)
+    model = logistic_regression(known.count()).fit(prep.transform(known))
+    return PipelineModel([prep, model])
 
 
 def accuracy(model: PipelineModel, test: DataFrame, label: str) -> float:
@@ -155,9 +189,10 @@ def accuracy(model: PipelineModel, test: DataFrame, label: str) -> float:
 
 
 def cross_validate(df: DataFrame, features: Sequence[str], label: str, key: str, k: int = 5, seed: int = 42) -> DataFrame:
-    """Accuracy of scaler + logistic regression refitted on each fold split
-    (M4); the folds are written once to the checkpoint folder."""
-    folded = cut_lineage(stratified_folds(df.select(key, label, *features), label, key, k, seed))
+    """Accuracy of fill + scaler + logistic regression refitted on each fold
+    split (M4); the folds are written once to the checkpoint folder. Only rows
+    with a label count."""
+    folded = cut_lineage(stratified_folds(df.select(key, label, *features).where(F.col(label).isNotNull()), label, key, k, seed))
     rows = []
     for f in range(k):
         model = fit_logistic(folded.where(F.col("fold") != f), features, label)
@@ -166,12 +201,12 @@ def cross_validate(df: DataFrame, features: Sequence[str], label: str, key: str,
 
 
 def recursive_elimination(df: DataFrame, features: Sequence[str], label: str, n_select: int = 3) -> list[str]:
-    """Drop the feature with the smallest absolute (scaled) coefficient
-    until ``n_select`` remain (M7)."""
+    """Drop the feature with the smallest absolute coefficient until
+    ``n_select`` remain (M7); gaps take the mean, nothing is scaled."""
     keep = list(features)
     data = cut_lineage(df.select(label, *features))
     while len(keep) > n_select:
-        model = fit_logistic(data, keep, label)
+        model = fit_logistic(data, keep, label, fill="mean", scale=False)
         coef = model.stages[-1].coefficients.toArray()
         keep.pop(int(min(range(len(keep)), key=lambda i: coef[i] ** 2)))
     return keep
@@ -179,7 +214,8 @@ def recursive_elimination(df: DataFrame, features: Sequence[str], label: str, n_
 
 def forest_importance(df: DataFrame, features: Sequence[str], label: str, trees: int = 100, seed: int = 42) -> DataFrame:
     """Random-forest importances; ``selected`` = importance >= median (M8)."""
-    data = _assembled(df.withColumn("label", F.col(label).cast("double")), features)
+    known = _known(df, label)
+    data = prepare_features(known, features).transform(known)
     rf = RandomForestClassifier(numTrees=trees, seed=seed, featuresCol="features", labelCol="label").fit(data)
     imp = [float(x) for x in rf.featureImportances.toArray()]
     s = sorted(imp)
@@ -192,8 +228,9 @@ def forest_importance(df: DataFrame, features: Sequence[str], label: str, trees:
 def compare_regressors(df: DataFrame, features: Sequence[str], label: str, key: str, seed: int = 42) -> DataFrame:
     """Test MSE of linear regression and a random forest."""
     train, test = train_test_split(df, key, 0.2, seed)
-    data_tr = _assembled(train, features).withColumn("label", F.col(label).cast("double"))
-    data_te = _assembled(test, features).withColumn("label", F.col(label).cast("double"))
+    train, test = _known(train, label), _known(test, label)
+    prep = prepare_features(train, features)
+    data_tr, data_te = prep.transform(train), prep.transform(test)
     ev = RegressionEvaluator(metricName="mse")
     rows = []
     for name, est in [("linear_regression", LinearRegression()), ("random_forest", RandomForestRegressor(seed=seed))]:
@@ -203,47 +240,58 @@ def compare_regressors(df: DataFrame, features: Sequence[str], label: str, key:
 
 def boosted_trees(df: DataFrame, features: Sequence[str], label: str, rounds: int = 50, depth: int = 6,
                   step: float = 0.3, seed: int = 42):
-    """Squared-error boosted trees (M11); returns the fitted pipeline and
-    the training RMSE after every round. Defaults follow the reference job:
-    50 rounds of squared error with the library's default depth 6 and
-    learning rate 0.3."""
-    pipe = Pipeline(stages=[
-        VectorAssembler(inputCols=list(features), outputCol="features", handleInvalid="skip"),
-        GBTRegressor(maxIter=rounds, maxDepth=depth, stepSize=step, lossType="squared", seed=seed, labelCol="label"),
-    ])
-    data = df.withColumn("label", F.col(label).cast("double"))
-    model = pipe.fit(data)
-    losses = model.stages[-1].evaluateEachIteration(model.stages[0].transform(data), "squared")
-    # evaluateEachIteration reports the mean squared error per round.
-    curve = [(i, math.sqrt(l)) for i, l in enumerate(losses)]
-    return model, df.sparkSession.createDataFrame(curve, "round int, rmse double")
+    """Squared-error boosted trees (M11): the fitted pipeline. Defaults follow
+    the reference job: 50 rounds of squared error with the library's default
+    depth 6 and learning rate 0.3. Gaps take the training mean."""
+    known = _known(df, label)
+    prep = prepare_features(known, features)
+    # read by every round; lost blocks are recomputed from lineage
+    data = prep.transform(known).select("features", "label").persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        trees = GBTRegressor(maxIter=rounds, maxDepth=depth, stepSize=step, lossType="squared", seed=seed)
+        return PipelineModel([prep, trees.fit(data)])
+    finally:
+        data.unpersist()
+
+
+def loss_curve(model: PipelineModel, df: DataFrame, label: str) -> DataFrame:
+    """RMSE of a boosted-trees pipeline on ``df`` after every round."""
+    data = model.stages[0].transform(_known(df, label)).select("features", "label").persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        losses = model.stages[1].evaluateEachIteration(data, "squared")  # mean squared errors
+    finally:
+        data.unpersist()
+    return df.sparkSession.createDataFrame([(i, math.sqrt(x)) for i, x in enumerate(losses)], "round int, rmse double")
 
 
 def score(model: PipelineModel, df: DataFrame, keep: Sequence[str]) -> DataFrame:
-    """Batch scoring with a fitted pipeline."""
+    """Batch scoring with a fitted pipeline (M12): every row of ``df`` gets a score."""
     return model.transform(df).select(*keep, "prediction")
 
 
+def background_rows(df: DataFrame, key: str, samples: int = 64, seed: int = 42) -> DataFrame:
+    """The background of M13: the ``samples`` rows with the smallest hashes of
+    ``key`` (a sample on purpose, the same on any partitioning)."""
+    return cut_lineage(df.orderBy(_hash(F.col(key), seed), key).limit(samples))
+
+
 def shapley_values(model, background: DataFrame, explain: Sequence[dict], features: Sequence[str],
-                   samples: int = 64, seed: int = 42) -> DataFrame:
+                   key: str, seed: int = 42) -> DataFrame:
     """Monte-Carlo Shapley values of ``model`` for the rows in ``explain``
     (M13), sampled permutation estimator.
 
-    For ``samples`` background rows z (a seeded sample of the table) and a
-    seeded permutation per (z, explained row), the hybrid rows "features
-    before j from x, the rest from z" with and without feature j are built
-    by ``explode`` (no join) and scored in one ``transform``; the marginal
-    contributions are averaged per (row, feature). Per (z, permutation)
-    the contributions telescope to f(x) - f(z), so the values sum exactly
-    to f(x) - mean f(z).
+    For each row z of ``background`` (see ``background_rows``; named by its
+    unique ``key``) and a seeded permutation per (z, explained row), the hybrid
+    rows "features before j from x, the rest from z" with and without feature j
+    are built by ``explode`` (no join) and scored in one ``transform``; the
+    marginal contributions are averaged per (row, feature). Per (z,
+    permutation) the contributions telescope to f(x) - f(z), so the values sum
+    exactly to f(x) - mean f(z).
     """
     feats = list(features)
     n_feat = len(feats)
-    total = background.count()
-    frac = min(1.0, (samples * 1.5) / max(total, 1))
-    bg = background.select(*feats).sample(False, frac, seed).limit(samples).withColumn("__z", F.monotonically_increasing_id())
-    bg = cut_lineage(bg)
-    xs = F.array(*[F.struct(F.lit(i).alias("row"), *[F.lit(float(r[c])).alias(c) for c in feats]) for i, r in enumerate(explain)])
+    bg = background.select(F.col(key).alias("__z"), *feats)
+    xs = F.array(*[F.struct(F.lit(i).alias("row"), *[F.lit(r[c]).cast("double").alias(c) for c in feats]) for i, r in enumerate(explain)])
     steps = F.array(*[F.lit(j) for j in range(n_feat)])
     ex = bg.select("__z", *[F.col(c).alias(f"z_{c}") for c in feats], F.explode(xs).alias("x"))
     ex = ex.select("*", F.explode(steps).alias("pos"))

@@ -399,14 +399,18 @@ def drift_report(
         counts = both.groupBy("k", "v").agg(
             F.count_if(F.col("side") == 0).alias("nr"), F.count_if(F.col("side") == 1).alias("nc")
         )
-        totals = counts.groupBy("k").agg(F.sum("nr").alias("tr"), F.sum("nc").alias("tc"))
+        # totals are one number per column and side: literals, no join on the column name
+        tr, tc = (
+            F.create_map(*[x for c, n in zip(cat, fit_row(df, [F.count(_q(c)) for c in cat])) for x in (F.lit(c), F.lit(n))])[F.col("k")]
+            for df in (ref, cur)
+        )
         scored = (
-            counts.join(totals, "k")
+            counts
             .withColumn(
                 "d",
                 F.abs(
-                    F.coalesce(F.try_divide(F.col("nr").cast("double"), F.col("tr")), F.lit(0.0))
-                    - F.coalesce(F.try_divide(F.col("nc").cast("double"), F.col("tc")), F.lit(0.0))
+                    F.coalesce(F.try_divide(F.col("nr").cast("double"), tr), F.lit(0.0))
+                    - F.coalesce(F.try_divide(F.col("nc").cast("double"), tc), F.lit(0.0))
                 ),
             )
             .groupBy("k")

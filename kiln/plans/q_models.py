@@ -68,7 +68,15 @@ def m9_mutual_information(spark, sf_dir):
 
 
 # ------------------------------------------------------------------ rows-only (random draws, fitted models)
-@query("m1_train_test_split")
+_LINE_HASH = "md5('{' || l_orderkey || ', ' || l_linenumber || '}|42')"
+
+
+@query(
+    "m1_train_test_split",
+    sql=f"""SELECT l_orderkey, l_linenumber,
+  CASE WHEN CAST('0x' || substr({_LINE_HASH}, 1, 8) AS BIGINT) % 10000 < 8000 THEN 'train' ELSE 'test' END AS split
+FROM lineitem""",
+)
 def m1_train_test_split(spark, sf_dir):
     """Hash split of the order lines into train / test (80 / 20)."""
     li = read(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber")
@@ -79,7 +87,12 @@ def m1_train_test_split(spark, sf_dir):
     )
 
 
-@query("m3_stratified_folds")
+@query(
+    "m3_stratified_folds",
+    sql=with_ctes("ldoc") + """
+SELECT doc_id, quality, CAST((row_number() OVER (PARTITION BY quality ORDER BY md5(doc_id || '|42'), doc_id) - 1) % 5 AS INTEGER) AS fold
+FROM ldoc""",
+)
 def m3_stratified_folds(spark, sf_dir):
     """Five stratified folds of the labelled documents."""
     d = T.labelled_documents(spark, sf_dir)
@@ -128,8 +141,9 @@ def m10_compare_regressors(spark, sf_dir):
 @query("m11_boosted_trees")
 def m11_boosted_trees(spark, sf_dir):
     """Training RMSE after each of 50 boosting rounds."""
-    _, curve = M.boosted_trees(_lines(spark, sf_dir), REG_FEATURES, "l_extendedprice", rounds=50)
-    return curve
+    lines = _lines(spark, sf_dir)
+    model = M.boosted_trees(lines, REG_FEATURES, "l_extendedprice", rounds=50)
+    return M.loss_curve(model, lines, "l_extendedprice")
 
 
 @query("m12_batch_scoring")
@@ -137,23 +151,22 @@ def m12_batch_scoring(spark, sf_dir):
     """A boosted-trees pipeline fitted on the train split scores every line."""
     lines = _lines(spark, sf_dir)
     tr, _ = M.train_test_split(lines, "k")
-    model, _ = M.boosted_trees(tr, REG_FEATURES, "l_extendedprice", rounds=10)
+    model = M.boosted_trees(tr, REG_FEATURES, "l_extendedprice", rounds=10)
     return M.score(model, lines, ["l_orderkey", "l_linenumber"])
 
 
 @query("m13_shapley_values")
 def m13_shapley_values(spark, sf_dir):
     """Shapley values of a forest's predictions for ten documents."""
+    from pyspark.ml import PipelineModel
     from pyspark.ml.regression import RandomForestRegressor
-    from pyspark.ml import Pipeline
-    from pyspark.ml.feature import VectorAssembler
 
-    d = T.labelled_documents(spark, sf_dir).na.drop(subset=DOC_FEATURES)
-    pipe = Pipeline(stages=[VectorAssembler(inputCols=DOC_FEATURES, outputCol="features"),
-                            RandomForestRegressor(labelCol="quality", numTrees=20, seed=42)])
-    model = pipe.fit(d)
+    d = T.labelled_documents(spark, sf_dir)
+    prep = M.prepare_features(d, DOC_FEATURES)
+    forest = RandomForestRegressor(labelCol="quality", numTrees=20, seed=42).fit(prep.transform(d.where("quality IS NOT NULL")))
     explain = [r.asDict() for r in d.orderBy("doc_id").limit(10).collect()]
-    return M.shapley_values(model, d, explain, DOC_FEATURES, samples=32)
+    background = M.background_rows(d, "doc_id", samples=32)
+    return M.shapley_values(PipelineModel([prep, forest]), background, explain, DOC_FEATURES, "doc_id")
 
 
 @query(

@@ -165,6 +165,8 @@ def test_stratified_folds_balanced(spark):
     for y in (0, 1):
         c = [counts[(y, f)] for f in range(5)]
         assert max(c) - min(c) <= 1
+    one = {r.id: r.fold for r in models.stratified_folds(df, "y", "id", 5).collect()}
+    assert one == {r.id: r.fold for r in out.collect()}
 
 
 def test_split_is_repeatable(spark):
@@ -186,10 +188,29 @@ def test_shapley_sum_property(spark):
     df = spark.createDataFrame([tuple(map(float, r)) + (float(t),) for r, t in zip(x, y)], "a double, b double, c double, y double")
     model = Pipeline(stages=[VectorAssembler(inputCols=["a", "b", "c"], outputCol="features"),
                              LinearRegression(labelCol="y")]).fit(df)
-    explain = [r.asDict() for r in df.limit(3).collect()]
-    sv = models.shapley_values(model, df, explain, ["a", "b", "c"], samples=16)
+    df = df.withColumn("id", F.monotonically_increasing_id())
+    explain = [r.asDict() for r in df.orderBy("id").limit(3).collect()]
+    bg = models.background_rows(df, "id", samples=16)
+    assert {r.id for r in bg.collect()} == {r.id for r in models.background_rows(df.repartition(5), "id", samples=16).collect()}
+    sv = models.shapley_values(model, bg, explain, ["a", "b", "c"], "id")
     per_row = {r.row: r.s for r in sv.groupBy("row").agg(F.sum("shapley_value").alias("s")).collect()}
-    assert len(per_row) == 3 and all(np.isfinite(v) for v in per_row.values())
+    mean = model.transform(bg).agg(F.avg("prediction")).first()[0]
+    want = [r.prediction - mean for r in model.transform(df).orderBy("id").limit(3).collect()]
+    assert [per_row[i] for i in range(3)] == pytest.approx(want)
+
+
+def test_rows_with_gaps_are_trained_on_and_scored(spark):
+    rows = [(i, None if i % 7 == 0 else float(i % 10), float("nan") if i % 5 == 0 else float(i), float(i > 50), i % 11 or None)
+            for i in range(100)]
+    df = spark.createDataFrame(rows, "id long, a double, b double, y double, z long")
+    logistic = models.fit_logistic(df, ["a", "b", "z"], "y")
+    assert logistic.transform(df).where("prediction IS NOT NULL").count() == 100
+    trees = models.boosted_trees(df, ["a", "b", "z"], "y", rounds=2, depth=2)
+    assert models.score(trees, df, ["id"]).where("prediction IS NOT NULL").count() == 100
+    got = models.prepare_features(df, ["a"], "mean", scale=True).transform(df).select("id", "features").collect()
+    x = np.array([np.nan if r[1] is None else r[1] for r in rows])
+    x = np.where(np.isnan(x), np.nanmean(x), x)
+    assert [r.features[0] for r in sorted(got)] == pytest.approx(list((x - x.mean()) / x.std()))
 
 
 def test_stream_equals_batch(spark):
@@ -240,7 +261,8 @@ def test_boosted_trees_curve_is_training_rmse(spark):
     x = rng.normal(size=(300, 2))
     y = 3 * x[:, 0] - x[:, 1] ** 2
     df = spark.createDataFrame([(float(a), float(b), float(t)) for (a, b), t in zip(x, y)], "a double, b double, y double")
-    model, curve = models.boosted_trees(df, ["a", "b"], "y", rounds=8, depth=3)
+    model = models.boosted_trees(df, ["a", "b"], "y", rounds=8, depth=3)
+    curve = models.loss_curve(model, df, "y")
     rmse = [r.rmse for r in curve.orderBy("round").collect()]
     pred = model.transform(df.withColumn("label", F.col("y")))
     want = RegressionEvaluator(metricName="rmse").evaluate(pred)
