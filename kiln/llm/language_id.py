@@ -48,21 +48,56 @@ def parts(word: str) -> list[str]:
 
 
 class Pieces:
-    """The vocabulary: piece texts to numbers; number ``size`` stands for a letter that is no piece."""
+    """The vocabulary: piece texts to numbers; number ``size`` stands for a letter that is no piece.
+
+    The pieces form a trie whose edges are one sorted array of (node, letter)
+    keys, so the spans of many words are looked up with one search a length.
+    """
 
     def __init__(self, pieces: list[str]):
         self.index = {p: i for i, p in enumerate(dict.fromkeys(pieces))}
         self.size = len(self.index)
         self.longest = max(map(len, self.index), default=1)
+        edges, ends = {}, [-1]
+        for name, number in self.index.items():
+            node = 0
+            for letter in map(ord, name):
+                node = edges.setdefault(node << 21 | letter, len(ends))
+                if node == len(ends):
+                    ends.append(-1)
+            ends[node] = number
+        keys = np.fromiter(edges.keys(), np.int64, len(edges))
+        order = np.argsort(keys)
+        self.keys = np.append(keys[order], np.iinfo(np.int64).max)
+        self.to = np.append(np.fromiter(edges.values(), np.int64, len(edges))[order], 0)
+        self.ends = np.array(ends, dtype=np.int64)
 
     def spans(self, n: int) -> list[tuple[int, int]]:
         return [(i, j) for j in range(1, n + 1) for i in range(max(0, j - self.longest), j)]
 
     def lattice(self, batch: list[str]) -> np.ndarray:
         """Piece number of every span of words of one length; -1 if the span is no piece."""
-        spans, get, size = self.spans(len(batch[0])), self.index.get, self.size
-        flat = [get(w[i:j], size if j - i == 1 else -1) for w in batch for i, j in spans]
-        return np.array(flat, dtype=np.int64).reshape(len(batch), len(spans))
+        n, spans = len(batch[0]), self.spans(len(batch[0]))
+        column = np.zeros((n, n + 1), dtype=np.int64)
+        first, last = np.array(spans).T
+        column[first, last] = np.arange(len(spans))
+        letters = np.frombuffer("".join(batch).encode("utf-32-le", "surrogatepass"), dtype=np.uint32).astype(np.int64)
+        out = np.full((len(batch), len(spans)), -1, dtype=np.int64)
+        out[:, column[np.arange(n), np.arange(1, n + 1)]] = self.size
+        start = np.arange(len(letters))
+        begin, word = start % n, start // n
+        node = np.zeros(len(start), dtype=np.int64)
+        for size in range(1, min(n, self.longest) + 1):
+            inside = begin + size <= n
+            start, begin, word, node = start[inside], begin[inside], word[inside], node[inside]
+            key = node << 21 | letters[start + size - 1]
+            at = np.searchsorted(self.keys, key)
+            found = self.keys[at] == key
+            start, begin, word, node = start[found], begin[found], word[found], self.to[at[found]]
+            piece = self.ends[node]
+            whole = piece >= 0
+            out[word[whole], column[begin[whole], begin[whole] + size]] = piece[whole]
+        return out
 
     def forward(self, n: int, p: np.ndarray) -> np.ndarray:
         """Forward sums (words, n + 1, ...) from span probabilities (words, spans, ...)."""
