@@ -66,3 +66,17 @@ def unit_norm(cols: list[str]) -> list[Column]:
     """Row-wise L2 normalisation of the listed columns."""
     norm = F.sqrt(sum((F.col(c) * F.col(c) for c in cols), F.lit(0.0)))
     return [F.try_divide(F.col(c), norm).alias(f"{c}_unit") for c in cols]
+
+
+def box_cox(c: Column, power: float) -> Column:
+    """Box-Cox transform with a given power (F5); NULL for values that are not positive."""
+    x = F.when(c > 0, c.cast("double"))
+    return F.ln(x) if power == 0 else (F.pow(x, F.lit(float(power))) - 1) / F.lit(float(power))
+
+
+def yeo_johnson(c: Column, power: float) -> Column:
+    """Yeo-Johnson transform with a given power (F5), defined for every value."""
+    x, rest = c.cast("double"), 2 - power
+    up = F.log1p(x) if power == 0 else (F.pow(x + 1, F.lit(float(power))) - 1) / F.lit(float(power))
+    down = -F.log1p(-x) if rest == 0 else (F.lit(1.0) - F.pow(F.lit(1.0) - x, F.lit(float(rest)))) / F.lit(float(rest))
+    return F.when(x >= 0, up).when(x < 0, down)

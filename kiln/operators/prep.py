@@ -118,10 +118,13 @@ def interaction_features(
     key: str = "customer_id",
     amount: str = "transaction_amount",
     ts_col: str = "transaction_timestamp",
+    category: str | None = None,
 ) -> DataFrame:
     """Per customer present in both tables: mean amount, number of purchases,
     modal month (ties -> smallest), mean whole-day gap between consecutive
-    purchases (0 for a single purchase); ``preferred_category`` is NULL.
+    purchases (0 for a single purchase); ``preferred_category`` is NULL unless
+    ``category`` names a column of ``tx``, whose modal value it then is (ties ->
+    smallest, NULL values not counted).
 
     Skew safety: transactions are first combined map-side into one row per
     (customer, calendar day) with the day's first and last timestamp --
@@ -177,6 +180,12 @@ def interaction_features(
         F.col("purchase_frequency").cast("bigint").alias("purchase_frequency"),
         F.coalesce(F.col("seasonal_preference"), F.lit(1).cast("bigint")).alias("seasonal_preference"),
     )
+    if category is not None:
+        # Counted per (customer, category) first, so a hot customer is one row per category.
+        counts = tx.where(F.col(category).isNotNull()).groupBy(key, F.col(category).alias("__c")).agg(F.count("*").alias("__n"))
+        modal = counts.groupBy(key).agg(F.min(F.struct((-F.col("__n")).alias("n"), F.col("__c").alias("c")))["c"].alias("__modal"))
+        order = feats.columns
+        feats = feats.join(modal, key, "left").withColumn("preferred_category", F.col("__modal").cast("string")).select(*order)
     return customers.select(key).where(F.col(key).isNotNull()).join(feats, key, "inner")
 
 

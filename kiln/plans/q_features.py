@@ -15,7 +15,7 @@ from kiln.operators.binning import (
 )
 from kiln.operators.encoding import BinaryEncoder, OneHotEncoder, TargetEncoder
 from kiln.operators.scaling import MinMaxScaler, OutlierCapper, RobustScaler, StandardScaler
-from kiln.functions.numeric import unit_norm
+from kiln.functions.numeric import box_cox, unit_norm, yeo_johnson
 from kiln.plans.registry import query
 from kiln.sources import tables as T
 from kiln.sources.tables import read, with_ctes
@@ -246,6 +246,31 @@ def f5_unit_norm(spark, sf_dir):
     return p.select("customer_id", *unit_norm(["age", "credit_score"]), F.sqrt("credit_score").alias("credit_score_sqrt"))
 
 
+@query(
+    "f5_power_transforms",
+    sql="""
+SELECT c_custkey AS customer_id,
+       CASE WHEN c_acctbal > 0 THEN (pow(c_acctbal, 0.25) - 1) / 0.25 END AS balance_box_cox,
+       CASE WHEN c_acctbal > 0 THEN ln(c_acctbal) END AS balance_box_cox_log,
+       CASE WHEN c_acctbal >= 0 THEN (pow(c_acctbal + 1, 0.5) - 1) / 0.5
+            WHEN c_acctbal < 0 THEN (1 - pow(1 - c_acctbal, 1.5)) / 1.5 END AS balance_yeo_johnson,
+       CASE WHEN c_acctbal >= 0 THEN (pow(c_acctbal + 1, 2) - 1) / 2
+            WHEN c_acctbal < 0 THEN -ln(1 - c_acctbal) END AS balance_yeo_johnson_log
+FROM customer""",
+    rounding={"balance_box_cox": 6, "balance_box_cox_log": 6, "balance_yeo_johnson": 4, "balance_yeo_johnson_log": 3},
+)
+def f5_power_transforms(spark, sf_dir):
+    """Account balances, some negative, under given powers."""
+    b = F.col("c_acctbal")
+    return read(spark, sf_dir, "customer").select(
+        F.col("c_custkey").alias("customer_id"),
+        box_cox(b, 0.25).alias("balance_box_cox"),
+        box_cox(b, 0).alias("balance_box_cox_log"),
+        yeo_johnson(b, 0.5).alias("balance_yeo_johnson"),
+        yeo_johnson(b, 2).alias("balance_yeo_johnson_log"),
+    )
+
+
 def _f17_sql():
     c1, e1 = sql_equal_width("prof", "age", "age_bins", 5, AGE_LABELS)
     c2, e2 = sql_quantile_bins("prof", "income", "income_quartiles", 4, QUARTILE_LABELS)

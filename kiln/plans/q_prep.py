@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from kiln.functions import dates
 from kiln.operators import prep
 from kiln.plans.registry import query
 from kiln.sources import tables as T
@@ -121,6 +122,65 @@ def a2_interaction_features(spark, sf_dir):
     return prep.interaction_features(cleaned, T.transactions(spark, sf_dir))
 
 
+@query(
+    "a2_intraday_categories",
+    sql=with_ctes("tx", "prod")
+    + f""",
+g AS (
+  SELECT customer_id, category, transaction_amount AS amt,
+         transaction_timestamp + to_hours(5 * CAST(split_part(transaction_id, '-', 2) AS INTEGER)) AS ts
+  FROM tx JOIN prod USING (product_id)),
+l AS (SELECT *, lag(ts) OVER (PARTITION BY customer_id ORDER BY ts) AS prev FROM g),
+s AS (
+  SELECT customer_id, avg(amt) AS avg_price_range, count(*) AS purchase_frequency, count(ts) AS n_ts,
+         sum(floor((epoch_us(ts) - epoch_us(prev)) / {DAY_US})) AS gap_sum
+  FROM l GROUP BY customer_id),
+m AS (
+  SELECT customer_id, month(ts) AS m,
+         row_number() OVER (PARTITION BY customer_id ORDER BY count(*) DESC, month(ts)) AS rn
+  FROM g GROUP BY customer_id, month(ts)),
+c AS (
+  SELECT customer_id, category, row_number() OVER (PARTITION BY customer_id ORDER BY count(*) DESC, category) AS rn
+  FROM g GROUP BY customer_id, category)
+SELECT s.customer_id,
+       CASE WHEN n_ts > 1 THEN gap_sum / (n_ts - 1) ELSE 0.0 END AS avg_days_between_purchases,
+       c.category AS preferred_category, avg_price_range, purchase_frequency, m.m AS seasonal_preference
+FROM s JOIN m ON m.customer_id = s.customer_id AND m.rn = 1
+JOIN c ON c.customer_id = s.customer_id AND c.rn = 1
+JOIN customer ON c_custkey = s.customer_id""",
+    rounding={"avg_days_between_purchases": 9, "avg_price_range": 9},
+)
+def a2_intraday_categories(spark, sf_dir):
+    """A2 with the modal product category, over purchases moved into the day by their line number."""
+    line = F.split_part("transaction_id", F.lit("-"), F.lit(2)).cast("int")
+    shifted = F.col("transaction_timestamp") + F.make_dt_interval(hours=line * 5)
+    tx = T.transactions(spark, sf_dir).withColumn("transaction_timestamp", shifted)
+    tx = tx.join(T.products(spark, sf_dir).select("product_id", "category"), "product_id")
+    return prep.interaction_features(T.customers(spark, sf_dir), tx, category="category")
+
+
+@query(
+    "p1_parsed_dates",
+    sql="""
+SELECT o_orderkey AS order_id,
+       CASE WHEN o_orderkey % 7 IN (0, 1) THEN NULL
+            ELSE o_orderdate + to_seconds(o_orderkey % 86400) END AS parsed,
+       CASE WHEN o_orderkey % 7 IN (0, 1) THEN NULL ELSE hour(o_orderdate + to_seconds(o_orderkey % 86400)) END AS hour
+FROM orders""",
+)
+def p1_parsed_dates(spark, sf_dir):
+    """Timestamps parsed from text; every seventh order has no date, every seventh one that can't be parsed."""
+    o = T.read(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate")
+    moment = dates.as_ts("o_orderdate") + F.make_dt_interval(secs=F.col("o_orderkey") % 86400)
+    text = F.when(F.col("o_orderkey") % 7 == 0, F.lit("not a date")).when(
+        F.col("o_orderkey") % 7 != 1, F.date_format(moment, "dd/MM/yyyy HH:mm:ss")
+    )
+    parsed = dates.parse_ts(F.col("text"), "dd/MM/yyyy HH:mm:ss")
+    return o.select(F.col("o_orderkey").alias("order_id"), text.alias("text")).select(
+        "order_id", parsed.alias("parsed"), F.hour(parsed).cast("bigint").alias("hour")
+    )
+
+
 @query(
     "f15_product_features",
     sql=with_ctes("prod")
