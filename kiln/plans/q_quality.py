@@ -429,10 +429,9 @@ def a21_distinct_pairs(spark, sf_dir):
 
 
 # ---------------------------------------------------------------- A23 / A24
-def validation_checks(spark, sf_dir):
+def validation_checks(cust, tx):
     """Every data check of a validation run as one long table
     ``check, value, passed`` (storage and catalog checks live in sources)."""
-    cust, tx = T.customers(spark, sf_dir), T.transactions(spark, sf_dir)
     integ = orphan_keys(tx, cust, "customer_id").select(
         F.lit("referential_integrity").alias("check"),
         F.col("integrity_score").alias("value"),
@@ -472,7 +471,7 @@ SELECT 'transaction_quality', data_quality_score, data_quality_score >= 0.8 FROM
 
 @query("a24_validate_all", sql=_validate_all_sql(), rounding={"value": 6})
 def a24_validate_all(spark, sf_dir):
-    return validation_checks(spark, sf_dir)
+    return validation_checks(T.customers(spark, sf_dir), T.transactions(spark, sf_dir))
 
 
 @query(
@@ -483,4 +482,4 @@ def a24_validate_all(spark, sf_dir):
 FROM ({_validate_all_sql()}) v""",
 )
 def a23_check_rollup(spark, sf_dir):
-    return Q.rollup_checks(validation_checks(spark, sf_dir))
+    return Q.rollup_checks(validation_checks(T.customers(spark, sf_dir), T.transactions(spark, sf_dir)))

@@ -64,6 +64,7 @@ def load_all() -> dict[str, Query]:
     """Import every query module and return the registry."""
     from kiln.plans import (  # noqa: F401
         q_features,
+        q_injected,
         q_models,
         q_prep,
         q_quality,
