@@ -110,6 +110,13 @@ def audit_events(events: DataFrame) -> DataFrame:
     )
 
 
+def append_audit(log: DataFrame, path: str) -> None:
+    """Append ``audit_events`` rows to the log under ``path`` (S19), one folder
+    per day; rows of a day meet in few files, and a large day is split."""
+    days = log.withColumn("created_date", F.to_date("created_at")).hint("rebalance", "created_date")
+    days.write.mode("append").partitionBy("created_date").parquet(path)
+
+
 def recent_errors(log: DataFrame, as_of: Column, hours: int = 1, ts_col: str = "ts", type_col: str = "event_type") -> DataFrame:
     """Error events of the last ``hours`` up to ``as_of``."""
     ts = as_ts(ts_col)

@@ -6,6 +6,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
+from kiln.sources.files import _fs, has_files
+
 
 def ensure_database(spark: SparkSession, name: str, properties: dict[str, str] | None = None) -> None:
     """``CREATE DATABASE IF NOT EXISTS`` and tag it."""
@@ -48,27 +50,52 @@ def catalog_check(spark: SparkSession, database: str, tables: Sequence[str]) ->
     return out
 
 
+def _sub_folders(spark: SparkSession, root: str) -> list[str]:
+    fs, p = _fs(spark, root)
+    found = [f.getPath().getName() for f in fs.listStatus(p) if f.isDirectory()]
+    return sorted(n for n in found if not n.startswith(("_", ".")))
+
+
+def _is_external_at(spark: SparkSession, name: str, path: str) -> bool:
+    """Whether the table only points at ``path``, so that dropping it deletes no data."""
+    about = {r[0]: r[1] for r in spark.sql(f"DESCRIBE TABLE EXTENDED {name}").collect()}
+    if about.get("Type") != "EXTERNAL":
+        return False
+    (fs, wanted), (_, given) = _fs(spark, path), _fs(spark, about["Location"])
+    return fs.makeQualified(wanted).toString() == fs.makeQualified(given).toString()
+
+
 def crawl(
     spark: SparkSession,
     database: str,
     root: str,
-    tables: Sequence[str],
+    tables: Sequence[str] | None = None,
     fmt: str = "parquet",
 ) -> list[str]:
-    """Register one external table per sub-folder of ``root``.
+    """Register one external table per sub-folder of ``root`` (S18): ``tables``,
+    or every sub-folder that holds a file of the format.
 
     Only files with the format's suffix are data files, so stray ``*.tmp``
-    and ``*.log`` files are never read; the table schema and its partition
-    columns are inferred from the files and folder layout, and partitions
-    are recovered into the catalog.
+    and ``*.log`` files are never read; the table schema (Parquet: merged over
+    all files) and its partition columns are inferred from the files and
+    folder layout, and partitions are recovered into the catalog. A table that
+    exists already is registered anew only if it is external and at that path;
+    any other raises ``ValueError``.
     """
     ensure_database(spark, database)
+    root = root.rstrip("/")
+    if tables is None:
+        tables = [t for t in _sub_folders(spark, root) if has_files(spark, f"{root}/{t}", f".{fmt}")]
     made = []
     for t in tables:
-        path = f"{root.rstrip('/')}/{t}"
+        path = f"{root}/{t}"
         name = f"`{database}`.`{t}`"
-        spark.sql(f"DROP TABLE IF EXISTS {name}")
-        spark.catalog.createTable(f"{database}.{t}", path=path, source=fmt, pathGlobFilter=f"*.{fmt}")
+        if spark.catalog.tableExists(f"{database}.{t}"):
+            if not _is_external_at(spark, name, path):
+                raise ValueError(f"{database}.{t} exists and is not an external table at {path}")
+            spark.sql(f"DROP TABLE {name}")
+        options = {"mergeSchema": "true"} if fmt == "parquet" else {}
+        spark.catalog.createTable(f"{database}.{t}", path=path, source=fmt, pathGlobFilter=f"*.{fmt}", **options)
         cols = spark.catalog.listColumns(f"{database}.{t}")
         if any(c.isPartition for c in cols):
             spark.catalog.recoverPartitions(f"{database}.{t}")

@@ -50,8 +50,8 @@ def has_files(spark: SparkSession, path: str, suffix: str | None = None) -> bool
 
 
 def require_inputs(spark: SparkSession, paths: Sequence[str]) -> None:
-    """Fail fast before a run when an input is missing."""
-    missing = [p for p in paths if not path_exists(spark, p)]
+    """Fail fast before a run when an input is missing or an empty folder."""
+    missing = [p for p in paths if not has_files(spark, p)]
     if missing:
         raise FileNotFoundError(f"missing inputs: {missing}")
 

@@ -57,6 +57,39 @@ def test_crawl_and_catalog_check(spark):
     assert spark.table("kiln_test_db.transactions").count() == 2
 
 
+def test_crawl_finds_tables_merges_schemas_and_keeps_managed_tables(spark):
+    root, db = _tmp(spark, "found"), f"kiln_found_{uuid.uuid4().hex[:8]}"
+    spark.range(2).write.parquet(f"{root}/numbers")
+    spark.range(3).withColumn("more", F.lit("x")).write.mode("append").parquet(f"{root}/numbers")
+    os.makedirs(f"{root}/logs")
+    with open(f"{root}/logs/run.log", "w") as f:
+        f.write("junk")
+    assert catalog.crawl(spark, db, root) == ["numbers"]
+    assert sorted(spark.table(f"{db}.numbers").columns) == ["id", "more"]
+    assert catalog.crawl(spark, db, root) == ["numbers"]
+    assert spark.table(f"{db}.numbers").where("more IS NULL").count() == 2
+    with pytest.raises(ValueError):
+        catalog.crawl(spark, db, f"{root}/elsewhere", ["numbers"])
+    assert spark.table(f"{db}.numbers").count() == 5
+
+
+def test_empty_folder_is_a_missing_input(spark):
+    path = _tmp(spark, "empty")
+    os.makedirs(path)
+    with pytest.raises(FileNotFoundError):
+        files.require_inputs(spark, [path])
+
+
+def test_audit_log_is_appended(spark):
+    path = _tmp(spark, "audit")
+    log = protection.audit_events(spark.read.parquet(f"{SMALL}/events.parquet"))
+    protection.append_audit(log, path)
+    protection.append_audit(log.where("event_type = 'error'"), path)
+    back = spark.read.parquet(path)
+    assert back.count() == log.count() + log.where("event_type = 'error'").count()
+    assert back.drop("created_date").exceptAll(log.unionAll(log.where("event_type = 'error'"))).count() == 0
+
+
 def test_database_tags(spark):
     catalog.ensure_database(spark, "kiln_tagged", {"classification": "confidential", "retention": "90"})
     props = catalog.database_properties(spark, "kiln_tagged")
