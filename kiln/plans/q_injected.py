@@ -48,7 +48,10 @@ URL = (
     "WHEN 2 THEN concat(url, ' end') WHEN 3 THEN NULL ELSE url END"
 )
 TEXT = "CASE WHEN doc_id % 3 = 0 THEN concat(text, ' <script>alert(1)</script>') ELSE text END"
-HTML = "CASE WHEN page_id % 2 = 0 THEN html ELSE replace(replace(html, '<', ' '), '>', ' ') END"
+HTML = (
+    "CASE page_id % 3 WHEN 0 THEN html WHEN 1 THEN replace(replace(html, '<', ' '), '>', ' ') "
+    "ELSE concat('<p>page ', page_id, '</p>') END"
+)
 
 
 def _changed(df: DataFrame, faults: dict[str, str]) -> DataFrame:
