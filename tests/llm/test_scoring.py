@@ -1,5 +1,6 @@
 """Scoring, mixing, encoding and formatting operators against brute force or held-out rows."""
 
+import hashlib
 import json
 import random
 import zlib
@@ -170,6 +171,19 @@ def test_secret_scan(spark):
     assert all(r.is_secret for r in secrets.scan(docs, labels=one).collect())
 
 
+def test_secrets_without_digits_short_or_with_marks(spark):
+    rng = random.Random(6)
+    letters = lambda n: "".join(rng.choice("bcdfghjklmnpqrstvwxz") for _ in range(n))
+    rows = [(i, f'set password = "{letters(16)}" and go on') for i in range(60)] + [(100 + i, f"Remark: {w} of the day is here") for i, w in enumerate(["however", "several", "people", "letters"] * 15)]
+    odd = {500: ("app password: qhvzmxwtrkplbndf", "qhvzmxwtrkplbndf"), 501: ("password=Tr0ub4d.r&", "Tr0ub4d.r&"), 502: ("set password = 'pfft mnop xzkw qrst' now", "pfft mnop xzkw qrst"),
+           503: ("pwd: pa$s!w@o#r~d.x", "pa$s!w@o#r~d.x"), 504: ("secret = 'zqx9'.", "zqx9"), 505: ("token=token", "token")}
+    docs = spark.createDataFrame([*rows, *[(i, t) for i, (t, _) in odd.items()], (506, "letters withoutanythingbeside")], "doc_id long, text string")
+    got = {r.doc_id: r for r in secrets.scan(docs).collect() if r.doc_id < 500 or r.value_sha256 == hashlib.sha256(odd[r.doc_id][1].encode()).hexdigest()}
+    assert set(odd) <= set(got) and 506 not in got and got[502].word == 3
+    found = {i for i, r in got.items() if r.is_secret}
+    assert {*range(60), 500, 502, 503} <= found and not found & set(range(100, 160))
+
+
 def test_chat_linking(spark):
     calls = [("c", "a", None, "sum", '{"y": 1, "x": [1, {"b": 2, "a": null}]}'), ("c", "b", "a", "sum", '{"x": "no"}'), ("c", "d", "b", "nope", None),
              ("c", "e", "gone", "sum", "not json"), ("c", "f", "e", "sum", '{"x": [], "z": 1}'), ("c", "p", "q", "sum", "[]"), ("c", "q", "p", "sum", '{"x": [2]}'),
