@@ -113,18 +113,20 @@ def canonical(json: Column) -> Column:
     return F.to_json(F.try_parse_json(json))
 
 
-def link_tool_calls(calls: DataFrame, results: DataFrame, schemas: DataFrame) -> DataFrame:
-    """One row per call, and per result without a call.
+def link_tool_calls(calls: DataFrame, results: DataFrame, schemas: DataFrame, messages: DataFrame | None = None) -> DataFrame:
+    """One row per call, per result without a call, and per plain message.
 
     calls ``(conv_id, call_id, after_id, name, arguments)``; results
-    ``(conv_id, call_id, content)``; schemas ``(name, param, type, required)``.
+    ``(conv_id, call_id, content)``; schemas ``(name, param, type, required)``;
+    messages ``(conv_id, call_id, role, content)``, whose ``call_id`` is their place.
     Returns ``conv_id, call_id, position, state, status, errors, message``:
     ``status`` is ``answered``, ``unanswered`` or ``orphan`` (no such call: null
-    position, state and errors); ``message`` is canonical JSON of the call with
-    its result.
+    position, state and errors) or ``message`` (they wait for nothing: null, too);
+    ``message`` is canonical JSON of the call with its result, or of the message.
 
     * rows with a null identifier are left out; of repeated identifiers the row
       with the smallest (name, arguments, after_id) or content counts;
+    * messages pass as they are, repeated ones and those without an identifier too;
     * null arguments count as the empty object, null content as null;
     * arguments that don't parse are kept in the message as a string;
     * extra columns are ignored; empty tables give empty results.
@@ -152,7 +154,7 @@ def link_tool_calls(calls: DataFrame, results: DataFrame, schemas: DataFrame) ->
             F.lit("tool_call").alias("type"),
         )
     )
-    return joined.select(
+    linked = joined.select(
         *KEY,
         "position",
         "state",
@@ -160,3 +162,10 @@ def link_tool_calls(calls: DataFrame, results: DataFrame, schemas: DataFrame) ->
         F.when(F.col("has_call"), argument_errors(F.col("arguments"), F.col("schema"))).alias("errors"),
         message.alias("message"),
     )
+    if messages is None:
+        return linked
+    plain = F.to_json(F.struct("content", F.col("call_id").alias("id"), "role", F.lit("message").alias("type")))
+    null = lambda c: F.lit(None).cast(linked.schema[c].dataType).alias(c)
+    return linked.unionByName(
+        messages.select(*KEY, null("position"), null("state"), F.lit("message").alias("status"), null("errors"), plain.alias("message"))
+    )

@@ -78,7 +78,19 @@ def op6_chat_format(spark, sf_dir):
     arguments miss) and waits for the user turn before it; its answer is the next
     turn if the assistant speaks there.
     """
+    return linked_turns(spark, table(spark, sf_dir, "conversations"))
+
+
+@query
+def op6_chat_turns(spark, sf_dir):
+    """``op6_chat_format`` with the turns of all other roles as plain messages at their own turn."""
     t = table(spark, sf_dir, "conversations")
+    other = ~F.coalesce(F.col("role").isin("user", "assistant"), F.lit(False))
+    return linked_turns(spark, t, t.where(other).select("conv_id", F.col("turn").alias("call_id"), "role", F.col("text").alias("content")))
+
+
+def linked_turns(spark: SparkSession, t: DataFrame, messages: DataFrame | None = None) -> DataFrame:
+    """User turns linked with the assistant turns after them, and ``messages``."""
     n = F.regexp_count("text", F.lit(WORD))
     user = t.where("role = 'user'").withColumn("words", n)
     calls = user.select(
@@ -89,7 +101,7 @@ def op6_chat_format(spark, sf_dir):
         F.to_json(F.struct("words", "turn", "text")).alias("arguments"),
     )
     results = t.where("role = 'assistant'").select("conv_id", (F.col("turn") - 1).alias("call_id"), F.col("text").alias("content"))
-    linked = chat_format.link_tool_calls(calls, results, spark.sql(TOOLS))
+    linked = chat_format.link_tool_calls(calls, results, spark.sql(TOOLS), messages)
     return linked.withColumn("errors", F.array_join("errors", "; "))
 
 
@@ -191,3 +203,14 @@ SELECT conv_id, call_id, position, CASE WHEN c.text IS NOT NULL THEN 'ok' END AS
   || CASE WHEN c.text IS NULL THEN '' WHEN words < 10 THEN ',"name":"brief"' ELSE ',"name":"ask"' END || ',"type":"tool_call"}' AS message
 FROM c FULL JOIN r USING (conv_id, call_id)
 """
+
+#: The SQL of op6_chat_format and the turns it leaves out.
+ORACLE_SQL["op6_chat_turns"] = f"""
+SELECT * FROM ({ORACLE_SQL["op6_chat_format"]}) AS linked
+UNION ALL
+SELECT conv_id, turn, NULL, NULL, 'message', NULL,
+  '{{' || CASE WHEN text IS NULL THEN '' ELSE '"content":' || to_json(text)::VARCHAR || ',' END
+  || CASE WHEN turn IS NULL THEN '' ELSE '"id":' || turn || ',' END
+  || CASE WHEN role IS NULL THEN '' ELSE '"role":' || to_json(role)::VARCHAR || ',' END || '"type":"message"}}'
+FROM conversations WHERE role IS NULL OR role NOT IN ('user', 'assistant')
+"""

@@ -206,6 +206,32 @@ def test_chat_linking(spark):
     assert chat_format.link_tool_calls(*[a.limit(0) for a in args]).count() == 0
 
 
+def test_chat_messages_pass(spark):
+    df = lambda rows, ddl: spark.createDataFrame(rows, ddl)
+    args = (df([("c", 1, None, "sum", "{}")], "conv_id string, call_id int, after_id int, name string, arguments string"), df([("c", 0, "lost")], "conv_id string, call_id int, content string"), df([("sum", "x", "array", False)], "name string, param string, type string, required boolean"))
+    plain = [("c", 0, "system", 'be "kind"'), ("c", 2, None, None), ("c", 2, None, None), (None, None, "critic", "x")]
+    got = chat_format.link_tool_calls(*args, df(plain, "conv_id string, call_id int, role string, content string")).collect()
+    assert sorted(r.status for r in got) == [*["message"] * 4, "orphan", "unanswered"]
+    assert [r.message for r in got if r.status == "message" and r.call_id == 0] == ['{"content":"be \\"kind\\"","id":0,"role":"system","type":"message"}']
+
+
+def test_every_turn_reaches_the_chat_output(spark):
+    import duckdb
+
+    from kiln.llm.queries import ORACLE_SQL
+
+    turns = spark.read.parquet(f"{MEDIUM}/conversations.parquet")
+    got = QUERIES["op6_chat_turns"](spark, MEDIUM).collect()
+    other = turns.where("role NOT IN ('user', 'assistant')").count()
+    assert other > 0 and sum(r.status == "message" for r in got) == other
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW conversations AS SELECT * FROM read_parquet('{MEDIUM}/conversations.parquet')")
+    want = con.execute(f"SELECT conv_id, call_id, position, state, status, errors, message FROM ({ORACLE_SQL['op6_chat_turns']})").fetchall()
+    assert sorted(map(tuple, got), key=repr) == sorted(want, key=repr)
+    linked = QUERIES["op6_chat_format"](spark, MEDIUM).collect()
+    assert sorted(linked, key=repr) == sorted([r for r in got if r.status != "message"], key=repr)
+
+
 def test_pipeline_against_brute_force(spark):
     import corpus_pipeline
     from test_dedup import brute_fingerprint, least_reachable
