@@ -2,7 +2,9 @@
 
 Each stage takes ``(spark, docs, sf_dir)``, works on all of ``docs`` and
 returns a DataFrame; all but the last return the columns of ``documents``.
-Rows without a doc_id can't be named as a copy and are kept by every stage.
+The dedup stages act on rows: of rows that repeat each other whole one stays, a
+row without a doc_id counts as larger than all with one, and a doc_id that
+stands beside several texts names each of them apart.
 """
 
 from __future__ import annotations
@@ -17,6 +19,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from kiln.llm import bpe, exact_dedup, mixing, simhash  # noqa: E402
 from kiln.llm.common import keep  # noqa: E402
+from kiln.llm.components import connected_components  # noqa: E402
 from kiln.llm.queries import byte_bpe, table  # noqa: E402
 from kiln.llm.toxicity import toxicity as score_toxicity  # noqa: E402
 
@@ -31,27 +34,46 @@ def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep the smallest doc_id of equal texts."""
+    """Keep one row of equal texts: the smallest doc_id (null last), then the smallest other columns."""
     found = exact_dedup.exact_duplicates(docs)
-    copies = found.where(~F.col("kept") & F.col("doc_id").isNotNull()).select(
-        F.col("doc_id").alias("copy_id"), F.col("text_sha256").alias("copy_sha")
+    rows = found.groupBy("doc_id", "text_sha256").agg(F.bool_or("kept").alias("kept"), F.count("*").alias("n"))
+    marked = keep(
+        rows.where("NOT kept OR n > 1").select(F.col("doc_id").alias("copy_id"), F.col("text_sha256").alias("copy_sha"), "kept"), "copies"
     )
     sha = F.sha2(exact_dedup.normalised(docs["text"]), 256)
-    return docs.join(copies, (docs["doc_id"] == copies["copy_id"]) & (sha == copies["copy_sha"]), "left_anti")
+    same = docs["doc_id"].eqNullSafe(marked["copy_id"]) & (sha == marked["copy_sha"])
+    repeated = docs.join(marked.where("kept"), same).groupBy("copy_sha").agg(F.min(F.struct(*[docs[c] for c in docs.columns])).alias("row"))
+    return docs.join(marked, same, "left_anti").unionByName(repeated.select("row.*"))
 
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep the smallest doc_id of each SimHash component."""
-    found = simhash.simhash_components(docs, shingle=SHINGLE, radius=RADIUS)
-    copies = found.where("doc_id <> component_id").select(F.col("doc_id").alias("copy_id"))
-    return docs.join(copies, docs["doc_id"] == copies["copy_id"], "left_anti")
+    """Keep the smallest doc_id (null last) of each SimHash component.
+
+    Fingerprints are the nodes and rows are named by (doc_id, text digest), so
+    texts that share a doc_id are linked and dropped apart.
+    """
+    sha = F.sha2(F.coalesce(docs["text"], F.lit("")), 256)
+    named = docs.select(F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", sha.alias("sha")).alias("id"), "text")
+    fps = keep(simhash.fingerprints(named, "id", "text", SHINGLE), "fingerprints")
+    distinct = keep(fps.groupBy("fp").agg(F.min("id").alias("least")), "distinct")
+    component = connected_components(simhash.fingerprint_links(distinct.select("fp", F.col("fp").alias("rep")), RADIUS))
+    groups = keep(
+        distinct.join(component, distinct["fp"] == component["node"], "left").select("fp", "least", F.coalesce("component", "fp").alias("component")),
+        "groups",
+    )
+    owners = groups.groupBy("component").agg(F.min("least").alias("owner"))
+    copies = fps.join(groups.join(owners, "component").select("fp", "owner"), "fp").where("id <> owner")
+    copies = copies.select(F.col("id.doc_id").alias("copy_id"), F.col("id.sha").alias("copy_sha")).distinct()
+    return docs.join(copies, docs["doc_id"].eqNullSafe(copies["copy_id"]) & (sha == copies["copy_sha"]), "left_anti")
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Use each document as often as the mix takes it (not at all, once or twice)."""
-    uses, _ = mixing.mix_documents(docs)
-    uses = uses.where("doc_id IS NOT NULL").groupBy(F.col("doc_id").alias("used_id")).agg(F.max("uses").cast("int").alias("used"))
-    taken = docs.join(uses, docs["doc_id"] == uses["used_id"], "left").withColumn("used", F.coalesce("used", F.lit(1)))
+    # a row without a doc_id is named by its text
+    name = F.coalesce("doc_id", -1 - F.xxhash64(F.lit("unnamed"), F.col("text")).bitwiseAND(F.lit((1 << 63) - 1)))
+    uses, _ = mixing.mix_documents(docs.withColumn("doc_id", name))
+    uses = uses.groupBy(F.col("doc_id").alias("used_id")).agg(F.max("uses").cast("int").alias("used"))
+    taken = docs.join(uses, name == uses["used_id"], "left").withColumn("used", F.coalesce("used", F.lit(1)))
     return taken.withColumn("used", F.explode(F.array_repeat(F.lit(0), F.col("used")))).select(*[docs[c] for c in docs.columns])
 
 

@@ -172,7 +172,9 @@ def _link_task(radius: int, id_type: pa.DataType):
 
 
 def fingerprints(docs: DataFrame, id_col: str, text_col: str, shingle: int) -> DataFrame:
-    """``(id, fp)`` of every row with an id."""
+    """``(id, fp)`` of every row with an id (a struct, or else a long)."""
+    id_type = docs.schema[id_col].dataType.simpleString()
+    id_type = id_type if id_type.startswith("struct") else "long"
 
     def task(batches):
         for batch in batches:
@@ -182,8 +184,8 @@ def fingerprints(docs: DataFrame, id_col: str, text_col: str, shingle: int) -> D
 
     return (
         docs.where(F.col(id_col).isNotNull())
-        .select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-        .mapInArrow(task, "id long, fp long")
+        .select(F.col(id_col).cast(id_type).alias("id"), F.col(text_col).alias("text"))
+        .mapInArrow(task, f"id {id_type}, fp long")
     )
 
 

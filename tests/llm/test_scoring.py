@@ -264,3 +264,34 @@ def test_pipeline_against_brute_force(spark):
     for frame in (ones, ones.limit(0)):
         for _, stage in corpus_pipeline.STAGES:
             assert stage(spark, frame, SMALL).count() <= 8
+
+
+def test_pipeline_dedup_acts_on_rows(spark):
+    import corpus_pipeline
+    from test_dedup import brute_fingerprint
+
+    rng = random.Random(8)
+    text = lambda: " ".join(f"w{rng.randrange(400)}" for _ in range(80))
+    a, b, c, d, e, f = (text() for _ in range(6))
+
+    def close(t):
+        for at in range(80):
+            w = t.split()
+            w[at] = "new"
+            if 0 < (brute_fingerprint(t) ^ brute_fingerprint(" ".join(w))).bit_count() <= 3:
+                return " ".join(w)
+
+    frame = lambda rows: spark.createDataFrame(rows, spark.read.parquet(f"{SMALL}/documents.parquet").schema)
+    rows = [(1, a, "en", "s", 1), (1, a, "en", "s", 1), (1, a, "de", "s", 1), (None, a, "en", "s", 1), (None, b, "en", "s", 1), (None, b, "en", "s", 1), (2, c, "en", "s", 1), (2, d, "en", "s", 1)]
+    got = corpus_pipeline.exact(spark, frame(rows), SMALL).collect()
+    assert sorted(map(tuple, got), key=repr) == sorted([rows[2], rows[4], *rows[6:]], key=repr)
+    # 5 stands beside c (near 3) and d (near 9): the first copy goes, of the second pair the smallest stays
+    rows = [(3, c, "en", "s", 1), (5, close(c), "en", "s", 1), (5, d, "en", "s", 1), (9, close(d), "en", "s", 1), (None, close(e), "en", "s", 1), (7, e, "en", "s", 1), (None, f, "en", "s", 1)]
+    got = corpus_pipeline.near(spark, frame(rows), SMALL).collect()
+    assert sorted(map(tuple, got), key=repr) == sorted([rows[0], rows[2], rows[5], rows[6]], key=repr)
+    # 40 rows without an id of a source that a large one outweighs: the mix decides on each
+    rows = [(None, text(), "en", "a", 1) for _ in range(40)] + [(i, text(), "en", "b", 1) for i in range(40)]
+    uses = {}
+    for r in corpus_pipeline.mix(spark, frame(rows), SMALL).where("doc_id IS NULL").collect():
+        uses[r.text] = uses.get(r.text, 0) + 1
+    assert max(uses.values(), default=0) == 2
