@@ -10,7 +10,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import SMALL
+from sample_tables import SMALL
 from kiln.functions import validators as V
 from kiln.operators import models, protection, text_features
 from kiln.session import scratch_path

@@ -6,7 +6,7 @@ import math
 
 import pytest
 
-from conftest import SMALL
+from sample_tables import SMALL
 from kiln.plans.registry import load_all
 
 REG = load_all()
