@@ -8,7 +8,20 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kiln.llm.common import WORD
-from kiln.llm import bpe, chat_format, embedding_dedup, exact_dedup, language_id, mixing, secrets, simhash, substring_dedup, toxicity
+from kiln.llm import (
+    bpe,
+    chat_format,
+    embedding_dedup,
+    exact_dedup,
+    language_id,
+    mixing,
+    periodic_runs,
+    secrets,
+    simhash,
+    substring_dedup,
+    toxicity,
+    whitening,
+)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -139,6 +152,45 @@ def op10_exact_dedup(spark, sf_dir):
     return exact_dedup.exact_duplicates(table(spark, sf_dir, "documents"))
 
 
+def with_periods(docs: DataFrame) -> DataFrame:
+    """``docs`` whose texts get a periodic tail where crc32(doc_id) ends in 0.
+
+    With g = crc32 // 10 and n words, every word from a = g % n on becomes word
+    a + (i - a) % p, p = 1 + (n - a) // (3 + g % 8).
+    """
+    h = F.crc32(F.col("doc_id").cast("string"))
+    words = F.regexp_extract_all("text", F.lit(f"({WORD})"), F.lit(1))
+    n, g = F.col("n"), F.col("g")
+    marked = docs.withColumns({"words": F.when(h % 10 == 0, words), "g": F.floor(h / 10).cast("long")}).withColumn("n", F.size("words").cast("long"))
+    marked = marked.withColumn("a", F.when(n > 0, g % n)).withColumn("p", (1 + F.floor((n - F.col("a")) / (3 + g % 8))).cast("long"))
+    place = F.transform(F.sequence(F.lit(0).cast("long"), n - 1), lambda i: F.when(i < F.col("a"), i).otherwise(F.col("a") + (i - F.col("a")) % F.col("p")))
+    changed = F.array_join(F.transform(place, lambda i: F.col("words")[i.cast("int")]), " ")
+    return marked.withColumn("text", F.when(n > 0, changed).otherwise(F.col("text"))).drop("words", "g", "n", "a", "p")
+
+
+@query
+def op12_periodic_runs(spark, sf_dir):
+    docs = with_periods(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    out = periodic_runs.collapse_runs(docs).withColumn("top", periodic_runs.longest(F.col("runs")))
+    lines = F.transform("runs", lambda r: F.format_string("%d,%d,%d\n", r["start"], r["length"], r["period"]))
+    return out.select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        F.col("top.start").alias("start"),
+        F.col("top.length").alias("length"),
+        F.col("top.period").alias("period"),
+        F.floor(1000 * F.col("top.length") / F.col("top.period")).cast("long").alias("exponent_milli"),
+        F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
+@query
+def op13_whitening(spark, sf_dir):
+    out, _ = whitening.whiten(table(spark, sf_dir, "embeddings"))
+    return out.withColumn("deviation", F.expr("try_cast(deviation AS long)"))
+
+
 ORACLE_SQL["op10_exact_dedup"] = r"""
 WITH t AS (SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS norm FROM documents),
 g AS (SELECT norm, min(doc_id) AS keep_id, count(*) AS group_size FROM t GROUP BY norm)
