@@ -11,6 +11,7 @@ from kiln.llm.common import WORD
 from kiln.llm import (
     bpe,
     chat_format,
+    context_tree,
     embedding_dedup,
     exact_dedup,
     language_id,
@@ -152,6 +153,13 @@ def op10_exact_dedup(spark, sf_dir):
     return exact_dedup.exact_duplicates(table(spark, sf_dir, "documents"))
 
 
+@query
+def op11_lm_scoring(spark, sf_dir):
+    held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 5 == 1, F.lit(False))
+    out = context_tree.score_texts(table(spark, sf_dir, "documents"), ~held_out)
+    return out.select("doc_id", (~F.col("training")).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 def with_periods(docs: DataFrame) -> DataFrame:
     """``docs`` whose texts get a periodic tail where crc32(doc_id) ends in 0.
 
