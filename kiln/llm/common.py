@@ -44,3 +44,8 @@ def chunks(col: pa.Array, max_bytes: int = 2 << 20) -> Iterator[tuple[int, int]]
         total += n
     if start < len(sizes):
         yield start, len(sizes)
+
+
+def compact(col: pa.Array) -> pa.Array:
+    """A text column (null: empty) as large strings of their own; kernels that change case misread casts of slices."""
+    return pc.fill_null(col.take(pa.array(range(len(col)), pa.int64())), "").cast(pa.large_string())

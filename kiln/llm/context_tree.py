@@ -36,7 +36,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from kiln.llm.common import chunks, keep
+from kiln.llm.common import chunks, compact, keep
 from kiln.llm.words import mix, prefix_sums, span_hash
 
 DEPTH = 5  # bytes of context; a gram has 48 bits
@@ -90,7 +90,7 @@ def _bucket(keys: np.ndarray, buckets: int) -> np.ndarray:
 
 def normalised(texts: pa.Array) -> list[bytes]:
     """Words of each text (null: none), A-Z lower-cased, joined by one space, and a line feed."""
-    words = pc.ascii_split_whitespace(pc.ascii_lower(pc.fill_null(texts, "").cast(pa.large_string())))
+    words = pc.ascii_split_whitespace(pc.ascii_lower(compact(texts)))
     flat, parents = words.flatten(), pc.list_parent_indices(words)
     real = pc.not_equal(pc.binary_length(flat), 0)
     first = np.searchsorted(parents.filter(real).to_numpy(), np.arange(len(texts) + 1))

@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from kiln.llm.common import chunks
+from kiln.llm.common import chunks, compact
 
 MIN_LENGTH, MIN_EXPONENT = 6, 4
 CHUNK = 4 << 20  # bytes of texts handled together (one text at least)
@@ -123,7 +123,7 @@ def find_runs(word: np.ndarray, text: np.ndarray, min_length: int = MIN_LENGTH,
 
 def collapse_batch(texts: pa.Array, min_length: int = MIN_LENGTH, min_exponent: int = MIN_EXPONENT) -> list[pa.Array]:
     """Of every text its runs, its kept words joined by one space, and its number of words."""
-    lists = pc.ascii_split_whitespace(pc.fill_null(texts, "").cast(pa.large_string()))
+    lists = pc.ascii_split_whitespace(compact(texts))
     words = lists.flatten()
     owner = pc.list_parent_indices(lists)
     real = pc.not_equal(pc.binary_length(words), 0)  # blanks at the ends leave empty strings
