@@ -16,19 +16,40 @@ from __future__ import annotations
 import hashlib
 import heapq
 import json
-from collections.abc import Iterator
 from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
-
+from pyspark.sql.types import StructType
+
+from kiln.llm.common import chunks, compact
+
+#: Letters and numbers that Unicode took in after version 16, by which the
+#: public pre-tokenizer goes; for it they are neither.
+NEWER = [
+    (0x558, 0x558), (0x58B, 0x58C), (0x88F, 0x88F), (0xC5C, 0xC5C), (0xCDC, 0xCDC), (0x208F, 0x208F), (0x209D, 0x209F),
+    (0xA7CE, 0xA7CF), (0xA7D2, 0xA7D2), (0xA7D4, 0xA7D4), (0xA7DD, 0xA7DD), (0xA7E2, 0xA7E2), (0xA7F1, 0xA7F1), (0xAB6C, 0xAB6D),
+    (0x107BB, 0x107BF), (0x10940, 0x10959), (0x10EC5, 0x10EC7), (0x10ED9, 0x10EEE), (0x11B0A, 0x11B0A), (0x11DB0, 0x11DDB),
+    (0x11DE0, 0x11DE9), (0x11DF1, 0x11DF1), (0x1246F, 0x1246F), (0x12475, 0x1247F), (0x12550, 0x12686), (0x16EA0, 0x16EB8),
+    (0x16EBB, 0x16ED3), (0x16FF2, 0x16FF6), (0x187F8, 0x187FF), (0x18CD6, 0x18CDA), (0x18D09, 0x18D20), (0x18D80, 0x18DF2),
+    (0x18E00, 0x19191), (0x191A0, 0x191D2), (0x1B123, 0x1B128), (0x1B168, 0x1B168), (0x1D6A6, 0x1D6A6), (0x1DF1F, 0x1DF24),
+    (0x1DF2B, 0x1DF81), (0x1DF90, 0x1DF96), (0x1DFCD, 0x1DFFF), (0x1E6C0, 0x1E6DE), (0x1E6E0, 0x1E6E2), (0x1E6E4, 0x1E6E5),
+    (0x1E6E7, 0x1E6ED), (0x1E6F0, 0x1E6F4), (0x1E6FE, 0x1E6FF), (0x2B73A, 0x2B73F), (0x2B81E, 0x2B81E), (0x2CEA2, 0x2CEAD),
+    (0x323B0, 0x33479),
+]
+_NEW = "[" + "".join(f"\\U{a:08x}-\\U{b:08x}" for a, b in NEWER) + "]"
+LETTER, NUMBER, OTHER = rf"[\p{{L}}--{_NEW}]", rf"[\p{{N}}--{_NEW}]", rf"[[^\s\p{{L}}\p{{N}}]{_NEW}]"
 #: The published pre-token pattern of byte-level BPE.
-PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-CACHE = 200_000
-WHOLE_WORD = 64
+PATTERN = rf"'s|'t|'re|'ve|'m|'ll|'d| ?{LETTER}+| ?{NUMBER}+| ?{OTHER}+|\s+(?!\S)|\s+"
+#: A text of which no space stands before white space or the end is cut before every
+#: space without a change to its pre-tokens (a superset of white space is on the safe side).
+UNEVEN = r" ([\s\x0b\x1c-\x1f\x{85}\p{Z}]|\z)"
+#: Parts that are letters and then ASCII punctuation without an apostrophe: two pre-tokens.
+MARKED = r"^(?P<word> ?\p{L}+)(?P<mark>[!-&(-/:-@\[-`{-~]+)$"
+BATCH = 8 << 20  # bytes of texts encoded together (one text at least)
 SHORT = 24
 NEVER = 1 << 60
 
@@ -57,19 +78,16 @@ class Bpe:
         self.pairs, self.pair_rank = keys[order], order
         self.made = np.array([made for _, made in self.rank.values()] or [-1], dtype=np.int64)
         self.single = [self.id_of[bytes([b])] for b in range(256)]
-        self.longest = max(map(len, self.id_of))
-        # the longest token that begins with four given bytes bounds the greedy search
-        self.reach: dict[bytes, int] = {}
-        for t in self.id_of:
-            if len(t) > 3:
-                self.reach[t[:4]] = max(self.reach.get(t[:4], 0), len(t))
-        self.split = regex.compile(PATTERN)
+        self._grow_trie()
+        self.split = regex.compile(PATTERN, regex.V1)
         pre = json.dumps(spec.get("pre_tokenizer") or {})
         self.prefix_space = '"add_prefix_space": true' in pre
         self.specials = regex.compile("|".join(map(regex.escape, sorted(self.added, key=len, reverse=True)))) if self.added else None
         self.known = np.zeros(0, dtype=np.int64)  # sorted pairs left << 32 | right
         self.fits = np.zeros(0, dtype=bool)
-        self.cache: dict[str | tuple[str], list[int]] = {}
+        size = 1 + max(self.bytes_of)
+        self.written = pa.array([b"%d," % i for i in range(size)], pa.large_binary())  # ids as text, a comma behind
+        self.spelled = pa.array([self.bytes_of.get(i, b"") for i in range(size)], pa.large_binary())
 
     def merge(self, words: list[bytes]) -> list[list[int]]:
         """Exact encodings: lowest rank first, leftmost among equals."""
@@ -151,16 +169,57 @@ class Bpe:
                 push(left[i])
         return [i for i in ids if i is not None]
 
-    def propose(self, word: bytes) -> list[int]:
-        """Greedy longest match."""
-        out, at, find, reach = [], 0, self.id_of.get, self.reach.get
-        while at < len(word):
-            for n in range(min(reach(word[at : at + 4], 3), len(word) - at), 0, -1):
-                if (i := find(word[at : at + n])) is not None:
-                    out.append(i)
-                    at += n
-                    break
-        return out
+    def _grow_trie(self) -> None:
+        """Tokens as a trie: sorted edges (node << 8 | byte), their children, and the token that ends at each node."""
+        nodes, edges = {b"": 0}, {}
+        token = [-1]
+        for t, i in self.id_of.items():
+            at = 0
+            for n in range(1, len(t) + 1):
+                to = nodes.get(t[:n])
+                if to is None:
+                    to = nodes[t[:n]] = len(token)
+                    token.append(-1)
+                    edges[at << 8 | t[n - 1]] = to
+                at = to
+            token[at] = i
+        keys = np.fromiter(edges, dtype=np.int64, count=len(edges))
+        order = np.argsort(keys)
+        self.edges, self.children = keys[order], np.fromiter(edges.values(), dtype=np.int64, count=len(edges))[order]
+        self.token = np.array(token, dtype=np.int64)
+
+    def propose(self, data: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Greedy longest match of many words at once: all walk the trie byte by byte.
+
+        Word k is ``data[first[k]:first[k + 1]]``; its tokens are ``ids[at[k]:at[k + 1]]`` of the returned pair.
+        """
+        data = np.append(data, np.uint8(0))
+        who = np.flatnonzero(first[1:] > first[:-1])
+        at, end = first[who], first[who + 1]
+        node, best, stop = np.zeros(len(who), dtype=np.int64), np.zeros(len(who), dtype=np.int64), at.copy()
+        owners, tokens = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+        while len(who):
+            key = node << 8 | data[at]
+            edge = np.searchsorted(self.edges, key)
+            edge[edge == len(self.edges)] = 0
+            hit = (self.edges[edge] == key) & (at < end)
+            node = np.where(hit, self.children[edge], 0)
+            found = self.token[node]
+            at = at + hit
+            ended = hit & (found >= 0)
+            best = np.where(ended, found, best)
+            stop = np.where(ended, at, stop)
+            miss = ~hit
+            if miss.any():  # the longest token is known: go on behind it
+                owners.append(who[miss])
+                tokens.append(best[miss])
+                at = np.where(miss, stop, at)
+                live = ~(miss & (stop == end))
+                if not live.all():
+                    who, end, at, node, best, stop = who[live], end[live], at[live], node[live], best[live], stop[live]
+        owner = np.concatenate(owners)
+        order = np.argsort(owner, kind="stable")
+        return np.concatenate(tokens)[order], np.searchsorted(owner[order], np.arange(len(first)))
 
     def _verdicts(self, pairs: np.ndarray) -> np.ndarray:
         """Whether each pair (left << 32 | right) is compatible."""
@@ -178,17 +237,30 @@ class Bpe:
 
     def encode_words(self, words: list[str]) -> list[list[int]]:
         """Ids of pre-tokens."""
-        raw = [w.encode() for w in words]
-        proposed = [[i] if (i := self.id_of.get(w)) is not None else self.propose(w) for w in raw]
-        sizes = np.array([len(p) for p in proposed], dtype=np.int64)
-        flat = np.fromiter((i for p in proposed for i in p), dtype=np.int64, count=int(sizes.sum()))
-        owner = np.repeat(np.arange(len(words)), sizes)
+        ids, at = self.encode_array(pa.array(words, pa.large_string()))
+        flat = ids.tolist()
+        return [flat[a:b] for a, b in zip(at.tolist(), at[1:].tolist())]
+
+    def encode_array(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of pre-tokens one after the other, and where each word's begin."""
+        data, first = _bytes(words)
+        flat, at = self.propose(data, first)
+        owner = np.repeat(np.arange(len(words)), np.diff(at))
         inside = np.flatnonzero(owner[1:] == owner[:-1])
         ok = self._verdicts(flat[inside] << 32 | flat[inside + 1]) if len(inside) else np.zeros(0, bool)
-        fail = np.unique(owner[inside[~ok]]).tolist()
-        for i, ids in zip(fail, self.merge([raw[i] for i in fail])):
-            proposed[i] = ids
-        return proposed
+        fail = np.unique(owner[inside[~ok]])
+        if not len(fail):
+            return flat, at
+        exact = self.merge([data[a:b].tobytes() for a, b in zip(first[fail].tolist(), first[fail + 1].tolist())])
+        sizes = np.diff(at)
+        good = np.ones(len(words), dtype=bool)
+        good[fail] = False
+        sizes[fail] = [len(x) for x in exact]
+        to = np.concatenate(([0], np.cumsum(sizes)))
+        out = np.empty(to[-1], dtype=np.int64)
+        out[np.repeat(good, sizes)] = flat[good[owner]]
+        out[np.repeat(~good, sizes)] = np.fromiter(chain.from_iterable(exact), dtype=np.int64, count=int(sizes[fail].sum()))
+        return out, to
 
     def pieces(self, text: str) -> list[str | tuple[str]]:
         """Pre-tokens as strings, added tokens as tuples of one string."""
@@ -201,36 +273,130 @@ class Bpe:
         return out + self._split(text[at:])
 
     def _split(self, text: str) -> list[str]:
-        if self.prefix_space and text and not text.startswith(" "):
-            text = " " + text
         return self.split.findall(text)
 
+    def encode_texts(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts (null: none) one after the other, and where each text's begin; added tokens match as such.
+
+        Texts are cut before spaces where that leaves their pre-tokens as they are;
+        every distinct part, and every distinct pre-token, is handled once a batch.
+        """
+        texts = compact(texts)
+        if self.prefix_space:
+            texts = pc.replace_substring_regex(texts, r"\A([^ ])", r" \1")
+        odd = pc.match_substring_regex(texts, UNEVEN)
+        for content in self.added:
+            odd = pc.or_(odd, pc.match_substring(texts, content))
+        odd = odd.to_numpy(zero_copy_only=False)
+        cut = pc.split_pattern(texts.filter(pa.array(~odd)), " ")
+        tails = cut.flatten()
+        n = pc.list_value_length(cut).to_numpy(zero_copy_only=False).astype(np.int64)
+        starts = np.concatenate(([0], np.cumsum(n)))
+        head = np.zeros(len(tails), dtype=bool)
+        head[starts[:-1]] = True  # a cut text has one part at least
+        spaced = pc.binary_join_element_wise(pc.if_else(pa.array(head), pa.scalar("", pa.large_string()), pa.scalar(" ", pa.large_string())), tails, pa.scalar("", pa.large_string()))
+        parts = pa.concat_arrays([spaced, texts.filter(pa.array(odd))]).dictionary_encode()
+        number = parts.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+        ids, at = self._encode_parts(parts.dictionary)
+        # where the parts of each text stand in ``number``
+        order = np.argsort(odd, kind="stable")
+        begin = np.empty(len(odd) + 1, dtype=np.int64)
+        sizes = np.empty(len(odd), dtype=np.int64)
+        sizes[order] = np.concatenate([n, np.ones(int(odd.sum()), dtype=np.int64)])
+        begin = np.empty(len(odd), dtype=np.int64)
+        begin[order] = np.concatenate([starts[:-1], len(tails) + np.arange(int(odd.sum()))])
+        number = number[_ranges(begin, sizes)]
+        size = np.diff(at)[number]
+        ends = np.concatenate(([0], np.cumsum(size)))
+        return ids[_ranges(at[number], size)], ends[np.concatenate(([0], np.cumsum(sizes)))]
+
+    def _encode_parts(self, parts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of distinct parts one after the other, and where each part's begin."""
+        begin, sizes = np.zeros(len(parts), dtype=np.int64), np.ones(len(parts), dtype=np.int64)
+        letters = pc.utf8_is_alpha(pc.replace_substring_regex(parts, "^ ", "")).to_numpy(zero_copy_only=False)
+        one = np.flatnonzero(letters)  # letters after at most one space are one pre-token
+        begin[one] = np.arange(len(one))
+        rest = np.flatnonzero(~letters)
+        marked = pc.extract_regex(parts.take(pa.array(rest)), MARKED)
+        plain = pc.is_null(marked).to_numpy(zero_copy_only=False)
+        two, rest = rest[~plain], rest[plain]
+        begin[two], sizes[two] = len(one) + 2 * np.arange(len(two)), 2
+        marked = marked.filter(pa.array(~plain))
+        both = pa.concat_arrays([marked.field("word"), marked.field("mark")])
+        both = both.take(pa.array(np.arange(2 * len(two)).reshape(2, -1).T.reshape(-1)))
+
+        words: list[str] = []
+        special: list[tuple[int, int]] = []
+        done = len(one) + 2 * len(two)
+        for k, p in zip(rest.tolist(), parts.take(pa.array(rest)).to_pylist()):
+            found = self.pieces(p)
+            begin[k], sizes[k] = done + len(words), len(found)
+            for x in found:
+                if isinstance(x, tuple):
+                    special.append((done + len(words), self.added[x[0]]))
+                words.append("" if isinstance(x, tuple) else x)
+        coded = pa.concat_arrays([parts.take(pa.array(one)), both, pa.array(words, pa.large_string())]).dictionary_encode()
+        ids, at = self.encode_array(coded.dictionary)
+        number = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+        size, start = np.diff(at)[number], at[number]
+        if special:  # added tokens are ids of their own
+            where, which = np.array(special).T
+            start[where], size[where] = len(ids) + np.arange(len(which)), 1
+            ids = np.concatenate([ids, which])
+        of_part = _ranges(begin, sizes)
+        size, start = size[of_part], start[of_part]
+        ends = np.concatenate(([0], np.cumsum(size)))
+        return ids[_ranges(start, size)], ends[np.concatenate(([0], np.cumsum(sizes)))]
+
     def encode_batch(self, texts: list[str]) -> list[list[int]]:
         """Ids of each text, added tokens matched as such."""
-        parts = [self.pieces(t) for t in texts]
-        used = set().union(*parts)
-        if len(self.cache) > CACHE:
-            self.cache = {}
-        cache = self.cache
-        new = [p for p in used if p not in cache and isinstance(p, str)]
-        cache.update(zip(new, self.encode_words(new)))
-        cache.update({p: [self.added[p[0]]] for p in used if not isinstance(p, str)})
-        out = [list(chain.from_iterable(map(cache.__getitem__, ps))) for ps in parts]
-        for p in new:
-            if len(p) > WHOLE_WORD:
-                del cache[p]
-        return out
+        ids, at = self.encode_texts(pa.array(texts, pa.string()))
+        flat = ids.tolist()
+        return [flat[a:b] for a, b in zip(at.tolist(), at[1:].tolist())]
+
+    def spell(self, tokens: pa.Array, ids: np.ndarray, at: np.ndarray) -> list[bytes]:
+        """Of each text the strings of its tokens, ``written`` or ``spelled``, joined."""
+        data, first = _bytes(tokens.take(pa.array(ids)))
+        raw, edges = data.tobytes(), first[at].tolist()
+        return [raw[a:b] for a, b in zip(edges, edges[1:])]
 
     def decode(self, ids: list[int]) -> str:
         """Text of the ids, added tokens included; invalid UTF-8 is replaced."""
         return b"".join(map(self.bytes_of.__getitem__, ids)).decode("utf-8", "replace")
 
 
-def _texts(col: pa.Array, size: int) -> Iterator[list[str]]:
-    from kiln.llm.common import chunks
+def utf8(raw: bytes) -> bytes:
+    """Bytes of the text that ``raw`` decodes to (invalid parts replaced)."""
+    try:
+        raw.decode()
+        return raw
+    except UnicodeDecodeError:
+        return raw.decode("utf-8", "replace").encode()
+
+
+def _bytes(strings: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Bytes of large strings one after the other, and where each begins."""
+    first = np.frombuffer(strings.buffers()[1], dtype=np.int64)[strings.offset : strings.offset + len(strings) + 1] if len(strings) else np.zeros(1, np.int64)
+    data = strings.buffers()[2] if len(strings) else None
+    data = np.frombuffer(data, dtype=np.uint8)[first[0] : first[-1]] if data is not None else np.zeros(0, np.uint8)
+    return data, first - first[0]
 
-    for lo, hi in chunks(col, size):
-        yield [t or "" for t in col.slice(lo, hi - lo).to_pylist()]
+
+def _ranges(begin: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """``begin[0], ..., begin[0] + size[0] - 1, begin[1], ...``"""
+    ends = np.cumsum(size)
+    return np.repeat(begin - (ends - size), size) + np.arange(ends[-1] if len(ends) else 0)
+
+
+_loaded: dict[int, Bpe] = {}
+
+
+def loaded(spec: str) -> Bpe:
+    """The encoder of a tokenizer file, one per worker process."""
+    if (key := hash(spec)) not in _loaded:
+        _loaded.clear()
+        _loaded[key] = Bpe(spec)
+    return _loaded[key]
 
 
 def encode(docs: DataFrame, tokenizer: str, text_col: str = "text", ids_col: str = "token_ids", check_col: str | None = None) -> DataFrame:
@@ -240,60 +406,56 @@ def encode(docs: DataFrame, tokenizer: str, text_col: str = "text", ids_col: str
     text. Every other column is passed on; columns of the new names are replaced.
     """
 
-    def make(batch, bpe):
-        ids, same = [], []
-        for texts in _texts(batch.column(text_col), 1 << 20):
-            found = bpe.encode_batch(texts)
-            ids.append(pa.array(found, pa.list_(pa.int32())))
-            if check_col:
-                same += [bpe.decode(x) == t for x, t in zip(found, texts)]
-        out = [pa.concat_arrays(ids) if ids else pa.array([], pa.list_(pa.int32()))]
-        return [*out, pa.array(same, pa.bool_())] if check_col else out
+    def make(texts, bpe):
+        ids, at = bpe.encode_texts(texts)
+        out = [pa.ListArray.from_arrays(pa.array(at, pa.int32()), pa.array(ids, pa.int32()))]
+        if check_col:
+            back = bpe.spell(bpe.spelled, ids, at)
+            out.append(pa.array([utf8(x) == (t or "").encode() for x, t in zip(back, texts.to_pylist())], pa.bool_()))
+        return out
 
     more = f"`{ids_col}` array<int>" + (f", `{check_col}` boolean" if check_col else "")
-    return _batches(docs.drop(ids_col, *[check_col] * bool(check_col)), tokenizer, more, make)
+    return _batches(docs.drop(ids_col, *[check_col] * bool(check_col)), tokenizer, more, make, text_col)
 
 
 def decode(docs: DataFrame, tokenizer: str, ids_col: str = "token_ids", text_col: str = "decoded") -> DataFrame:
     """``docs`` with the text of each id list (null: empty) in a new column."""
-    return _batches(docs.drop(text_col), tokenizer, f"`{text_col}` string", lambda b, bpe: [
-        pa.array([bpe.decode(ids or []) for ids in b.column(ids_col).to_pylist()], pa.string())
-    ])
+
+    def make(lists, bpe):
+        return [pa.array([bpe.decode(ids or []) for ids in lists.to_pylist()], pa.string())]
+
+    return _batches(docs.drop(text_col), tokenizer, f"`{text_col}` string", make, ids_col)
 
 
 def encode_digests(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``id, n_tokens, ids_sha256, decoded_sha256``: encodes, decodes and digests in one pass."""
 
-    def digests(batch, bpe):
-        n, a, b = [], [], []
-        for texts in _texts(batch.column(text_col), 1 << 20):
-            for ids in bpe.encode_batch(texts):
-                n.append(len(ids))
-                a.append(hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest())
-                b.append(hashlib.sha256(bpe.decode(ids).encode()).hexdigest())
-        return [pa.array(n, pa.int64()), pa.array(a, pa.string()), pa.array(b, pa.string())]
+    def digests(texts, bpe):
+        ids, at = bpe.encode_texts(texts)
+        listed = [hashlib.sha256(x[:-1]).hexdigest() for x in bpe.spell(bpe.written, ids, at)]
+        decoded = [hashlib.sha256(utf8(x)).hexdigest() for x in bpe.spell(bpe.spelled, ids, at)]
+        return [pa.array(np.diff(at), pa.int64()), pa.array(listed, pa.string()), pa.array(decoded, pa.string())]
 
-    out = _batches(docs.select(id_col, text_col), tokenizer, "n_tokens long, ids_sha256 string, decoded_sha256 string", digests)
+    out = _batches(docs.select(id_col, text_col), tokenizer, "n_tokens long, ids_sha256 string, decoded_sha256 string", digests, text_col)
     return out.drop(text_col) if text_col != id_col else out
 
 
-def _batches(docs: DataFrame, tokenizer: str, more: str, make) -> DataFrame:
-    """``docs`` with the columns that ``make(batch, bpe)`` returns.
+def _batches(docs: DataFrame, tokenizer: str, more: str, make, col: str) -> DataFrame:
+    """``docs`` with the columns that ``make(column, bpe)`` returns for its column ``col``.
 
     ``tokenizer`` is the path of the file on the driver. Columns are addressed
-    by name inside ``make``, so ``docs`` must not repeat a name.
+    by name, so ``docs`` must not repeat one.
     """
-    from pyspark.sql.types import StructType
-
     with open(tokenizer, encoding="utf-8") as f:
         spec = docs.sparkSession.sparkContext.broadcast(f.read())
     schema = StructType([*docs.schema.fields, *StructType.fromDDL(more).fields])
 
     def task(batches):
-        bpe = Bpe(spec.value)
+        bpe = loaded(spec.value)
         for batch in batches:
-            for lo in range(0, batch.num_rows, 1024):
-                part = batch.slice(lo, 1024)
-                yield pa.RecordBatch.from_arrays([*part.columns, *make(part, bpe)], names=schema.names)
+            given = batch.column(col)
+            for lo, hi in chunks(given, BATCH) if pa.types.is_string(given.type) else [(0, batch.num_rows)]:
+                part = batch.slice(lo, hi - lo)
+                yield pa.RecordBatch.from_arrays([*part.columns, *make(part.column(col), bpe)], names=schema.names)
 
     return docs.mapInArrow(task, schema)

@@ -41,9 +41,9 @@ from kiln.llm.words import mix, prefix_sums, span_hash
 
 DEPTH = 5  # bytes of context; a gram has 48 bits
 UPPER = 2  # depths weighted from sums
-BLOCK = 16 << 20  # bytes of a block's texts
+BLOCK = 12 << 20  # bytes of a block's texts
 PIECE = 4 << 20  # bytes after which a text is cut at the next word
-SLICE = 1 << 21  # bytes whose grams are sorted at once
+SLICE = 1 << 20  # bytes whose grams are sorted at once
 TOGETHER = 1 << 18  # grams weighted at once
 SPACE, END = 32, 10
 _HALF = math.log(0.5)
