@@ -7,7 +7,8 @@ word sequence also starts in a document of a smaller id is removed.
    grams; consecutive windows with one anchor form a segment. Equal windows have
    equal anchors wherever they stand, so an anchor's windows can be judged apart
    from all others. Segments of equal words are pooled: (smallest id, largest
-   id, place of the first) -- all copies of a passage are one row.
+   id, place of the first) -- all copies of a passage are one row. Equality is that
+   of 128-bit digests of the words' bytes.
 2. Shards. Only segments whose anchor occurs in two documents go on (an exact
    test: no other can share a window). The words of the pooled segments are read
    from their first documents and sent to shards of bounded size by anchor. A
@@ -15,14 +16,17 @@ word sequence also starts in a document of a smaller id is removed.
    smallest owner of every window.
 3. Hot anchors. An anchor with more pooled words than a shard is to hold (the
    edges of a passage shared by very many documents) is split: its windows are pooled by
-   their own hash, those in two documents are indexed as texts of their own in
-   shards by window, so one anchor spreads over all shards.
+   their own digest, those in two documents are indexed as texts of their own in
+   shards by window, so one anchor spreads over all shards. There the pooling has
+   decided already and the index confirms it.
 4. The owners join back to the segments (AQE splits hot ones), and each document
    loses the words of windows that a smaller id owns.
 """
 
 from __future__ import annotations
 
+from itertools import islice
+
 import numpy as np
 import pandas as pd
 import pyarrow as pa
@@ -31,7 +35,7 @@ from pyspark.sql import functions as F
 
 from kiln.llm.common import chunks, keep
 from kiln.llm.fm_index import window_owners
-from kiln.llm.words import prefix_sums, span_hash, words_of
+from kiln.llm.words import digests, prefix_sums, span_hash, words_of
 
 GRAM = 8
 SHARD = 200_000
@@ -49,7 +53,7 @@ def _least_over(x: np.ndarray, n: int) -> np.ndarray:
 
 
 def segments(hashes: np.ndarray, first: np.ndarray, window: int):
-    """Segments of a batch of texts: ``(text, start word, windows, anchor, hash)``.
+    """Segments of a batch of texts: ``(text, first word of the batch, start word in the text, windows, anchor)``.
 
     ``hashes`` are the word hashes of all texts, ``first`` where each text's begin.
     """
@@ -72,8 +76,7 @@ def segments(hashes: np.ndarray, first: np.ndarray, window: int):
     begin = np.flatnonzero(into % LONGEST == 0)
     size = np.diff(np.concatenate([begin, [len(at)]]))
     start = at[begin]
-    body = span_hash(total, start, start + size + window - 1)
-    return text[begin], start - first[text[begin]], size, anchor[begin].view(np.int64), body.view(np.int64)
+    return text[begin], start, start - first[text[begin]], size, anchor[begin].view(np.int64)
 
 
 def _segment_task(window: int):
@@ -84,11 +87,12 @@ def _segment_task(window: int):
             ids, keys, texts = b.column("id"), b.column("row"), b.column("text")
             for lo, hi in chunks(texts):
                 w = words_of(texts.slice(lo, hi - lo))
-                text, start, size, anchor, body = segments(w.hashes(), w.first, window)
+                text, word, start, size, anchor = segments(w.hashes(), w.first, window)
                 if len(text):
                     at = pa.array(text + lo)
+                    body = pa.array(digests(w, word, word + size + window - 1), pa.binary())
                     yield pa.RecordBatch.from_arrays(
-                        [ids.take(at), keys.take(at), pa.array(start, pa.int32()), pa.array(size, pa.int32()), pa.array(anchor), pa.array(body)],
+                        [ids.take(at), keys.take(at), pa.array(start, pa.int32()), pa.array(size, pa.int32()), pa.array(anchor), body],
                         ["id", "row", "start", "size", "anchor", "body"],
                     )
 
@@ -110,13 +114,13 @@ def _words_task(window: int):
                 continue
             cols = [pa.array(x) for x in zip(*out)]
             w = words_of(cols[6])
-            total, hashes = prefix_sums(w.hashes()), []
-            for i, n in enumerate(cols[2].to_pylist()):
-                at = w.first[i] + np.arange(n)
-                hashes.append(span_hash(total, at, at + window).view(np.int64) if out[i][5] else None)
+            sizes, hot = cols[2].to_numpy().astype(np.int64), [r[5] for r in out]
+            at = np.concatenate([w.first[i] + np.arange(n) for i, n in enumerate(sizes) if hot[i]] or [np.zeros(0, np.int64)])
+            keys = iter(digests(w, at, at + window))
+            hashes = [list(islice(keys, int(n))) if h else None for n, h in zip(sizes, hot)]
             names = ["anchor", "body", "size", "least", "most", "hot", "words"]
-            types = [pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.bool_(), pa.string()]
-            yield pa.RecordBatch.from_arrays([*[c.cast(t) for c, t in zip(cols, types)], pa.array(hashes, pa.list_(pa.int64()))], [*names, "windows"])
+            types = [pa.int64(), pa.binary(), pa.int32(), pa.int64(), pa.int64(), pa.bool_(), pa.string()]
+            yield pa.RecordBatch.from_arrays([*[c.cast(t) for c, t in zip(cols, types)], pa.array(hashes, pa.list_(pa.binary()))], [*names, "windows"])
 
     return task
 
@@ -144,7 +148,7 @@ def _index_shard(window: int):
     return task
 
 
-RUNS = "anchor long, body long, size int, lo int, hi int, owner long"
+RUNS = "anchor long, body binary, size int, lo int, hi int, owner long"
 
 
 def _by_shard(pieces: DataFrame, key: str, words: int, window: int) -> DataFrame:
@@ -163,7 +167,7 @@ def repeated_spans(docs: DataFrame, window: int = 50, id_col: str = "doc_id", te
         F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text")
     )
     d = d.withColumn("row", F.xxhash64("text"))
-    seg = keep(d.mapInArrow(_segment_task(window), "id long, row long, start int, size int, anchor long, body long"), "segments")
+    seg = keep(d.mapInArrow(_segment_task(window), "id long, row long, start int, size int, anchor long, body binary"), "segments")
     pooled = seg.groupBy("anchor", "body", "size").agg(
         F.min(F.struct("id", "row", "start")).alias("at"), F.max("id").alias("most")
     )
@@ -186,7 +190,7 @@ def repeated_spans(docs: DataFrame, window: int = 50, id_col: str = "doc_id", te
     pieces = keep(
         texts.select("text", "places").mapInArrow(
             _words_task(window),
-            "anchor long, body long, size int, least long, most long, hot boolean, words string, windows array<long>",
+            "anchor long, body binary, size int, least long, most long, hot boolean, words string, windows array<binary>",
         ),
         "pieces",
     )

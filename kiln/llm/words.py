@@ -1,7 +1,9 @@
 """Words of many texts at once, as numpy arrays over the UTF-8 bytes.
 
 The blanks that part words are single bytes, so words are byte spans; spans,
-hashes and windows of a whole batch come from a few vector operations.
+hashes and windows of a whole batch come from a few vector operations. The
+polynomial hashes only route and choose: some long strings share one, so what is
+taken for equal is compared by 128-bit digests of its bytes.
 """
 
 from __future__ import annotations
@@ -11,6 +13,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import xxhash
 
 U = np.uint64
 _RADIX = U(0x9E3779B97F4A7C15)
@@ -68,6 +71,26 @@ class Words:
         return span_hash(prefix_sums(self.data), self.starts, self.ends)
 
 
+def joined(w: Words) -> tuple[memoryview, np.ndarray]:
+    """All words with one space behind each, and where each word begins (one more entry ends the last).
+
+    The bytes of words ``i`` to ``j - 1`` joined by one space are ``data[at[i] : at[j] - 1]``.
+    """
+    sizes = w.ends - w.starts
+    at = np.concatenate(([0], np.cumsum(sizes + 1)))
+    data = np.full(int(at[-1]), 32, dtype=np.uint8)
+    into = np.arange(int(sizes.sum()))
+    own = np.cumsum(sizes) - sizes
+    data[np.repeat(at[:-1] - own, sizes) + into] = w.data[np.repeat(w.starts - own, sizes) + into]
+    return memoryview(data), at
+
+
+def digests(w: Words, first: np.ndarray, last: np.ndarray) -> list[bytes]:
+    """128-bit digests of the words ``first[k]`` to ``last[k] - 1`` joined by one space."""
+    data, at = joined(w)
+    return [xxhash.xxh3_128_digest(data[a : b - 1]) for a, b in zip(at[first].tolist(), at[last].tolist())]
+
+
 #: Letter runs, for bags of words: ASCII letters and every byte of other characters.
 LETTERS = np.zeros(256, dtype=bool)
 LETTERS[65:91] = LETTERS[97:123] = LETTERS[128:] = True

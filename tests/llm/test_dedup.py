@@ -205,3 +205,29 @@ def test_lattice_recall_at_the_threshold():
         for t in range(lattice.tables):
             met |= (a[:, t, :1] == b[:, t]).any(axis=1) | (b[:, t, :1] == a[:, t]).any(axis=1)
         assert met.mean() >= least
+
+
+def signed(n):
+    """Words of n bytes that alternate by the parity of their place's bits, and their mirror: polynomial hashes modulo 2**64 can't tell them apart."""
+    return tuple("".join("ab"[(i.bit_count() + k) % 2] for i in range(n)) for k in (0, 1))
+
+
+@pytest.mark.parametrize("n", [1024, 2048, 4096])
+def test_words_that_share_a_polynomial_hash_are_told_apart(spark, n):
+    a, b = signed(n)
+    head, tail = [f"h{i}" for i in range(30)], [f"t{i}" for i in range(30)]
+    docs = frame(spark, [(1, " ".join([*head, a, *tail])), (2, " ".join([*head, b, *tail])), (3, " ".join([*head, b, *tail, "x"]))])
+    got = {r.doc_id: r.n_removed for r in substring_dedup.remove_repeats(docs, 50).collect()}
+    assert got == {1: 0, 2: 0, 3: 61}
+
+
+def test_digests_see_words_and_their_borders():
+    import pyarrow as pa
+
+    from kiln.llm.words import digests, joined, words_of
+
+    w = words_of(pa.array(["a  b\tcd", "", "a b cd", "ab  cd", None]))
+    assert bytes(joined(w)[0]) == b"a b cd a b cd ab cd "
+    first = np.array([0, 3, 6])
+    x, y, z = digests(w, first, np.array([3, 6, 8]))
+    assert x == y != z
