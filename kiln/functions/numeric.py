@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from itertools import combinations, combinations_with_replacement
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, FloatType
 
 
 def nan_to_null(c: Column) -> Column:
@@ -13,6 +14,12 @@ def nan_to_null(c: Column) -> Column:
     return F.nanvl(c, F.lit(None).cast("double"))
 
 
+def without_nan(df: DataFrame) -> DataFrame:
+    """``df`` with NULL for NaN in its float and double columns (other columns untouched)."""
+    floats = [f.name for f in df.schema.fields if isinstance(f.dataType, (DoubleType, FloatType))]
+    return df.withColumns({c: F.nanvl(F.col(f"`{c}`"), F.lit(None).cast(df.schema[c].dataType)) for c in floats}) if floats else df
+
+
 def log1p(c: Column) -> Column:
     """ln(1 + x)."""
     return F.log1p(c)

@@ -1,9 +1,9 @@
 """Composite feature runs (F17, F18, F19) and polynomial / ratio features
 (P14-P17, F5).
 
-Each composite is a chain of fitted operators; each fit is one aggregate
-and each transform a projection, so the whole run is a handful of small
-aggregate jobs followed by one lazy projection plan.
+The input is written once; each fit is an aggregate over the written columns
+and each transform a projection. F18 and F19 are pipelines of estimators
+(``stages``), which can be fitted on some rows and applied to others.
 """
 
 from __future__ import annotations
@@ -14,9 +14,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from kiln.functions import numeric
+from kiln.operators import stages
 from kiln.operators.binning import AGE_LABELS, QUARTILE_LABELS, EqualWidthBinner, QuantileBinner
-from kiln.operators.encoding import OneHotEncoder
-from kiln.operators.scaling import OutlierCapper, StandardScaler
+from kiln.session import staged
 
 
 def polynomial_features(
@@ -45,39 +45,27 @@ def ratio_features(df: DataFrame, eps: float = 1e-9) -> DataFrame:
 def advanced_features(df: DataFrame) -> DataFrame:
     """polynomial terms of (age, credit_score), labelled equal-width age
     bins, labelled income quartiles, ``income_log`` and the ratio features."""
+    df = staged(df, "profile")
     out = polynomial_features(df, ["age", "credit_score"])
-    out = EqualWidthBinner("age", "age_bins", 5, AGE_LABELS).fit(out).transform(out)
-    out = QuantileBinner("income", "income_quartiles", 4, QUARTILE_LABELS).fit(out).transform(out)
+    out = EqualWidthBinner("age", "age_bins", 5, AGE_LABELS).fit(df).transform(out)
+    out = QuantileBinner("income", "income_quartiles", 4, QUARTILE_LABELS).fit(df).transform(out)
     out = out.withColumn("income_log", numeric.log1p(F.col("income")))
     return ratio_features(out)
 
 
-def binned_ratio_pipeline(df: DataFrame, cols: Sequence[str] = ("age", "income", "credit_score"), key: str = "customer_id") -> DataFrame:
-    """missing -> 0, ratio features, ordinal equal-width and quantile
-    bins, then standard scaling of every resulting column."""
-    x = df.select(key, *[F.coalesce(F.col(c).cast("double"), F.lit(0.0)).alias(c) for c in cols])
-    x = x.withColumns(
-        {
-            "age_income_ratio": numeric.safe_ratio(F.col("age"), F.col("income") / 1000.0, 1.0),
-            "credit_age_product": F.col("credit_score") * F.col("age"),
-        }
-    )
-    x = EqualWidthBinner("age", "age_binned", 5).fit(x).transform(x)
-    x = QuantileBinner("income", "income_binned", 4).fit(x).transform(x)
-    feats = [c for c in x.columns if c != key]
-    return StandardScaler(feats).fit(x).transform(x)
+def binned_ratio_features(df: DataFrame, cols: Sequence[str] = ("age", "income", "credit_score"), key: str = "customer_id") -> DataFrame:
+    """F19 fitted on and applied to all rows of ``df``."""
+    x = staged(df.select(key, *cols), "profile")
+    pipeline, feats = stages.binned_ratio_pipeline(cols)
+    return pipeline.fit(x).transform(x).select(key, *feats)
 
 
-def mixed_column_pipeline(
+def mixed_columns(
     df: DataFrame,
     numeric_cols: Sequence[str] = ("age", "income", "credit_score"),
     categorical_col: str = "category",
     key: str = "customer_id",
 ) -> DataFrame:
-    """numeric columns capped at percentiles 5 / 95 then standard
-    scaled; the categorical column one-hot encoded (unknown -> zeros)."""
-    num = list(numeric_cols)
-    capped = OutlierCapper(num).fit(df).transform(df)
-    scaled = StandardScaler(num).fit(capped).transform(capped)
-    onehot = OneHotEncoder(categorical_col).fit(df)
-    return onehot.transform(scaled).select(key, *num, *[f"{categorical_col}_{v}" for v in onehot.values])
+    """F18 fitted on and applied to all rows of ``df``."""
+    x = staged(df.select(key, *numeric_cols, categorical_col), "profile")
+    return stages.mixed_column_pipeline(numeric_cols, categorical_col).fit(x).transform(x).drop(categorical_col)

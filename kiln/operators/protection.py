@@ -9,11 +9,14 @@ from __future__ import annotations
 
 import hashlib
 
-from pyspark.sql import Column, DataFrame
+import numpy as np
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from kiln.functions import validators as V
 from kiln.functions.dates import as_ts
+from kiln.operators._lockout_fn import session_task
+from kiln.session import staged
 
 # Candidate extractors for values embedded in free text.
 EMAIL_CANDIDATE = r"\S+@\S+"
@@ -158,31 +161,95 @@ def login_attempts(events: DataFrame, failure: str = "error", success: str = "si
 
 
 def lockout(attempts: DataFrame, max_failures: int = 5, lock_minutes: int = 15) -> DataFrame:
-    """Replay login attempts per user in time order.
+    """Login attempts of each user in time order under the lockout rule.
 
     The 5th failed attempt locks the account for 15 minutes; a success
     resets the counter and the lock; attempts while locked are rejected and
     do not count; the counter survives the end of a lock, so the next
-    failure locks again.
-
-    Plan: one shuffle (``repartition(user)``) and a sort inside each
-    partition by (user, time, id); ``mapInPandas`` then streams the sorted
-    partition in Arrow batches and carries the three-value state from row
-    to row, resetting it when the user changes. Memory is one batch, and
-    there is no per-user call overhead. ``lockout_grouped`` is the same rule
-    as a grouped map (one call per user).
-    """
-    from kiln.operators._lockout_fn import make_partition_replay
-
-    ordered = attempts.repartition("user_id").sortWithinPartitions("user_id", "ts", "event_id")
-    return ordered.mapInPandas(make_partition_replay(max_failures, lock_minutes), LOCKOUT_SCHEMA)
+    failure locks again. Attempts need a time; equal times go by event_id.
 
+    A pause of 15 minutes ends any lock, so what a session (attempts without such a
+    pause) does depends only on the counter at its start, and of that only on
+    0, 1, .., 4 or more: its effect is a small transition table.
 
-def lockout_grouped(attempts: DataFrame, max_failures: int = 5, lock_minutes: int = 15) -> DataFrame:
-    """The lockout replay as an iterator-form grouped map: the sorted
-    partitions already satisfy its distribution and ordering, so no second
-    shuffle or sort is planned."""
-    from kiln.operators._lockout_fn import make_replay
+    1. Sessions are numbered with windows over (user, day) and over a user's days.
+    2. Each session is reduced to its table: sessions, not users, are dealt to the
+       tasks, which step many at once as arrays (``_lockout_fn``).
+    3. Tables compose: a day's sessions (96 at most) to a table per day, the days of
+       a user to the counter at each day's start, and back to each session's start.
+    4. Sessions are stepped again from their real counter.
 
-    ordered = attempts.repartition("user_id").sortWithinPartitions("user_id", "ts", "event_id")
-    return ordered.groupBy("user_id").applyInPandas(make_replay(max_failures, lock_minutes), LOCKOUT_SCHEMA)
+    So the attempts of one user spread over as many tasks as there are sessions and
+    days. Only a session itself is handled in one task, as a stream of batches.
+    """
+    lock = int(lock_minutes) * 60_000_000
+    numbered = staged(_sessions(attempts, lock), "sessions")
+    dealt = numbered.repartition("user_id", "session").sortWithinPartitions("user_id", "session", "t", "event_id")
+    kind = {f.name: f.dataType.simpleString() for f in numbered.schema.fields}
+    starts = np.arange(max_failures, dtype=np.int64)
+    tables = dealt.mapInArrow(
+        session_task(["user_id", "session"], starts, max_failures, lock), f"user_id {kind['user_id']}, session long, reset array<boolean>, n array<long>"
+    )
+    entries = _entries(numbered, tables, max_failures)
+    again = _beside(numbered, entries, "user_id", "session")
+    again = again.repartition("user_id", "session").sortWithinPartitions("user_id", "session", "t", "event_id")
+    return again.mapInArrow(session_task(["user_id", "session"], None, max_failures, lock), LOCKOUT_SCHEMA)
+
+
+def _beside(a: DataFrame, b: DataFrame, *keys: str) -> DataFrame:
+    """Rows of ``a`` with the other columns of ``b`` where ``keys`` are equal, NULL equal to NULL."""
+    b = b.withColumnsRenamed({k: f"__{k}" for k in keys})
+    cond = F.lit(True)
+    for k in keys:
+        cond = cond & F.col(k).eqNullSafe(F.col(f"__{k}"))
+    return a.join(b, cond).drop(*[f"__{k}" for k in keys])
+
+
+def _sessions(attempts: DataFrame, lock: int) -> DataFrame:
+    """Attempts with the number of their session within the user, and the day on which it begins."""
+    a = attempts.where(F.col("ts").isNotNull()).select(
+        "user_id", "event_id", F.col("ts").cast("timestamp").alias("ts"), "outcome",
+        F.unix_micros(F.col("ts").cast("timestamp")).alias("t"), (F.col("outcome") == "success").alias("success"),
+    )
+    a = a.withColumn("success", F.coalesce("success", F.lit(False))).withColumn("day", F.floor(F.col("t") / 86_400_000_000))
+    by_user = Window.partitionBy("user_id").orderBy("day")
+    by_day = Window.partitionBy("user_id", "day").orderBy("t", "event_id")
+    days = a.groupBy("user_id", "day").agg(F.max("t").alias("last")).withColumn("before", F.lag("last").over(by_user)).drop("last")
+    x = _beside(a, days, "user_id", "day")
+    pause = F.col("t") - F.coalesce(F.lag("t").over(by_day), "before")
+    x = x.withColumn("starts", F.coalesce(pause >= lock, F.lit(True)).cast("long"))
+    x = x.withColumn("local", F.sum("starts").over(by_day)).drop("before")
+    counts = x.groupBy("user_id", "day").agg(F.sum("starts").alias("n"))
+    counts = counts.withColumn("offset", F.coalesce(F.sum("n").over(by_user.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).drop("n")
+    return _beside(x, counts, "user_id", "day").withColumn("session", F.col("offset") + F.col("local")).drop("local", "offset")
+
+
+def _entries(numbered: DataFrame, tables: DataFrame, classes: int) -> DataFrame:
+    """The counter at the start of each session: ``user_id, session, entry``."""
+    first_day = numbered.where("starts = 1").select("user_id", "session", "day")
+    placed = _beside(tables, first_day, "user_id", "session")
+    # a day's sessions in order; what they do to each start is one table
+    days = staged(
+        placed.groupBy("user_id", "day").agg(F.array_sort(F.collect_list(F.struct("session", "reset", "n"))).alias("steps")), "session-days"
+    )
+    top = classes - 1
+    step = f"""aggregate(steps, transform(sequence(0, {top}), k -> named_struct('reset', false, 'n', CAST(0 AS BIGINT))),
+      (state, s) -> transform(state, (c, k) -> IF(
+        s.reset[CAST(least(IF(c.reset, c.n, k + c.n), {top}) AS INT)],
+        named_struct('reset', true, 'n', s.n[CAST(least(IF(c.reset, c.n, k + c.n), {top}) AS INT)]),
+        named_struct('reset', c.reset, 'n', c.n + s.n[CAST(least(IF(c.reset, c.n, k + c.n), {top}) AS INT)]))))"""
+    tables_of_days = days.select("user_id", "day", F.expr(step).alias("d")).select(
+        "user_id", F.struct("day", F.col("d.reset").alias("reset"), F.col("d.n").alias("n")).alias("d")
+    )
+    users = tables_of_days.groupBy("user_id").agg(F.array_sort(F.collect_list("d")).alias("steps"))
+
+    def running(name: str) -> str:
+        """The counter before each step, from ``entry`` on."""
+        after = f"IF(s.reset[CAST(least(state.now, {top}) AS INT)], 0, state.now) + s.n[CAST(least(state.now, {top}) AS INT)]"
+        return f"""inline(aggregate(steps, named_struct('now', entry, 'out', CAST(array() AS ARRAY<STRUCT<{name}: BIGINT, entry: BIGINT>>)),
+          (state, s) -> named_struct('now', {after}, 'out', array_append(state.out, named_struct('{name}', s.{name}, 'entry', state.now))),
+          state -> state.out))"""
+
+    by_day = users.withColumn("entry", F.lit(0).cast("bigint")).selectExpr("user_id", running("day"))
+    joined = _beside(days, by_day, "user_id", "day").select("user_id", "steps", "entry")
+    return joined.selectExpr("user_id", running("session"))

@@ -4,16 +4,21 @@ Reports are long-format DataFrames (one row per column and metric), never a
 driver-side dictionary. Cost model per table:
 
 * every counter of a table is one ``agg`` (partial + final aggregate);
-* distinct counts and modes of all text columns come from ONE shuffle of
-  exploded ``(column, value)`` pairs, combined map-side -- instead of one
-  ``count(DISTINCT)`` per column, which Spark would plan as an Expand that
-  copies every row once per column;
+* equality of rows and values goes by 128-bit digests: shuffles and map-side
+  buffers hold digests, never whole texts. Distinct counts of all columns come
+  from ONE shuffle of exploded (column, digest) pairs -- instead of one
+  ``count(DISTINCT)`` per column, which Spark would plan as an Expand that copies
+  every row once per column -- and a most common value is looked up at the end;
+* scores and reports write their input once, observe its counts while it is
+  written, and aggregate the written columns;
+* NaN is missing, as NULL;
 * quartiles use the exact distributed selection of ``kiln.functions.stats``.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -27,7 +32,9 @@ from pyspark.sql.types import (
     StructType,
 )
 
+from kiln.functions.numeric import without_nan
 from kiln.functions.stats import exact_quantiles, fit_row
+from kiln.session import staged, staged_with
 
 
 def _q(name: str) -> str:
@@ -52,21 +59,50 @@ def _stack(df: DataFrame, items: Sequence[tuple[str, Sequence[Column]]], names:
 # A6 missing values, A17 completeness
 # --------------------------------------------------------------------------
 
+@dataclass(frozen=True)
+class Profile:
+    """An input written once: the table without NaN, its rows, and the missing values of each column."""
+
+    table: DataFrame
+    rows: int
+    missing: dict[str, int]
+
+
+def profiled(df: DataFrame) -> Profile:
+    """Write ``df`` (NaN as NULL) and count its rows and gaps on the way."""
+    df = without_nan(df)
+    counts = {"n": F.count("*")} | {f"m{i}": F.count_if(F.col(_q(c)).isNull()) for i, c in enumerate(df.columns)}
+    table, seen = staged_with(df, "profile", counts)
+    return Profile(table, int(seen["n"]), {c: int(seen[f"m{i}"]) for i, c in enumerate(df.columns)})
+
+
 def missing_summary(df: DataFrame) -> DataFrame:
     """Per column: missing count and percentage rounded to 2 places."""
+    df = without_nan(df)
     aggs = [F.count("*").alias("__n")] + [
         F.count_if(F.col(_q(c)).isNull()).alias(f"m{i}") for i, c in enumerate(df.columns)
     ]
-    wide = df.agg(*aggs)
+    return _missing_rows(df.agg(*aggs), df.columns)
+
+
+def _missing_rows(wide: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """``__n, m0, m1, ...`` to one row per column."""
     items = [
         (c, [F.col(f"m{i}"), F.round(F.try_divide(F.col(f"m{i}") * 100.0, F.col("__n")), 2)])
-        for i, c in enumerate(df.columns)
+        for i, c in enumerate(cols)
     ]
     return _stack(wide, items, ["column", "count", "percentage"])
 
 
+def _missing_of(p: Profile) -> DataFrame:
+    cols = list(p.missing)
+    schema = "__n bigint, " + ", ".join(f"m{i} bigint" for i in range(len(cols)))
+    return _missing_rows(p.table.sparkSession.createDataFrame([(p.rows, *p.missing.values())], schema), cols)
+
+
 def completeness(df: DataFrame) -> DataFrame:
     """Per column: ``1 - missing / rows``."""
+    df = without_nan(df)
     aggs = [F.count("*").alias("__n")] + [F.count(_q(c)).alias(f"c{i}") for i, c in enumerate(df.columns)]
     wide = df.agg(*aggs)
     items = [(c, [F.try_divide(F.col(f"c{i}").cast("double"), F.col("__n"))]) for i, c in enumerate(df.columns)]
@@ -77,11 +113,21 @@ def completeness(df: DataFrame) -> DataFrame:
 # A7 duplicate rows
 # --------------------------------------------------------------------------
 
+def digest(*cols: Column) -> Column:
+    """128 bits of the values: equal values (NULL equal to NULL) have equal digests.
+
+    Two chained 64-bit hashes with different beginnings. A hash passes over NULL,
+    so the places of the NULLs are hashed as well.
+    """
+    gaps = F.concat(*[F.when(c.isNull(), "1").otherwise("0") for c in cols])
+    return F.struct(F.xxhash64(F.lit(1), gaps, *cols).alias("a"), F.xxhash64(F.lit("2"), gaps, *cols).alias("b"))
+
+
 def duplicate_rows(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
     """Rows equal to an earlier row on ``cols`` (all columns by default):
-    ``sum(n - 1)`` over groups of equal rows; NULLs compare equal (A7)."""
-    cols = list(cols or df.columns)
-    groups = df.groupBy(*[_q(c) for c in cols]).agg(F.count("*").alias("__n"))
+    ``sum(n - 1)`` over groups of equal rows; NULLs compare equal, and NaN to NULL (A7)."""
+    df = without_nan(df.select(*[_q(c) for c in cols or df.columns]))
+    groups = df.groupBy(digest(*[F.col(_q(c)) for c in df.columns]).alias("__row")).agg(F.count("*").alias("__n"))
     return groups.agg(F.coalesce(F.sum(F.col("__n") - 1), F.lit(0)).cast("bigint").alias("duplicate_rows"))
 
 
@@ -142,12 +188,19 @@ def value_pairs(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 
 
 def category_stats(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """Per column: distinct count and mode (ties -> smallest), one shuffle."""
-    counts = value_pairs(df, cols).groupBy("k", "v").agg(F.count("*").alias("n"))
-    return counts.groupBy("k").agg(
-        F.count("*").alias("unique_values"),
-        F.min(F.struct((-F.col("n")).alias("nn"), F.col("v").alias("v")))["v"].alias("most_common"),
-    )
+    """Per column: distinct count and mode (ties -> smallest).
+
+    Values are counted by digest. The mode is looked up among the values whose
+    digest has the highest count; where every value is single it is the smallest
+    value, and no value is joined.
+    """
+    pairs = value_pairs(df, cols).withColumn("d", digest(F.col("v")))
+    counts = staged(pairs.groupBy("k", "d").agg(F.count("*").alias("n")), "value-counts")
+    top = counts.groupBy("k").agg(F.count("*").alias("unique_values"), F.max("n").alias("most"))
+    ties = counts.join(top.where("most > 1"), "k").where("n = most").select("k", "d")
+    single = pairs.join(top.where("most = 1").select("k"), "k").groupBy("k").agg(F.min("v").alias("most_common"))
+    many = pairs.join(ties, ["k", "d"], "left_semi").groupBy("k").agg(F.min("v").alias("most_common"))
+    return top.join(single.unionByName(many), "k", "left").select("k", "unique_values", "most_common")
 
 
 def distribution_summary(df: DataFrame, medians: dict | None = None, moments: dict | None = None) -> DataFrame:
@@ -189,17 +242,23 @@ def distribution_summary(df: DataFrame, medians: dict | None = None, moments: di
 # A10 / A11 quality score and full report
 # --------------------------------------------------------------------------
 
-def quality_score(df: DataFrame, miss: DataFrame | None = None, outl: DataFrame | None = None) -> DataFrame:
+def quality_score(df: DataFrame) -> DataFrame:
     """0-100 score (A10): 100 - min(0.5 x mean missing %, 30)
     - min(0.3 x duplicate %, 20) - min(0.2 x mean outlier %, 15), floor 0;
-    the percentages are the rounded ones of the report."""
-    miss = miss if miss is not None else missing_summary(df)
-    outl = outl if outl is not None else outlier_summary(df)
-    dups = duplicate_rows(df)
-    n = df.select(F.count("*")).scalar()
-    mean_missing = miss.select(F.avg("percentage")).scalar()
-    mean_outlier = outl.select(F.coalesce(F.avg("percentage"), F.lit(0.0))).scalar()
-    dup_pct = F.when(n > 0, F.col("duplicate_rows") * 100.0 / n).otherwise(F.lit(0.0))
+    the percentages are the rounded ones of the report. The input is evaluated once."""
+    p = profiled(df)
+    return _score(p, _missing_of(p).collect(), outlier_summary(p.table).collect())
+
+
+def _score(p: Profile, miss: list, outl: list) -> DataFrame:
+    """The score from the rows of the reports (one per column) and the duplicates."""
+    def mean(rows: list) -> Column:
+        known = [r.percentage for r in rows if r.percentage is not None]
+        return F.lit(sum(known) / len(known) if known else None).cast("double")
+
+    dups, n = duplicate_rows(p.table), F.lit(p.rows).cast("bigint")
+    mean_missing, mean_outlier = mean(miss), F.coalesce(mean(outl), F.lit(0.0))
+    dup_pct = F.when(n > 0, F.try_divide(F.col("duplicate_rows") * 100.0, n)).otherwise(F.lit(0.0))
     score = (
         F.lit(100.0)
         - F.least(mean_missing * 0.5, F.lit(30.0))
@@ -208,14 +267,18 @@ def quality_score(df: DataFrame, miss: DataFrame | None = None, outl: DataFrame
     )
     return dups.select(
         n.alias("total_rows"),
-        F.lit(len(df.columns)).cast("bigint").alias("total_columns"),
+        F.lit(len(p.missing)).cast("bigint").alias("total_columns"),
         "duplicate_rows",
         F.greatest(score, F.lit(0.0)).alias("quality_score"),
     )
 
 
 def quality_report(df: DataFrame) -> DataFrame:
-    """Full report (A11) in long form: ``section, column, metric, value, text``."""
+    """Full report (A11) in long form: ``section, column, metric, value, text``.
+
+    The input is evaluated once: it is written, its counts are observed meanwhile,
+    and each further aggregate reads the written columns once.
+    """
     def long(frame: DataFrame, section: str, metrics: Sequence[str]) -> DataFrame:
         return frame.select(
             F.lit(section).alias("section"),
@@ -225,13 +288,15 @@ def quality_report(df: DataFrame) -> DataFrame:
 
     # One quantile fit (quartiles and median of every numeric column) feeds
     # the outlier bounds, the medians and the score.
-    num = numeric_cols(df)
+    p = profiled(df)
+    df, num = p.table, numeric_cols(p.table)
     mom: dict = {}
     q = exact_quantiles(df, num, [0.25, 0.5, 0.75], moments=mom) if num else {}
     bounds = {c: None if q[c][0] is None else (q[c][0] - 1.5 * (q[c][2] - q[c][0]), q[c][2] + 1.5 * (q[c][2] - q[c][0]))
               for c in num}
-    miss_df = missing_summary(df)
-    outl_df = outlier_summary(df, num, bounds)
+    miss_df = _missing_of(p)
+    outl_rows = outlier_summary(df, num, bounds).collect()  # a row per column
+    outl_df = df.sparkSession.createDataFrame(outl_rows, "column string, count bigint, percentage double")
     miss = long(miss_df, "missing", ["count", "percentage"])
     outl = long(outl_df, "outliers", ["count", "percentage"])
     dist = distribution_summary(df, {c: [q[c][1]] for c in num}, mom)
@@ -240,7 +305,7 @@ def quality_report(df: DataFrame) -> DataFrame:
         F.lit("distribution").alias("section"), "column", F.lit("unique_values").alias("metric"),
         F.col("unique_values").cast("double").alias("value"), F.col("most_common").alias("text"),
     )
-    score = quality_score(df, miss_df, outl_df)
+    score = _score(p, miss_df.collect(), outl_rows)
     tbl = score.select(
         F.lit("table").alias("section"), F.lit(None).cast("string").alias("column"),
         F.explode(F.array(*[F.struct(F.lit(m).alias("metric"), F.col(m).cast("double").alias("value"))
@@ -463,18 +528,17 @@ def consistency(customers: DataFrame, tx: DataFrame, id_col: str = "customer_id"
     dup = customers.groupBy(id_col).agg(F.count("*").alias("n")).agg(
         F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).cast("bigint").alias("v")
     ).select(F.lit("customers_duplicates").alias("check"), F.lit(id_col).alias("column"), F.col("v").alias("value"))
-    nulls = missing_summary(tx).select(
-        F.lit("transactions_nulls").alias("check"), "column", F.col("count").alias("value")
-    )
-    neg = tx.agg(F.count_if(F.col(amount) < 0).alias("v")).select(
-        F.lit("negative_amounts").alias("check"), F.lit(amount).alias("column"), F.col("v").alias("value")
-    )
-    return dup.unionByName(nulls).unionByName(neg)
+    tx = without_nan(tx)
+    wide = tx.agg(*[F.count_if(F.col(_q(c)).isNull()).alias(f"m{i}") for i, c in enumerate(tx.columns)], F.count_if(F.col(amount) < 0).alias("neg"))
+    items = [("transactions_nulls", [F.lit(c), F.col(f"m{i}")]) for i, c in enumerate(tx.columns)]
+    counted = _stack(wide, [*items, ("negative_amounts", [F.lit(amount), F.col("neg")])], ["check", "column", "value"])
+    return dup.unionByName(counted)
 
 
 def customer_quality(df: DataFrame, id_col: str = "customer_id", age: str = "age") -> DataFrame:
     """0-1 customer score (A18): 1 - 5 min(dup rate, .1) - 3 min(null rate, .1)
     - 10 min(age outside 18..100 share, .05), floor 0."""
+    df = without_nan(df)
     ncols = len(df.columns)
     stats = df.agg(
         F.count("*").alias("n"),
@@ -511,6 +575,7 @@ def transaction_quality(
     - 10 min(non-positive quantity share, .05) - 3 min(null rate, .1),
     floor 0; plus the count of dates after ``as_of``."""
     now = F.lit(as_of).cast("timestamp") if isinstance(as_of, str) else as_of
+    df = without_nan(df)
     ncols = len(df.columns)
     s = df.agg(
         F.count("*").alias("total_records"),

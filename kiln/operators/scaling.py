@@ -13,7 +13,9 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from kiln.functions.numeric import nan_to_null
 from kiln.functions.stats import exact_quantiles, fit_row
+from kiln.session import staged
 
 
 @dataclass
@@ -30,19 +32,20 @@ class ScalerModel:
             if ctr is None:
                 out[f"{c}{self.suffix}"] = F.lit(None).cast("double")
                 continue
-            out[f"{c}{self.suffix}"] = (F.col(c).cast("double") - F.lit(ctr)) / F.lit(sc)
+            out[f"{c}{self.suffix}"] = (nan_to_null(F.col(c).cast("double")) - F.lit(ctr)) / F.lit(sc)
         return df.withColumns(out)
 
 
 @dataclass
 class StandardScaler:
-    """``(x - mean) / population std``; zero std -> scale 1 (F1)."""
+    """``(x - mean) / population std``; zero std -> scale 1 (F1). NaN is missing, as NULL."""
 
     cols: list[str]
     suffix: str = ""
 
     def fit(self, df: DataFrame) -> ScalerModel:
-        row = fit_row(df, [F.avg(c) for c in self.cols] + [F.stddev_pop(c) for c in self.cols])
+        x = [nan_to_null(F.col(c).cast("double")) for c in self.cols]
+        row = fit_row(df, [F.avg(c) for c in x] + [F.stddev_pop(c) for c in x])
         k = len(self.cols)
         center = {c: row[i] for i, c in enumerate(self.cols)}
         scale = {c: (row[k + i] if row[k + i] else 1.0) for i, c in enumerate(self.cols)}
@@ -57,7 +60,8 @@ class MinMaxScaler:
     suffix: str = ""
 
     def fit(self, df: DataFrame) -> ScalerModel:
-        row = fit_row(df, [F.min(c) for c in self.cols] + [F.max(c) for c in self.cols])
+        x = [nan_to_null(F.col(c).cast("double")) for c in self.cols]
+        row = fit_row(df, [F.min(c) for c in x] + [F.max(c) for c in x])
         k = len(self.cols)
         center = {c: (float(row[i]) if row[i] is not None else None) for i, c in enumerate(self.cols)}
         scale = {}
@@ -86,7 +90,8 @@ class RobustScaler:
 
 
 def apply_scalers(df: DataFrame, cols: list[str]) -> dict[str, DataFrame]:
-    """Standard, MinMax and Robust scaling side by side."""
+    """Standard, MinMax and Robust scaling side by side (F4), fitted on one written table."""
+    df = staged(df, "scaler-rows")
     return {
         "Standard": StandardScaler(cols).fit(df).transform(df),
         "MinMax": MinMaxScaler(cols).fit(df).transform(df),

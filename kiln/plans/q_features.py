@@ -6,6 +6,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from kiln.operators import features as FE
+from kiln.operators import stages
 from kiln.operators.binning import (
     AGE_LABELS,
     QUARTILE_LABELS,
@@ -17,6 +18,7 @@ from kiln.operators.encoding import BinaryEncoder, OneHotEncoder, TargetEncoder
 from kiln.operators.scaling import MinMaxScaler, OutlierCapper, RobustScaler, StandardScaler
 from kiln.functions.numeric import box_cox, unit_norm, yeo_johnson
 from kiln.plans.registry import query
+from kiln.session import staged
 from kiln.sources import tables as T
 from kiln.sources.tables import read, with_ctes
 
@@ -310,7 +312,7 @@ F19_FEATS = NUM + ["age_income_ratio", "credit_age_product", "age_binned", "inco
 
 @query("f19_binned_ratio_scaled", sql=_f19_sql(), rounding=_r(F19_FEATS))
 def f19_binned_ratio_scaled(spark, sf_dir):
-    return FE.binned_ratio_pipeline(T.customer_profile(spark, sf_dir))
+    return FE.binned_ratio_features(T.customer_profile(spark, sf_dir))
 
 
 def _f18_sql():
@@ -327,7 +329,57 @@ def _f18_sql():
 
 @query("f18_mixed_column_pipeline", sql=_f18_sql(), rounding=_r(NUM))
 def f18_mixed_column_pipeline(spark, sf_dir):
-    return FE.mixed_column_pipeline(T.customer_profile(spark, sf_dir))
+    return FE.mixed_columns(T.customer_profile(spark, sf_dir))
+
+
+# ---------------------------------------------------- fitted on one part, applied to the other
+_EARLY = f"(registration_date < TIMESTAMP '{TRAIN_BEFORE}')"
+
+
+def _split_profile(spark, sf_dir):
+    """Customers registered before the cut-off, and all others (also without a date)."""
+    p = staged(T.customer_profile(spark, sf_dir), "profile")
+    early = F.coalesce(F.col("registration_date") < F.lit(TRAIN_BEFORE).cast("timestamp"), F.lit(False))
+    return p.where(early), p.where(~early)
+
+
+def _f18_heldout_sql():
+    train = f"(SELECT * FROM prof WHERE {_EARLY})"
+    cap = ("cq AS (SELECT " + ", ".join(f"quantile_cont({c}, 0.05) AS lo_{c}, quantile_cont({c}, 0.95) AS hi_{c}" for c in NUM) + f" FROM {train})")
+    clip = ", ".join(f"CASE WHEN {c} IS NULL THEN NULL ELSE least(greatest({c}, lo_{c}), hi_{c}) END AS {c}" for c in NUM)
+    cp = f"cp AS (SELECT customer_id, category, registration_date, {clip} FROM prof, cq)"
+    cte, exprs = sql_standard(f"(SELECT * FROM cp WHERE {_EARLY})", NUM)
+    onehot = ", ".join(f"CAST(coalesce(category = '{v}', false) AS BIGINT) AS category_{v}" for v in SEGMENTS)
+    return (with_ctes("cust", "prof") + f",\n{cap},\n{cp},\n{cte}\n"
+            f"SELECT customer_id, {', '.join(exprs)}, {onehot} FROM cp WHERE NOT coalesce({_EARLY}, false)")
+
+
+@query("f18_mixed_columns_heldout", sql=_f18_heldout_sql(), rounding=_r(NUM))
+def f18_mixed_columns_heldout(spark, sf_dir):
+    """The F18 pipeline fitted on early customers, applied to the others."""
+    train, test = _split_profile(spark, sf_dir)
+    model = stages.mixed_column_pipeline().fit(train)
+    return model.transform(test.select("customer_id", *NUM, "category")).drop("category")
+
+
+def _f19_heldout_sql():
+    x0 = ("x0 AS (SELECT customer_id, registration_date, " + ", ".join(f"coalesce(CAST({c} AS DOUBLE), 0.0) AS {c}" for c in NUM) + " FROM prof)")
+    x1 = "x1 AS (SELECT *, age / (income / 1000.0 + 1.0) AS age_income_ratio, credit_score * age AS credit_age_product FROM x0)"
+    train = f"(SELECT * FROM x1 WHERE {_EARLY})"
+    c1, e1 = sql_equal_width(train, "age", "age_binned", 5, None)
+    c2, e2 = sql_quantile_bins(train, "income", "income_binned", 4, None)
+    x2 = f"x2 AS (SELECT *, {e1} AS age_binned, {e2} AS income_binned FROM x1)"
+    cte, exprs = sql_standard(f"(SELECT * FROM x2 WHERE {_EARLY})", F19_FEATS)
+    return (with_ctes("cust", "prof") + f",\n{x0},\n{x1},\n{c1},\n{c2},\n{x2},\n{cte}\n"
+            f"SELECT customer_id, {', '.join(exprs)} FROM x2 WHERE NOT coalesce({_EARLY}, false)")
+
+
+@query("f19_binned_ratio_heldout", sql=_f19_heldout_sql(), rounding=_r(F19_FEATS))
+def f19_binned_ratio_heldout(spark, sf_dir):
+    """The F19 pipeline fitted on early customers, applied to the others; values outside the fitted bins have none."""
+    train, test = _split_profile(spark, sf_dir)
+    pipeline, feats = stages.binned_ratio_pipeline()
+    return pipeline.fit(train).transform(test).select("customer_id", *feats)
 
 
 # ------------------------------------------------------------------ encoders

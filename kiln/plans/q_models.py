@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from kiln.operators import models as M
+from kiln.operators.stages import binned_ratio_stages
 from kiln.plans.q_features import sql_quantile_bins
 from kiln.plans.registry import query
 from kiln.sources import tables as T
@@ -116,6 +117,19 @@ def m4_cross_validation(spark, sf_dir):
     return M.cross_validate(T.labelled_documents(spark, sf_dir), DOC_FEATURES, "quality", "doc_id")
 
 
+@query("m4_pipeline_cross_validation")
+def m4_pipeline_cross_validation(spark, sf_dir):
+    """Cross-validation of the whole F19 pipeline over document features: ratio, bins and scaler are refitted in each fold."""
+
+    def steps():
+        return binned_ratio_stages(
+            DOC_FEATURES, ("words_per_kchar", "word_count", "n_chars"), ("digit_words", "digit_share", "word_count"),
+            ("upper_share", "upper_binned"), ("n_chars", "length_binned"),
+        )
+
+    return M.cross_validate(T.labelled_documents(spark, sf_dir), DOC_FEATURES, "quality", "doc_id", stages=steps)
+
+
 @query("m7_recursive_elimination")
 def m7_recursive_elimination(spark, sf_dir):
     keep = M.recursive_elimination(T.labelled_documents(spark, sf_dir), DOC_FEATURES, "quality", 3)

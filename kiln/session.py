@@ -11,8 +11,9 @@ from __future__ import annotations
 import os
 import re
 import tempfile
+import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 
 # Settings that shape plans at 100 TB scale. The shuffle partition count is an
 # upper bound that AQE coalesces down to ``advisoryPartitionSizeInBytes``.
@@ -89,3 +90,21 @@ def cut_lineage(df: DataFrame, eager: bool = True) -> DataFrame:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A path under the shared checkpoint folder for intermediate tables."""
     return os.path.join(checkpoint_dir(spark), "tables", name)
+
+
+def staged(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` as Parquet under the shared folder and read it back.
+
+    For an input of several aggregates: it is evaluated once, later scans read
+    only the columns they need, and the table survives the loss of executors.
+    """
+    return staged_with(df, name, {})[0]
+
+
+def staged_with(df: DataFrame, name: str, metrics: dict[str, Column]) -> tuple[DataFrame, dict]:
+    """``staged``, and the aggregates ``metrics`` gathered while the rows are written."""
+    path = scratch_path(df.sparkSession, f"{name}-{uuid.uuid4().hex}")
+    seen = Observation()
+    out = df.observe(seen, *[c.alias(k) for k, c in metrics.items()]) if metrics else df
+    out.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path), dict(seen.get) if metrics else {}

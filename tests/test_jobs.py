@@ -110,7 +110,13 @@ def test_feature_records_omit_missing_and_latest(spark):
 
 
 def test_generator_sizes(spark):
-    c, p, t = generator.generate(spark)
+    segments, nations, brands = (spark.read.parquet(f"{SMALL}/{t}.parquet").select(c) for t, c in (("customer", "c_mktsegment"), ("nation", "n_name"), ("part", "p_brand")))
+    words = generator.vocabulary(segments, nations, brands)
+    c, p, t = generator.generate(spark, words)
+    assert {r[0] for r in c.select("location").distinct().collect()} <= {r[0] for r in nations.collect()}
+    assert p.where("NOT startswith(product_description, category)").count() == 0
+    with pytest.raises(ValueError):
+        generator.vocabulary(segments.limit(0), nations, brands)
     assert (c.count(), p.count(), t.count()) == (1000, 500, 5000)
     assert c.agg(F.min("age"), F.max("age")).first() == (18, 79)
 
