@@ -50,19 +50,6 @@ def is_weekend(c: Column | str) -> Column:
     return weekday_mon0(c).isin(5, 6).cast("bigint")
 
 
-def calendar_parts(c: Column | str, prefix: str = "") -> dict[str, Column]:
-    """year, month, day_of_week, day_of_year, quarter, is_weekend."""
-    ts = as_ts(c)
-    return {
-        f"{prefix}year": F.year(ts).cast("bigint"),
-        f"{prefix}month": F.month(ts).cast("bigint"),
-        f"{prefix}day_of_week": weekday_mon0(ts),
-        f"{prefix}day_of_year": F.dayofyear(ts).cast("bigint"),
-        f"{prefix}quarter": F.quarter(ts).cast("bigint"),
-        f"{prefix}is_weekend": is_weekend(ts),
-    }
-
-
 def cyclical(c: Column, period: float) -> tuple[Column, Column]:
     """(sin, cos) of ``2*pi*c/period``."""
     angle = F.lit(2 * math.pi) * c / F.lit(float(period))

@@ -47,9 +47,3 @@ def column_diff(left: DataFrame, right: DataFrame) -> dict[str, list[str]]:
         "only_right": [c for c in rc if c not in lc],
         "common": [c for c in lc if c in rc],
     }
-
-
-def with_any_role(requests: DataFrame, roles_col: str, wanted: list[str]) -> DataFrame:
-    """Rows whose role array shares at least one role with ``wanted``."""
-    lit = F.array(*[F.lit(r) for r in wanted])
-    return requests.where(F.arrays_overlap(F.col(roles_col), lit))

@@ -103,11 +103,6 @@ def customer_aggregates(
     )
 
 
-def transform_transactions(tx: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(customer aggregate, enriched transactions) as the pipeline uses them."""
-    return customer_aggregates(tx), enrich_transactions(tx)
-
-
 # --------------------------------------------------------------------------
 # Interaction features (A2 with J1 and W3)
 # --------------------------------------------------------------------------

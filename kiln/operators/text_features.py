@@ -92,13 +92,6 @@ def explode_terms(arr) -> Column:
     return F.explode_outer(arr).alias("term")
 
 
-def term_counts(df: DataFrame, id_col: str, text_col: str, ngram_max: int = 1, stop_words=None) -> DataFrame:
-    """``(id, term, tf)`` raw counts per document (all terms)."""
-    staged = with_terms(df.select(F.col(id_col).alias("id"), F.col(text_col).alias("__text")), "__text", "__terms", ngram_max, stop_words)
-    ex = staged.select("id", explode_terms("__terms")).where(F.col("term").isNotNull())
-    return ex.groupBy("id", "term").agg(F.count("*").alias("tf"))
-
-
 def corpus_totals(df: DataFrame, text_col: str, ngram_max: int = 1, stop_words=None,
                   pattern: str = TOKEN_PATTERN) -> DataFrame:
     """``(term, total)``: corpus frequency of every term, combined map-side."""
@@ -117,11 +110,6 @@ def top_terms(totals: DataFrame, max_features: int | None) -> DataFrame:
     return top.withColumn("index", (F.row_number().over(Window.orderBy("term")) - 1).cast("bigint"))
 
 
-def vocabulary(counts: DataFrame, max_features: int | None) -> DataFrame:
-    """Vocabulary from per-document counts ``(id, term, tf)``."""
-    return top_terms(counts.groupBy("term").agg(F.sum("tf").alias("total")), max_features)
-
-
 def term_frequencies(terms: Column) -> Column:
     """``array<struct<term, tf>>`` of a term array, counted inside the row."""
     # size - size(array_remove): a native loop per distinct term, no lambda.

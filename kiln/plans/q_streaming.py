@@ -43,11 +43,22 @@ def s11_json_stream_ingest(spark, sf_dir):
 
 @query("v12_lockout_stream", sql=REGISTRY["v12_lockout"].sql)
 def v12_lockout_stream(spark, sf_dir):
-    """The lockout rule as a stateful streaming operator over the event stream."""
-    landing = _land_events(spark, sf_dir)
-    ev = ingest.decode_json(ingest.text_stream(spark, landing), "raw", EVENT_SCHEMA)
+    """The lockout rule as a stateful streaming operator over the event stream.
+
+    The landed files may arrive in any order, so the watermark is delayed by the
+    time that the log spans; a closing event long after the last one releases what waits.
+    """
+    events = read(spark, sf_dir, "events")
+    first, last = events.select(F.min("ts"), F.max("ts")).first()
+    landing = scratch_path(spark, f"events-landing-{uuid.uuid4().hex[:12]}")
+    files.write_table(events.repartition(8), landing, "json")
+    if last is not None:
+        span = int((last - first).total_seconds()) + 1
+        closing = events.limit(1).withColumns({"user_id": F.lit(-1).cast("bigint"), "event_type": F.lit("error"), "ts": (F.lit(last) + F.make_dt_interval(secs=F.lit(2 * span))).cast(events.schema["ts"].dataType)})
+        files.write_table(closing, landing, "json", mode="append")
+    ev = ingest.decode_json(ingest.text_stream(spark, landing, max_files_per_trigger=3), "raw", EVENT_SCHEMA)
     attempts = ev.where(F.col("event_type").isin("error", "signup")).select(
         "user_id", "event_id", F.col("ts").cast("timestamp").alias("ts"),
         F.when(F.col("event_type") == "error", "failure").otherwise("success").alias("outcome"),
     )
-    return _run_to_parquet(lockout_stream(attempts), "v12")
+    return _run_to_parquet(lockout_stream(attempts, delay=f"{span if last is not None else 1} seconds"), "v12")

@@ -31,6 +31,13 @@ CLUSTER_CONF = {
     "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
+# Only on a cluster: the width of shuffles before AQE coalesces them. At 100 TB the
+# default of 200 would put hundreds of GB into a partition.
+WIDTH_CONF = {
+    "spark.sql.shuffle.partitions": "8192",
+    "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
+}
+
 LOCAL_CONF = {
     "spark.sql.shuffle.partitions": "8",
     "spark.ui.enabled": "false",
@@ -48,9 +55,7 @@ def get_spark(master: str | None = None, app: str = "kiln", **extra: str) -> Spa
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
-        for k, v in LOCAL_CONF.items():
-            builder = builder.config(k, v)
-    for k, v in {**CLUSTER_CONF, **extra}.items():
+    for k, v in {**CLUSTER_CONF, **(LOCAL_CONF if master else WIDTH_CONF), **extra}.items():
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")

@@ -49,6 +49,12 @@ def has_files(spark: SparkSession, path: str, suffix: str | None = None) -> bool
     return False
 
 
+def _has_partitions(spark: SparkSession, path: str) -> bool:
+    """True when a folder right under ``path`` is named ``column=value``."""
+    fs, p = _fs(spark, path)
+    return fs.isDirectory(p) and any(f.isDirectory() and "=" in f.getPath().getName() for f in fs.listStatus(p))
+
+
 def require_inputs(spark: SparkSession, paths: Sequence[str]) -> None:
     """Fail fast before a run when an input is missing or an empty folder."""
     missing = [p for p in paths if not has_files(spark, p)]
@@ -62,7 +68,8 @@ def read_table(
     fmt: str = "parquet",
     schema: StructType | str | None = None,
     infer: bool = False,
-    recursive: bool = True,
+    recursive: bool | None = None,
+    merge: bool = False,
 ) -> DataFrame:
     """Read every ``fmt`` file under ``path``.
 
@@ -71,8 +78,11 @@ def read_table(
       directory markers and hidden files are skipped (S5);
     * a missing or empty prefix gives an empty frame with ``schema`` (S6); if
       only some of several prefixes are missing or empty, that is an error;
-    * files are combined by column name; with ``schema=None`` Parquet merges
-      differing file schemas (S7).
+    * files are combined by column name; ``merge`` also unites differing Parquet
+      schemas (S7), which reads the footer of every file;
+    * folders named ``column=value`` give columns that filters prune by (S10);
+      other nested folders are read through. ``recursive`` decides otherwise: true
+      takes all files without such columns.
     """
     fmt = fmt.lower()
     if fmt not in SUPPORTED_FORMATS:
@@ -85,6 +95,8 @@ def read_table(
         return spark.createDataFrame([], schema)
     if len(live) < len(paths):
         raise FileNotFoundError(f"no {fmt} files under {sorted(set(paths) - set(live))}")
+    if recursive is None:
+        recursive = not any(_has_partitions(spark, p) for p in live)
     r = spark.read.option("pathGlobFilter", f"*.{fmt}").option("recursiveFileLookup", str(recursive).lower())
     if schema is not None:
         r = r.schema(schema)
@@ -95,7 +107,7 @@ def read_table(
         return r.csv(live)
     if fmt == "json":
         return r.json(live)
-    return r.option("mergeSchema", str(schema is None).lower()).parquet(*live)
+    return r.option("mergeSchema", str(merge and schema is None).lower()).parquet(*live)
 
 
 def union_by_name(frames: Sequence[DataFrame]) -> DataFrame:

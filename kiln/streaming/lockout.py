@@ -1,72 +1,109 @@
 """Account lockout as a stateful streaming operator (V12, streaming form).
 
-State per user is three values (failed attempts, lock end, last time
-seen); each micro-batch replays the user's new attempts in time order from
-that state. Memory is bounded by one user's share of one micro-batch.
+Attempts may arrive in any order within the watermark's delay. They wait in the
+state store of their user, by time and id; an event-time timer fires when the
+watermark has passed the earliest, and the attempts up to the watermark then go
+through the rule in time order. The other state is two numbers per user. So the
+result is that of the batch operator whatever the order of arrival, and a
+micro-batch holds a user's new attempts in batches of rows, never all at once;
+its size is set where the stream is read (``max_files_per_trigger``).
+
+Attempts older than the watermark when they arrive are dropped, as everywhere in
+Structured Streaming. A stream that ends leaves what the watermark has not
+passed in the state: send a later attempt (of any user) to release it.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pandas as pd
 from pyspark.sql import DataFrame
-from pyspark.sql.streaming.state import GroupStateTimeout
+from pyspark.sql import functions as F
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from kiln.operators.protection import LOCKOUT_SCHEMA
 
-STATE_SCHEMA = "failed bigint, locked_until_us bigint"
+STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+CHUNK = 10_000  # rows of an output frame
 
 
-def _replay_with_state(max_failures: int, lock_minutes: int):
-    import numpy as np
-    import pandas as pd
+class LockoutProcessor(StatefulProcessor):
+    """Buffers attempts until the watermark has passed them."""
 
-    lock_us = int(lock_minutes) * 60_000_000
+    def __init__(self, max_failures: int, lock_us: int):
+        self.max_failures, self.lock_us = max_failures, lock_us
 
-    def fn(key, pdfs, state):
-        if state.exists:
-            failed, locked = state.get
-            locked = None if locked is None or locked < 0 else int(locked)
-        else:
-            failed, locked = 0, None
-        pdf = pd.concat(list(pdfs), ignore_index=True).sort_values(["ts", "event_id"], kind="stable")
-        ts_us = pdf["ts"].to_numpy(dtype="datetime64[us]").astype(np.int64)
-        outcome = pdf["outcome"].to_numpy()
-        status, fails, until = [], [], []
-        for t, o in zip(ts_us, outcome):
-            if locked is not None and locked > t:
-                status.append("rejected")
-            elif o == "success":
-                status.append("success")
-                failed, locked = 0, None
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.account = handle.getValueState("account", "failed long, until long")
+        self.waiting = handle.getListState("waiting", "t long, event_id long, outcome string")
+
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        earliest = None
+        for pdf in rows:
+            self.waiting.appendList(list(zip(pdf["t"].tolist(), pdf["event_id"].tolist(), pdf["outcome"].tolist())))
+            t = int(pdf["t"].min())
+            earliest = t if earliest is None else min(earliest, t)
+        self._wake(earliest)
+        return iter(())
+
+    def _wake(self, t: int | None) -> None:
+        """Ask for a timer once time ``t`` has passed, unless an earlier one is set."""
+        if t is None:
+            return
+        due = -(-t // 1000)
+        set_for = list(self.handle.listTimers())
+        if not set_for or due < min(set_for):
+            for x in set_for:
+                self.handle.deleteTimer(x)
+            self.handle.registerTimer(due)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        now = timerValues.getCurrentWatermarkInMs() * 1000
+        failed, until = self.account.get() if self.account.exists() else (0, -1)
+        due, left = [], []
+        for attempt in self.waiting.get():
+            (due if attempt[0] <= now else left).append(tuple(attempt))
+        due.sort(key=lambda a: (a[0], a[1]))
+        rows = []
+        for t, event, outcome in due:
+            if until > t:
+                status = "rejected"
+            elif outcome == "success":
+                status, failed, until = "success", 0, -1
             else:
-                status.append("failure")
-                failed += 1
-                if failed >= max_failures:
-                    locked = int(t) + lock_us
-            fails.append(failed)
-            until.append(locked)
-        state.update((int(failed), -1 if locked is None else int(locked)))
-        yield pd.DataFrame(
-            {
-                "user_id": pdf["user_id"].to_numpy(),
-                "event_id": pdf["event_id"].to_numpy(),
-                "ts": pdf["ts"].to_numpy(),
-                "outcome": outcome,
-                "status": status,
-                "failed_attempts": np.asarray(fails, dtype=np.int64),
-                "locked_until": pd.to_datetime(pd.Series(until, dtype="float64"), unit="us"),
-            }
-        )
-
-    return fn
-
-
-def lockout_stream(attempts: DataFrame, max_failures: int = 5, lock_minutes: int = 15) -> DataFrame:
-    """Streaming lockout over a stream of login attempts
-    (``user_id, event_id, ts, outcome``)."""
-    return attempts.groupBy("user_id").applyInPandasWithState(
-        _replay_with_state(max_failures, lock_minutes),
-        outputStructType=LOCKOUT_SCHEMA,
-        stateStructType=STATE_SCHEMA,
-        outputMode="append",
-        timeoutConf=GroupStateTimeout.NoTimeout,
+                status, failed = "failure", failed + 1
+                if failed >= self.max_failures:
+                    until = t + self.lock_us
+            rows.append((key[0], event, t, outcome, status, failed, until if until >= 0 else None))
+        if left:
+            self.waiting.put(left)
+            self._wake(min(a[0] for a in left))
+        else:
+            self.waiting.clear()
+        self.account.update((failed, until))
+        for lo in range(0, len(rows), CHUNK):
+            user, event, t, outcome, status, count, end = zip(*rows[lo : lo + CHUNK])
+            yield pd.DataFrame({
+                "user_id": pd.array(user, dtype="Int64"), "event_id": event, "ts": pd.to_datetime(t, unit="us"), "outcome": outcome,
+                "status": status, "failed_attempts": count, "locked_until": pd.to_datetime(pd.array(end, dtype="Int64"), unit="us"),
+            })
+
+    def close(self) -> None:
+        pass
+
+
+def lockout_stream(attempts: DataFrame, max_failures: int = 5, lock_minutes: int = 15, delay: str = "1 hour") -> DataFrame:
+    """Streaming lockout over a stream of login attempts (``user_id, event_id, ts, outcome``).
+
+    ``delay``: how late an attempt may arrive behind the latest one. Needs the
+    RocksDB state store, which is set on the session.
+    """
+    attempts.sparkSession.conf.set("spark.sql.streaming.stateStore.providerClass", STORE)
+    timed = attempts.where(F.col("ts").isNotNull()).withWatermark("ts", delay).select(
+        "user_id", "event_id", "ts", "outcome", F.unix_micros(F.col("ts").cast("timestamp")).alias("t")
+    )
+    return timed.groupBy("user_id").transformWithStateInPandas(
+        LockoutProcessor(max_failures, int(lock_minutes) * 60_000_000), outputStructType=LOCKOUT_SCHEMA, outputMode="append", timeMode="eventTime"
     )

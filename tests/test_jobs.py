@@ -309,30 +309,6 @@ def test_boosted_trees_curve_is_training_rmse(spark):
     assert rmse[-1] < rmse[0]
 
 
-def test_streaming_lockout_state_across_batches(spark):
-    import time as _time
-
-    from kiln.streaming import ingest
-    from kiln.streaming.lockout import lockout_stream
-
-    f, s = "failure", "success"
-    seq = [(0, f), (1, f), (2, f), (3, f), (4, f), (5, s), (18, f), (19, f), (20, s), (40, s), (41, f)]
-    att = _attempts(spark, seq)
-    want = [(r.event_id, r.status, r.failed_attempts) for r in protection.lockout(att).orderBy("event_id").collect()]
-    landing = _tmp(spark, "lockout-landing")
-    # two files written one after the other: one micro-batch each, in time order
-    att.where("event_id < 6").coalesce(1).write.json(f"{landing}/part1")
-    _time.sleep(1.1)
-    att.where("event_id >= 6").coalesce(1).write.json(f"{landing}/part2")
-    schema = "user_id bigint, event_id bigint, ts timestamp, outcome string"
-    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).option("recursiveFileLookup", "true").json(landing)
-    out = _tmp(spark, "lockout-out")
-    q = ingest.to_parquet(lockout_stream(stream), out, f"lockout-{uuid.uuid4().hex[:8]}")
-    q.awaitTermination()
-    got = [(r.event_id, r.status, r.failed_attempts) for r in spark.read.parquet(out).orderBy("event_id").collect()]
-    assert got == want
-
-
 def _plan(df) -> str:
     import contextlib
     import io

@@ -79,3 +79,27 @@ def test_no_attempts(spark):
     assert protection.lockout(spark.createDataFrame([], SCHEMA)).count() == 0
     rows = [(1, 1, None, "failure"), (1, 2, START, None)]
     assert [(r.event_id, r.status) for r in protection.lockout(spark.createDataFrame(rows, SCHEMA)).collect()] == [(2, "failure")]
+
+
+def test_stream_equals_the_replay_in_any_order_of_arrival(spark):
+    import time
+    import uuid
+
+    from kiln.session import scratch_path
+    from kiln.streaming import ingest
+    from kiln.streaming.lockout import lockout_stream
+
+    rows = [r for r in attempts(5, n=250) if r[0] is not None]
+    landing, out = (scratch_path(spark, f"lockout-{x}-{uuid.uuid4().hex[:8]}") for x in ("in", "out"))
+    # shuffled rows in several files, one file a micro-batch; a second wave goes on from the first one's state
+    middle = sorted(r[2] for r in rows)[len(rows) // 2]
+    span = max(r[2] for r in rows) - min(r[2] for r in rows)
+    for k, part in enumerate([[r for r in rows if r[2] < middle], [r for r in rows if r[2] >= middle], [(99, 10**6, middle + 3 * span, "failure")]]):
+        spark.createDataFrame(part, SCHEMA).repartition(2 if k < 2 else 1).write.json(f"{landing}/part{k}")
+        time.sleep(1.1)
+    stream = spark.readStream.schema(SCHEMA).option("maxFilesPerTrigger", 1).option("recursiveFileLookup", "true").json(landing)
+    delay = f"{int(span.total_seconds() / 2) + 400_000} seconds"
+    ingest.to_parquet(lockout_stream(stream, delay=delay), out, f"lockout-{uuid.uuid4().hex[:8]}").awaitTermination()
+    got = spark.read.parquet(out).collect()
+    assert {r.event_id: (r.status, r.failed_attempts, r.locked_until) for r in got} == replay(rows)
+    assert len(got) == len(rows)
