@@ -1,9 +1,12 @@
 """Language identification with segmentation-marginalised unigram models.
 
-Each language has a probability for every piece of a fixed public vocabulary.
-The probability of a word is the sum over all ways to cut it into pieces,
-computed by a forward algorithm over its positions; a text is scored by the sum
-of its words' logarithms.
+Each language has a probability for every piece of a fixed public vocabulary and
+for every byte. The probability of a word is the sum over all ways to cut it into
+pieces, computed by a forward algorithm over its positions; a letter that is no
+piece is the product of its UTF-8 bytes. A text is scored by the sum of its words'
+logarithms. Words of any length are summed whole: short ones of equal length
+together, long ones one by one with rescaled sums over a window as wide as the
+longest piece.
 
 Training counts (language, word) over all learning texts -- the only thing that
 shuffles, combined per task -- and runs expectation maximisation on the distinct
@@ -18,7 +21,7 @@ from __future__ import annotations
 import re
 from collections import Counter, defaultdict
 from dataclasses import dataclass
-from itertools import chain, repeat
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -28,9 +31,9 @@ from pyspark.sql import functions as F
 from kiln.llm.common import chunks, keep
 
 LETTERS = re.compile(r"[^\W\d_]+")
-LONGEST = 24  # a longer word is scored in parts of so many letters
+TOGETHER = 24  # words of more letters are summed one by one
 ROUNDS = 2
-FLOOR = 1e-9  # probability of a letter that is no piece
+BYTES = 256
 SMOOTHING = 0.1
 CACHE = 300_000
 UNKNOWN = "und"
@@ -41,14 +44,15 @@ def words(text: str | None) -> list[str]:
     return LETTERS.findall((text or "").lower())
 
 
-def parts(word: str) -> list[str]:
-    """The word with the mark of its begin; a long one in parts that are scored apart."""
-    word = "▁" + word
-    return [word] if len(word) <= LONGEST else [word[i : i + LONGEST] for i in range(0, len(word), LONGEST)]
+def marked(word: str) -> str:
+    """The word with the mark of its begin."""
+    return "▁" + word
 
 
 class Pieces:
-    """The vocabulary: piece texts to numbers; number ``size`` stands for a letter that is no piece.
+    """The vocabulary: piece texts to numbers; the bytes follow from number ``size`` on.
+
+    A batch of words numbers its letters that are no pieces behind the bytes.
 
     The pieces form a trie whose edges are one sorted array of (node, letter)
     keys, so the spans of many words are looked up with one search a length.
@@ -75,7 +79,42 @@ class Pieces:
     def spans(self, n: int) -> list[tuple[int, int]]:
         return [(i, j) for j in range(1, n + 1) for i in range(max(0, j - self.longest), j)]
 
-    def lattice(self, batch: list[str]) -> np.ndarray:
+    def foreign(self, batch: list[str]) -> list[str]:
+        """Letters of the batch that are no pieces, in code-point order."""
+        return sorted(c for c in set().union(*batch) if c not in self.index)
+
+    def bytes_of(self, letter: str) -> list[int]:
+        """Numbers of a letter's bytes."""
+        return [self.size + x for x in letter.encode("utf-8", "surrogatepass")]
+
+    def extended(self, table: np.ndarray, foreign: list[str]) -> np.ndarray:
+        """``table`` (its last row is of zeros) with rows for the foreign letters before the last."""
+        rows = [table[self.bytes_of(c)].prod(axis=0) for c in foreign]
+        return np.concatenate([table[:-1], np.array(rows).reshape(len(rows), *table.shape[1:]), table[-1:]])
+
+    def _numbers(self, letters: np.ndarray, foreign: list[str]) -> np.ndarray:
+        """Numbers of letters as foreign ones (any number for the others: a piece takes their place)."""
+        points = np.array([ord(c) for c in foreign], dtype=np.int64)
+        return self.size + BYTES + np.searchsorted(points, letters)
+
+    def band(self, word: str, foreign: list[str]) -> np.ndarray:
+        """Piece number of the span of ``k + 1`` letters from each position (letters, longest piece); -1 if it is none."""
+        letters = np.frombuffer(word.encode("utf-32-le", "surrogatepass"), dtype=np.uint32).astype(np.int64)
+        out = np.full((len(letters), self.longest), -1, dtype=np.int64)
+        out[:, 0] = self._numbers(letters, foreign)
+        start, node = np.arange(len(letters)), np.zeros(len(letters), dtype=np.int64)
+        for size in range(1, self.longest + 1):
+            inside = start + size <= len(letters)
+            start, node = start[inside], node[inside]
+            key = node << 21 | letters[start + size - 1]
+            at = np.searchsorted(self.keys, key)
+            found = self.keys[at] == key
+            start, node = start[found], self.to[at[found]]
+            piece = self.ends[node]
+            out[start[piece >= 0], size - 1] = piece[piece >= 0]
+        return out
+
+    def lattice(self, batch: list[str], foreign: list[str]) -> np.ndarray:
         """Piece number of every span of words of one length; -1 if the span is no piece."""
         n, spans = len(batch[0]), self.spans(len(batch[0]))
         column = np.zeros((n, n + 1), dtype=np.int64)
@@ -83,7 +122,7 @@ class Pieces:
         column[first, last] = np.arange(len(spans))
         letters = np.frombuffer("".join(batch).encode("utf-32-le", "surrogatepass"), dtype=np.uint32).astype(np.int64)
         out = np.full((len(batch), len(spans)), -1, dtype=np.int64)
-        out[:, column[np.arange(n), np.arange(1, n + 1)]] = self.size
+        out[:, column[np.arange(n), np.arange(1, n + 1)]] = self._numbers(letters, foreign).reshape(len(batch), n)
         start = np.arange(len(letters))
         begin, word = start % n, start // n
         node = np.zeros(len(start), dtype=np.int64)
@@ -122,40 +161,90 @@ def by_length(batch: list[str]) -> dict[int, list[int]]:
     return out
 
 
+def scaled_sums(p: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Forward sums of one long word, each as a value and the logarithm of its scale.
+
+    ``p`` (letters, longest piece, ...) has the probability of the span of k + 1
+    letters from each position. Sum j is ``value[j] * exp(scale[j])``.
+    """
+    n, width = p.shape[:2]
+    value, scale = np.zeros((n + 1, *p.shape[2:])), np.zeros((n + 1, *p.shape[2:]))
+    value[0] = 1
+    for j in range(1, n + 1):
+        lo = max(0, j - width)
+        top = scale[lo:j].max(axis=0)
+        total = (value[lo:j] * np.exp(scale[lo:j] - top) * p[np.arange(lo, j), j - 1 - np.arange(lo, j)]).sum(axis=0)
+        good = total > 0
+        value[j] = np.where(good, 1.0, 0.0)
+        scale[j] = np.where(good, top + np.log(np.where(good, total, 1.0)), top)
+    return value, scale
+
+
 def log_likelihoods(pieces: Pieces, table: np.ndarray, batch: list[str]) -> np.ndarray:
-    """Logarithm of each part's probability under each language (parts, languages).
+    """Logarithm of each marked word's probability under each language (words, languages).
 
-    ``table``: probabilities (pieces + 2, languages); the last row, of zeros, is for spans that are no piece.
+    ``table``: probabilities (pieces, bytes and a row of zeros for spans that are no piece; languages).
     """
     out = np.zeros((len(batch), table.shape[1]))
+    foreign = pieces.foreign(batch)
+    table = pieces.extended(table, foreign)
     for n, at in by_length(batch).items():
+        if n > TOGETHER:
+            for i in at:
+                out[i] = scaled_sums(table[pieces.band(batch[i], foreign)])[1][-1]
+            continue
         for lo in range(0, len(at), 2048):
             part = at[lo : lo + 2048]
-            p = table[pieces.lattice([batch[i] for i in part])]
+            p = table[pieces.lattice([batch[i] for i in part], foreign)]
             out[part] = np.log(np.maximum(pieces.forward(n, p)[:, n], 1e-300))
     return out
 
 
 def expected_counts(pieces: Pieces, p: np.ndarray, batch: list[str], weight: np.ndarray) -> np.ndarray:
-    """Expected number of each piece over all segmentations; ``p`` has a zero for -1 at its end."""
-    out = np.zeros(len(p))
+    """Expected number of each piece and byte over all segmentations; ``p`` has a zero for -1 at its end."""
+    foreign = pieces.foreign(batch)
+    wide = pieces.extended(p, foreign)
+    out = np.zeros(len(wide))
     for n, at in by_length(batch).items():
+        if n > TOGETHER:
+            for i in at:
+                band = pieces.band(batch[i], foreign)
+                out += np.bincount((band % len(wide)).reshape(-1), weights=(_span_shares(wide[band]) * weight[i]).reshape(-1), minlength=len(wide))
+            continue
         for lo in range(0, len(at), 4096):
             part = np.array(at[lo : lo + 4096])
-            ids = pieces.lattice([batch[i] for i in part])
-            q = p[ids]
+            ids = pieces.lattice([batch[i] for i in part], foreign)
+            q = wide[ids]
             a, b = pieces.forward(n, q), pieces.backward(n, q)
             whole = np.maximum(a[:, n], 1e-300)
             first, last = np.array(pieces.spans(n)).T
             share = a[:, first] * q * b[:, last] / whole[:, None] * weight[part][:, None]
-            out += np.bincount(ids.reshape(-1) % len(p), weights=share.reshape(-1), minlength=len(p))
-    return out
+            out += np.bincount(ids.reshape(-1) % len(wide), weights=share.reshape(-1), minlength=len(wide))
+    counts = np.append(out[: len(p) - 1], 0.0)
+    for k, c in enumerate(foreign):
+        np.add.at(counts, pieces.bytes_of(c), out[len(p) - 1 + k])
+    return counts
+
+
+def _span_shares(p: np.ndarray) -> np.ndarray:
+    """Share of the segmentations of one long word that use each span of its band ``p``."""
+    n, width = p.shape
+    a, a_scale = scaled_sums(p)
+    # backward sums are the forward sums of the word read from its end
+    at = np.arange(n)[:, None] - np.arange(width)
+    back = np.where(at >= 0, p[np.maximum(at, 0), np.arange(width)], 0.0)[::-1]
+    b, b_scale = (x[::-1] for x in scaled_sums(back))
+    end = np.arange(n)[:, None] + 1 + np.arange(width)
+    inside = (end <= n) & (p > 0)
+    end = np.minimum(end, n)
+    scale = a_scale[:n, None] + b_scale[end] - a_scale[n]
+    return np.where(inside, a[:n, None] * p * b[end] * np.exp(np.minimum(scale, 700)), 0.0)
 
 
 @dataclass
 class LanguageModel:
     languages: list[str]
-    table: np.ndarray  # (pieces + 2, languages)
+    table: np.ndarray  # (pieces, bytes and a row of zeros; languages)
     pieces: list[str]
 
 
@@ -192,8 +281,9 @@ def fit(docs: DataFrame, pieces: list[str], text_col: str = "text", lang_col: st
     counted = keep(counted, "word-counts")
     languages = sorted(r["lang"] for r in counted.select("lang").distinct().collect())
     size = Pieces(pieces).size
-    table = np.full((size + 2, len(languages)), 1 / max(size, 1))
-    table[size], table[size + 1] = FLOOR, 0
+    known = size + BYTES
+    table = np.full((known + 1, len(languages)), 1 / known)
+    table[known] = 0
     at = {lang: i for i, lang in enumerate(languages)}
     for _ in range(rounds if languages else 0):
         shared = docs.sparkSession.sparkContext.broadcast((pieces, table, at))
@@ -206,8 +296,7 @@ def fit(docs: DataFrame, pieces: list[str], text_col: str = "text", lang_col: st
                 word, n = b.column("word").to_pylist(), b.column("n").to_numpy().astype(float)
                 for k in np.unique(lang).tolist():
                     mine = np.flatnonzero(lang == k)
-                    each = [(w, x) for i in mine for w, x in zip(parts(word[i]), repeat(n[i]))]
-                    total[k] += expected_counts(vocabulary, p[:, k], [w for w, _ in each], np.array([x for _, x in each]))
+                    total[k] += expected_counts(vocabulary, p[:, k], [marked(word[i]) for i in mine], n[mine])
             k, piece = np.nonzero(total)
             yield pa.RecordBatch.from_arrays([pa.array(k), pa.array(piece), pa.array(total[k, piece])], ["lang", "piece", "n"])
 
@@ -215,8 +304,8 @@ def fit(docs: DataFrame, pieces: list[str], text_col: str = "text", lang_col: st
         count = np.zeros_like(table)
         rows = sums.toPandas()
         count[rows["piece"], rows["lang"]] = rows["n"].round(6)
-        count = count[:size] + SMOOTHING
-        table = np.vstack([count / count.sum(axis=0), np.full((1, len(languages)), FLOOR), np.zeros((1, len(languages)))])
+        count = count[:known] + SMOOTHING
+        table = np.vstack([count / count.sum(axis=0), np.zeros((1, len(languages)))])
     return LanguageModel(languages, table, pieces)
 
 
@@ -244,11 +333,7 @@ def predict(docs: DataFrame, model: LanguageModel, text_col: str = "text", lang_
                     row, logs = {}, logs[:0]
                 new = [w for w in set(chain.from_iterable(found)) if w not in row]
                 row.update(zip(new, range(len(row), len(row) + len(new))))
-                cut = [parts(w) for w in new]
-                sizes = np.array([len(c) for c in cut], dtype=np.int64)
-                each = log_likelihoods(pieces, m.table, list(chain.from_iterable(cut)))
-                first = np.concatenate([[0], np.cumsum(sizes)[:-1]]).astype(np.int64)[: len(new)]
-                logs = np.concatenate([logs, np.add.reduceat(each, first, axis=0) if len(new) else each])
+                logs = np.concatenate([logs, log_likelihoods(pieces, m.table, [marked(w) for w in new])])
                 for ps in found:
                     if not ps or not m.languages:
                         lang.append(UNKNOWN)

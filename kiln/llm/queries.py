@@ -86,23 +86,22 @@ AS tools(name, param, type, required)
 
 @query
 def op6_chat_format(spark, sf_dir):
-    """User turns as calls, assistant turns as results.
+    """Every turn: user turns as calls, assistant turns as results, all other roles as messages.
 
     A user turn calls ``ask`` (``brief`` below ten words, whose schema its
     arguments miss) and waits for the user turn before it; its answer is the next
-    turn if the assistant speaks there.
+    turn if the assistant speaks there. Turns of other roles are plain messages at
+    their own turn.
     """
-    return linked_turns(spark, table(spark, sf_dir, "conversations"))
-
-
-@query
-def op6_chat_turns(spark, sf_dir):
-    """``op6_chat_format`` with the turns of all other roles as plain messages at their own turn."""
     t = table(spark, sf_dir, "conversations")
     other = ~F.coalesce(F.col("role").isin("user", "assistant"), F.lit(False))
     return linked_turns(spark, t, t.where(other).select("conv_id", F.col("turn").alias("call_id"), "role", F.col("text").alias("content")))
 
 
+#: The earlier name of the query over every turn.
+QUERIES["op6_chat_turns"] = op6_chat_format
+
+
 def linked_turns(spark: SparkSession, t: DataFrame, messages: DataFrame | None = None) -> DataFrame:
     """User turns linked with the assistant turns after them, and ``messages``."""
     n = F.regexp_count("text", F.lit(WORD))
@@ -248,7 +247,7 @@ SELECT vec_id, coalesce(n, 0)::BIGINT AS n_links, least(vec_id, coalesce(least.b
 FROM embeddings LEFT JOIN n ON vec_id = n.a LEFT JOIN least ON vec_id = least.a
 """
 
-ORACLE_SQL["op6_chat_format"] = r"""
+LINKED_TURNS = r"""
 WITH c AS (
   SELECT conv_id, turn AS call_id, text, len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')) AS words,
          ((turn - min(turn) OVER (PARTITION BY conv_id)) // 2)::BIGINT AS position
@@ -264,9 +263,9 @@ SELECT conv_id, call_id, position, CASE WHEN c.text IS NOT NULL THEN 'ok' END AS
 FROM c FULL JOIN r USING (conv_id, call_id)
 """
 
-#: The SQL of op6_chat_format and the turns it leaves out.
-ORACLE_SQL["op6_chat_turns"] = f"""
-SELECT * FROM ({ORACLE_SQL["op6_chat_format"]}) AS linked
+#: Linked turns, and the turns of other roles.
+ORACLE_SQL["op6_chat_format"] = ORACLE_SQL["op6_chat_turns"] = f"""
+SELECT * FROM ({LINKED_TURNS}) AS linked
 UNION ALL
 SELECT conv_id, turn, NULL, NULL, 'message', NULL,
   '{{' || CASE WHEN text IS NULL THEN '' ELSE '"content":' || to_json(text)::VARCHAR || ',' END
