@@ -68,6 +68,7 @@ def load_all() -> dict[str, Query]:
         q_models,
         q_prep,
         q_quality,
+        q_run,
         q_sources,
         q_streaming,
         q_text,
