@@ -49,7 +49,7 @@ PATTERN = rf"'s|'t|'re|'ve|'m|'ll|'d| ?{LETTER}+| ?{NUMBER}+| ?{OTHER}+|\s+(?!\S
 UNEVEN = r" ([\s\x0b\x1c-\x1f\x{85}\p{Z}]|\z)"
 #: Parts that are letters and then ASCII punctuation without an apostrophe: two pre-tokens.
 MARKED = r"^(?P<word> ?\p{L}+)(?P<mark>[!-&(-/:-@\[-`{-~]+)$"
-BATCH = 8 << 20  # bytes of texts encoded together (one text at least)
+BATCH = 1 << 20  # bytes of texts encoded together (one text at least); output batches stay small as well
 SHORT = 24
 NEVER = 1 << 60
 
