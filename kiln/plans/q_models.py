@@ -5,12 +5,13 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from kiln.operators import models as M
+from kiln.operators.attribution import forest_attribution
 from kiln.operators.stages import binned_ratio_stages
 from kiln.plans.q_features import sql_quantile_bins
 from kiln.plans.registry import query
 from kiln.sources import tables as T
 from kiln.sources.tables import read, with_ctes
-from kiln.session import cut_lineage
+from kiln.session import cut_lineage, staged
 
 DOC_FEATURES = ["n_chars", "word_count", "digit_share", "upper_share", "line_count"]
 REG_FEATURES = ["l_quantity", "l_discount", "l_tax"]
@@ -169,18 +170,35 @@ def m12_batch_scoring(spark, sf_dir):
     return M.score(model, lines, ["l_orderkey", "l_linenumber"])
 
 
-@query("m13_shapley_values")
-def m13_shapley_values(spark, sf_dir):
-    """Shapley values of a forest's predictions for ten documents."""
-    from pyspark.ml import PipelineModel
+def _attributed(spark, sf_dir):
+    """A forest's fit over the graded documents, the first ten documents, and the exact values for them."""
     from pyspark.ml.regression import RandomForestRegressor
 
     d = T.labelled_documents(spark, sf_dir)
     prep = M.prepare_features(d, DOC_FEATURES)
-    forest = RandomForestRegressor(labelCol="quality", numTrees=20, seed=42).fit(prep.transform(d.where("quality IS NOT NULL")))
-    explain = [r.asDict() for r in d.orderBy("doc_id").limit(10).collect()]
-    background = M.background_rows(d, "doc_id", samples=32)
-    return M.shapley_values(PipelineModel([prep, forest]), background, explain, DOC_FEATURES, "doc_id")
+    train = staged(prep.transform(d.where("quality IS NOT NULL")).select("features", "quality"), "attribution-train")
+    forest = RandomForestRegressor(labelCol="quality", numTrees=20, seed=42).fit(train)
+    explain = cut_lineage(prep.transform(d.orderBy("doc_id").limit(10)).select("doc_id", "features"))
+    return forest, train, explain, forest_attribution(forest, train, explain, "doc_id", DOC_FEATURES)
+
+
+@query("m13_shapley_values")
+def m13_shapley_values(spark, sf_dir):
+    """Shapley values of a forest's predictions for ten documents, against all training rows."""
+    return _attributed(spark, sf_dir)[3]
+
+
+@query(
+    "m13_shapley_sums",
+    sql="SELECT doc_id, 5 AS n_features, true AS exact FROM documents JOIN labels USING (doc_id) ORDER BY doc_id LIMIT 10",
+)
+def m13_shapley_sums(spark, sf_dir):
+    """The values of a document sum to its prediction minus the mean prediction of all training rows."""
+    forest, train, explain, values = _attributed(spark, sf_dir)
+    mean = forest.transform(train).agg(F.avg("prediction")).first()[0]
+    sums = values.groupBy("doc_id").agg(F.count("*").cast("int").alias("n_features"), F.sum("shapley_value").alias("total"))
+    gap = F.abs(F.col("total") - (F.col("prediction") - mean))
+    return forest.transform(explain).join(sums, "doc_id").select("doc_id", "n_features", (gap <= 1e-9).alias("exact"))
 
 
 @query(
