@@ -81,18 +81,42 @@ def has_xss(c: Column) -> Column:
     return any_match(c, XSS_PATTERNS)
 
 
+def html_steps(allowed: list[str] | None = None) -> list[tuple[str, str]]:
+    """``sanitise_html`` as (pattern, replacement) steps, each read alike by Java and RE2.
+
+    U+0001 and U+0002 stand for the marks of kept tags, U+0003 for the ``&`` of
+    a character reference. A tag has no ``<`` inside, so a stray ``<`` never
+    swallows the text after it, and what only becomes a tag once another one
+    is gone is escaped like any stray mark.
+    """
+    tags = "|".join(allowed or ALLOWED_TAGS)
+    return [
+        ("[\\x01\\x02\\x03]", ""),
+        ("(?s)<!--.*?-->", ""),
+        ("<[!?][^<>]*>", ""),
+        (f"(?i)<(/?)({tags})(?:[ \\t\\n\\f\\r/][^<>]*)?>", "\x01\\1\\2\x02"),
+        ("</?[A-Za-z][^<>]*>", ""),
+        ("&([A-Za-z][A-Za-z0-9]*;|#[0-9]+;|#[xX][0-9A-Fa-f]+;)", "\x03\\1"),
+        ("&", "&amp;"),
+        ("<", "&lt;"),
+        (">", "&gt;"),
+        ("\\x01", "<"),
+        ("\\x02", ">"),
+        ("\\x03", "&"),
+    ]
+
+
 def sanitise_html(c: Column, allowed: list[str] | None = None) -> Column:
     """Drop comments and declarations, keep allowed tags without their
-    attributes, strip every other tag but keep its text.
-
-    U+0001 and U+0002 mark kept tags on the way and are first removed from the
-    input; a tag that never closes is dropped with all that follows it."""
-    tags = "|".join(allowed or ALLOWED_TAGS)
-    t = F.regexp_replace(F.translate(c, "\u0001\u0002", ""), r"(?s)<!--.*?-->", "")
-    t = F.regexp_replace(t, r"<![^>]*>", "")
-    t = F.regexp_replace(t, rf"(?i)<(/?)({tags})(?:[\s/][^>]*)?>", "\u0001$1$2\u0002")
-    t = F.regexp_replace(t, r"</?[A-Za-z][^>]*(>|$)", "")
-    return F.translate(t, "\u0001\u0002", "<>")
+    attributes, strip every other tag but keep its text, and escape every
+    mark that is left (``<``, ``>``, and ``&`` outside character references).
+
+    Applying it again changes nothing. Null stays null. A ``>`` inside a quoted
+    attribute ends the tag; the rest of the attribute stays as escaped text.
+    """
+    for pattern, to in html_steps(allowed):
+        c = F.regexp_replace(c, pattern, to.replace("\\1", "$1").replace("\\2", "$2"))
+    return c
 
 
 def sanitise_filename(c: Column, as_of: Column) -> Column:

@@ -72,12 +72,10 @@ def v5_xss_pages(spark, sf_dir):
 
 
 def _sanitise_sql(c: str) -> str:
-    tags = "|".join(V.ALLOWED_TAGS)
-    t = f"regexp_replace({c}, '(?s)<!--.*?-->', '', 'g')"
-    t = f"regexp_replace({t}, '<![^>]*>', '', 'g')"
-    t = f"regexp_replace({t}, {_sq(f'(?i)<(/?)({tags})(?:[' + chr(92) + 's/][^>]*)?>')}, chr(1) || '\\1\\2' || chr(2), 'g')"
-    t = f"regexp_replace({t}, '</?[A-Za-z][^>]*>', '', 'g')"
-    return f"translate({t}, chr(1) || chr(2), '<>')"
+    for pattern, to in V.html_steps():
+        marks = "".join(f"' || chr({ord(x)}) || '" if x < " " else x for x in to)
+        c = f"regexp_replace({c}, {_sq(pattern)}, '{marks}', 'g')"
+    return c
 
 
 @query("v6_sanitise_html", sql=f"SELECT page_id, {_sanitise_sql('html')} AS clean_html FROM pages")
