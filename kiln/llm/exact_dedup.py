@@ -1,25 +1,27 @@
 """Exact deduplication with Patricia-trie owners.
 
 Texts are equal when they are the same after every run of blanks became one
-space. A text is stored in compressed radix tries under its content digest
-followed by its full bytes; a terminal node holds the smallest identifier and
-the number of rows.
+space. Compressed radix tries hold the full bytes of the texts, so texts with a
+common beginning share its edges; a terminal node holds the smallest identifier
+and the number of rows.
 
 1. Each task of the scan inserts its rows into a trie of bounded size, so all
    copies a task sees leave it as one row. When the trie exceeds its budget its
-   largest subtree is spilled: emitted to the shuffle and dropped.
-2. The terminals are partitioned by (length, digest). Each task reads its
-   partition in digest order (Spark's external sort) and merges terminals in a
-   trie; a subtree is complete once the order has passed its digest and is then
-   spilled to the output, so a task holds one subtree at a time. The trie
-   compares full bytes: a second text under one digest raises an error.
-3. Owners join back to the rows on (length, digest); AQE splits a hot group.
+   largest top subtree is spilled: emitted to the shuffle and dropped.
+2. The terminals are partitioned by (length, digest). Each task inserts its
+   partition in the order of the bytes (Spark's external sort, which spills) into
+   a trie. Whatever lies left of the path to the text just inserted is complete
+   by then; once the trie exceeds its budget those subtrees are spilled to the
+   output and dropped, so a task holds the budget and one text.
+3. Owners join back to the rows on (length, digest); AQE splits a hot group. The
+   tries compare bytes; the join relies on SHA-256 and the length to name a text.
 
 A group of copies costs the shuffle one text for each task of the scan.
 """
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -56,7 +58,10 @@ def _common(a: bytes, b: bytes) -> int:
 
 
 class PatriciaTrie:
-    """Byte strings to (smallest identifier, number of rows), one edge label per unary path."""
+    """Byte strings to (smallest identifier, number of rows), one edge label per unary path.
+
+    The root is the empty string and may be a terminal itself.
+    """
 
     NODE_BYTES = 200
 
@@ -70,13 +75,14 @@ class PatriciaTrie:
             child = node.children.get(key[at])
             if child is None:
                 child = node.children[key[at]] = _Node(key[at:])
-                grown = len(child.label) + self.NODE_BYTES
+                grown += len(child.label) + self.NODE_BYTES
             elif not key.startswith(child.label, at):
-                same = _common(child.label, key[at:])
+                same = _common(child.label, key[at : at + len(child.label)])
                 upper = node.children[key[at]] = _Node(child.label[:same])
                 child.label = child.label[same:]
                 upper.children[child.label[0]] = child
-                child, grown = upper, self.NODE_BYTES
+                child = upper
+                grown += self.NODE_BYTES
             at += len(child.label)
             node = child
         node.add(ident, rows)
@@ -91,19 +97,45 @@ class PatriciaTrie:
         if first is None:
             first = max(self.size, key=self.size.get)
         self.size.pop(first)
-        stack = [(b"", self.root.children.pop(first))]
-        while stack:
-            above, node = stack.pop()
-            key = above + node.label
-            if node.rows:
-                yield key, node.least, node.rows
-            stack += [(key, c) for c in node.children.values()]
+        yield from _terminals(b"", self.root.children.pop(first))
+
+    def spill_before(self, key: bytes) -> Iterator[tuple[bytes, object, int]]:
+        """Terminals smaller than ``key``, a text of the trie with none larger; only the path to ``key`` stays."""
+        node, at = self.root, 0
+        while True:
+            if node.rows and at < len(key):
+                yield key[:at], node.least, node.rows
+                node.least, node.rows = None, 0
+            if at == len(key):
+                break
+            for first in sorted(c for c in node.children if c != key[at]):
+                yield from _terminals(key[:at], node.children.pop(first))
+            node = node.children[key[at]]
+            at += len(node.label)
+        # one path is left: one edge
+        self.root.children = {key[0]: node} if key else {}
+        self.size = {key[0]: len(key) + self.NODE_BYTES} if key else {}
+        node.label = key
 
     def drain(self) -> Iterator[tuple[bytes, object, int]]:
+        if self.root.rows:
+            yield b"", self.root.least, self.root.rows
+            self.root.least, self.root.rows = None, 0
         for first in sorted(self.size):
             yield from self.spill(first)
 
 
+def _terminals(above: bytes, node: _Node) -> Iterator[tuple[bytes, object, int]]:
+    """Terminals of the subtree ``node`` below the bytes ``above``."""
+    stack = [(above, node)]
+    while stack:
+        above, node = stack.pop()
+        key = above + node.label
+        if node.rows:
+            yield key, node.least, node.rows
+        stack += [(key, c) for c in node.children.values()]
+
+
 def normalised(text: Column) -> Column:
     """Every run of blanks as one space; null as the empty text."""
     return F.regexp_replace(F.coalesce(text, F.lit("")), BLANKS, " ")
@@ -113,7 +145,8 @@ def _rows(terminals, schema: pa.Schema) -> Iterator[pa.RecordBatch]:
     """Record batches of at most about 8 MB."""
     out, size = [], 0
     for key, ident, rows in terminals:
-        out.append({"bytes": len(key) - 32, "digest": key[:32], "content": key[32:], "least": ident, "n": rows})
+        digest = hashlib.sha256(key).digest()
+        out.append({"bytes": len(key), "digest": digest, "content": key, "least": ident, "n": rows})
         size += len(key) + 64
         if size > 8 << 20:
             yield pa.RecordBatch.from_pylist(out, schema=schema)
@@ -152,8 +185,8 @@ def exact_duplicates(
         def terminals():
             for batch in batches:
                 ids, texts = batch.column("id").to_pylist(), batch.column("content")
-                for i, digest in enumerate(batch.column("digest").to_pylist()):
-                    trie.insert(digest + texts[i].as_buffer().to_pybytes(), ids[i])
+                for i, ident in enumerate(ids):
+                    trie.insert(texts[i].as_buffer().to_pybytes(), ident)
                     if trie.bytes() > budget:
                         while trie.bytes() > budget // 2:
                             yield from trie.spill()
@@ -164,32 +197,22 @@ def exact_duplicates(
     def merge_task(batches):
         trie = PatriciaTrie()
 
-        def finished():
-            found = None
-            for key, ident, n in trie.drain():
-                if found is not None:
-                    raise ValueError(f"two texts have the digest {key[:32].hex()}")
-                found = key, ident, n
-            return [found] if found else []
-
         def terminals():
-            current = None
             for batch in batches:
-                digests, texts = batch.column("digest").to_pylist(), batch.column("content")
-                ids, counts = batch.column("least").to_pylist(), batch.column("n").to_pylist()
-                for i, digest in enumerate(digests):
-                    if digest != current:
-                        yield from finished()
-                        current = digest
-                    trie.insert(digest + texts[i].as_buffer().to_pybytes(), ids[i], counts[i])
-            yield from finished()
+                texts, ids, counts = batch.column("content"), batch.column("least").to_pylist(), batch.column("n").to_pylist()
+                for i, ident in enumerate(ids):
+                    key = texts[i].as_buffer().to_pybytes()
+                    trie.insert(key, ident, counts[i])
+                    if trie.bytes() > budget:
+                        yield from trie.spill_before(key)
+            yield from trie.drain()
 
         for batch in _rows(terminals(), arrow):
             yield batch.drop_columns(["content"])
 
-    terminals = clean.withColumn("digest", F.unhex(F.sha2("content", 256))).mapInArrow(collect_task, out_type)
+    terminals = clean.mapInArrow(collect_task, out_type)
     owners = (
-        terminals.repartition("bytes", "digest").sortWithinPartitions("digest").mapInArrow(merge_task, owner_type)
+        terminals.repartition("bytes", "digest").sortWithinPartitions("content").mapInArrow(merge_task, owner_type)
         .select("bytes", F.lower(F.hex("digest")).alias("sha"), F.col("least").alias("keep_id"), F.col("n").alias("group_size"))
     )
     return rows.join(owners, ["bytes", "sha"]).select(

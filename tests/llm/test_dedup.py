@@ -66,11 +66,32 @@ def test_trie_splits_spills_and_keeps_the_least():
     assert {k: (i, n) for k, i, n in got} == want and len(got) == len(want) and trie.bytes() == 0
 
 
+def test_sorted_insertion_spills_what_is_complete():
+    rng = random.Random(2)
+    keys = sorted(bytes(rng.choice(b"ab\xff") for _ in range(rng.randrange(0, 9))) for _ in range(600))
+    trie, want, got = exact_dedup.PatriciaTrie(), {}, []
+    for i, k in enumerate(keys):
+        trie.insert(k, i)
+        want[k] = (want.get(k, (i, 0))[0], want.get(k, (i, 0))[1] + 1)
+        if rng.random() < 0.2:
+            got += trie.spill_before(k)
+            assert trie.bytes() <= len(k) + trie.NODE_BYTES
+    got += trie.drain()
+    assert {k: (i, n) for k, i, n in got} == want and len(got) == len(want) and trie.bytes() == 0
+
+
+def test_common_beginnings_share_their_edges():
+    trie = exact_dedup.PatriciaTrie()
+    for i in range(50):
+        trie.insert(b"x" * 10_000 + bytes([i]), i)
+    assert trie.bytes() < 10_000 + 60 * (trie.NODE_BYTES + 1)
+
+
 def test_small_trie_budget_changes_nothing(spark):
-    rows = [(i, f"text {i % 37} " * 20) for i in range(500)]
+    rows = [(i, f"text {i % 37} " * 20) for i in range(500)] + [(900, ""), (901, None), (902, "text"), (903, "text")]
     a = exact_dedup.exact_duplicates(frame(spark, rows)).collect()
     b = exact_dedup.exact_duplicates(frame(spark, rows), budget=2000).collect()
-    assert sorted(a) == sorted(b) and sum(r.kept for r in a) == 37
+    assert sorted(a) == sorted(b) and sum(r.kept for r in a) == 39
 
 
 def brute_fingerprint(text):
