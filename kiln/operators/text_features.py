@@ -17,6 +17,8 @@ The corpus never leaves the cluster:
 
 Output is long and sparse: ``(id, term, weight)``; ``transform_wide``
 pivots to ``tfidf_0 ..`` columns (the original dense layout) when asked.
+
+A vocabulary without a limit is a table: see ``term_tables``.
 """
 
 from __future__ import annotations
@@ -100,12 +102,10 @@ def corpus_totals(df: DataFrame, text_col: str, ngram_max: int = 1, stop_words=N
     return ex.groupBy("term").agg(F.count("*").alias("total"))
 
 
-def top_terms(totals: DataFrame, max_features: int | None) -> DataFrame:
+def top_terms(totals: DataFrame, max_features: int) -> DataFrame:
     """Most frequent terms, ties alphabetical (W6): ``term, total, index``
     where ``index`` is the alphabetical position inside the vocabulary."""
-    top = totals.orderBy(F.desc("total"), F.asc("term"))
-    if max_features is not None:
-        top = top.limit(max_features)
+    top = totals.orderBy(F.desc("total"), F.asc("term")).limit(max_features)
     # the rank window runs over the (at most max_features) vocabulary rows only
     return top.withColumn("index", (F.row_number().over(Window.orderBy("term")) - 1).cast("bigint"))
 
@@ -204,7 +204,7 @@ class CountVectorizer:
 
     input_col: str
     id_col: str
-    max_features: int | None = 100
+    max_features: int = 100
     ngram_max: int = 1
     stop_words: tuple | None = None
     pattern: str = TOKEN_PATTERN
@@ -225,7 +225,7 @@ class TfidfVectorizer:
 
     input_col: str
     id_col: str
-    max_features: int | None = 100
+    max_features: int = 100
     ngram_max: int = 2
     stop_words: tuple | None = None
     pattern: str = TOKEN_PATTERN

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from kiln.functions.text import ASCII_TOKEN_PATTERN, length, letters_only, normalize_text, word_count
 from kiln.operators import prep
 from kiln.operators.text_features import CountVectorizer, TfidfVectorizer, corpus_totals, english_stop_words, top_terms
+from kiln.operators.term_tables import TermTableVectorizer, ranked_terms
 from kiln.plans.registry import query
 from kiln.sources import tables as T
 from kiln.sources.tables import read, with_ctes
@@ -23,20 +24,20 @@ def _clean(c: str) -> str:
     return CLEAN_SQL.format(c=c)
 
 
-def sql_terms(docs: str, ngram_max: int) -> str:
-    """CTEs tok / terms / tf over ``docs(id, t)``."""
+def sql_terms(docs: str, ngram_max: int, limit: str = "LIMIT 100") -> str:
+    """CTEs tok / terms / tf / vocab over ``docs(id, t)``."""
     big = ", list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])" if ngram_max == 2 else ""
     terms = f"list_concat(w{big})" if big else "w"
     return f"""tok AS (SELECT id, list_filter(regexp_extract_all(lower(t), '\\b\\w\\w+\\b'),
                                    lambda x: NOT list_contains({_stops_sql()}, x)) AS w FROM {docs}),
 terms AS (SELECT id, unnest({terms}) AS term FROM tok),
 tf AS (SELECT id, term, count(*) AS tf FROM terms GROUP BY id, term),
-vocab AS (SELECT term, CAST(sum(tf) AS BIGINT) AS total FROM tf GROUP BY term ORDER BY total DESC, term ASC LIMIT 100)"""
+vocab AS (SELECT term, CAST(sum(tf) AS BIGINT) AS total FROM tf GROUP BY term ORDER BY total DESC, term ASC {limit})"""
 
 
-def sql_tfidf_parts(docs: str, id_name: str) -> tuple[str, str]:
+def sql_tfidf_parts(docs: str, id_name: str, limit: str = "LIMIT 100") -> tuple[str, str]:
     """(CTE list, final SELECT) of the long-form TF-IDF over ``docs(id, t)``."""
-    ctes = f"""{sql_terms(docs, 2)},
+    ctes = f"""{sql_terms(docs, 2, limit)},
 dfc AS (SELECT term, count(*) AS df FROM tf WHERE term IN (SELECT term FROM vocab) GROUP BY term),
 nd AS (SELECT count(*) AS n FROM {docs}),
 wt AS (SELECT tf.id, tf.term,
@@ -103,6 +104,25 @@ def f13_bag_of_words(spark, sf_dir):
     return CountVectorizer("clean_text", "doc_id", 100, pattern=ASCII_TOKEN_PATTERN).fit(docs).transform(docs)
 
 
+@query(
+    "w6_all_terms",
+    sql=f"WITH {sql_terms(DOCS_CLEAN, 1, '')}\n"
+        "SELECT term, total, CAST(row_number() OVER (ORDER BY term) - 1 AS BIGINT) AS \"index\" FROM vocab",
+)
+def w6_all_terms(spark, sf_dir):
+    """Every non-stop word of the cleaned documents with its alphabetical index."""
+    return ranked_terms(corpus_totals(_clean_docs(spark, sf_dir), "clean_text", 1, None, ASCII_TOKEN_PATTERN))
+
+
+@query(
+    "f13_bag_of_all_words",
+    sql=f"WITH {sql_terms(DOCS_CLEAN, 1, '')}\nSELECT id AS doc_id, term, tf AS \"count\" FROM tf",
+)
+def f13_bag_of_all_words(spark, sf_dir):
+    """Bag of words without a limit on the vocabulary."""
+    return TermTableVectorizer("clean_text", "doc_id", pattern=ASCII_TOKEN_PATTERN).fit_transform(_clean_docs(spark, sf_dir))[1]
+
+
 # ---------------------------------------------------------------- F14
 @query(
     "f14_tfidf_products",
@@ -126,6 +146,17 @@ def f14_tfidf_documents(spark, sf_dir):
     return TfidfVectorizer("clean_text", "doc_id", 100, 2, pattern=ASCII_TOKEN_PATTERN).fit_transform(docs)[1]
 
 
+@query(
+    "f14_tfidf_products_all_terms",
+    sql=with_ctes("prod") + ",\ndocs AS (SELECT product_id AS id, coalesce(product_description, '') AS t FROM prod),\n"
+        + "\n".join(sql_tfidf_parts("docs", "product_id", "")),
+    rounding={"weight": 6},
+)
+def f14_tfidf_products_all_terms(spark, sf_dir):
+    """TF-IDF of product texts without a limit on the vocabulary."""
+    return TermTableVectorizer("product_description", "product_id", 2, tfidf=True).fit_transform(T.products(spark, sf_dir))[1]
+
+
 def _f15_wide_sql() -> str:
     cols = ", ".join(
         f"coalesce(max(CASE WHEN vi.idx = {i} THEN lw.weight END), 0.0) AS tfidf_{i}" for i in range(100)
