@@ -1,4 +1,4 @@
-"""Queries of the sources and sinks."""
+"""Queries of the sources and sinks."""
 
 from __future__ import annotations
 
@@ -141,26 +141,46 @@ def s13_feature_records(spark, sf_dir):
     return _explode_records(rec)
 
 
-@query(
-    "s15_latest_records",
-    sql=with_ctes("cust") + f""",
+_LATEST_CTES = f"""{with_ctes("cust")},
 early AS (SELECT * FROM cust WHERE registration_date < TIMESTAMP '{EARLY_REG}'),
 r AS ({_records_sql('early', EARLY_REG)}
       UNION ALL
       {_records_sql('cust', FEATURE_AS_OF)}),
-latest AS (SELECT record_id, max(event_time) AS event_time FROM r GROUP BY record_id)
+latest AS (SELECT record_id, max(event_time) AS event_time FROM r GROUP BY record_id)"""
+
+
+def _customer_group(spark, cust) -> FT.FeatureGroup:
+    """A group that took two batches: customers registered before 1997, then all customers."""
+    group = FT.FeatureGroup(
+        f"customer_features_{uuid.uuid4().hex[:12]}", "customer_id", "event_time",
+        f"{CUST_SCHEMA}, event_time timestamp", _scratch(spark, "feature-group"),
+    )
+    group.create(spark)
+    group.append(cust.where(F.col("registration_date") < F.lit(EARLY_REG).cast("timestamp")), F.lit(EARLY_REG).cast("timestamp"))
+    group.append(cust, F.lit(FEATURE_AS_OF).cast("timestamp"))
+    return group
+
+
+@query(
+    "s15_latest_records",
+    sql=_LATEST_CTES + """
 SELECT r.* FROM r JOIN latest ON r.record_id = latest.record_id AND r.event_time = latest.event_time""",
 )
 def s15_latest_records(spark, sf_dir):
-    """Two ingested batches (customers registered before 1997, then all
-    customers) in one feature table; the newest record per id (S14, S15)."""
-    cust = T.customers(spark, sf_dir)
-    early = cust.where(F.col("registration_date") < F.lit(EARLY_REG).cast("timestamp"))
-    path = _scratch(spark, "feature-group")
-    FT.ingest(FT.feature_records(early, "customer_id", F.lit(EARLY_REG).cast("timestamp")), path)
-    FT.ingest(FT.feature_records(cust, "customer_id", F.lit(FEATURE_AS_OF).cast("timestamp")), path)
-    stored = spark.read.parquet(path).drop("ingest_date")
-    return _explode_records(FT.latest_records(stored))
+    """The newest record per id of a group with two batches."""
+    return _explode_records(_customer_group(spark, T.customers(spark, sf_dir)).latest(spark))
+
+
+@query(
+    "s14_feature_lookup",
+    sql=_LATEST_CTES + """
+SELECT cust.*, latest.event_time FROM cust JOIN latest ON latest.record_id = cust.customer_id
+WHERE cust.customer_id IN (SELECT o_custkey FROM orders)""",
+)
+def s14_feature_lookup(spark, sf_dir):
+    """The newest features, in their declared types, of every customer with an order."""
+    group = _customer_group(spark, T.customers(spark, sf_dir))
+    return group.typed(group.lookup(read(spark, sf_dir, "orders").select("o_custkey")))
 
 
 @query("s16_storage_inventory")

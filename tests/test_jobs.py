@@ -101,11 +101,8 @@ def test_feature_records_omit_missing_and_latest(spark):
     rec = feature_table.feature_records(df, "id", F.lit("2024-01-01").cast("timestamp"))
     got = {r.record_id: r.record for r in rec.collect()}
     assert got[1] == {"id": "1", "a": "2.5", "event_time": "2024-01-01 00:00:00"}
-    path = _tmp(spark, "fg")
-    feature_table.ingest(rec, path)
     newer = feature_table.feature_records(df.withColumn("a", F.lit(9.0)), "id", F.lit("2024-02-01").cast("timestamp"))
-    feature_table.ingest(newer, path)
-    latest = feature_table.get_record(spark.read.parquet(path), 1).first()
+    latest = feature_table.get_record(rec.unionByName(newer), 1).first()
     assert latest.record["a"] == "9.0"
 
 
@@ -261,11 +258,64 @@ def test_stream_equals_batch(spark):
     assert s.count() == b.count() and s.exceptAll(b.select(*s.columns)).count() == 0
 
 
+def _group(spark, **more):
+    group = feature_table.FeatureGroup(
+        f"features_{uuid.uuid4().hex[:8]}", "id", "at", "id bigint, at timestamp, a double, b string", _tmp(spark, "fg"), "kiln_fg", **more
+    )
+    group.create(spark)
+    return group
+
+
 def test_feature_group_definition(spark):
-    fg = feature_table.FeatureGroup("customer_features", "record_id", "event_time", _tmp(spark, "fgdef"))
-    fg.create(spark, "record_id bigint, event_time timestamp, record map<string,string>", database="kiln_fg")
-    cols = {c.name: c.isPartition for c in spark.catalog.listColumns("kiln_fg.customer_features")}
+    group = _group(spark)
+    cols = {c.name: c.isPartition for c in spark.catalog.listColumns(group.table)}
     assert cols == {"record_id": False, "event_time": False, "record": False, "ingest_date": True}
+    assert group.records(spark).count() == 0 and group.latest(spark).count() == 0
+    group.create(spark)  # a second definition changes nothing
+    with pytest.raises(ValueError):
+        feature_table.FeatureGroup("x", "id", "at", "id bigint", _tmp(spark, "fg")).create(spark)
+
+
+def test_feature_group_append_and_lookup_share_a_schema(spark):
+    group = _group(spark, buckets=4)
+    old, new = (F.lit(f"2024-0{m}-01").cast("timestamp") for m in (1, 2))
+    group.append(spark.createDataFrame([(1, 1.5, "x"), (2, float("nan"), None)], "id int, a double, b string"), old)
+    group.append(spark.createDataFrame([(1, 7.0)], "id long, a double"), new)
+    assert group.get(spark, 1).first().record == {"id": "1", "at": "2024-02-01 00:00:00", "a": "7.0"}
+    assert group.get(spark, 3).count() == 0
+    keys = spark.createDataFrame([(1,), (1,), (2,), (9,), (None,)], "k long")
+    rows = {r.id: (r.at, r.a, r.b) for r in group.typed(group.lookup(keys)).collect()}
+    assert rows == {1: (datetime(2024, 2, 1), 7.0, None), 2: (datetime(2024, 1, 1), None, None)}
+    # appended under an event time of its own
+    group.append(spark.createDataFrame([(5, datetime(2024, 3, 1), 0.0)], "id long, at timestamp, a double"))
+    assert str(group.records(spark).where("record_id = 5").first().ingest_date) == "2024-03-01"
+
+
+def test_feature_group_refuses_what_is_not_declared(spark):
+    group = _group(spark)
+    with pytest.raises(ValueError):
+        group.append(spark.createDataFrame([(1, 2)], "id long, other int"))
+    with pytest.raises(ValueError):
+        group.append(spark.createDataFrame([(1.0,)], "a double"))
+    with pytest.raises(Exception, match="a record without an id"):
+        group.append(spark.createDataFrame([(None, 1.0)], "id long, a double"))
+    assert group.records(spark).count() == 0
+
+
+def test_feature_group_lookup_reads_one_bucket_and_few_files_are_written(spark):
+    group = _group(spark, buckets=8)
+    day = F.lit("2024-01-01").cast("timestamp")
+    wide = spark.range(3000).select("id", F.rand(1).alias("a")).repartition(16)
+    group.append(wide, day)
+    written = group.records(spark).select(F.input_file_name()).distinct().count()
+    assert written <= 8
+    plan = group.get(spark, 17)._jdf.queryExecution().executedPlan().toString()
+    assert "SelectedBucketsCount: 1 out of 8" in plan
+    assert group.get(spark, 17).count() == 1
+    # a group defined anew over the same folder finds the stored days
+    again = feature_table.FeatureGroup(f"{group.name}_again", "id", "at", group.features, group.location, "kiln_fg", 8)
+    again.create(spark)
+    assert again.records(spark).count() == 3000
 
 
 def test_column_diff_and_lenient_schema(spark):
