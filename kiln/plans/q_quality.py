@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from kiln.operators import quality as Q
 from kiln.operators.encoding import LabelEncoder, distinct_pairs, value_counts
 from kiln.operators.joins import orphan_keys
+from kiln.operators.validation import data_checks, validation_run
 from kiln.plans.registry import query
+from kiln.session import scratch_path, staged
 from kiln.sources import tables as T
 from kiln.sources.tables import read, with_ctes
 
@@ -430,25 +434,8 @@ def a21_distinct_pairs(spark, sf_dir):
 
 # ---------------------------------------------------------------- A23 / A24
 def validation_checks(cust, tx):
-    """Every data check of a validation run as one long table
-    ``check, value, passed`` (storage and catalog checks live in sources)."""
-    integ = orphan_keys(tx, cust, "customer_id").select(
-        F.lit("referential_integrity").alias("check"),
-        F.col("integrity_score").alias("value"),
-        (F.col("orphaned_transaction_customers") == 0).alias("passed"),
-    )
-    cons = Q.consistency(cust, tx).groupBy("check").agg(F.sum("value").cast("double").alias("value")).select(
-        "check", "value", (F.col("value") == 0).alias("passed")
-    )
-    cq = Q.customer_quality(cust).select(
-        F.lit("customer_quality").alias("check"), F.col("data_quality_score").alias("value"),
-        (F.col("data_quality_score") >= 0.8).alias("passed"),
-    )
-    tq = Q.transaction_quality(tx, as_of=RULES_AS_OF).select(
-        F.lit("transaction_quality").alias("check"), F.col("data_quality_score").alias("value"),
-        (F.col("data_quality_score") >= 0.8).alias("passed"),
-    )
-    return integ.unionByName(cons).unionByName(cq).unionByName(tq)
+    """The data checks as one long table ``check, value, passed``; inputs are written once."""
+    return data_checks(staged(cust, "customers"), staged(tx, "transactions"), RULES_AS_OF)
 
 
 def _validate_all_sql() -> str:
@@ -483,3 +470,47 @@ FROM ({_validate_all_sql()}) v""",
 )
 def a23_check_rollup(spark, sf_dir):
     return Q.rollup_checks(validation_checks(T.customers(spark, sf_dir), T.transactions(spark, sf_dir)))
+
+
+#: Declared type families of the validated tables.
+EXPECTED = {
+    "customers": {"customer_id": "int64", "age": "int64", "gender": "object", "income": "float64", "registration_date": "datetime64"},
+    "transactions": {"transaction_id": "object", "customer_id": "int64", "transaction_amount": "float64", "segment": "object"},
+}
+
+
+def _validation_report_sql() -> str:
+    complete = "\n".join(
+        f"UNION ALL SELECT 'completeness', '{name}', '{c}', CAST(count({c}) AS DOUBLE) / count(*), NULL FROM {t}"
+        for name, t, cols in (("customers", "cust", CUST_ALL), ("transactions", "tx", TX_ALL))
+        for c in cols
+    )
+    return with_ctes("cust", "tx") + f""",
+checks("section", "check", "column", value, passed) AS (
+SELECT 'data', "check", CAST(NULL AS VARCHAR), value, passed FROM ({_validate_all_sql()}) d
+{complete}
+UNION ALL SELECT 'schema', 'customers', NULL, 0.0, true
+UNION ALL SELECT 'schema', 'transactions', NULL, 1.0, false
+UNION ALL SELECT 'catalog', 'customers', NULL, CAST({len(CUST_ALL)} AS DOUBLE), true
+UNION ALL SELECT 'catalog', 'transactions', NULL, CAST({len(TX_ALL)} AS DOUBLE), true),
+judged AS (SELECT count(*) AS n, count(*) FILTER (WHERE passed) AS good FROM checks WHERE passed IS NOT NULL)
+SELECT * FROM checks
+UNION ALL SELECT 'summary', 'total_checks', NULL, CAST(n AS DOUBLE), good = n FROM judged
+UNION ALL SELECT 'summary', 'passed_checks', NULL, CAST(good AS DOUBLE), good = n FROM judged
+UNION ALL SELECT 'summary', 'failed_checks', NULL, CAST(n - good AS DOUBLE), good = n FROM judged"""
+
+
+@query("s21_validation_report", sql=_validation_report_sql(), rounding={"value": 6})
+def s21_validation_report(spark, sf_dir):
+    """Every check of a run, and the summary, read back from the written report.
+
+    One declared column (``segment``) is absent, so the run fails.
+    """
+    out = scratch_path(spark, f"validation-report-{uuid.uuid4().hex}")
+    checks, summary = validation_run(T.customers(spark, sf_dir), T.transactions(spark, sf_dir), EXPECTED, RULES_AS_OF, out)
+    counts = ("total_checks", "passed_checks", "failed_checks")
+    rolled = summary.select(
+        F.explode(F.array(*[F.struct(F.lit(c).alias("check"), F.col(c).cast("double").alias("value")) for c in counts])).alias("c"),
+        (F.col("overall_status") == "PASSED").alias("passed"),
+    ).select(F.lit("summary").alias("section"), "c.check", F.lit(None).cast("string").alias("column"), "c.value", "passed")
+    return checks.unionByName(rolled)
