@@ -183,7 +183,23 @@ def s14_feature_lookup(spark, sf_dir):
     return group.typed(group.lookup(read(spark, sf_dir, "orders").select("o_custkey")))
 
 
+def _inventory(spark, sf_dir):
+    stored = files.stored_rows({t: spark.read.parquet(f"{sf_dir.rstrip('/')}/{t}.parquet") for t in T.TABLE_NAMES})
+    return files.storage_inventory(spark, sf_dir, expected=T.TABLE_NAMES).join(stored, "prefix", "left")
+
+
 @query("s16_storage_inventory")
 def s16_storage_inventory(spark, sf_dir):
-    """Files, bytes and newest modification per table folder of the input."""
-    return files.storage_inventory(spark, sf_dir, expected=T.TABLE_NAMES)
+    """Files, bytes, newest modification and rows per table folder of the input."""
+    return _inventory(spark, sf_dir)
+
+
+@query(
+    "s16_stored_rows",
+    sql="\nUNION ALL\n".join(
+        f"SELECT '{t}' AS prefix, true AS has_files, count(*) AS \"rows\" FROM {t}" for t in T.TABLE_NAMES
+    ),
+)
+def s16_stored_rows(spark, sf_dir):
+    """The part of the inventory that SQL can say: which tables are there and their rows."""
+    return _inventory(spark, sf_dir).select("prefix", (F.col("files") > 0).alias("has_files"), "rows")

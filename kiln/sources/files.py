@@ -167,3 +167,21 @@ def storage_inventory(spark: SparkSession, root: str, expected: Sequence[str] =
         want = spark.createDataFrame([(e,) for e in expected], "prefix string")
         inv = want.join(inv, "prefix", "full").withColumn("expected", F.col("prefix").isin(*expected))
     return inv
+
+
+def stored_rows(tables: dict[str, DataFrame]) -> DataFrame:
+    """Per file-based table: ``prefix, rows, largest_file_rows``.
+
+    Counted by file from the scan's metadata; no column is read (of Parquet only
+    footers are). A table without rows has 0 and 0.
+    """
+    counts = None
+    for name, df in tables.items():
+        by_file = df.groupBy(F.col("_metadata.file_path").alias("file")).agg(F.count("*").alias("n"))
+        one = by_file.agg(
+            F.lit(name).alias("prefix"),
+            F.coalesce(F.sum("n"), F.lit(0)).alias("rows"),
+            F.coalesce(F.max("n"), F.lit(0)).alias("largest_file_rows"),
+        )
+        counts = one if counts is None else counts.unionByName(one)
+    return counts

@@ -318,6 +318,17 @@ def test_feature_group_lookup_reads_one_bucket_and_few_files_are_written(spark):
     assert again.records(spark).count() == 3000
 
 
+def test_stored_rows_by_file(spark):
+    many, none = _tmp(spark, "many"), _tmp(spark, "none")
+    spark.range(90).repartition(3).write.parquet(many)
+    spark.range(0).write.parquet(none)
+    frame = files.stored_rows({"many": spark.read.parquet(many), "none": spark.read.parquet(none)})
+    rows = {r.prefix: r for r in frame.collect()}
+    assert rows["many"].rows == 90 and 30 <= rows["many"].largest_file_rows < 90
+    assert (rows["none"].rows, rows["none"].largest_file_rows) == (0, 0)
+    assert "ReadSchema: struct<id" not in frame._jdf.queryExecution().executedPlan().toString()
+
+
 def test_column_diff_and_lenient_schema(spark):
     from kiln.operators import joins, quality
 
