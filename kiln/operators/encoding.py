@@ -99,7 +99,8 @@ class OneHotEncoder:
     """Dummy columns for every category, none dropped (F8).
 
     ``layout`` is the caller's choice: ``columns`` gives one 0/1 column per
-    category, so the schema grows with them; ``sparse`` gives one column
+    category, so the schema grows with them (beyond ``max_categories`` it is an
+    error, and no category is dropped); ``sparse`` gives one column
     ``<prefix>_index``, the place of the row's 1 among the sorted categories
     (NULL: all zeros), and keeps the dictionary on the cluster.
     """
@@ -107,6 +108,7 @@ class OneHotEncoder:
     input_col: str
     prefix: str | None = None
     layout: str = "columns"
+    max_categories: int = 10_000
 
     def fit(self, df: DataFrame) -> OneHotEncoderModel | LabelEncoderModel:
         prefix = self.prefix or self.input_col
@@ -114,7 +116,10 @@ class OneHotEncoder:
             return LabelEncoder(self.input_col, f"{prefix}_index").fit(df)
         if self.layout != "columns":
             raise ValueError(f"Unknown one-hot layout: {self.layout}")
-        values = df.select(self.input_col).where(F.col(self.input_col).isNotNull()).distinct().collect()
+        # one category more than allowed tells that there are too many; no more reach the driver
+        values = df.select(self.input_col).where(F.col(self.input_col).isNotNull()).distinct().limit(self.max_categories + 1).collect()
+        if len(values) > self.max_categories:
+            raise ValueError(f"{self.input_col} has over {self.max_categories} categories: use layout='sparse'")
         return OneHotEncoderModel(self.input_col, prefix, sorted(r[0] for r in values))
 
 

@@ -10,7 +10,7 @@ from __future__ import annotations
 import hashlib
 
 import numpy as np
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from kiln.functions import validators as V
@@ -88,13 +88,32 @@ def derive_key(passphrase: str, salt: bytes, rounds: int = 100_000) -> bytes:
     return hashlib.pbkdf2_hmac("sha256", passphrase.encode("utf-8"), salt, rounds, dklen=32)
 
 
-def encrypt_column(c: Column, key: bytes) -> Column:
-    """AES-GCM encryption of a string (or of ``to_json`` of a struct), base64."""
-    return F.base64(F.aes_encrypt(c.cast("string"), F.lit(key), F.lit("GCM")))
+def store_key(spark: SparkSession, key: bytes, path: str) -> None:
+    """Keep a key as a one-row table in a folder that only the jobs may read."""
+    spark.createDataFrame([(bytearray(key),)], "key binary").coalesce(1).write.mode("errorifexists").parquet(path)
 
 
-def decrypt_column(c: Column, key: bytes) -> Column:
-    return F.aes_decrypt(F.unbase64(c), F.lit(key), F.lit("GCM")).cast("string")
+def stored_key(spark: SparkSession, path: str) -> Column:
+    """The key under ``path`` as a scalar subquery: plans and event logs show where it is, not what it is."""
+    return spark.read.schema("key binary").parquet(path).scalar()
+
+
+def _key(key: bytes | Column) -> Column:
+    return key if isinstance(key, Column) else F.lit(key)
+
+
+def encrypt_column(c: Column, key: bytes | Column) -> Column:
+    """AES-GCM encryption of a string (or of ``to_json`` of a struct), base64.
+
+    A key given as bytes becomes a literal of the plan; see ``stored_key``.
+    """
+    return F.base64(F.aes_encrypt(c.cast("string"), _key(key), F.lit("GCM")))
+
+
+def decrypt_column(c: Column, key: bytes | Column, strict: bool = True) -> Column:
+    """The encrypted string; a changed token or another key fails the job, or gives null if not ``strict``."""
+    opened = F.aes_decrypt if strict else F.try_aes_decrypt
+    return opened(F.unbase64(c), _key(key), F.lit("GCM")).cast("string")
 
 
 # --------------------------------------------------------------------------

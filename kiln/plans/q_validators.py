@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from kiln.functions import validators as V
 from kiln.operators import protection as P
 from kiln.plans.registry import query
+from kiln.session import scratch_path
 from kiln.sources.tables import read
 
 # Reference times for the log windows.
@@ -135,13 +138,29 @@ def v10_key_presence(spark, sf_dir):
     return P.key_presence(read(spark, sf_dir, "events"), "props", ["k", "user"])
 
 
-@query("v11_encryption_roundtrip", sql="SELECT doc_id, true AS roundtrip_ok FROM documents")
+@query(
+    "v11_encryption_roundtrip",
+    sql="""
+SELECT doc_id, true AS roundtrip_ok, CASE WHEN text IS NOT NULL THEN true END AS hidden,
+       CASE WHEN text IS NOT NULL THEN true END AS change_found
+FROM documents""",
+)
 def v11_encryption_roundtrip(spark, sf_dir):
-    """Encrypt every whole document text with AES-GCM and decrypt it back."""
-    key = P.derive_key(PASSPHRASE, SALT)
-    d = read(spark, sf_dir, "documents")
-    enc = d.select("doc_id", "text", P.encrypt_column(F.col("text"), key).alias("token"))
-    return enc.select("doc_id", F.equal_null(P.decrypt_column(F.col("token"), key), F.col("text")).alias("roundtrip_ok"))
+    """Encrypt every whole document text with AES-GCM under a stored key and decrypt it
+    back; a token whose first letter is changed is not accepted."""
+    path = scratch_path(spark, f"key-{uuid.uuid4().hex}")
+    P.store_key(spark, P.derive_key(PASSPHRASE, SALT), path)
+    key = P.stored_key(spark, path)
+    token = F.col("token")
+    first = F.when(token.startswith("A"), "B").otherwise("A")
+    changed = F.concat(first, F.substring(token, 2, 2**31 - 1))
+    enc = read(spark, sf_dir, "documents").select("doc_id", "text", P.encrypt_column(F.col("text"), key).alias("token"))
+    return enc.select(
+        "doc_id",
+        F.equal_null(P.decrypt_column(token, key), F.col("text")).alias("roundtrip_ok"),
+        (token != F.col("text")).alias("hidden"),
+        F.when(token.isNotNull(), P.decrypt_column(changed, key, strict=False).isNull()).alias("change_found"),
+    )
 
 
 @query(

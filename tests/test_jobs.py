@@ -329,6 +329,26 @@ def test_stored_rows_by_file(spark):
     assert "ReadSchema: struct<id" not in frame._jdf.queryExecution().executedPlan().toString()
 
 
+def test_a_stored_key_is_not_in_the_plan_and_changed_tokens_are_refused(spark):
+    import base64
+
+    raw, path = protection.derive_key("a phrase of some length", b"0123456789abcdef"), _tmp(spark, "key")
+    protection.store_key(spark, raw, path)
+    key = protection.stored_key(spark, path)
+    df = spark.createDataFrame([("plain",), ("",), (None,)], "t string")
+    enc = df.select("t", protection.encrypt_column(F.col("t"), key).alias("c"))
+    plan = enc._jdf.queryExecution().toString()
+    assert not any(form in plan for form in (raw.hex(), raw.hex().upper(), base64.b64encode(raw).decode()))
+    one, two = ({r.t: r.c for r in enc.collect()} for _ in range(2))
+    assert one["plain"] != two["plain"] and one[None] is None and one[""]
+    back = enc.select("t", protection.decrypt_column(F.col("c"), raw).alias("b")).collect()
+    assert all(r.t == r.b for r in back)
+    other = protection.derive_key("another phrase", b"0123456789abcdef")
+    assert enc.select(protection.decrypt_column(F.col("c"), other, strict=False).alias("b")).where("b IS NOT NULL").count() == 0
+    with pytest.raises(Exception):
+        enc.select(protection.decrypt_column(F.col("c"), other)).collect()
+
+
 def test_column_diff_and_lenient_schema(spark):
     from kiln.operators import joins, quality
 

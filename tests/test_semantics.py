@@ -273,6 +273,8 @@ def test_encoders_beyond_twenty_thousand_values(spark):
     assert encoding.TargetEncoder("c", "y").fit(df).transform(odd).where("c_target IS NOT NULL").count() == 40_002
     wide = encoding.OneHotEncoder("c").fit(df.where("id < 1500"))
     assert len(wide.values) == 1500
+    with pytest.raises(ValueError, match="sparse"):
+        encoding.OneHotEncoder("c", max_categories=1499).fit(df.where("id < 1500"))
 
 
 def test_interaction_gaps_random_timestamps(spark):
