@@ -20,7 +20,7 @@ from kiln.operators import quality as Q
 from kiln.plans import q_prep, q_quality, q_validators  # noqa: F401  (their queries must be registered first)
 from kiln.plans.registry import REGISTRY, query
 from kiln.sources import tables as T
-from kiln.sources.tables import ORACLE_CTES, read
+from kiln.sources.tables import ORACLE_CTES, read, with_ctes
 
 FUTURE = "2030-01-01 00:00:00"
 
@@ -164,3 +164,40 @@ def v4_sql_injection_documents_injected(spark, sf_dir):
 def v5_xss_pages_injected(spark, sf_dir):
     pages = read(spark, sf_dir, "pages").select("page_id", F.expr(HTML).alias("html"))
     return P.injection_scan(pages, "page_id", "html")
+
+
+def _cust_sql(body: str) -> str:
+    """``body`` over the changed customers."""
+    plain, changed = VIEWS[0]
+    return with_ctes("cust").replace(plain, changed) + body
+
+
+def _mode_sql(c: str) -> str:
+    return f"(SELECT {c} FROM cust WHERE {c} IS NOT NULL GROUP BY {c} ORDER BY count(*) DESC, {c} LIMIT 1)"
+
+
+@query(
+    "a3_impute_modes_injected",
+    sql=_cust_sql(f"""
+SELECT customer_id, age, coalesce(gender, {_mode_sql("gender")}) AS gender,
+       coalesce(income, (SELECT quantile_cont(income, 0.5) FROM cust)) AS income,
+       coalesce(location, {_mode_sql("location")}) AS location, registration_date
+FROM cust"""),
+    rounding={"income": 4},
+)
+def a3_impute_modes_injected(spark, sf_dir):
+    """Two text columns with gaps take their modes, incomes the median (A3)."""
+    return prep.handle_missing_values(customers(spark, sf_dir))
+
+
+@query(
+    "a3_impute_text_injected",
+    sql=_cust_sql("""
+SELECT customer_id, age, coalesce(gender, '') AS gender, coalesce(income, (SELECT avg(income) FROM cust)) AS income,
+       coalesce(location, '') AS location, registration_date
+FROM cust"""),
+    rounding={"income": 4},
+)
+def a3_impute_text_injected(spark, sf_dir):
+    """Text gaps become the empty text, incomes the mean (A3)."""
+    return prep.handle_missing_values(customers(spark, sf_dir), numerical="mean", categorical=None)
