@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from kiln.functions.stats import fit_row
 from kiln.operators.binning import fit_quantile_bins
 from kiln.operators.stages import feature_vector
-from kiln.session import cut_lineage, staged
+from kiln.session import cut_lineage, reloaded, staged
 
 
 def _hash(key: Column, seed: int) -> Column:
@@ -181,7 +181,7 @@ def fit_logistic(train: DataFrame, features: Sequence[str], label: str, fill: fl
     known = _known(train, label)
     prep = prepare_features(known, features, fill, scale)
     model = logistic_regression(known.count()).fit(prep.transform(known))
-    return PipelineModel([prep, model])
+    return PipelineModel([prep, reloaded(train.sparkSession, model)])
 
 
 def accuracy(model: PipelineModel, test: DataFrame, label: str) -> float:
@@ -210,7 +210,8 @@ def cross_validate(
         else:
             steps, cols = stages()
             train = _known(train, label)
-            model = Pipeline(stages=[*steps, *feature_vector(cols), logistic_regression(train.count())]).fit(train)
+            fitted = Pipeline(stages=[*steps, *feature_vector(cols), logistic_regression(train.count())]).fit(train)
+            model = PipelineModel([*fitted.stages[:-1], reloaded(df.sparkSession, fitted.stages[-1])])
         rows.append((f, float(accuracy(model, test, label))))
     scores = [a for _, a in rows]
     mean = sum(scores) / k

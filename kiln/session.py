@@ -113,3 +113,14 @@ def staged_with(df: DataFrame, name: str, metrics: dict[str, Column]) -> tuple[D
     out = df.observe(seen, *[c.alias(k) for k, c in metrics.items()]) if metrics else df
     out.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path), dict(seen.get) if metrics else {}
+
+
+def reloaded(spark: SparkSession, model):
+    """A fitted Spark ML classifier without its training summary: written to the shared folder and read back.
+
+    A binary classifier's summary holds the session, which tasks cannot be sent once
+    the session has observed any query (``staged_with``): the fitted model could not score.
+    """
+    path = scratch_path(spark, f"model-{uuid.uuid4().hex}")
+    model.write().session(spark).save(path)
+    return type(model).load(path)
