@@ -14,10 +14,12 @@ single task -- unusable on a high-cardinality column at 100 TB.
 
 ``exact_quantiles`` instead finds the needed order statistics by selection:
 
-1. one pass: ``count`` and one ``percentile_approx`` sketch per column
-   (rank error <= n/accuracy) bracket every needed rank between two values;
+1. one pass counts the rows; a second aggregates a sample of bounded size
+   (``accuracy``), whose order brackets every needed rank between two values. (The sketches of ``percentile_approx`` grow with every merge, so
+   the one task that merges them grows faster than the number of partitions.)
 2. one pass: ``count_if(x < lo)`` / ``count_if(x <= hi)`` *verify* each
-   bracket exactly (a failed side is widened to the column's min / max);
+   bracket exactly (a failed side is widened to the column's min / max), so the
+   sample decides how much is ranked, never the result;
 3. one pass: the values inside all brackets are grouped to (bracket, value,
    count) rows, range-partitioned and checkpointed; partition offsets and a
    running count inside each partition give every row its rank range, and only
@@ -39,6 +41,8 @@ from pyspark.sql import functions as F
 from kiln.session import cut_lineage
 
 APPROX_ACCURACY = 10_000
+SAMPLED = 40  # sampled rows per unit of accuracy
+SPREAD = 5.0  # half width of a bracket, in standard deviations of a sampled rank
 
 
 def fit_row(df: DataFrame, exprs: Sequence[Column]) -> Row:
@@ -53,6 +57,17 @@ def _ranks(n: int, q: float) -> tuple[int, int, float]:
     return lo, hi, pos - lo
 
 
+def _bracket_ends(sample: Column, probs: Sequence[float]) -> Column:
+    """The sampled values that bracket each of ``probs``: all low ends, then all high ends (NULL without a sample)."""
+    values, size = F.sort_array(sample), F.size(sample)
+
+    def at(p: float, side: int) -> Column:
+        rank = F.round(p * size + side * (SPREAD * math.sqrt(p * (1.0 - p)) * F.sqrt(size) + 2)).cast("int")
+        return F.element_at(values, F.least(F.greatest(rank, F.lit(1)), size))
+
+    return F.when(size > 0, F.array(*[at(p, -1) for p in probs], *[at(p, 1) for p in probs]))
+
+
 def exact_quantiles(
     df: DataFrame,
     cols: Sequence[str],
@@ -63,6 +78,7 @@ def exact_quantiles(
     """Linear-interpolated quantiles of each column (NULL / NaN ignored).
 
     Returns ``{col: [value per prob]}``; a column without values gives None.
+    ``accuracy`` sets how narrow the brackets are, not the result.
     When a dict is passed as ``moments`` it is filled with ``{col: (n, mean,
     sample std, min, max)}`` from the same first pass.
     """
@@ -81,21 +97,19 @@ def exact_quantiles(
 
 
 def _exact_quantiles(base, cols, probs, accuracy, moments):
-    delta = 2.0 / accuracy
-    lo_p = [max(0.0, p - delta) for p in probs]
-    hi_p = [min(1.0, p + delta) for p in probs]
+    drawn = min(1.0, SAMPLED * accuracy / max(base.count(), 1))
     aggs: list[Column] = []
     for c in cols:
         aggs += [
             F.count(c).alias(f"n__{c}"),
             F.min(c).alias(f"mn__{c}"),
             F.max(c).alias(f"mx__{c}"),
-            # one sketch per column serves both ends of every bracket
-            F.percentile_approx(c, lo_p + hi_p, accuracy).alias(f"pa__{c}"),
+            # one sample per column serves both ends of every bracket
+            _bracket_ends(F.collect_list(F.when(F.col("__drawn"), F.col(c))), probs).alias(f"pa__{c}"),
         ]
         if moments is not None:
             aggs += [F.avg(c).alias(f"av__{c}"), F.stddev_samp(c).alias(f"sd__{c}")]
-    r1 = fit_row(base, aggs)
+    r1 = fit_row(base.withColumn("__drawn", F.rand(seed=42) < drawn), aggs)
     if moments is not None:
         for c in cols:
             moments[c] = (r1[f"n__{c}"], r1[f"av__{c}"], r1[f"sd__{c}"], r1[f"mn__{c}"], r1[f"mx__{c}"])
@@ -105,7 +119,8 @@ def _exact_quantiles(base, cols, probs, accuracy, moments):
     spans = []
     for c in cols:
         if r1[f"n__{c}"]:
-            pa = r1[f"pa__{c}"]
+            # a column without a sampled value is bracketed by its ends
+            pa = r1[f"pa__{c}"] or [r1[f"mn__{c}"]] * k + [r1[f"mx__{c}"]] * k
             spans += [(c, i, *_ranks(r1[f"n__{c}"], p), pa[i], pa[k + i]) for i, p in enumerate(probs)]
     out: dict[str, list[float | None]] = {c: [None] * k for c in cols}
     if not spans:

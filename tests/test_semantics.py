@@ -328,3 +328,23 @@ def test_verdict_text_faults(spark):
     assert got["c"] is None and abs(got["x"] - 9.8) < 1e-9
     rec = spark.createDataFrame([("a", 1, {"v": "1"}), ("a", 1, {"v": "2"})], "record_id string, event_time int, record map<string,string>")
     assert latest_records(rec).first().record == {"v": "2"}
+
+
+def test_exact_quantiles_merge_no_sketches(spark, monkeypatch):
+    """No sketch per partition reaches a single task (its merge grows faster than the partitions), and a misleading sample stays exact."""
+    from kiln.functions import stats
+
+    df = spark.range(0, 60_000, 1, 64).select((F.col("id") * 7919 % 60_000).cast("double").alias("x"), F.when(F.col("id") % 20_000 == 0, F.col("id")).alias("rare"))
+    plans = []
+    fit = stats.fit_row
+
+    def seen(rows, exprs):
+        plans.append(rows.agg(*exprs)._jdf.queryExecution().toString())
+        return fit(rows, exprs)
+
+    monkeypatch.setattr(stats, "fit_row", seen)
+    for spread in (5.0, 0.0):  # 0: brackets that miss their ranks are widened
+        monkeypatch.setattr(stats, "SPREAD", spread)
+        got = stats.exact_quantiles(df, ["x", "rare"], [0.0, 0.25, 0.5, 1.0], accuracy=20)
+        assert got == {"x": [0.0, 14999.75, 29999.5, 59999.0], "rare": [0.0, 10000.0, 20000.0, 40000.0]}
+    assert plans and not any("percentile_approx" in p or "approx_percentile" in p for p in plans)
