@@ -2,13 +2,14 @@
 
 Without ``max_features`` the vocabulary grows with the corpus, so it is a table:
 
-1. the rows' terms are written once, under a row number (rows may share an id);
-2. counts by (row, term) are combined map-side and written; one aggregate of them
-   gives corpus totals and document frequencies;
-3. the alphabetical index of a term is its rank among range partitions plus the
-   sizes of the partitions before it: no window over the whole vocabulary;
-4. a transform joins counts to the vocabulary on the term. AQE broadcasts a small
-   vocabulary and splits a term that most rows hold.
+1. rows are dealt by a row number (rows may share an id), so their texts are
+   shuffled, never their terms; counts by (row, term) need no other shuffle and are
+   written. One aggregate of them gives corpus totals and document frequencies;
+2. the alphabetical index of a term is its place in a sorted range partition plus
+   the sizes of the partitions before it: no window over the vocabulary, no join;
+3. a transform joins counts to the vocabulary on the term. AQE broadcasts a small
+   vocabulary and splits a term that most rows hold. Counts of the fitted rows hold
+   no other terms and are not joined.
 
 Norms are windows over one row's distinct terms. Nothing is collected.
 """
@@ -20,7 +21,6 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from kiln.operators.encoding import LabelEncoder
 from kiln.operators.text_features import TOKEN_PATTERN, explode_terms, with_terms
 from kiln.session import staged
 
@@ -28,8 +28,15 @@ from kiln.session import staged
 def ranked_terms(totals: DataFrame) -> DataFrame:
     """All terms with their alphabetical ``index`` (W6 without a limit): ``term, .., index``."""
     totals = staged(totals, "term-totals")
-    ranks = LabelEncoder("term", "index").fit(totals).frame
-    return totals.join(ranks.withColumnRenamed("value", "term"), "term")
+    parts = int(totals.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    # the number holds the partition in its upper bits and the place in it below
+    placed = totals.repartitionByRange(parts, "term").sortWithinPartitions("term").withColumn("__at", F.monotonically_increasing_id())
+    placed = staged(placed, "term-places").withColumn("__p", F.shiftright("__at", 33))
+    before = Window.orderBy("__p").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = placed.groupBy("__p").agg(F.count("*").alias("__n"))  # a row per partition
+    offsets = sizes.select("__p", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__off"))
+    place = F.col("__at").bitwiseAND(F.lit((1 << 33) - 1))
+    return placed.join(F.broadcast(offsets), "__p").select(*totals.columns, (F.col("__off") + place).cast("bigint").alias("index"))
 
 
 @dataclass
@@ -74,20 +81,25 @@ class TermTable:
         )
 
 
+def numbered_terms(df: DataFrame, by) -> DataFrame:
+    """``__row, id, __terms`` of every row, dealt by the row number."""
+    rows = df.select(F.col(by.id_col), F.col(by.text_col).alias("__text")).withColumn("__row", F.monotonically_increasing_id())
+    return with_terms(rows.repartition("__row"), "__text", "__terms", by.ngram_max, by.stop_words, by.pattern).drop("__text")
+
+
 def row_terms(df: DataFrame, by) -> DataFrame:
     """``__row, id, __terms`` of every row, written so that the row number holds."""
-    rows = df.select(F.col(by.id_col), F.col(by.text_col).alias("__text")).withColumn("__row", F.monotonically_increasing_id())
-    return staged(with_terms(rows, "__text", "__terms", by.ngram_max, by.stop_words, by.pattern).drop("__text"), "row-terms")
+    return staged(numbered_terms(df, by), "row-terms")
 
 
 def count_terms(terms: DataFrame, id_col: str) -> DataFrame:
-    """``__row, id, term, tf``: the rows of one document sit in one partition, so counts are combined before the shuffle."""
+    """``__row, id, term, tf``, written: the terms of one row sit in one partition."""
     each = terms.select("__row", id_col, explode_terms("__terms")).where(F.col("term").isNotNull())
     return staged(each.groupBy("__row", id_col, "term").agg(F.count("*").alias("tf")), "term-counts")
 
 
 def row_counts(df: DataFrame, by) -> DataFrame:
-    return count_terms(row_terms(df, by), by.id_col)
+    return count_terms(numbered_terms(df, by), by.id_col)
 
 
 @dataclass
@@ -105,21 +117,19 @@ class TermTableVectorizer:
     stop_words: tuple | None = None
     pattern: str = TOKEN_PATTERN
 
-    def _fit(self, counts: DataFrame, n_docs: int) -> TermTable:
+    def _fit(self, counts: DataFrame, df: DataFrame) -> TermTable:
         totals = counts.groupBy("term").agg(F.sum("tf").alias("total"), F.count("*").alias("df"))
         vocabulary = staged(ranked_terms(totals), "vocabulary")
-        return TermTable(
-            self.id_col, self.text_col, self.ngram_max, self.stop_words, self.pattern, vocabulary, n_docs if self.tfidf else None
-        )
+        n_docs = df.count() if self.tfidf else None
+        return TermTable(self.id_col, self.text_col, self.ngram_max, self.stop_words, self.pattern, vocabulary, n_docs)
 
     def fit(self, df: DataFrame) -> TermTable:
-        terms = row_terms(df, self)
-        return self._fit(count_terms(terms, self.id_col), terms.count())
+        return self._fit(row_counts(df, self), df)
 
     def fit_transform(self, df: DataFrame) -> tuple[TermTable, DataFrame]:
         """Fit and transform the same rows; their counts are made once."""
-        terms = row_terms(df, self)
-        counts = count_terms(terms, self.id_col)
-        model = self._fit(counts, terms.count())
-        e = model.entries(counts)
-        return model, e.select(self.id_col, "term", e.columns[-1])
+        counts = row_counts(df, self)
+        model = self._fit(counts, df)
+        if not self.tfidf:
+            return model, counts.select(self.id_col, "term", F.col("tf").alias("count"))
+        return model, model.entries(counts).select(self.id_col, "term", "weight")

@@ -97,8 +97,13 @@ def explode_terms(arr) -> Column:
 def corpus_totals(df: DataFrame, text_col: str, ngram_max: int = 1, stop_words=None,
                   pattern: str = TOKEN_PATTERN) -> DataFrame:
     """``(term, total)``: corpus frequency of every term, combined map-side."""
-    staged = with_terms(df.select(F.col(text_col).alias("__text")), "__text", "__terms", ngram_max, stop_words, pattern)
+    # stop words of single terms are dropped as rows; bigrams need them gone before
+    stops = list(english_stop_words() if stop_words is None else stop_words) if ngram_max == 1 else []
+    kept = () if ngram_max == 1 else stop_words
+    staged = with_terms(df.select(F.col(text_col).alias("__text")), "__text", "__terms", ngram_max, kept, pattern)
     ex = staged.select(explode_terms("__terms")).where(F.col("term").isNotNull())
+    if stops:
+        ex = ex.where(~F.col("term").isin(*stops))
     return ex.groupBy("term").agg(F.count("*").alias("total"))
 
 

@@ -50,3 +50,18 @@ def test_no_collect_and_no_unpartitioned_window(docs):
     assert "collect()" not in inspect.getsource(term_tables)
     plan = TermTableVectorizer("t", "id").fit_transform(docs)[1]._jdf.queryExecution().toString()
     assert "SinglePartition" not in plan
+
+
+def test_terms_are_not_shuffled_and_fitted_counts_not_joined(spark, docs, monkeypatch):
+    """Counts by row need no shuffle of terms, and counts of the fitted rows no join with the vocabulary."""
+    plans, write = [], term_tables.staged
+
+    def seen(df, name):
+        plans.append((name, df._jdf.queryExecution().executedPlan().toString()))
+        return write(df, name)
+
+    monkeypatch.setattr(term_tables, "staged", seen)
+    counted = TermTableVectorizer("t", "id").fit_transform(docs)[1]
+    (plan,) = [p for name, p in plans if name == "term-counts"]
+    assert plan.count("Exchange ") == 1 and "row-terms" not in dict(plans)
+    assert "Join" not in counted._jdf.queryExecution().executedPlan().toString()
