@@ -34,8 +34,10 @@ from pyspark.sql import functions as F
 
 from kiln.functions.text import tokens as _tokens
 from kiln.session import cut_lineage
+from kiln.session import staged as written
 
 TOKEN_PATTERN = r"(?U)\b\w\w+\b"
+TIES = 10  # words that reach the vocabulary's least total, per term of it, before bigrams are no longer pruned
 
 
 @lru_cache(maxsize=None)
@@ -197,9 +199,43 @@ class VectorizerModel:
         return out.withColumns(cols).drop("__m", "__norm")
 
 
+def _token_table(df: DataFrame, text_col: str, stop_words, pattern: str, *keep: str) -> DataFrame:
+    """``keep`` and the tokens ``__tok`` of every row, written once for all passes."""
+    return written(df.select(*keep, terms_column(F.col(text_col), stop_words, 1, pattern).alias("__tok")), "tokens")
+
+
+def _candidate_totals(toks: DataFrame, max_features: int) -> DataFrame:
+    """``(term, total)`` of every uni- or bigram that can be among the ``max_features`` most frequent.
+
+    A bigram is no more frequent than either of its words. With ``least`` the total of the
+    ``max_features``-th word, no term below it makes the vocabulary, so only bigrams of two
+    words that reach it are counted: the totals are exact, and millions of rare bigrams are
+    never shuffled. Too few words, too many ties or words with blanks: all terms are counted.
+    """
+    def totals(terms: Column) -> DataFrame:
+        ex = toks.select(terms.alias("__terms")).select(explode_terms("__terms")).where(F.col("term").isNotNull())
+        return ex.groupBy("term").agg(F.count("*").alias("total"))
+
+    single = written(totals(F.col("__tok")), "word-totals")
+    first = single.select("total").orderBy(F.desc("total")).limit(max_features)
+    n, least = first.agg(F.count("*"), F.min("total")).first()
+    blanks = single.where(F.col("term").contains(" ")).limit(1).count()
+    frequent = single.where(F.col("total") >= least) if n == max_features and not blanks else single.limit(0)
+    words = [r["term"] for r in frequent.limit(TIES * max_features + 1).collect()]
+    if not 0 < len(words) <= TIES * max_features:
+        return totals(F.concat("__tok", bigrams(F.col("__tok"))))
+    tok = F.col("__tok")
+    head = F.slice(tok, 1, F.greatest(F.size(tok) - 1, F.lit(0)))
+    pairs = F.transform(head, lambda x, i: F.when(x.isin(*words) & F.element_at(tok, i + 2).isin(*words), F.concat(x, F.lit(" "), F.element_at(tok, i + 2))))
+    return frequent.unionByName(totals(pairs))
+
+
 def _fit_vocab(df: DataFrame, text_col: str, ngram_max: int, stop_words, max_features,
-               pattern: str = TOKEN_PATTERN) -> list[str]:
-    totals = corpus_totals(df, text_col, ngram_max, stop_words, pattern)
+               pattern: str = TOKEN_PATTERN, toks: DataFrame | None = None) -> list[str]:
+    if ngram_max == 2 and max_features > 0:
+        totals = _candidate_totals(_token_table(df, text_col, stop_words, pattern) if toks is None else toks, max_features)
+    else:
+        totals = corpus_totals(df, text_col, ngram_max, stop_words, pattern)
     return [r["term"] for r in top_terms(totals, max_features).orderBy("index").collect()]
 
 
@@ -236,15 +272,18 @@ class TfidfVectorizer:
     pattern: str = TOKEN_PATTERN
 
     def fit_transform(self, df: DataFrame) -> tuple[VectorizerModel, DataFrame]:
-        """Fit and transform the same rows with one pass over the text after
-        the vocabulary: the per-document vocabulary counts (at most
+        """Fit and transform the same rows with one pass over the text: tokens are
+        written once, and every later pass reads them. The per-document vocabulary counts (at most
         ``max_features`` entries per row) are checkpointed to the shared
         folder, then document frequencies and weights both read them."""
         import math
 
-        terms = _fit_vocab(df, self.input_col, self.ngram_max, self.stop_words, self.max_features, self.pattern)
+        toks = _token_table(df, self.input_col, self.stop_words, self.pattern, self.id_col)
+        terms = _fit_vocab(df, self.input_col, self.ngram_max, self.stop_words, self.max_features, self.pattern, toks)
         model = VectorizerModel(self.id_col, self.input_col, self.ngram_max, self.stop_words, terms, None, self.pattern)
-        base = model.with_vocab_terms(df.select(self.id_col, self.input_col), "__vt")
+        known = F.col("__tok") if self.ngram_max == 1 else F.concat(F.col("__tok"), bigrams(F.col("__tok")))
+        known = F.filter(known, lambda t: t.isin(*terms)) if terms else F.array().cast("array<string>")
+        base = toks.select(self.id_col, known.alias("__vt"))
         base = cut_lineage(base.select(self.id_col, term_frequencies(F.col("__vt")).alias("__tf")))
         n_docs = base.count()
         present = base.select(F.explode_outer("__tf.term").alias("term")).where(F.col("term").isNotNull())

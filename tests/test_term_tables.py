@@ -65,3 +65,17 @@ def test_terms_are_not_shuffled_and_fitted_counts_not_joined(spark, docs, monkey
     (plan,) = [p for name, p in plans if name == "term-counts"]
     assert plan.count("Exchange ") == 1 and "row-terms" not in dict(plans)
     assert "Join" not in counted._jdf.queryExecution().executedPlan().toString()
+
+
+def test_rare_bigrams_are_not_counted(spark, monkeypatch):
+    """The limited vocabulary counts only bigrams of words that can reach it, and is that of all terms."""
+    from kiln.operators import text_features
+
+    text = ["common words stay common words", "rare%d common words tail%d"]
+    docs = spark.createDataFrame([(i, text[i % 2] % ((i, i) if i % 2 else ())) for i in range(300)] + [(300, None), (301, "")], "id long, t string")
+    counted, top = [], text_features.top_terms
+    monkeypatch.setattr(text_features, "top_terms", lambda totals, k: (counted.append(totals.count()), top(totals, k))[1])
+    for k in (1, 3, 5, 400, 5000):  # 400: cut among the words that occur once
+        got = text_features._fit_vocab(docs, "t", 2, None, k)
+        assert got == [r.term for r in top(corpus_totals(docs, "t", 2), k).orderBy("index").collect()]
+    assert counted[1] < 10 and counted[-1] == corpus_totals(docs, "t", 2).count()
