@@ -24,6 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from kiln.llm.common import BLANKS, keep
+from kiln.session import reloaded
 
 #: Characters of a run besides letters and digits; ``GLUE`` stands for a blank in a quoted phrase.
 GLUE = "\x01"
@@ -188,6 +189,6 @@ def scan(
     drawn = F.pmod(F.xxhash64(F.lit(seed), *FEATURES), F.lit(1 << 20)) < int((1 << 20) * min(1.0, TRAINING / total) + 1)
     assembler = VectorAssembler(inputCols=FEATURES, outputCol="features")
     forest = RandomForestClassifier(numTrees=TREES, maxDepth=DEPTH, seed=seed, featuresCol="features", labelCol="label")
-    model = forest.fit(assembler.transform(training.where(drawn)))
+    model = reloaded(docs.sparkSession, forest.fit(assembler.transform(training.where(drawn))))
     scored = model.transform(assembler.transform(rows)).withColumn("p_secret", F.round(vector_to_array("probability")[1], 9))
     return scored.select(*out, "p_secret", (F.col("p_secret") >= threshold).alias("is_secret"))
