@@ -243,7 +243,7 @@ def product_features(df: DataFrame, tfidf: bool = False, tfidf_terms: int = 100)
     """Description length and word count, optional TF-IDF columns
     ``tfidf_0..``, ``price_log``, ``price_category`` bands and the 0-based
     rank of the category among the sorted distinct categories."""
-    out = df
+    out, model = df, None
     if "product_description" in df.columns:
         desc = F.coalesce(F.col("product_description"), F.lit(""))
         out = out.withColumns(
@@ -259,7 +259,11 @@ def product_features(df: DataFrame, tfidf: bool = False, tfidf_terms: int = 100)
             model = TfidfVectorizer(
                 input_col="product_description", id_col="product_id", max_features=tfidf_terms, ngram_max=2
             ).fit(out)
-            out = model.transform_wide(out, width=tfidf_terms)
+    if "category" in df.columns:
+        # before the wide columns: beyond 100 columns Spark compiles no join
+        out = LabelEncoder("category", "category_encoded").fit(out).transform(out)
+    if model is not None:
+        out = model.transform_wide(out, width=tfidf_terms)
     if "price" in df.columns:
         out = out.withColumns(
             {
@@ -268,7 +272,7 @@ def product_features(df: DataFrame, tfidf: bool = False, tfidf_terms: int = 100)
             }
         )
     if "category" in df.columns:
-        out = LabelEncoder("category", "category_encoded").fit(out).transform(out)
+        out = out.select(*[f"`{c}`" for c in out.columns if c != "category_encoded"], "category_encoded")
     return out
 
 

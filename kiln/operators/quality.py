@@ -19,6 +19,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -68,11 +69,15 @@ class Profile:
     missing: dict[str, int]
 
 
-def profiled(df: DataFrame) -> Profile:
-    """Write ``df`` (NaN as NULL) and count its rows and gaps on the way."""
+def profiled(df: DataFrame, written: bool = False) -> Profile:
+    """Write ``df`` (NaN as NULL) and count its rows and gaps on the way. A scan of
+    written columns (``written``) is not written again, only counted."""
     df = without_nan(df)
     counts = {"n": F.count("*")} | {f"m{i}": F.count_if(F.col(_q(c)).isNull()) for i, c in enumerate(df.columns)}
-    table, seen = staged_with(df, "profile", counts)
+    if written:
+        table, seen = df, fit_row(df, [c.alias(k) for k, c in counts.items()])
+    else:
+        table, seen = staged_with(df, "profile", counts)
     return Profile(table, int(seen["n"]), {c: int(seen[f"m{i}"]) for i, c in enumerate(df.columns)})
 
 
@@ -113,21 +118,21 @@ def completeness(df: DataFrame) -> DataFrame:
 # A7 duplicate rows
 # --------------------------------------------------------------------------
 
-def digest(*cols: Column) -> Column:
-    """128 bits of the values: equal values (NULL equal to NULL) have equal digests.
+def digest(*cols: Column) -> list[Column]:
+    """128 bits of the values as two columns ``a, b``: equal values (NULL equal to NULL) have equal digests.
 
     Two chained 64-bit hashes with different beginnings. A hash passes over NULL,
     so the places of the NULLs are hashed as well.
     """
     gaps = F.concat(*[F.when(c.isNull(), "1").otherwise("0") for c in cols])
-    return F.struct(F.xxhash64(F.lit(1), gaps, *cols).alias("a"), F.xxhash64(F.lit("2"), gaps, *cols).alias("b"))
+    return [F.xxhash64(F.lit(1), gaps, *cols).alias("a"), F.xxhash64(F.lit("2"), gaps, *cols).alias("b")]
 
 
 def duplicate_rows(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
     """Rows equal to an earlier row on ``cols`` (all columns by default):
     ``sum(n - 1)`` over groups of equal rows; NULLs compare equal, and NaN to NULL (A7)."""
     df = without_nan(df.select(*[_q(c) for c in cols or df.columns]))
-    groups = df.groupBy(digest(*[F.col(_q(c)) for c in df.columns]).alias("__row")).agg(F.count("*").alias("__n"))
+    groups = df.select(*digest(*[F.col(_q(c)) for c in df.columns])).groupBy("a", "b").agg(F.count("*").alias("__n"))
     return groups.agg(F.coalesce(F.sum(F.col("__n") - 1), F.lit(0)).cast("bigint").alias("duplicate_rows"))
 
 
@@ -188,19 +193,39 @@ def value_pairs(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 
 
 def category_stats(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """Per column: distinct count and mode (ties -> smallest).
+    """Per column: distinct count and mode (ties -> smallest); columns without values are left out.
 
-    Values are counted by digest. The mode is looked up among the values whose
-    digest has the highest count; where every value is single it is the smallest
-    value, and no value is joined.
+    Values are counted by digest; a row per column reaches the driver. A column
+    whose values are all single has its smallest value as mode, found by a plain
+    aggregate. Elsewhere the mode is looked up among the values whose digest has the
+    highest count: those digests are written, so that few of them are broadcast
+    by their known size and no value is shuffled.
     """
-    pairs = value_pairs(df, cols).withColumn("d", digest(F.col("v")))
-    counts = staged(pairs.groupBy("k", "d").agg(F.count("*").alias("n")), "value-counts")
-    top = counts.groupBy("k").agg(F.count("*").alias("unique_values"), F.max("n").alias("most"))
-    ties = counts.join(top.where("most > 1"), "k").where("n = most").select("k", "d")
-    single = pairs.join(top.where("most = 1").select("k"), "k").groupBy("k").agg(F.min("v").alias("most_common"))
-    many = pairs.join(ties, ["k", "d"], "left_semi").groupBy("k").agg(F.min("v").alias("most_common"))
-    return top.join(single.unionByName(many), "k", "left").select("k", "unique_values", "most_common")
+    at = {c: i for i, c in enumerate(cols)}
+    counts = staged(_digested(df, cols, at).groupBy("c", "a", "b").agg(F.count("*").alias("n")), "value-counts")
+    seen = {cols[r["c"]]: r for r in counts.groupBy("c").agg(F.count("*").alias("unique_values"), F.max("n").alias("most")).collect()}
+    single, many = ([c for c in seen if (seen[c]["most"] == 1) == once] for once in (True, False))
+    parts = []
+    if single:
+        least = df.agg(*[F.min(F.col(_q(c)).cast("string")).alias(f"m{i}") for i, c in enumerate(single)])
+        parts.append(_stack(least, [(c, [F.col(f"m{i}")]) for i, c in enumerate(single)], ["k", "most_common"]))
+    if many:
+        most = F.create_map(*[F.lit(x) for c in many for x in (at[c], seen[c]["most"])])
+        ties = staged(counts.where(F.col("n") == most[F.col("c")]).select("c", "a", "b"), "value-ties")
+        found = _digested(df, many, at).join(ties, ["c", "a", "b"], "left_semi").groupBy("c").agg(F.min("v").alias("most_common"))
+        name = F.create_map(*[F.lit(x) for c in many for x in (at[c], c)])
+        parts.append(found.select(name[F.col("c")].alias("k"), "most_common"))
+    if not parts:
+        return df.sparkSession.createDataFrame([], "k string, unique_values bigint, most_common string")
+    unique = F.create_map(*[F.lit(x) for c in seen for x in (c, seen[c]["unique_values"])])
+    return reduce(DataFrame.unionByName, parts).select("k", unique[F.col("k")].cast("bigint").alias("unique_values"), "most_common")
+
+
+def _digested(df: DataFrame, cols: Sequence[str], at: dict[str, int]) -> DataFrame:
+    """``value_pairs`` with the column's number ``c`` for its name, and the value's digest ``a, b``."""
+    arr = F.array(*[F.struct(F.lit(at[c]).alias("c"), F.col(_q(c)).cast("string").alias("v")) for c in cols])
+    pairs = df.select(F.explode(arr).alias("cv")).select("cv.c", "cv.v").where(F.col("v").isNotNull())
+    return pairs.select("c", "v", *digest(F.col("v")))
 
 
 def distribution_summary(df: DataFrame, medians: dict | None = None, moments: dict | None = None) -> DataFrame:
@@ -273,11 +298,12 @@ def _score(p: Profile, miss: list, outl: list) -> DataFrame:
     )
 
 
-def quality_report(df: DataFrame) -> DataFrame:
+def quality_report(df: DataFrame, written: bool = False) -> DataFrame:
     """Full report (A11) in long form: ``section, column, metric, value, text``.
 
     The input is evaluated once: it is written, its counts are observed meanwhile,
-    and each further aggregate reads the written columns once.
+    and each further aggregate reads the written columns once. ``written`` says that
+    it is a scan of written columns already.
     """
     def long(frame: DataFrame, section: str, metrics: Sequence[str]) -> DataFrame:
         return frame.select(
@@ -288,7 +314,7 @@ def quality_report(df: DataFrame) -> DataFrame:
 
     # One quantile fit (quartiles and median of every numeric column) feeds
     # the outlier bounds, the medians and the score.
-    p = profiled(df)
+    p = profiled(df, written)
     df, num = p.table, numeric_cols(p.table)
     mom: dict = {}
     q = exact_quantiles(df, num, [0.25, 0.5, 0.75], moments=mom) if num else {}
