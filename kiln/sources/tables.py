@@ -28,22 +28,33 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spread(spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet"))
 
 
+# From this many scan partitions per core on, row groups are not looked at: they are
+# many, and footers need not be read twice.
+MANY = 64
+
+
 def spread(df: DataFrame) -> DataFrame:
     """Give an under-split scan one partition per core.
 
-    A file with a single row group is read by a single task, so all
-    row-local work before the first shuffle (regular expressions,
-    tokenisation, the map side of joins and aggregates) would run on one
-    core. When the scan has fewer partitions than the cluster's default
-    parallelism it is spread round-robin; a large input already has far
-    more partitions and is left as is (decided at plan time, no job).
+    A row group is read by a single task, whatever the size of the file, so of
+    a file with one row group all row-local work before the first shuffle (regular
+    expressions, tokenisation, the map side of joins and aggregates) would run on
+    one core. A scan is cut by bytes: it may have partitions enough and rows in
+    few of them, which a count over the footers shows (no column is read).
+    When fewer partitions than the cluster's default parallelism hold rows, the
+    rows are spread round-robin; other inputs are left as they are.
     """
     target = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < target:
-        return df.repartition(target)
+    parts = df.rdd.getNumPartitions()
+    if parts < target or (parts < MANY * target and _parts_with_rows(df) < target):
+        return df.repartition(max(parts, target))
     return df
 
 
+def _parts_with_rows(df: DataFrame) -> int:
+    return df.select(F.spark_partition_id().alias("p")).groupBy("p").agg(F.count("*")).count()
+
+
 def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per order line: the transactions table of the data model.
 
