@@ -41,12 +41,12 @@ def spread(df: DataFrame) -> DataFrame:
     expressions, tokenisation, the map side of joins and aggregates) would run on
     one core. A scan is cut by bytes: it may have partitions enough and rows in
     few of them, which a count over the footers shows (no column is read).
-    When fewer partitions than the cluster's default parallelism hold rows, the
-    rows are spread round-robin; other inputs are left as they are.
+    Fewer partitions than the cluster's default parallelism, or rows in no more than
+    half as many, are spread round-robin; other inputs are left as they are.
     """
     target = df.sparkSession.sparkContext.defaultParallelism
     parts = df.rdd.getNumPartitions()
-    if parts < target or (parts < MANY * target and _parts_with_rows(df) < target):
+    if parts < target or (parts < MANY * target and 2 * _parts_with_rows(df) <= target):
         return df.repartition(max(parts, target))
     return df
 
